@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from locuslake.llm import neardup, toxicity
+from locuslake.llm import bpe, chat, mixing, neardup, pii, spotsigs, tokencounts, toxicity
 from locuslake.llm.shared import table
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.op1_token_counts(table(spark, sf_dir, "documents"))
+
+
 def op4_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.op4_near_dedup(table(spark, sf_dir, "documents"))
 
@@ -18,6 +22,26 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op5_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_prob_minhash, op5_toxicity)}
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.op6_bpe(table(spark, sf_dir, "documents"))
+
+
+def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.op7_spotsigs(table(spark, sf_dir, "documents"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.op8_mixing(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.op9_pii(table(spark, sf_dir, "documents"))
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.op10_chat(table(spark, sf_dir, "conversations"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op4_prob_minhash, op5_toxicity, op6_bpe, op7_spotsigs, op8_mixing, op9_pii, op10_chat)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_mixing": mixing.ORACLE, "op10_chat": chat.ORACLE}
