@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from locuslake.llm import bpe, chat, mixing, neardup, pii, spotsigs, tokencounts, toxicity
+from locuslake.llm import bpe, chat, mixing, neardup, pii, spotsigs, tokencounts, topk, toxicity, warc
 from locuslake.llm.shared import table
 
 
@@ -14,6 +14,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.op1_token_counts(table(spark, sf_dir, "documents"))
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.op3_warc(table(spark, sf_dir, "pages"))
+
+
 def op4_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.op4_near_dedup(table(spark, sf_dir, "documents"))
 
@@ -42,6 +50,6 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.op10_chat(table(spark, sf_dir, "conversations"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op4_prob_minhash, op5_toxicity, op6_bpe, op7_spotsigs, op8_mixing, op9_pii, op10_chat)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_topk, op3_warc, op4_prob_minhash, op5_toxicity, op6_bpe, op7_spotsigs, op8_mixing, op9_pii, op10_chat)}
 
-ORACLES: dict[str, str] = {"op8_mixing": mixing.ORACLE, "op10_chat": chat.ORACLE}
+ORACLES: dict[str, str] = {"op2_topk": topk.ORACLE, "op3_warc": warc.ORACLE, "op8_mixing": mixing.ORACLE, "op10_chat": chat.ORACLE}
