@@ -111,8 +111,9 @@ def mixed(docs: DataFrame, labels: DataFrame | None = None, p: Params = Params()
     copies = F.expr("sequence(1, cast(_taken div _n + if(_part > 0, 1, 0) as int))")
     d = d.withColumn("_copy", F.explode(copies))
     cut = (F.col("_copy") > F.expr("_taken div _n")) & (F.col("_part") > 0)
-    head = F.regexp_extract("text", F.concat(F.lit(r"(?s)^[\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){"), F.col("_part").cast("string"), F.lit("}")), 0)
-    d = d.withColumn("text", F.when(cut, F.rtrim(head)).otherwise(F.col("text")))
+    edges = F.split("text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")  # a piece: white space, then a word
+    head = F.array_join(F.slice(edges, F.lit(1), F.col("_part").cast("int")), "")
+    d = d.withColumn("text", F.when(cut, head).otherwise(F.col("text")))
     if "n_chars" in names:
         d = d.withColumn("n_chars", F.when(cut, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return d.select(*names)
