@@ -99,7 +99,7 @@ def _rescaled(d: DataFrame, before: str, after: str) -> DataFrame:
     return d.join(scale, "sample_id", "left").withColumn(after, F.col(after) * F.col("_k")).drop("_k")
 
 
-def median_regression(d: DataFrame, value: str, terms: list[str], rounds: int = 50, close: float = 1e-6) -> dict[str, np.ndarray]:
+def median_regression(d: DataFrame, value: str, terms: list[str], rounds: int = 30, close: float = 1e-4) -> dict[str, np.ndarray]:
     """Coefficients by sample of value ~ 1 + terms at the median, by iteratively reweighted least squares.
 
     A round is one aggregate of the weighted normal equations over the table; only those sums, a few numbers for each
@@ -111,14 +111,12 @@ def median_regression(d: DataFrame, value: str, terms: list[str], rounds: int =
     beta: dict[str, np.ndarray] = {}
     try:
         for _ in range(rounds):
-            if beta:
-                flat = [x for s, b in beta.items() for x in (F.lit(s), F.array(*map(F.lit, map(float, b))))]
-                fit = sum((F.col(n) * F.get(F.create_map(*flat)[F.col("sample_id")], F.lit(i)) for i, n in enumerate(names)), F.lit(0.0))
-                weight = 1 / F.greatest(F.abs(F.col("_y") - fit), F.lit(1e-6))
-            else:
-                weight = F.lit(1.0)
+            known = d.sparkSession.createDataFrame([(s, b.tolist()) for s, b in beta.items()], "sample_id string, _b array<double>")
+            now = base.join(F.broadcast(known), "sample_id", "left")  # a row for each sample; as data, so that each round runs the same compiled plan
+            fit = sum((F.col(n) * F.get("_b", F.lit(i)) for i, n in enumerate(names)), F.lit(0.0))
+            weight = F.coalesce(1 / F.greatest(F.abs(F.col("_y") - fit), F.lit(1e-6)), F.lit(1.0))
             sums = [F.sum(weight * F.col(a) * F.col(b)) for i, a in enumerate(names) for b in names[i:]] + [F.sum(weight * F.col(a) * F.col("_y")) for a in names]
-            rows = base.groupBy("sample_id").agg(*[s.alias(f"s{i}") for i, s in enumerate(sums)]).collect()
+            rows = now.groupBy("sample_id").agg(*[s.alias(f"s{i}") for i, s in enumerate(sums)]).collect()
             moved = 0.0
             for r in rows:
                 v = [float(x) for x in r[1:]]
@@ -126,7 +124,8 @@ def median_regression(d: DataFrame, value: str, terms: list[str], rounds: int =
                 m[np.triu_indices(k)] = v[: k * (k + 1) // 2]
                 m = m + m.T - np.diag(np.diag(m))
                 new = np.linalg.lstsq(m, np.array(v[k * (k + 1) // 2 :]), rcond=None)[0]
-                moved = max(moved, float(np.abs(new - beta.get(r["sample_id"], np.inf)).max()))
+                old = beta.get(r["sample_id"])
+                moved = max(moved, np.inf if old is None else float((np.abs(new - old) / np.maximum(1.0, np.abs(old))).max()))
                 beta[r["sample_id"]] = new
             if not rows or moved < close:
                 break
@@ -145,6 +144,7 @@ def corrected_by_regression(d: DataFrame, doutlier: float = 0.001, min_mappabili
     x = d.withColumn("gc2", F.col("gc") * F.col("gc"))
     if "repli" in d.columns:
         x = x.withColumn("repli2", F.col("repli") * F.col("repli"))
+    x = x.persist()
     ends = x.groupBy("sample_id").agg(F.percentile("gc", doutlier).alias("_lo"), F.percentile("gc", 1 - doutlier).alias("_hi"))
     fit = x.join(F.broadcast(ends), "sample_id").where((F.col(value) > 0) & F.col("gc").between(F.col("_lo"), F.col("_hi")))
     if "map" in d.columns:
@@ -225,6 +225,7 @@ def lowess_stage(d: DataFrame, value: str, covariate: str, out: str, low_high: t
     The curve is fitted on at most `sample` ideal windows of each sample, those of smallest hash (a documented bound), and
     comes back as `grid` points; prediction joins each value with the two grid points around it, in Spark.
     """
+    d = d.persist()  # read four times below, and once more for each later stage
     valid = (F.col(value) > 0) & F.col(covariate).isNotNull()
     ends = d.groupBy("sample_id").agg(F.percentile(covariate, doutlier).alias("_lo"), F.percentile(covariate, 1 - doutlier).alias("_hi"), F.percentile(F.when(valid, F.col(value)), 1 - routlier).alias("_top"))
     fit = d.join(F.broadcast(ends), "sample_id").where(valid & F.col(covariate).between(F.col("_lo"), F.col("_hi")) & (F.col(value) <= F.col("_top")))
