@@ -16,6 +16,7 @@ empty one (no ids, empty decoded text); repeated rows return as often as they ca
 from __future__ import annotations
 
 import codecs
+import gc
 import hashlib
 import json
 import re
@@ -118,18 +119,22 @@ class Transducer:
 
     def __init__(self, tables: Tables):
         self.t = tables
+        self.ids, self.tail, self.known = tables.ids, tables.tail, tables.known
         self.symbols = ""  # from the first token that is not yet stable, and the one symbol of lookahead for the word's end
         self.last: list[str] = [""]  # last[i]: last token of the first i kept symbols
         self.before = ""  # the token emitted last
 
     def _token(self, end: int, suffix: str) -> str:
-        s, ids, last, known = self.symbols, self.t.ids, self.last, self.t.known
-        for start in range(max(0, end - self.t.tail.get(s[max(0, end - 2) : end], 1)), end):
-            token = s[start:end] + suffix
+        s, ids, last, known = self.symbols, self.ids, self.last, self.known
+        for start in range(max(0, end - self.tail.get(s[end - 2 : end] if end > 1 else s[:end], 1)), end):
+            token = s[start:end] + suffix if suffix else s[start:end]
             if token in ids:
-                left = (last[start] or self._place(start)) if start else self.before
-                if not left:
-                    return token
+                if start:
+                    left = last[start] or self._place(start)
+                else:
+                    left = self.before
+                    if not left:
+                        return token
                 if (good := known.get((left, token))) is None:
                     good = self.t.fits(left, token)
                 if good:
@@ -205,7 +210,7 @@ class ByteText:
 class Codec:
     """Encodes whole texts; white-space-free chunks are remembered in two generations of bounded size."""
 
-    def __init__(self, path: str | None = None, remember: int = 150_000):
+    def __init__(self, path: str | None = None, remember: int = 300_000):
         self.t = Tables(path or default_path())
         self.remember, self.new, self.old = remember, {}, {}
         self.parts: tuple[dict, dict] = ({}, {})  # of pretokens
@@ -247,21 +252,23 @@ class Codec:
             self.new[chunk] = e
         return e
 
-    def chunks(self, text: str) -> Iterator[tuple[int, str, str]]:
+    def chunks(self, text: str) -> list[tuple[int, str, str]]:
         """(tokens, ids, decoded) of each chunk and special token of the text."""
-        miss = self._chunk
         if "<|" in text and self.special:
-            pieces = self.special.split(text)
-        else:
-            pieces = [text]
-        for k, piece in enumerate(pieces):
-            if k % 2:
-                i = self.t.special[piece]
-                yield (1, str(i), Surface(self.t).feed(i))
-                continue
-            split = [c for c in self.spaces.split(piece) if c] if self.odd.search(piece) else piece.split()
-            for c in split:
-                yield self.new.get(c) or miss(c)
+            out: list[tuple[int, str, str]] = []
+            for k, piece in enumerate(self.special.split(text)):
+                if k % 2:
+                    i = self.t.special[piece]
+                    out.append((1, str(i), Surface(self.t).feed(i)))
+                else:
+                    out += self._plain(piece)
+            return out
+        return self._plain(text)
+
+    def _plain(self, text: str) -> list[tuple[int, str, str]]:
+        split = [c for c in self.spaces.split(text) if c] if self.odd.search(text) else text.split()
+        get, miss = self.new.get, self._chunk  # a generation that fills up meanwhile is still good to read
+        return [get(c) or miss(c) for c in split]
 
     def encode(self, text: str | None) -> list[int]:
         return [int(i) for _, ids, _ in self.chunks(text or "") for i in ids.split()]
@@ -276,7 +283,7 @@ class Codec:
 
     def digests(self, text: str | None) -> tuple[int, str, str]:
         """(n_tokens, hash of the ids, hash of the decoded form)."""
-        found = list(self.chunks(text or ""))
+        found = self.chunks(text or "")
         ids, decoded = hashlib.sha256(), hashlib.sha256()
         for k in range(0, len(found), 1 << 16):
             lead = " " if k else ""
@@ -290,6 +297,7 @@ def op6_bpe(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every whole text; no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.set_threshold(200_000, 20, 100)  # large caches without cycles
         codec = Codec(path)
         for batch in small_batches(batches):
             got = [codec.digests(t.as_py()) for t in batch.column("text")]
@@ -305,6 +313,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     kept = docs.drop("ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.set_threshold(200_000, 20, 100)  # large caches without cycles
         codec = Codec(path)
         for batch in small_batches(batches):
             ids = pa.array([codec.encode(t.as_py()) for t in batch.column("text")], pa.list_(pa.int32()))

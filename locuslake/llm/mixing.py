@@ -31,7 +31,7 @@ class Params:
     good: float = 2.0  # quality weights of labels.quality 1, 0 and none
     bad: float = 0.5
     unknown: float = 1.0
-    rows_per_bucket: int = 20_000
+    rows_per_bucket: int = 2_000
     seed: str = "mix"
 
 

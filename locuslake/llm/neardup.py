@@ -11,8 +11,8 @@ similarity of the two weighted sets.
 Texts with equal words are one content. Contents that share a band are candidates; their shingle sets are
 compared exactly (Jaccard of `threshold` or more links them). Within a band's bucket contents are first
 compared with a few pivots; only where a bucket still holds several components are the remaining pairs
-across components compared, less those that the triangle inequality of the Jaccard distance or the set
-sizes rule out. So no link between different components is lost, and groups of copies never become all
+across components compared, less those that the triangle inequality of the Jaccard distance, the set
+sizes or the shingles that occur in one text alone rule out. So no link between different components is lost, and groups of copies never become all
 pairs.
 
 Defined cases: null and empty texts and those without a word belong to no group (class_id is doc_id);
@@ -44,6 +44,7 @@ class Params:
     rows: int = 5
     pivots: int = 3
     seed: int = 11
+    broadcast_ids: int = 2_000_000  # doc_ids that may be broadcast (16 MB); more of them are joined by shuffle
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -158,6 +159,19 @@ def verify(pairs: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long, likeness double")
 
 
+def lonely(texts: DataFrame, p: Params) -> DataFrame:
+    """(node, alone): how many of a text's shingles occur in no other of these texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            _, doc, h, _ = weighted_shingles(batch.column("text").to_pylist(), p)
+            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(doc)), pa.array(h.view(np.int64))], ["node", "shingle"])
+
+    each = texts.select("node", "text").mapInArrow(run, "node long, shingle long")
+    once = each.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("other")).where("node = other")
+    return once.groupBy("node").agg(F.count("*").alias("alone"))
+
+
 def classes(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """(doc_id, class_id, copies): one row per document; copies is the number of rows with the same words."""
     marks = written(sketches(docs, p), "sketches")
@@ -173,7 +187,9 @@ def classes(docs: DataFrame, p: Params = Params()) -> DataFrame:
 
     near = F.least("n", "pivot_n") >= F.lit(p.threshold - 1e-9) * F.greatest("n", "pivot_n")
     first = shared.where(F.col("node") != F.col("pivot")).where(near).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    wanted = shared.select(F.col("node").alias("doc_id")).distinct()
+    wanted = written(shared.select(F.col("node").alias("doc_id")).distinct(), "wanted")
+    if wanted.count() <= p.broadcast_ids:
+        wanted = F.broadcast(wanted)
     texts = written(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text"), "texts")
     tried = written(verify(first, texts, p), "tried")
     links = tried.where(F.col("likeness") >= p.threshold - 1e-9).select("a", "b")
@@ -186,15 +202,18 @@ def classes(docs: DataFrame, p: Params = Params()) -> DataFrame:
     seen = tried.select(F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("likeness")).alias("far")).dropDuplicates(["pivot", "node"])
     rest = rest.join(seen, ["pivot", "node"], "left").withColumn("far", F.when(F.col("pivot") == F.col("node"), 0.0).otherwise(F.col("far")))
     rest = written(rest.select("key", "node", "n", "component", "far"), "rest")
-    x, y = rest.alias("x"), rest.alias("y")
-    fits = (F.least("x.n", "y.n") >= F.lit(p.threshold - 1e-9) * F.greatest("x.n", "y.n")) & F.coalesce(F.abs(F.col("x.far") - F.col("y.far")) <= 1 - p.threshold + 1e-9, F.lit(True))
+    # shingles of a text that no other text here has bound its likeness to any of them
+    alone = written(lonely(texts.join(rest.select("node").distinct(), "node", "left_semi"), p), "lonely")
+    ready = rest.join(alone, "node", "left").withColumn("most", F.col("n") - F.coalesce("alone", F.lit(0))).where(F.col("most") >= F.lit(p.threshold - 1e-9) * F.col("n"))
+    x, y = ready.alias("x"), ready.alias("y")
+    fits = (F.least("x.most", "y.most") * F.lit(1 + p.threshold) >= F.lit(p.threshold - 1e-9) * (F.col("x.n") + F.col("y.n"))) & F.coalesce(F.abs(F.col("x.far") - F.col("y.far")) <= 1 - p.threshold + 1e-9, F.lit(True))
     across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & fits).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     across = across.join(tried.select("a", "b"), ["a", "b"], "left_anti").join(tried.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
     more = verify(across, texts, p).where(F.col("likeness") >= p.threshold - 1e-9).select("a", "b")
     # the components so far stand in for their links
     joined = comp.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
     final = components(joined, "a", "b")
-    for t in (shared, texts, tried, comp, rest):
+    for t in (shared, texts, tried, comp, rest, alone):
         drop_written(t)
 
     named = contents.join(final, "node", "left").select("k1", "k2", "copies", F.coalesce("component", "node").alias("class_id"))

@@ -261,8 +261,10 @@ def find(texts: list[str | None], weights, p: Params) -> list[tuple[list[tuple[i
 
 def fit(docs: DataFrame, p: Params = Params()):
     """Weights from the mentions of the `sample` texts with mentions of smallest hash; only labels, features and links travel."""
-    # the sample is drawn among rows before their texts are read for mentions
-    drawn = docs.where("text is not null").select(F.xxhash64(F.lit(p.seed), "doc_id", "text").alias("draw"), "text").where(F.col("text").rlike("[0-9]{2}|@")).orderBy("draw").limit(p.sample)
+    # the sample's largest draw is found among draws alone, so that no text is sorted or shuffled
+    drawn = docs.select(F.xxhash64(F.lit(p.seed), "doc_id", "text").alias("draw"), "text").where(F.col("text").rlike("[0-9]{2}|@"))
+    cut = drawn.select("draw").orderBy("draw").limit(p.sample).agg(F.max("draw")).first()[0]
+    drawn = drawn.where(F.col("draw") <= F.lit(cut).cast("long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

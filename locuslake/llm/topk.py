@@ -11,7 +11,7 @@ are merged by a second selection. Nothing but a fixed number of rows for each qu
 
 Defined cases: vectors that are null, empty, of another length than most or that hold null or non-finite
 components take no part, nor do rows without vec_id; a query leaves out every row with its own vec_id;
-repeated rows stand beside each other as candidates; ties go to the smaller vec_id; extra columns are ignored.
+repeated rows stand beside each other as candidates, and of query rows with one vec_id the least vector asks; ties go to the smaller vec_id; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -178,7 +178,8 @@ def search(vectors: DataFrame, p: Params = Params()) -> DataFrame:
     lanes = max(1, -(-n // p.rows))
     spread = d.repartition(lanes, "vec_id")
     index = written(packed(spread, p.rows, dim).withColumn("lane", F.pmod(F.monotonically_increasing_id() + F.spark_partition_id(), F.lit(lanes)).cast("int")), "index")
-    asked = packed(d.where(F.pmod("vec_id", F.lit(p.every)) == 0), p.queries, dim).select(F.col("ids").alias("q_ids"), F.col("values").alias("q_values"))
+    queries = d.where(F.pmod("vec_id", F.lit(p.every)) == 0).groupBy("vec_id").agg(F.min("q").alias("q"))
+    asked = packed(queries, p.queries, dim).select(F.col("ids").alias("q_ids"), F.col("values").alias("q_values"))
     asked = asked.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
     met = index.repartition(lanes, "lane").join(asked, "lane").select("ids", "values", "q_ids", "q_values")
 

@@ -31,15 +31,15 @@ from locuslake.llm.shared import small_batches
 @dataclass
 class Params:
     buckets: int = 1 << 16
-    dim: int = 4
-    window: int = 2
+    dim: int = 8
+    window: int = 3
     low: int = 3
     high: int = 5
     max_per_label: int = 2000
     max_train_chars: int = 12_000
-    epochs: int = 6
+    epochs: int = 7
     batch: int = 64
-    rate: float = 0.15
+    rate: float = 0.25
     seed: int = 7
 
 
@@ -105,6 +105,36 @@ def scores(texts: list[str | None], model: Model) -> np.ndarray:
     return np.where(some, 1 / (1 + np.exp(-np.clip(a * logit + b, -60, 60))), model.empty)
 
 
+def pieces(texts: list[str], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of about `most` characters."""
+    start, held = 0, 0
+    for i, t in enumerate(texts):
+        if held and held + len(t) > most:
+            yield start, i
+            start, held = i, 0
+        held += len(t)
+    if len(texts) > start:
+        yield start, len(texts)
+
+
+def vocabulary(texts: list[str], p: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(word number of each word, words' bounds by text, features by word, first feature and number of them), piece by piece."""
+    which, sizes, names, feats, counts = [], [], [], [], []
+    for k, z in pieces(texts):
+        w = bytewords.words(texts[k:z])
+        found, index, inverse = np.unique(w.hashes(), return_index=True, return_inverse=True)
+        f, first = word_features(w, index, p) if len(index) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        which.append(inverse + sum(map(len, names)))
+        sizes.append(np.diff(w.bounds))
+        names.append(found)
+        feats.append(f.astype(np.int32))
+        counts.append(np.diff(np.append(first, len(f))))
+    _, index, merged = np.unique(np.concatenate(names), return_index=True, return_inverse=True)
+    feats, counts = np.concatenate(feats), np.concatenate(counts)
+    first = np.cumsum(counts) - counts
+    return merged[np.concatenate(which)], np.concatenate([[0], np.cumsum(np.concatenate(sizes))]), feats, first[index], counts[index]
+
+
 def train(texts: list[str], labels: list[int], p: Params = Params()) -> Model:
     """Fit embeddings and softmax jointly on whole texts; the same texts in the same order give the same model."""
     rng = np.random.default_rng(p.seed)
@@ -114,11 +144,8 @@ def train(texts: list[str], labels: list[int], p: Params = Params()) -> Model:
     if len(set(labels)) < 2:
         model.scale, model.empty = (0.0, -60.0), 0.0
         return model
-    w = bytewords.words(texts)
-    _, index, which = np.unique(w.hashes(), return_index=True, return_inverse=True)
-    feats, first = word_features(w, index, p)
-    counts = np.diff(np.append(first, len(feats)))
-    filled = np.flatnonzero(np.diff(w.bounds) > 0)
+    which, bounds, feats, first, counts = vocabulary(texts, p)
+    filled = np.flatnonzero(np.diff(bounds) > 0)
     square_v, square_w = np.full((p.buckets,), 1e-4), np.full((p.dim, 2), 1e-4)
     step = max(1, p.window // 2)
     for epoch in range(p.epochs):
@@ -126,7 +153,7 @@ def train(texts: list[str], labels: list[int], p: Params = Params()) -> Model:
         order = rng.permutation(filled)
         for k in range(0, len(order), p.batch):
             docs = order[k : k + p.batch]
-            spans = [np.arange(w.bounds[d], w.bounds[d + 1]) for d in docs]
+            spans = [np.arange(bounds[d], bounds[d + 1]) for d in docs]
             words, inverse = np.unique(which[np.concatenate(spans)], return_inverse=True)
             many = counts[words]
             at = np.repeat(first[words], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
@@ -166,7 +193,8 @@ def train(texts: list[str], labels: list[int], p: Params = Params()) -> Model:
             model.vectors[touched] -= p.rate * grad_v / np.sqrt(square_v[touched])[:, None]
             model.weights -= p.rate * 0.2 * grad_w / np.sqrt(square_w)
     model.fold()
-    logit, some = text_logits(texts, model)
+    parts = [text_logits(texts[k:z], model) for k, z in pieces(texts)]
+    logit, some = (np.concatenate(x) for x in zip(*parts, strict=True))
     model.scale = _calibrate(logit[some], y[some])
     model.empty = float(np.clip(1 / (1 + np.exp(-model.scale[1])), 0, 0.49))
     return model
@@ -193,10 +221,13 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Model:
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("y"))
     known = known.where(~held_out(known)).withColumn("draw", F.xxhash64(F.lit(p.seed), "doc_id"))
     texts = docs.where(F.length("text").between(1, p.max_train_chars)).select("doc_id", "text")
-    sample = known.join(texts, "doc_id")
     rows = []
     for y in (0, 1):
-        rows += sample.where((F.col("y") > 0) == F.lit(bool(y))).orderBy("draw", "doc_id", F.xxhash64("text")).limit(p.max_per_label).select("draw", "text", F.lit(y).alias("y")).collect()
+        of = known.where((F.col("y") > 0) == F.lit(bool(y)))
+        # the largest draw is found among labels and ids, so that texts are only read where they are wanted
+        cut = of.join(texts.select("doc_id"), "doc_id", "left_semi").select("draw").orderBy("draw").limit(p.max_per_label).agg(F.max("draw")).first()[0]
+        if cut is not None:
+            rows += of.where(F.col("draw") <= cut).join(texts, "doc_id").select("draw", "text", F.lit(y).alias("y")).dropDuplicates().collect()
     rows.sort(key=lambda r: (r["draw"], r["text"]))
     return train([r["text"] for r in rows], [r["y"] for r in rows], p)
 
