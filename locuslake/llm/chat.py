@@ -71,7 +71,7 @@ def format_chat(messages: DataFrame, p: Params = Params()) -> DataFrame:
     role = F.coalesce(F.col("role"), F.lit(""))
     if "parts" in messages.columns:
         content, found = _visit(F.col("parts"), p)
-        content = F.coalesce(content, F.lit(""))
+        content, found = F.coalesce(content, F.lit("")), F.coalesce(found, F.array())
     else:
         content = escaped(F.coalesce(F.col("text"), F.lit("")))
         found = F.expr("cast(array() as array<struct<place:int,type:string,ref:string,tokens:bigint>>)")

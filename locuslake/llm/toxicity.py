@@ -100,8 +100,10 @@ def text_logits(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.n
 
 
 def scores(texts: list[str | None], model: Model) -> np.ndarray:
-    logit, some = text_logits(texts, model)
     a, b = model.scale
+    if a == 0:  # learned from labels of one kind or none
+        return np.zeros(len(texts))
+    logit, some = text_logits(texts, model)
     return np.where(some, 1 / (1 + np.exp(-np.clip(a * logit + b, -60, 60))), model.empty)
 
 
@@ -259,4 +261,4 @@ def op5_toxicity(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Da
 def reject(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> DataFrame:
     """docs without those that score 0.5 or more; columns as they came."""
     names = docs.columns
-    return score(docs.drop("score"), fit(docs, labels, p)).where("score < 0.5").select(*[F.col(c) if c != "score" else F.col(c) for c in names])
+    return score(docs.drop("score"), fit(docs, labels, p)).where("score < 0.5").select(*names)
