@@ -10,7 +10,7 @@ similarity of the two weighted sets.
 
 Texts with equal words are one content. Contents that share a band are candidates; their shingle sets are
 compared exactly (Jaccard of `threshold` or more links them). Within a band's bucket contents are first
-compared with a few pivots; only where a bucket still holds several components are the remaining pairs
+compared with its pivot, the one that shares buckets with most others; only where a bucket still holds several components are the remaining pairs
 across components compared, less those that the triangle inequality of the Jaccard distance, the set
 sizes or the shingles that occur in one text alone rule out. So no link between different components is lost, and groups of copies never become all
 pairs.
@@ -42,7 +42,6 @@ class Params:
     threshold: float = 0.8
     bands: int = 20
     rows: int = 5
-    pivots: int = 3
     seed: int = 11
     broadcast_ids: int = 2_000_000  # doc_ids that may be broadcast (16 MB); more of them are joined by shuffle
 
@@ -179,11 +178,13 @@ def classes(docs: DataFrame, p: Params = Params()) -> DataFrame:
     contents = written(contents, "contents")
     known = contents.where("node is not null")
 
-    # buckets of more than one content, as (key, node, n)
-    members = known.select("node", "n", F.posexplode("bands").alias("band", "key"))
-    orders = [F.min(F.when(F.pmod(F.col("band"), F.lit(p.pivots)) == i, F.struct(F.xxhash64(F.lit(i), "node").alias("h"), "node", "n"))) for i in range(p.pivots)]
-    heads = members.groupBy("key").agg(F.coalesce(*orders).alias("head"), F.count("*").alias("size")).where("size > 1").select("key", F.col("head.node").alias("pivot"), F.col("head.n").alias("pivot_n"))
-    shared = written(members.join(heads, "key").select("key", "node", "n", "pivot", "pivot_n"), "buckets")
+    # buckets of more than one content, each with a pivot: the member of largest support
+    members = known.select("node", "n", F.explode("bands").alias("key"))
+    sizes = members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    placed = written(members.join(sizes, "key"), "placed")
+    support = placed.groupBy("node").agg(F.sum("size").alias("support"))  # the text that a group was made from shares buckets with most of it
+    heads = placed.join(support, "node").groupBy("key").agg(F.max(F.struct("support", F.xxhash64("node").alias("h"), "node", "n")).alias("head")).select("key", F.col("head.node").alias("pivot"), F.col("head.n").alias("pivot_n"))
+    shared = written(placed.join(heads, "key").select("key", "node", "n", "pivot", "pivot_n"), "buckets")
 
     near = F.least("n", "pivot_n") >= F.lit(p.threshold - 1e-9) * F.greatest("n", "pivot_n")
     first = shared.where(F.col("node") != F.col("pivot")).where(near).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
@@ -213,7 +214,7 @@ def classes(docs: DataFrame, p: Params = Params()) -> DataFrame:
     # the components so far stand in for their links
     joined = comp.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
     final = components(joined, "a", "b")
-    for t in (shared, texts, tried, comp, rest, alone):
+    for t in (placed, shared, texts, tried, comp, rest, alone):
         drop_written(t)
 
     named = contents.join(final, "node", "left").select("k1", "k2", "copies", F.coalesce("component", "node").alias("class_id"))
