@@ -12,8 +12,8 @@ Texts with equal words are one content. Contents that share a band are candidate
 compared exactly (Jaccard of `threshold` or more links them). Within a band's bucket contents are first
 compared with its pivot, the one that shares buckets with most others; only where a bucket still holds several components are the remaining pairs
 across components compared, less those that the triangle inequality of the Jaccard distance, the set
-sizes or the shingles that occur in one text alone rule out. So no link between different components is lost, and groups of copies never become all
-pairs.
+sizes or the rarest shingles of the two texts rule out: a bound on what they share, never a guess. So no link
+between different components is lost, and groups of copies never become all pairs.
 
 Defined cases: null and empty texts and those without a word belong to no group (class_id is doc_id);
 a null doc_id is its own row with class_id of its group, the smallest doc_id in it, or null; rows that
@@ -43,6 +43,7 @@ class Params:
     bands: int = 20
     rows: int = 5
     seed: int = 11
+    slots: int = 1 << 20  # of the shingles' frequencies, 8 MB
     broadcast_ids: int = 2_000_000  # doc_ids that may be broadcast (16 MB); more of them are joined by shuffle
 
 
@@ -158,17 +159,39 @@ def verify(pairs: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long, likeness double")
 
 
-def lonely(texts: DataFrame, p: Params) -> DataFrame:
-    """(node, alone): how many of a text's shingles occur in no other of these texts."""
+def frequencies(texts: DataFrame, p: Params) -> np.ndarray:
+    """How often the shingles of these texts occur, summed in `slots` slots: 8 bytes each, whatever the input's size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            h = weighted_shingles(batch.column("text").to_pylist(), p)[2]
+            slot, n = np.unique(h % np.uint64(p.slots), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int64)), pa.array(n.astype(np.int64))], ["slot", "n"])
+
+    sums = texts.select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(p.slots, np.int64)
+    table[sums.column("slot").to_numpy()] = sums.column("n").to_numpy()
+    return table
+
+
+def fronts(texts: DataFrame, table: np.ndarray, p: Params) -> DataFrame:
+    """(node, alone, front) of each text: how many of its shingles no other text has, by the table at least, and
+    its rarest shingles in one order for all texts, as many as two texts of its size may differ in, and one more."""
+    slim = texts.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             _, doc, h, _ = weighted_shingles(batch.column("text").to_pylist(), p)
-            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(doc)), pa.array(h.view(np.int64))], ["node", "shingle"])
+            often = np.minimum(slim.value[(h % np.uint64(p.slots)).astype(np.int64)], (1 << 21) - 1)
+            rank = (often << 42) | (h & np.uint64((1 << 42) - 1)).astype(np.int64)
+            order = np.lexsort((rank, doc))
+            n = np.bincount(doc, minlength=batch.num_rows)
+            size = np.where(n > 0, n - np.ceil(2 * p.threshold / (1 + p.threshold) * n - 1e-9).astype(np.int64) + 1, 0)
+            kept = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n) < np.repeat(size, n)
+            front = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(rank[order][kept]))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(np.bincount(doc, often == 1, batch.num_rows).astype(np.int64)), front], ["node", "alone", "front"])
 
-    each = texts.select("node", "text").mapInArrow(run, "node long, shingle long")
-    once = each.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("other")).where("node = other")
-    return once.groupBy("node").agg(F.count("*").alias("alone"))
+    return texts.select("node", "text").mapInArrow(run, "node long, alone long, front array<long>")
 
 
 def classes(docs: DataFrame, p: Params = Params()) -> DataFrame:
@@ -203,18 +226,23 @@ def classes(docs: DataFrame, p: Params = Params()) -> DataFrame:
     seen = tried.select(F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("likeness")).alias("far")).dropDuplicates(["pivot", "node"])
     rest = rest.join(seen, ["pivot", "node"], "left").withColumn("far", F.when(F.col("pivot") == F.col("node"), 0.0).otherwise(F.col("far")))
     rest = written(rest.select("key", "node", "n", "component", "far"), "rest")
-    # shingles of a text that no other text here has bound its likeness to any of them
-    alone = written(lonely(texts.join(rest.select("node").distinct(), "node", "left_semi"), p), "lonely")
-    ready = rest.join(alone, "node", "left").withColumn("most", F.col("n") - F.coalesce("alone", F.lit(0))).where(F.col("most") >= F.lit(p.threshold - 1e-9) * F.col("n"))
+    # what two texts may share at most: rare shingles that stand in both fronts, and all that comes after the fronts
+    left_texts = written(texts.join(rest.select("node").distinct(), "node", "left_semi"), "left_texts")
+    front = written(fronts(left_texts, frequencies(left_texts, p), p), "fronts")
+    ready = rest.join(front, "node").withColumn("most", F.col("n") - F.col("alone")).where(F.col("most") >= F.lit(p.threshold - 1e-9) * F.col("n"))
     x, y = ready.alias("x"), ready.alias("y")
-    fits = (F.least("x.most", "y.most") * F.lit(1 + p.threshold) >= F.lit(p.threshold - 1e-9) * (F.col("x.n") + F.col("y.n"))) & F.coalesce(F.abs(F.col("x.far") - F.col("y.far")) <= 1 - p.threshold + 1e-9, F.lit(True))
+    enough = lambda common: common * F.lit(1 + p.threshold) >= F.lit(p.threshold - 1e-9) * (F.col("x.n") + F.col("y.n"))
+    border = F.least(F.element_at("x.front", -1), F.element_at("y.front", -1))
+    behind = lambda side: F.col(f"{side}.n") - F.size(F.filter(F.col(f"{side}.front"), lambda e: e <= border))
+    common = F.size(F.array_intersect("x.front", "y.front")) + F.least(behind("x"), behind("y"))
+    fits = enough(F.least("x.most", "y.most")) & F.coalesce(F.abs(F.col("x.far") - F.col("y.far")) <= 1 - p.threshold + 1e-9, F.lit(True)) & enough(common)
     across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & fits).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     across = across.join(tried.select("a", "b"), ["a", "b"], "left_anti").join(tried.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
     more = verify(across, texts, p).where(F.col("likeness") >= p.threshold - 1e-9).select("a", "b")
     # the components so far stand in for their links
     joined = comp.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
     final = components(joined, "a", "b")
-    for t in (placed, shared, texts, tried, comp, rest, alone):
+    for t in (placed, shared, texts, tried, comp, rest, left_texts, front):
         drop_written(t)
 
     named = contents.join(final, "node", "left").select("k1", "k2", "copies", F.coalesce("component", "node").alias("class_id"))
