@@ -21,8 +21,10 @@ import hashlib
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -92,7 +94,7 @@ class Tables:
         same rank the merge further left comes first.
         """
         key = (a, b)
-        if len(self.known) > 400_000:
+        if len(self.known) > 200_000:
             self.known.clear()
         left, gone = [], NEVER
         while True:
@@ -110,7 +112,7 @@ class Tables:
             if b not in self.parts:
                 break
             b, _, gone = self.parts[b]
-        self.known[key] = good
+        self.known[self.names[self.ids[key[0]]], self.names[self.ids[key[1]]]] = good  # the vocabulary's own strings, not slices
         return good
 
 
@@ -208,12 +210,16 @@ class ByteText:
 
 
 class Codec:
-    """Encodes whole texts; white-space-free chunks are remembered in two generations of bounded size."""
+    """Encodes whole texts; white-space-free chunks are remembered in two generations of bounded size.
 
-    def __init__(self, path: str | None = None, remember: int = 300_000):
+    What is kept of a chunk is its ids where `plain`, else (tokens, ids, decoded form) with the latter two as text.
+    """
+
+    def __init__(self, path: str | None = None, remember: int = 150_000, plain: bool = False):
         self.t = Tables(path or default_path())
-        self.remember, self.new, self.old = remember, {}, {}
-        self.parts: tuple[dict, dict] = ({}, {})  # of pretokens
+        self.remember, self.plain = remember, plain
+        self.words: tuple[dict, dict] = ({}, {})  # of chunks
+        self.parts: tuple[dict, dict] = ({}, {})  # of pretokens that are no words of plain letters
         self.special = re.compile("(" + "|".join(map(re.escape, self.t.special)) + ")") if self.t.special else None
         self.spaces = re.compile(f"[{SPACES}]+")
         self.odd = re.compile("[\x1c-\x1f]")  # white space to str.split alone
@@ -227,51 +233,70 @@ class Codec:
         return self.t.split.findall(low.lower())
 
     def tokens(self, pretoken: str) -> list[str]:
-        new, old = self.parts
-        if (out := new.get(pretoken) or old.get(pretoken)) is not None:
-            return out
         run, out = Transducer(self.t), []
         letters = self.t.letters
         data = pretoken if pretoken.isascii() and pretoken.isprintable() else "".join([letters[b] for b in pretoken.encode("utf-8", "replace")])
         for k in range(0, len(data), 256):
             out += run.feed(data[k : k + 256])
-        out += run.finish()
-        if len(pretoken) <= 64:
-            if len(new) >= self.remember:
-                self.parts = (new := {}, self.parts[0])
-            new[pretoken] = out
-        return out
+        return out + run.finish()
+
+    def _entry(self, ids: list[int]) -> tuple:
+        return tuple(ids) if self.plain else (len(ids), " ".join(map(str, ids)), self.surface(ids))
+
+    def _joined(self, found: list[tuple]) -> tuple:
+        if len(found) == 1:
+            return found[0]
+        if self.plain:
+            return tuple(chain.from_iterable(found))
+        return sum([e[0] for e in found]), " ".join([e[1] for e in found]), " ".join([e[2] for e in found])
+
+    def _kept(self, where: tuple[dict, dict], key: str, make: Callable[[str], tuple]) -> tuple[tuple[dict, dict], tuple]:
+        """The generations after a look at `key`, and its entry, made where neither holds it."""
+        new, old = where
+        if (e := new.get(key)) is None:
+            e = old.get(key) or make(key)
+            if len(key) <= 64:
+                if len(new) >= self.remember:
+                    new, old = {}, new
+                new[key] = e
+        return (new, old), e
+
+    def _pretoken(self, pretoken: str) -> tuple:
+        make = lambda p: self._entry([self.t.ids[t] for t in self.tokens(p)])
+        if pretoken.isascii() and pretoken.isalpha():  # as a chunk it is its own pretoken
+            self.words, e = self._kept(self.words, pretoken, make)
+        else:
+            self.parts, e = self._kept(self.parts, pretoken, make)
+        return e
 
-    def _chunk(self, chunk: str) -> tuple[int, str, str]:
-        if (e := self.old.get(chunk)) is None:
-            ids = [self.t.ids[t] for p in self.pretokens(chunk) for t in self.tokens(p)]
-            e = (len(ids), " ".join(map(str, ids)), self.surface(ids))
-        if len(chunk) <= 64:
-            if len(self.new) >= self.remember:
-                self.old, self.new = self.new, {}
-            self.new[chunk] = e
+    def _chunk(self, chunk: str) -> tuple:
+        found = self.pretokens(chunk)
+        if found == [chunk] and chunk.isascii() and chunk.isalpha():
+            return self._pretoken(chunk)
+        made = self.words[0].get(chunk) or self.words[1].get(chunk) or self._joined([self._pretoken(p) for p in found])
+        self.words, e = self._kept(self.words, chunk, lambda _: made)
         return e
 
-    def chunks(self, text: str) -> list[tuple[int, str, str]]:
-        """(tokens, ids, decoded) of each chunk and special token of the text."""
+    def chunks(self, text: str) -> list[tuple]:
+        """The entry of each chunk and special token of the text."""
         if "<|" in text and self.special:
-            out: list[tuple[int, str, str]] = []
+            out: list[tuple] = []
             for k, piece in enumerate(self.special.split(text)):
                 if k % 2:
-                    i = self.t.special[piece]
-                    out.append((1, str(i), Surface(self.t).feed(i)))
+                    out.append(self._entry([self.t.special[piece]]))
                 else:
                     out += self._plain(piece)
             return out
         return self._plain(text)
 
-    def _plain(self, text: str) -> list[tuple[int, str, str]]:
+    def _plain(self, text: str) -> list[tuple]:
         split = [c for c in self.spaces.split(text) if c] if self.odd.search(text) else text.split()
-        get, miss = self.new.get, self._chunk  # a generation that fills up meanwhile is still good to read
+        get, miss = self.words[0].get, self._chunk  # a generation that fills up meanwhile is still good to read
         return [get(c) or miss(c) for c in split]
 
     def encode(self, text: str | None) -> list[int]:
-        return [int(i) for _, ids, _ in self.chunks(text or "") for i in ids.split()]
+        found = self.chunks(text or "")
+        return list(chain.from_iterable(found)) if self.plain else [int(i) for e in found for i in e[1].split()]
 
     def surface(self, ids: list[int]) -> str:
         run = Surface(self.t)
@@ -314,9 +339,10 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.set_threshold(200_000, 20, 100)  # large caches without cycles
-        codec = Codec(path)
+        codec = Codec(path, plain=True)
         for batch in small_batches(batches):
-            ids = pa.array([codec.encode(t.as_py()) for t in batch.column("text")], pa.list_(pa.int32()))
+            found = [np.array(codec.encode(t.as_py()), np.int32) for t in batch.column("text")]
+            ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), pa.array(np.concatenate(found)))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, "ids"])
 
     return kept.mapInArrow(run, StructType([*kept.schema.fields]).add("ids", ArrayType(IntegerType())))
