@@ -323,7 +323,7 @@ def op6_bpe(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.set_threshold(200_000, 20, 100)  # large caches without cycles
-        codec = Codec(path)
+        codec = Codec(path, remember=300_000)
         for batch in small_batches(batches):
             got = [codec.digests(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got]), pa.array([g[2] for g in got])], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
