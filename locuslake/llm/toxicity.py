@@ -5,8 +5,10 @@ the whole word; a window of `window` words is the mean of its words; a linear so
 and the text takes the window that speaks most for label 1, so that a long text does not dilute an
 insult. Embeddings and softmax are trained together on the text's label through that (soft) maximum.
 
-Training reads at most `max_per_label` labelled texts of each label, those of smallest hash of doc_id,
-among texts of at most `max_train_chars` characters: a bounded sample. Scoring reads every whole text.
+Training reads at most `max_per_label` labelled texts of each label, those of smallest hash of doc_id and of any
+length, as far as they come to `max_chars` characters a label: a bounded sample. The final score is calibrated with
+each text weighted by the number of labelled texts it stands for, so that the score answers to the labels' shares in
+the whole input and not in the sample. Scoring reads every whole text.
 
 Defined cases: a null or empty text scores as a text without words (the share learned for no evidence);
 a null doc_id is scored, never learned from, and counts as not held out; without labels of both kinds
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from locuslake.llm import bytewords
-from locuslake.llm.shared import small_batches
+from locuslake.llm.shared import drop_written, small_batches, written
 
 
 @dataclass
@@ -36,9 +38,10 @@ class Params:
     low: int = 3
     high: int = 5
     max_per_label: int = 2000
-    max_train_chars: int = 12_000
+    max_chars: int = 24_000_000  # of one label's texts
     epochs: int = 7
     batch: int = 64
+    batch_words: int = 100_000  # of one batch's texts, so that long texts take no more memory
     rate: float = 0.25
     seed: int = 7
 
@@ -137,8 +140,23 @@ def vocabulary(texts: list[str], p: Params) -> tuple[np.ndarray, np.ndarray, np.
     return merged[np.concatenate(which)], np.concatenate([[0], np.cumsum(np.concatenate(sizes))]), feats, first[index], counts[index]
 
 
-def train(texts: list[str], labels: list[int], p: Params = Params()) -> Model:
-    """Fit embeddings and softmax jointly on whole texts; the same texts in the same order give the same model."""
+def batches_of(order: np.ndarray, sizes: np.ndarray, p: Params) -> Iterator[np.ndarray]:
+    """Runs of at most `batch` texts and, beyond a first text, `batch_words` words."""
+    start, held = 0, 0
+    for i, n in enumerate(sizes[order]):
+        if i > start and (i - start == p.batch or held + n > p.batch_words):
+            yield order[start:i]
+            start, held = i, 0
+        held += n
+    if len(order) > start:
+        yield order[start:]
+
+
+def train(texts: list[str], labels: list[int], p: Params = Params(), stands: tuple[float, float] = (1.0, 1.0)) -> Model:
+    """Fit embeddings and softmax jointly on whole texts; the same texts in the same order give the same model.
+
+    `stands` says for how many labelled texts one of label 0 and one of label 1 stands.
+    """
     rng = np.random.default_rng(p.seed)
     y = np.asarray(labels, dtype=np.int64)
     model = Model(p, rng.normal(0, 0.1, (p.buckets, p.dim)), rng.normal(0, 0.5, (p.dim, 2)), np.zeros(2))
@@ -153,8 +171,7 @@ def train(texts: list[str], labels: list[int], p: Params = Params()) -> Model:
     for epoch in range(p.epochs):
         sharp = 0.5 * 2.0**epoch if epoch else 0.0  # from the mean of the windows towards their maximum
         order = rng.permutation(filled)
-        for k in range(0, len(order), p.batch):
-            docs = order[k : k + p.batch]
+        for docs in batches_of(order, np.diff(bounds), p):
             spans = [np.arange(bounds[d], bounds[d + 1]) for d in docs]
             words, inverse = np.unique(which[np.concatenate(spans)], return_inverse=True)
             many = counts[words]
@@ -197,19 +214,20 @@ def train(texts: list[str], labels: list[int], p: Params = Params()) -> Model:
     model.fold()
     parts = [text_logits(texts[k:z], model) for k, z in pieces(texts)]
     logit, some = (np.concatenate(x) for x in zip(*parts, strict=True))
-    model.scale = _calibrate(logit[some], y[some])
+    model.scale = _calibrate(logit[some], y[some], np.asarray(stands)[y[some]])
     model.empty = float(np.clip(1 / (1 + np.exp(-model.scale[1])), 0, 0.49))
     return model
 
 
-def _calibrate(logit: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic regression of the label on one number, by Newton steps with a small ridge."""
+def _calibrate(logit: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Logistic regression of the label on one number with weighted rows, by Newton steps with a small ridge."""
+    weight = weight * (len(weight) / max(weight.sum(), 1e-300))
     x = np.stack([logit, np.ones_like(logit)], axis=1)
     at = np.array([1.0, 0.0])
     for _ in range(30):
         q = 1 / (1 + np.exp(-np.clip(x @ at, -30, 30)))
-        hess = x.T @ (x * (q * (1 - q))[:, None]) + 0.05 * np.eye(2)
-        at = at - np.clip(np.linalg.solve(hess, x.T @ (q - y) + 0.05 * (at - [1.0, 0.0])), -2, 2)
+        hess = x.T @ (x * (weight * q * (1 - q))[:, None]) + 0.05 * np.eye(2)
+        at = at - np.clip(np.linalg.solve(hess, x.T @ (weight * (q - y)) + 0.05 * (at - [1.0, 0.0])), -2, 2)
     return float(max(at[0], 1e-3)), float(at[1])
 
 
@@ -222,16 +240,22 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Model:
     """Train on a bounded sample of the labelled rows of `docs` that are not held out."""
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("y"))
     known = known.where(~held_out(known)).withColumn("draw", F.xxhash64(F.lit(p.seed), "doc_id"))
-    texts = docs.where(F.length("text").between(1, p.max_train_chars)).select("doc_id", "text")
-    rows = []
+    texts = docs.where(F.length("text") > 0).select("doc_id", "text")
+    # the sample is drawn among labels, ids and lengths, so that texts only travel where they are wanted
+    found = known.join(texts.select("doc_id", F.length("text").alias("chars")), "doc_id").groupBy("doc_id", "y", "draw").agg(F.sum("chars").alias("chars"))
+    found = written(found, "labelled")
+    rows, stands = [], [1.0, 1.0]
     for y in (0, 1):
-        of = known.where((F.col("y") > 0) == F.lit(bool(y)))
-        # the largest draw is found among labels and ids, so that texts are only read where they are wanted
-        cut = of.join(texts.select("doc_id"), "doc_id", "left_semi").select("draw").orderBy("draw").limit(p.max_per_label).agg(F.max("draw")).first()[0]
-        if cut is not None:
-            rows += of.where(F.col("draw") <= cut).join(texts, "doc_id").select("draw", "text", F.lit(y).alias("y")).dropDuplicates().collect()
+        of = found.where((F.col("y") > 0) == F.lit(bool(y)))
+        drawn = of.select("draw", "chars").orderBy("draw").limit(p.max_per_label).collect()
+        if not drawn:
+            continue
+        many = max(1, int(np.searchsorted(np.cumsum([r["chars"] for r in drawn]), p.max_chars, side="right")))
+        stands[y] = of.count() / many
+        rows += of.where(F.col("draw") <= drawn[many - 1]["draw"]).join(texts, "doc_id").select("draw", "text", F.lit(y).alias("y")).dropDuplicates().collect()
+    drop_written(found)
     rows.sort(key=lambda r: (r["draw"], r["text"]))
-    return train([r["text"] for r in rows], [r["y"] for r in rows], p)
+    return train([r["text"] for r in rows], [r["y"] for r in rows], p, tuple(stands))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -245,6 +245,32 @@ def test_op5_on_the_smallest_tables_and_cases(spark):
     assert toxicity.reject(docs(spark, ODD), labels.where("false")).columns == docs(spark, ODD).columns
 
 
+def labelled(spark, rows):
+    """(docs, labels) of (text, toxic) rows."""
+    return docs(spark, [t for t, _ in rows]), spark.createDataFrame([(i, None, y) for i, (_, y) in enumerate(rows)], "doc_id long, quality long, toxic long")
+
+
+def test_scores_answer_to_the_shares_of_the_whole_input(spark):
+    rows = [("grey", int(i % 10 == 0)) for i in range(1000)]  # one text, toxic in a tenth of its rows
+    for most in (2000, 50):  # all rows, and 50 of each label
+        d, labels = labelled(spark, rows)
+        m = toxicity.fit(d, labels, toxicity.Params(max_per_label=most))
+        assert 0.05 < toxicity.scores(["grey"], m)[0] < 0.2, most
+
+
+def test_long_texts_are_learned_from(spark):
+    rng = random.Random(6)
+    line = lambda n: " ".join("".join(rng.choices("abdehinorst", k=4)) for _ in range(n))
+    rows = [(f"{line(1500)} worthless pathetic {line(1500)}", 1) if i % 4 == 0 else (line(30), 0) for i in range(200)]
+    assert all(len(t) > 12_000 for t, y in rows if y)
+    for p in (toxicity.Params(), toxicity.Params(max_chars=100_000), toxicity.Params(max_chars=1)):
+        got = toxicity.fit(*labelled(spark, rows), p)
+        assert got.scale[0] > 0
+    m = toxicity.fit(*labelled(spark, rows))
+    score = toxicity.scores([t for t, _ in rows], m)
+    assert score[::4].mean() > np.delete(score, np.s_[::4]).mean()
+
+
 # ---- PII ----------------------------------------------------------------------------------------------
 
 RULES = [re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")]
