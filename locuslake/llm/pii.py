@@ -3,8 +3,9 @@
 Mentions are the base matches (email, ip, card, phone; fixed patterns with their checks) and what looks like
 one: runs of digits with separators, and addresses written with or without the at sign. They are nodes
 in text order. Neighbours in the text share a chain potential; each mention and the next one that repeats it
-(equal characters, equal digits or equal last seven digits) share a skip potential, however far apart they
-stand. Loopy sum-product passing over all documents of a batch at once gives each node's belief; base
+(equal characters, equal digits or equal last seven digits) share a skip potential, and so do a free mention and
+the base match it repeats (the latest before it, else the first after it), however far apart they stand and
+however many repeats lie between: no message has to pass through the repeats. Loopy sum-product passing over all documents of a batch at once gives each node's belief; base
 matches are clamped to their kind, and a free node whose belief in one kind exceeds `least` becomes a span.
 
 Weights are trained by pseudo-likelihood on the base matches of a bounded sample (`sample` mentions' documents
@@ -170,17 +171,27 @@ class Graph:
     def add(self, doc: int, text: str | None) -> list[tuple[int, int, int]]:
         base, free = mentions(text)
         nodes = sorted(base + free, key=lambda x: (x[1], x[2], x[0]))
+        keys = [likenesses(text[s:e]) for _, s, e in nodes]
+        first = len(self.doc)
+        match: dict[str, int] = {}  # the first base match of each key, then the latest
+        for k in reversed(range(len(nodes))):
+            if nodes[k][0] != NONE:
+                match.update(dict.fromkeys(keys[k], first + k))
         last: dict[str, int] = {}
+        skip: set[tuple[int, int]] = set()
         for k, (label, s, e) in enumerate(nodes):
-            at = len(self.doc)
+            at = first + k
             self.doc.append(doc), self.start.append(s), self.end.append(e), self.label.append(label)
             self.feats.append(features(text, s, e))
             if k:
                 self.chain.append((at - 1, at))
-            keys = likenesses(text[s:e])
-            for other in {last[key] for key in keys if key in last}:
-                self.skip.append((other, at))
-            last.update(dict.fromkeys(keys, at))
+            skip |= {(last[key], at) for key in keys[k] if key in last}
+            if label == NONE:
+                skip |= {(min(match[key], at), max(match[key], at)) for key in keys[k] if key in match}
+            else:
+                match.update(dict.fromkeys(keys[k], at))
+            last.update(dict.fromkeys(keys[k], at))
+        self.skip += sorted(skip)
         return base
 
 

@@ -317,6 +317,21 @@ def test_repeats_take_the_kind_of_their_match(spark):
     assert pii.op9_pii(docs(spark, ODD).where("false")).count() == 0
 
 
+def test_fifty_repeats_take_the_kind_of_their_match(spark):
+    rng, texts = random.Random(3), []
+    for i in range(300):
+        texts.append(f"call +1 {rng.randint(200, 999)} {rng.randint(200, 999)}-{rng.randint(1000, 9999)} now or mail u{i}@example.com; order {rng.randint(10**8, 10**9)}")
+    again = "order 415 555-2671 came\n" * 50
+    texts += ["call +1 415 555-2671 now\n" + again, again + "call +1 415 555-2671 now\n"]
+    rows = {r["doc_id"]: r for r in pii.op9_pii(docs(spark, texts)).collect()}
+    for i in (300, 301):
+        want = {f"phone:{m.start()}:{m.end()}" for m in re.finditer("(?<=order )415 555-2671", texts[i])}
+        assert len(want) == 50 and want <= set(rows[i]["spans"].split(",")), i
+    g = pii.Graph.empty()
+    g.add(0, texts[300])
+    assert len(g.skip) < 2 * len(g.doc)
+
+
 def test_redaction(spark):
     d = docs(spark, ["mail a@b.cc or +1 415 555-2671", None, ""]).withColumn("spans", F.lit(1))
     out = {r["doc_id"]: r for r in pii.redact(d).collect()}
