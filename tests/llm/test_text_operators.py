@@ -174,6 +174,21 @@ def test_large_group_of_near_copies(spark):
     assert [got[i] for i in range(len(texts))] == brute_classes(texts)
 
 
+def test_copies_that_repeat_lines_are_found(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    texts, like = [], []
+    for _ in range(200):
+        base = [word() for _ in range(100)]
+        t = [word() if k == 95 else w for k, w in enumerate(base)]
+        texts += [" ".join(base), " ".join(t[:40] * 30 + t[40:])]  # one side repeats its first 40 words 30 times
+        a, b = map(shingle_set, texts[-2:])
+        like.append(len(a & b) >= 0.8 * len(a | b))
+    assert all(like)
+    got = {r["doc_id"]: r["class_id"] for r in neardup.classes(docs(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == [i - i % 2 for i in range(len(texts))]
+
+
 def test_sketch_estimates_probability_jaccard():
     rng = np.random.default_rng(1)
     a, b = {k: rng.uniform(0.5, 4) for k in range(0, 160)}, {k: rng.uniform(0.5, 4) for k in range(60, 220)}
