@@ -11,9 +11,8 @@ import numpy as np
 
 _WORD = np.zeros(256, dtype=bool)
 _WORD[[*range(48, 58), *range(97, 123), 95, *range(128, 256)]] = True
-_P = np.uint64(0x9E3779B97F4A7C15 | 1)
-_powers = np.ones(1, dtype=np.uint64)
-_inverse = np.ones(1, dtype=np.uint64)
+_P = 0x9E3779B97F4A7C15 | 1
+_POWERS = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full((1 << 12) - 1, _P, np.uint64)]))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -26,13 +25,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _grow(n: int) -> None:
-    global _powers, _inverse
-    if len(_powers) < n:
-        size = 1 << (n - 1).bit_length()
-        inv = np.uint64(pow(int(_P), -1, 1 << 64))
-        _powers = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, _P, np.uint64)]))
-        _inverse = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, inv, np.uint64)]))
+def powers(n: int) -> np.ndarray:
+    """The first n powers; those of words longer than the fixed table are made anew and not kept."""
+    if n <= len(_POWERS):
+        return _POWERS[:n]
+    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, _P, np.uint64)]))
 
 
 @dataclass
@@ -44,13 +41,18 @@ class Words:
     doc: np.ndarray  # index of each word's text
     bounds: np.ndarray  # words of text i: bounds[i] to bounds[i + 1]
 
+    def sums(self) -> np.ndarray:
+        """For each word, the sum of its bytes plus one, each by the power of its place."""
+        length = self.end - self.start
+        if not len(length):
+            return np.zeros(0, np.uint64)
+        first = np.cumsum(length) - length
+        place = np.arange(int(length.sum()), dtype=np.int32) - np.repeat(first.astype(np.int32), length)
+        return np.add.reduceat((self.data[self.is_word].astype(np.uint64) + np.uint64(1)) * powers(int(length.max()))[place], first)
+
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word, the same wherever the word stands."""
-        _grow(len(self.data) + 1)
-        n = len(self.data)
-        total = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * _powers[:n], out=total[1:])
-        return mix((total[self.end] - total[self.start]) * _inverse[self.start] + (self.end - self.start).astype(np.uint64))
+        return mix(self.sums() + (self.end - self.start).astype(np.uint64))
 
 
 def words(texts: list[str | None]) -> Words:

@@ -4,20 +4,24 @@ A word is the mean of the vectors of its hashed character n-grams (3 to 5 bytes,
 the whole word; a window of `window` words is the mean of its words; a linear softmax reads each window
 and the text takes the window that speaks most for label 1, so that a long text does not dilute an
 insult. Embeddings and softmax are trained together on the text's label through that (soft) maximum.
+`AVERAGED` is the same model with the whole text as its only window: the plain averaged bag.
 
 Training reads at most `max_per_label` labelled texts of each label, those of smallest hash of doc_id and of any
 length, as far as they come to `max_chars` characters a label: a bounded sample. The final score is calibrated with
 each text weighted by the number of labelled texts it stands for, so that the score answers to the labels' shares in
-the whole input and not in the sample. Scoring reads every whole text.
+the whole input and not in the sample. The sample is fitted in one task, whose memory those bounds limit; only the
+model comes to the driver. Scoring reads every whole text.
 
 Defined cases: a null or empty text scores as a text without words (the share learned for no evidence);
-a null doc_id is scored, never learned from, and counts as not held out; without labels of both kinds
+a null doc_id is scored, never learned from, and counts as not held out; of rows with one doc_id, one text (that of
+smallest hash) is learned from; a doc_id labelled both ways counts as 1; without labels of both kinds
 every score is 0; repeated rows get equal scores; extra columns are ignored by the query and kept by
 `reject`.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,7 +38,7 @@ from locuslake.llm.shared import drop_written, small_batches, written
 class Params:
     buckets: int = 1 << 16
     dim: int = 8
-    window: int = 3
+    window: int | None = 3  # None: the whole text
     low: int = 3
     high: int = 5
     max_per_label: int = 2000
@@ -45,6 +49,14 @@ class Params:
     rate: float = 0.25
     seed: int = 7
 
+    @property
+    def span(self) -> int:
+        return self.window or 1 << 40
+
+
+#: The plain average: its gradients are small, so it takes more and longer steps.
+AVERAGED = Params(window=None, epochs=12, rate=0.2)
+
 
 @dataclass
 class Model:
@@ -61,26 +73,32 @@ class Model:
 
 
 def word_features(w: bytewords.Words, index: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket of each feature, first feature of each word) for the words at `index`."""
-    data = np.concatenate([[np.uint8(32)], np.where(w.is_word, w.data, np.uint8(32)), [np.uint8(32)]])
-    bytewords._grow(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * bytewords._powers[: len(data)], out=total[1:])
-    start, length = w.start[index], w.end[index] - w.start[index]  # data is shifted by one: start is the byte before the word
-    whole = bytewords.mix((total[start + length + 2] - total[start]) * bytewords._inverse[start] + np.uint64(99))
-    owner, value = [np.arange(len(index))], [whole]
+    """(bucket of each feature, first feature of each word) for the words at `index`: hashes of the word between two
+    spaces and of its n-grams, each the sum of its bytes plus one by the power of their place."""
+    space = np.uint64(33)
+    start, length = w.start[index], w.end[index] - w.start[index]
+    # only the words asked for, each between two spaces
+    first = np.cumsum(length + 2) - (length + 2)
+    inner = np.repeat(first + 1, length) + np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+    data = np.full(int((length + 2).sum()), space)
+    data[inner] = w.data[np.repeat(start, length) + inner - np.repeat(first + 1, length)].astype(np.uint64) + np.uint64(1)
+    power = bytewords.powers(max(int(length.max()) + 2, p.high))
+    place = np.arange(len(data)) - np.repeat(first, length + 2)
+    owner, value = [np.arange(len(index))], [bytewords.mix(np.add.reduceat(data * power[place], first) + np.uint64(99))]
     for n in range(p.low, p.high + 1):
         many = np.maximum(0, length + 3 - n)
         who = np.repeat(np.arange(len(index)), many)
         if not len(who):
             continue
-        at = start[who] + np.arange(len(who)) - np.repeat(np.cumsum(many) - many, many)
+        at = first[who] + np.arange(len(who)) - np.repeat(np.cumsum(many) - many, many)
+        gram = np.zeros(len(at), np.uint64)
+        for k in range(n):
+            gram += data[at + k] * power[k]
         owner.append(who)
-        value.append(bytewords.mix((total[at + n] - total[at]) * bytewords._inverse[at] + np.uint64(n)))
+        value.append(bytewords.mix(gram + np.uint64(n)))
     owner, value = np.concatenate(owner), np.concatenate(value)
     order = np.argsort(owner, kind="stable")
-    first = np.searchsorted(owner[order], np.arange(len(index)))
-    return (value[order] % np.uint64(p.buckets)).astype(np.int64), first
+    return (value[order] % np.uint64(p.buckets)).astype(np.int64), np.searchsorted(owner[order], np.arange(len(index)))
 
 
 def text_logits(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.ndarray]:
@@ -94,8 +112,8 @@ def text_logits(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.n
     counts = np.diff(np.append(first, len(feats)))
     word = (np.add.reduceat(model.pull[feats].astype(np.float64), first) / counts)[which]
     total = np.concatenate([[0.0], np.cumsum(word)])
-    end = np.minimum(np.arange(len(word)) + p.window, w.bounds[w.doc + 1])
-    begin = np.maximum(np.minimum(np.arange(len(word)), w.bounds[w.doc + 1] - p.window), w.bounds[w.doc])
+    end = np.minimum(np.arange(len(word)) + p.span, w.bounds[w.doc + 1])
+    begin = np.maximum(np.minimum(np.arange(len(word)), w.bounds[w.doc + 1] - p.span), w.bounds[w.doc])
     logit = (total[end] - total[begin]) / (end - begin)
     filled = np.flatnonzero(some)
     out[filled] = np.maximum.reduceat(logit, w.bounds[filled]) + float(model.bias[1] - model.bias[0])
@@ -166,8 +184,9 @@ def train(texts: list[str], labels: list[int], p: Params = Params(), stands: tup
         return model
     which, bounds, feats, first, counts = vocabulary(texts, p)
     filled = np.flatnonzero(np.diff(bounds) > 0)
-    square_v, square_w = np.full((p.buckets,), 1e-4), np.full((p.dim, 2), 1e-4)
-    step = max(1, p.window // 2)
+    tiny = 1e-4 if p.window else 1e-9
+    square_v, square_w = np.full((p.buckets,), tiny), np.full((p.dim, 2), tiny)
+    step = max(1, p.span // 2)
     for epoch in range(p.epochs):
         sharp = 0.5 * 2.0**epoch if epoch else 0.0  # from the mean of the windows towards their maximum
         order = rng.permutation(filled)
@@ -181,8 +200,8 @@ def train(texts: list[str], labels: list[int], p: Params = Params(), stands: tup
             total = np.concatenate([np.zeros((1, p.dim)), np.cumsum(vec[inverse], axis=0)])
             begins, ends, owner, base = [], [], [], 0
             for i, s in enumerate(spans):
-                b = np.arange(0, max(1, len(s) - p.window + step), step)
-                begins.append(base + b), ends.append(base + np.minimum(b + p.window, len(s))), owner.append(np.full(len(b), i))
+                b = np.arange(0, max(1, len(s) - p.span + step), step)
+                begins.append(base + b), ends.append(base + np.minimum(b + p.span, len(s))), owner.append(np.full(len(b), i))
                 base += len(s)
             begins, ends, owner = np.concatenate(begins), np.concatenate(ends), np.concatenate(owner)
             bag = (total[ends] - total[begins]) / (ends - begins)[:, None]
@@ -236,38 +255,52 @@ def held_out(df: DataFrame):
     return F.coalesce(F.crc32(df["doc_id"].cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def fitted(sample: DataFrame, p: Params, stands: tuple[float, float]) -> Model:
+    """Train on the rows (draw, y, text) of a bounded sample in one task; the driver gets the model alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(r for b in batches for r in zip(b.column("draw").to_pylist(), b.column("text").to_pylist(), b.column("y").to_pylist(), strict=True))
+        model = train([r[1] for r in rows], [r[2] for r in rows], p, stands)
+        model.vectors = None  # folded into `pull`
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    got = sample.select("draw", "text", "y").repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(got["model"]) if got else train([], [], p)
+
+
 def fit(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Model:
     """Train on a bounded sample of the labelled rows of `docs` that are not held out."""
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("y"))
     known = known.where(~held_out(known)).withColumn("draw", F.xxhash64(F.lit(p.seed), "doc_id"))
-    texts = docs.where(F.length("text") > 0).select("doc_id", "text")
+    texts = docs.where(F.length("text") > 0).select("doc_id", F.xxhash64("text").alias("h"), "text")
     # the sample is drawn among labels, ids and lengths, so that texts only travel where they are wanted
-    found = known.join(texts.select("doc_id", F.length("text").alias("chars")), "doc_id").groupBy("doc_id", "y", "draw").agg(F.sum("chars").alias("chars"))
-    found = written(found, "labelled")
-    rows, stands = [], [1.0, 1.0]
+    found = known.join(texts.select("doc_id", F.struct("h", F.length("text").alias("chars")).alias("t")), "doc_id").groupBy("doc_id", "y", "draw").agg(F.min("t").alias("t"))
+    found = written(found.select("doc_id", F.when(F.col("y") > 0, 1).otherwise(0).alias("y"), "draw", "t.h", "t.chars"), "labelled")
+    sample, stands = None, [1.0, 1.0]
     for y in (0, 1):
-        of = found.where((F.col("y") > 0) == F.lit(bool(y)))
+        of = found.where(F.col("y") == y)
         drawn = of.select("draw", "chars").orderBy("draw").limit(p.max_per_label).collect()
         if not drawn:
             continue
         many = max(1, int(np.searchsorted(np.cumsum([r["chars"] for r in drawn]), p.max_chars, side="right")))
         stands[y] = of.count() / many
-        rows += of.where(F.col("draw") <= drawn[many - 1]["draw"]).join(texts, "doc_id").select("draw", "text", F.lit(y).alias("y")).dropDuplicates().collect()
+        part = of.where(F.col("draw") <= drawn[many - 1]["draw"])
+        sample = part if sample is None else sample.unionByName(part)
+    if sample is None:
+        return train([], [], p)
+    model = fitted(sample.select("doc_id", "h", "draw", "y").join(texts, ["doc_id", "h"]).dropDuplicates(["doc_id"]), p, tuple(stands))
     drop_written(found)
-    rows.sort(key=lambda r: (r["draw"], r["text"]))
-    return train([r["text"] for r in rows], [r["y"] for r in rows], p, tuple(stands))
+    return model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(every column of docs, score double): whole texts, in Arrow batches; a text's score depends on it alone."""
     spark = docs.sparkSession
-    slim = spark.sparkContext.broadcast((model.params, model.pull, model.bias, model.scale, model.empty))  # buckets x 4 bytes
+    slim = spark.sparkContext.broadcast(Model(model.params, None, None, model.bias, model.scale, model.empty, model.pull))  # buckets x 4 bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p, pull, bias, scale, empty = slim.value
-        own = Model(p, None, None, bias, scale, empty, pull)
         for batch in small_batches(batches):
-            got = pa.array(scores(batch.column("text").to_pylist(), own), pa.float64())
+            got = pa.array(scores(batch.column("text").to_pylist(), slim.value), pa.float64())
             yield pa.RecordBatch.from_arrays([*(c for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != "score"), got], [*(n for n in batch.schema.names if n != "score"), "score"])
 
     from pyspark.sql.types import DoubleType, StructType
