@@ -5,11 +5,12 @@ one: runs of digits with separators, and addresses written with or without the a
 in text order. Neighbours in the text share a chain potential; each mention and the next one that repeats it
 (equal characters, equal digits or equal last seven digits) share a skip potential, and so do a free mention and
 the base match it repeats (the latest before it, else the first after it), however far apart they stand and
-however many repeats lie between: no message has to pass through the repeats. Loopy sum-product passing over all documents of a batch at once gives each node's belief; base
+however many repeats lie between: no message has to pass through the repeats. Loopy sum-product passing over all documents of a batch at once, each until its own
+messages change by less than `settled` (or `rounds` are over), gives each node's belief; base
 matches are clamped to their kind, and a free node whose belief in one kind exceeds `least` becomes a span.
 
-Weights are trained by pseudo-likelihood on the base matches of a bounded sample (`sample` mentions' documents
-of smallest hash): free nodes that repeat a base match are unknown there and left out, the others count as
+Weights are trained by pseudo-likelihood on the base matches of a bounded sample (the `sample` documents with mentions
+of smallest hash, as far as they come to `sample_mentions` mentions), in one task: free nodes that repeat a base match are unknown there and left out, the others count as
 none. Scoring reads every whole text.
 
 Defined cases: null and empty texts have no spans (empty strings, zero counts); repeated rows return as
@@ -19,6 +20,7 @@ often as they came; a null doc_id stays; counts and base_sha256 are of base matc
 from __future__ import annotations
 
 import hashlib
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,15 +43,19 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NUMBER = re.compile(r"[+(]?[0-9](?:[\x20().-]{0,2}[0-9])+")
 _BLOCK = re.compile(r"(?<![0-9])[0-9]{13,19}(?![0-9])")  # a card's digits without separators stand alone
-_SPELT = re.compile(r"[A-Za-z0-9._%+-]{1,64}(?:[\x20]?[(\[]at[)\]][\x20]?[A-Za-z0-9-]{1,64}(?:(?:[\x20]?[(\[]dot[)\]][\x20]?|\.)[A-Za-z0-9-]{1,64})+|[\x20]at[\x20][A-Za-z0-9-]{1,64}(?:[\x20]dot[\x20][A-Za-z0-9-]{1,64})+)", re.IGNORECASE)
+_AT = re.compile(r"\x20?[(\[]at[)\]]\x20?|\x20at\x20", re.IGNORECASE)
+_WRITTEN = re.compile(r"[A-Za-z0-9-]+(?:(?:\x20?[(\[]dot[)\]]\x20?|\.)[A-Za-z0-9-]+)+", re.IGNORECASE)
+_SPOKEN = re.compile(r"[A-Za-z0-9-]+(?:\x20dot\x20[A-Za-z0-9-]+)+", re.IGNORECASE)
 _DIGIT = re.compile(r"[0-9]")
 
 
 @dataclass(frozen=True)
 class Params:
     sample: int = 4000
+    sample_mentions: int = 100_000
     least: float = 0.5
-    rounds: int = 8
+    rounds: int = 200
+    settled: float = 1e-4
     steps: int = 150
     ridge: float = 1e-3
     skip_prior: float = 3.0  # where repeats are too rare to learn from: how strongly they share a kind
@@ -85,6 +91,19 @@ def emails(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def spelt(text: str) -> list[tuple[int, int]]:
+    """Addresses whose at sign is written or spoken, found from the sign outwards, of any length."""
+    out, end = [], 0
+    for m in _AT.finditer(text):
+        start = m.start()
+        while start > end and _LOCAL.fullmatch(text, start - 1, start):
+            start -= 1
+        if end <= start < m.start() and (d := (_SPOKEN if m[0].strip().lower() == "at" else _WRITTEN).match(text, m.end())):
+            end = d.end()
+            out.append((start, end))
+    return out
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) of the base matches, by kind and start."""
     out = [(0, s, e) for s, e in emails(text)] if "@" in text else []
@@ -117,12 +136,12 @@ def features(text: str, start: int, end: int) -> list[int]:
 
 def mentions(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """(base matches, free mentions as (NONE, start, end) that no base match overlaps)."""
-    if not text or not (_DIGIT.search(text) or "@" in text or " at " in text or "(at)" in text):
+    if not text:
         return [], []
     base = base_spans(text)
     taken = sorted((s, e) for _, s, e in base)
     found = []
-    for m in _NUMBER.finditer(text):
+    for m in _NUMBER.finditer(text) if _DIGIT.search(text) else ():
         if m.end() - m.start() >= 7:
             at = m.start()
             for block in _BLOCK.finditer(text, m.start(), m.end()):
@@ -131,8 +150,8 @@ def mentions(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[i
             found.append((at, m.end()))
     found = [(s + len(x) - len(x.lstrip(" .-")), s + len(x.rstrip(" .(-"))) for s, e in found if (x := text[s:e]).strip(" .()-")]
     low = text.lower()
-    if " dot " in low or "(at)" in low or "[at]" in low:
-        found += [m.span() for m in _SPELT.finditer(text)]
+    if " dot " in low or "at)" in low or "at]" in low:
+        found += spelt(text)
     free, k, last = [], 0, -1
     for s, e in sorted(found):
         while k < len(taken) and taken[k][1] <= s:
@@ -232,26 +251,35 @@ def train(feats: list[list[int]], label: np.ndarray, chain: np.ndarray, skip: np
     return unary, links[0], links[1]
 
 
-def beliefs(g: Graph, weights: tuple[np.ndarray, np.ndarray, np.ndarray], rounds: int) -> np.ndarray:
-    """Loopy sum-product beliefs of every node; all documents of the graph at once."""
+def beliefs(g: Graph, weights: tuple[np.ndarray, np.ndarray, np.ndarray], p: Params = Params()) -> np.ndarray:
+    """Loopy sum-product beliefs of every node. All documents of the graph pass messages at once, each until its own
+    have settled, so that what a document gets does not depend on those beside it."""
     unary, chain, skip = weights
-    label = np.asarray(g.label)
+    label, doc = np.asarray(g.label), np.asarray(g.doc)
     length = [len(f) for f in g.feats]
     own = np.add.reduceat(unary[np.concatenate([np.asarray(f) for f in g.feats])], np.cumsum(length) - length, axis=0)
     own = np.where((label != NONE)[:, None], np.where(np.eye(LABELS, dtype=bool)[label], 0.0, -50.0), own)
+    m = len(g.chain) + len(g.skip)
     edges = np.array(g.chain + g.skip, dtype=np.int64).reshape(-1, 2)
-    pair = np.concatenate([np.repeat(chain[None], len(g.chain), 0), np.repeat(skip[None], len(g.skip), 0)])
     src, dst = np.concatenate([edges[:, 0], edges[:, 1]]), np.concatenate([edges[:, 1], edges[:, 0]])
-    pair, m = np.concatenate([pair, pair.transpose(0, 2, 1)]), len(edges)
+    kind = np.tile(np.arange(m) >= len(g.chain), 2).astype(np.int64)
+    pairs = np.stack([chain, skip])
     back = np.concatenate([np.arange(m, 2 * m), np.arange(m)])
-    msg = np.zeros((2 * m, LABELS))
-    for _ in range(rounds if m else 0):
+    msg, live = np.zeros((2 * m, LABELS)), np.arange(2 * m)
+    for _ in range(p.rounds):
+        if not len(live):
+            break
         total = own.copy()
-        np.add.at(total, dst, msg)
-        out = (total[src] - msg[back])[:, :, None] + pair
+        np.add.at(total, dst[live], msg[live])
+        # an edge has no direction: its potential is symmetric
+        out = (total[src[live]] - msg[back[live]])[:, :, None] + pairs[kind[live]]
         top = out.max(axis=1, keepdims=True)
         out = np.log(np.exp(out - top).sum(axis=1)) + top[:, 0]
-        msg = 0.5 * msg + 0.5 * (out - out.max(axis=1, keepdims=True))
+        new = 0.5 * msg[live] + 0.5 * (out - out.max(axis=1, keepdims=True))
+        moved = np.zeros(doc.max() + 1)
+        np.maximum.at(moved, doc[src[live]], np.abs(new - msg[live]).max(axis=1))
+        msg[live] = new
+        live = live[moved[doc[src[live]]] >= p.settled]
     total = own
     np.add.at(total, dst, msg)
     total = np.exp(total - total.max(axis=1, keepdims=True))
@@ -264,43 +292,50 @@ def find(texts: list[str | None], weights, p: Params) -> list[tuple[list[tuple[i
     base = [g.add(i, t) for i, t in enumerate(texts)]
     added: dict[int, list] = {}
     if g.doc and NONE in g.label:
-        belief = beliefs(g, weights, p.rounds)[:, :NONE]
+        belief = beliefs(g, weights, p)[:, :NONE]
         for i in np.flatnonzero((np.asarray(g.label) == NONE) & (belief.max(axis=1) > p.least)):
             added.setdefault(g.doc[i], []).append((int(belief[i].argmax()), g.start[i], g.end[i]))
     return [(b, sorted(b + added[i]) if i in added else b) for i, b in enumerate(base)]
 
 
 def fit(docs: DataFrame, p: Params = Params()):
-    """Weights from the mentions of the `sample` texts with mentions of smallest hash; only labels, features and links travel."""
+    """Weights from the sample. Texts stay where they are: labels, features and links of the sample go to one task, weights to the driver."""
     # the sample's largest draw is found among draws alone, so that no text is sorted or shuffled
     drawn = docs.select(F.xxhash64(F.lit(p.seed), "doc_id", "text").alias("draw"), "text").where(F.col("text").rlike("[0-9]{2}|@"))
-    cut = drawn.select("draw").orderBy("draw").limit(p.sample).agg(F.max("draw")).first()[0]
+    cut = drawn.select("draw").distinct().orderBy("draw").limit(p.sample).agg(F.max("draw")).first()[0]
     drawn = drawn.where(F.col("draw") <= F.lit(cut).cast("long"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def graphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for draw, text in zip(batch.column("draw").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 g = Graph.empty()
                 g.add(0, text)
-                if 0 < len(g.label) <= 500:
-                    rows.append((draw, g.label, g.feats, g.chain, g.skip))
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            pairs = pa.list_(pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.list_(pa.int32())), pa.array(cols[2], pairs), pa.array([[list(e) for e in c] for c in cols[3]], pairs), pa.array([[list(e) for e in c] for c in cols[4]], pairs)], ["draw", "label", "feats", "chain", "skip"])
-
-    rows = drawn.mapInArrow(run, "draw long, label array<int>, feats array<array<int>>, chain array<array<int>>, skip array<array<int>>").collect()
-    label, feats, chain, skip = [], [], [], []
-    for r in sorted(rows, key=lambda r: r["draw"]):
-        at = len(label)
-        label += r["label"]
-        feats += r["feats"]
-        chain += [(a + at, b + at) for a, b in r["chain"]]
-        skip += [(a + at, b + at) for a, b in r["skip"]]
-    edges = lambda e: np.array(e, dtype=np.int64).reshape(-1, 2)
-    if not label:
+                if g.label:
+                    rows.append((draw, pickle.dumps((g.label, g.feats, g.chain, g.skip))))
+            cols = list(zip(*rows, strict=True)) if rows else [[], []]
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary())], ["draw", "graph"])
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        label, feats, chain, skip = [], [], [], []
+        for graph in (g.as_py() for batch in batches for g in batch.column("graph")):
+            one = pickle.loads(graph)
+            at = len(label)
+            if at and at + len(one[0]) > p.sample_mentions:
+                break
+            label += one[0]
+            feats += one[1]
+            chain += [(a + at, b + at) for a, b in one[2]]
+            skip += [(a + at, b + at) for a, b in one[3]]
+        edges = lambda e: np.array(e, dtype=np.int64).reshape(-1, 2)
+        if label:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(feats, np.asarray(label), edges(chain), edges(skip), p))], pa.binary())], ["weights"])
+
+    found = drawn.mapInArrow(graphs, "draw long, graph binary").dropDuplicates(["draw"]).repartition(1).sortWithinPartitions("draw")
+    got = found.mapInArrow(learn, "weights binary").first()
+    if got is None:
         return np.zeros((N_FEATURES, LABELS)), np.zeros((LABELS, LABELS)), np.zeros((LABELS, LABELS))  # no mention in the sample, no added span
-    return train(feats, np.asarray(label), edges(chain), edges(skip), p)
+    return pickle.loads(got["weights"])
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:
