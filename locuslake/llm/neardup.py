@@ -12,14 +12,17 @@ what is verified, so that a pair at the threshold shares a band with 99.96 % how
 
 Texts with equal words are one content. Contents that share a band are candidates; their shingle sets are
 compared exactly (Jaccard of `threshold` or more links them). Within a band's bucket contents are first
-compared with its pivot, the one that shares buckets with most others; only where a bucket still holds several components are the remaining pairs
-across components compared, less those that the triangle inequality of the Jaccard distance, the set
-sizes or the rarest shingles of the two texts rule out: a bound on what they share, never a guess. So no link
-between different components is lost among candidates, and groups of copies never become all pairs.
+compared with its pivot, the one that shares buckets with most others. Where a bucket still holds several components,
+their texts are joined across components by rare shingles: in one order of all shingles, rarest first, two sets at
+the threshold share one of the first n - ceil(threshold n) + 1 of the larger and of the first
+n - ceil(2 threshold / (1 + threshold) n) + 1 of the smaller. Shingles that one text alone has are left out, the
+component that holds most of a shingle's texts is not paired with itself, and what a pair shares at most follows
+from its shared places; these are bounds, never guesses. So no link between different components is lost among candidates, and neither a bucket
+nor a group of copies becomes all pairs.
 
 Defined cases: null and empty texts and those without a word belong to no group (class_id is doc_id);
-a null doc_id is its own row with class_id of its group, the smallest doc_id in it, or null; rows that
-share a doc_id are one document; repeated rows return as often as they came. Extra columns are ignored by
+a null doc_id is linked like any other, its class_id is the smallest doc_id of its group, or null; rows that
+share a doc_id are each judged by their own text; repeated rows return as often as they came. Extra columns are ignored by
 `classes` and kept by `dedup`.
 """
 
@@ -46,7 +49,7 @@ class Params:
     rows: int = 5
     seed: int = 11
     slots: int = 1 << 20  # of the shingles' frequencies, 8 MB
-    broadcast_ids: int = 2_000_000  # doc_ids that may be broadcast (16 MB); more of them are joined by shuffle
+    broadcast_ids: int = 500_000  # texts whose ids may be broadcast (20 MB); more of them are joined by shuffle
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -122,11 +125,11 @@ def sketch_texts(texts: list[str | None], p: Params) -> dict[str, np.ndarray]:
     return {"bands": band.view(np.int64), "n_bands": p.bands * (1 + again), "key": key.view(np.int64), "n_words": np.diff(w.bounds), "n_shingles": np.bincount(doc, minlength=n)}
 
 
-SKETCHES = "doc_id long, k1 long, k2 long, n_shingles long, bands array<long>"
+SKETCHES = "doc_id long, t long, k1 long, k2 long, n_shingles long, bands array<long>"
 
 
 def sketches(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """(doc_id, k1, k2, n_shingles, bands) of every text; k1 and k2 name its word sequence, bands is null without words."""
+    """(doc_id, t, k1, k2, n_shingles, bands) of every text; t is its hash, k1 and k2 name its word sequence, bands is null without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
@@ -134,9 +137,9 @@ def sketches(docs: DataFrame, p: Params = Params()) -> DataFrame:
             none = got["n_words"] == 0
             offsets = pa.array(np.where(np.append(none, False), None, np.concatenate([[0], np.cumsum(got["n_bands"])])).tolist(), pa.int32())
             bands = pa.ListArray.from_arrays(offsets, pa.array(got["bands"].reshape(-1)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(got["key"][:, 0]), pa.array(got["key"][:, 1]), pa.array(got["n_shingles"].astype(np.int64)), bands], ["doc_id", "k1", "k2", "n_shingles", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("t"), pa.array(got["key"][:, 0]), pa.array(got["key"][:, 1]), pa.array(got["n_shingles"].astype(np.int64)), bands], ["doc_id", "t", "k1", "k2", "n_shingles", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, SKETCHES)
+    return docs.select("doc_id", F.xxhash64("text").alias("t"), "text").mapInArrow(run, SKETCHES)
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -183,93 +186,114 @@ def frequencies(texts: DataFrame, p: Params) -> np.ndarray:
     return table
 
 
-def fronts(texts: DataFrame, table: np.ndarray, p: Params) -> DataFrame:
-    """(node, alone, front) of each text: how many of its shingles no other text has, by the table at least, and
-    its rarest shingles in one order for all texts, as many as two texts of its size may differ in, and one more."""
+def postings(texts: DataFrame, table: np.ndarray, p: Params) -> DataFrame:
+    """(key, node, n, place, short): the shingles in the front of each text, less those that no other text has by the
+    table; `place` is that among its n shingles, rarest first, and places under `short` are enough for larger partners."""
     slim = texts.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             _, doc, h, _ = weighted_shingles(batch.column("text").to_pylist(), p)
-            often = np.minimum(slim.value[(h % np.uint64(p.slots)).astype(np.int64)], (1 << 21) - 1)
-            rank = (often << 42) | (h & np.uint64((1 << 42) - 1)).astype(np.int64)
-            order = np.lexsort((rank, doc))
+            often = slim.value[(h % np.uint64(p.slots)).astype(np.int64)]
+            order = np.lexsort((h, often, doc))
             n = np.bincount(doc, minlength=batch.num_rows)
-            size = np.where(n > 0, n - np.ceil(2 * p.threshold / (1 + p.threshold) * n - 1e-9).astype(np.int64) + 1, 0)
-            kept = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n) < np.repeat(size, n)
-            front = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(rank[order][kept]))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(np.bincount(doc, often == 1, batch.num_rows).astype(np.int64)), front], ["node", "alone", "front"])
-
-    return texts.select("node", "text").mapInArrow(run, "node long, alone long, front array<long>")
-
-
-def classes(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """(doc_id, class_id, copies): one row per document; copies is the number of rows with the same words."""
+            place = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+            size = n - np.ceil(p.threshold * n - 1e-9).astype(np.int64) + 1
+            short = n - np.ceil(2 * p.threshold / (1 + p.threshold) * n - 1e-9).astype(np.int64) + 1
+            kept = np.flatnonzero((place < size[doc]) & (often[order] > 1))
+            of = doc[kept]
+            yield pa.RecordBatch.from_arrays([pa.array(h[order][kept].view(np.int64)), batch.column("node").take(pa.array(of)), *(pa.array(x.astype(np.int32)) for x in (n[of], place[kept], short[of]))], ["key", "node", "n", "place", "short"])
+
+    return texts.select("node", "text").mapInArrow(run, "key long, node long, n int, place int, short int")
+
+
+def across(posts: DataFrame, p: Params) -> DataFrame:
+    """(a, b) of different components that may be at the threshold, from postings with their `component`."""
+    each = posts.groupBy("key", "component").agg(F.count("*").alias("c"))
+    most = each.groupBy("key").agg(F.max(F.struct("c", "component"))["component"].alias("major"), F.count("*").alias("components")).where("components > 1").select("key", "major")
+    shared = written(posts.join(most, "key").withColumn("major", F.col("component") == F.col("major")), "postings")
+    x, y = shared.where("not major").alias("x"), shared.alias("y")
+    apart = F.col("y.major") | (F.col("x.component") < F.col("y.component"))
+    sizes = F.least("x.n", "y.n") >= F.lit(p.threshold - 1e-9) * F.greatest("x.n", "y.n")
+    larger = (F.col("x.n") > F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.node") > F.col("y.node")))
+    fronts = F.when(larger, F.col("y.place") < F.col("y.short")).otherwise(F.col("x.place") < F.col("x.short"))
+    met = x.join(y, (F.col("x.key") == F.col("y.key")) & apart & sizes & fronts)
+    pair = met.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.count("*").alias("same"), F.max("x.place").alias("at_a"), F.max("y.place").alias("at_b"), F.max("x.n").alias("na"), F.max("y.n").alias("nb"))
+    common = F.col("same") + F.least(F.col("na") - F.col("at_a"), F.col("nb") - F.col("at_b")) - 1
+    return pair.where(common * F.lit(1 + p.threshold) >= F.lit(p.threshold - 1e-9) * (F.col("na") + F.col("nb"))).select("a", "b")
+
+
+def grouped(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
+    """The written tables (doc_id, t, k1, k2, ...) of every row and (k1, k2, doc_id, t, copies, class_id, first) of every content:
+    of its least row, and whether it is the first content of its class."""
     marks = written(sketches(docs, p), "sketches")
-    contents = marks.where("bands is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
-    contents = written(contents, "contents")
-    known = contents.where("node is not null")
+    row = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("row")
+    contents = marks.where("bands is not null").groupBy("k1", "k2").agg(row, F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    contents = written(contents.select(F.monotonically_increasing_id().alias("node"), "k1", "k2", "row.doc_id", "row.t", "copies", "n", "bands"), "contents")
 
     # buckets of more than one content, each with a pivot: the member of largest support
-    members = known.select("node", "n", F.explode(F.array_distinct("bands")).alias("key"))
+    members = contents.select("node", "n", F.explode(F.array_distinct("bands")).alias("key"))
     sizes = members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     placed = written(members.join(sizes, "key"), "placed")
     support = placed.groupBy("node").agg(F.sum("size").alias("support"))  # the text that a group was made from shares buckets with most of it
     heads = placed.join(support, "node").groupBy("key").agg(F.max(F.struct("support", F.xxhash64("node").alias("h"), "node", "n")).alias("head")).select("key", F.col("head.node").alias("pivot"), F.col("head.n").alias("pivot_n"))
     shared = written(placed.join(heads, "key").select("key", "node", "n", "pivot", "pivot_n"), "buckets")
+    drop_written(placed)
 
     near = F.least("n", "pivot_n") >= F.lit(p.threshold - 1e-9) * F.greatest("n", "pivot_n")
     first = shared.where(F.col("node") != F.col("pivot")).where(near).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    wanted = written(shared.select(F.col("node").alias("doc_id")).distinct(), "wanted")
-    if wanted.count() <= p.broadcast_ids:
-        wanted = F.broadcast(wanted)
-    texts = written(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text"), "texts")
+    wanted = written(shared.select("node").distinct().join(contents.select("node", F.col("doc_id").alias("_d"), F.col("t").alias("_t")), "node"), "wanted")
+    small = F.broadcast(wanted) if wanted.count() <= p.broadcast_ids else wanted
+    found = docs.select("doc_id", "text", F.xxhash64("text").alias("t")).join(small, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("t") == F.col("_t")))
+    texts = written(found.select("node", "text").dropDuplicates(["node"]), "texts")
+    drop_written(wanted)
     tried = written(verify(first, texts, p), "tried")
     links = tried.where(F.col("likeness") >= p.threshold - 1e-9).select("a", "b")
 
-    # what the pivots left apart: pairs across components of one bucket
+    # what the pivots left apart: texts of buckets that hold more than one component
     comp = written(components(links, "a", "b"), "components")
-    placed = shared.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    rest = placed.join(split, "key", "left_semi")
-    seen = tried.select(F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("likeness")).alias("far")).dropDuplicates(["pivot", "node"])
-    rest = rest.join(seen, ["pivot", "node"], "left").withColumn("far", F.when(F.col("pivot") == F.col("node"), 0.0).otherwise(F.col("far")))
-    rest = written(rest.select("key", "node", "n", "component", "far"), "rest")
-    # what two texts may share at most: rare shingles that stand in both fronts, and all that comes after the fronts
-    left_texts = written(texts.join(rest.select("node").distinct(), "node", "left_semi"), "left_texts")
-    front = written(fronts(left_texts, frequencies(left_texts, p), p), "fronts")
-    ready = rest.join(front, "node").withColumn("most", F.col("n") - F.col("alone")).where(F.col("most") >= F.lit(p.threshold - 1e-9) * F.col("n"))
-    x, y = ready.alias("x"), ready.alias("y")
-    enough = lambda common: common * F.lit(1 + p.threshold) >= F.lit(p.threshold - 1e-9) * (F.col("x.n") + F.col("y.n"))
-    border = F.least(F.element_at("x.front", -1), F.element_at("y.front", -1))
-    behind = lambda side: F.col(f"{side}.n") - F.size(F.filter(F.col(f"{side}.front"), lambda e: e <= border))
-    common = F.size(F.array_intersect("x.front", "y.front")) + F.least(behind("x"), behind("y"))
-    fits = enough(F.least("x.most", "y.most")) & F.coalesce(F.abs(F.col("x.far") - F.col("y.far")) <= 1 - p.threshold + 1e-9, F.lit(True)) & enough(common)
-    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & fits).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    across = across.join(tried.select("a", "b"), ["a", "b"], "left_anti").join(tried.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-    more = verify(across, texts, p).where(F.col("likeness") >= p.threshold - 1e-9).select("a", "b")
+    of = shared.select("key", "node").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    split = of.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
+    rest = written(of.join(split, "key", "left_semi").select("node", "component").distinct(), "rest")
+    drop_written(shared)
+    left = written(texts.join(rest, "node", "left_semi"), "left")
+    posts = postings(left, frequencies(left, p), p).join(rest, "node")
+    pairs = across(posts, p).join(tried.select("a", "b"), ["a", "b"], "left_anti").join(tried.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
+    more = verify(pairs, texts, p).where(F.col("likeness") >= p.threshold - 1e-9).select("a", "b")
     # the components so far stand in for their links
     joined = comp.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
     final = components(joined, "a", "b")
-    for t in (placed, shared, texts, tried, comp, rest, left_texts, front):
+    named = final.join(contents.select("node", "doc_id"), "node")
+    least = named.groupBy("component").agg(F.min("doc_id").alias("least"))
+    named = contents.join(final.join(least, "component"), "node", "left")
+    named = written(named.select("k1", "k2", "doc_id", "t", "copies", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("class_id"), (F.coalesce("component", "node") == F.col("node")).alias("first")), "classes")
+    for t in (contents, texts, tried, comp, rest, left):
         drop_written(t)
+    return marks, named
+
 
-    named = contents.join(final, "node", "left").select("k1", "k2", "copies", F.coalesce("component", "node").alias("class_id"))
-    out = marks.select("doc_id", "k1", "k2", F.col("bands").isNotNull().alias("grouped")).join(named, ["k1", "k2"], "left")
+def classes(docs: DataFrame, p: Params = Params()) -> DataFrame:
+    """(doc_id, class_id, copies): one row per document; copies is the number of rows with the same words."""
+    marks, named = grouped(docs, p)
+    out = marks.select("doc_id", "k1", "k2", F.col("bands").isNotNull().alias("grouped")).join(named.select("k1", "k2", "copies", "class_id"), ["k1", "k2"], "left")
     return out.select("doc_id", F.when(F.col("grouped"), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"), F.when(F.col("grouped"), F.col("copies")).otherwise(1).cast("long").alias("copies"))
 
 
 def dedup(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """One document of each class, that of smallest doc_id (one of its rows where it is repeated); all columns.
 
-    Documents without words, and rows without a doc_id that are in no class, stay.
+    Of a class without any doc_id one row stays. Documents without words stay.
     """
-    keep = classes(docs, p).where("class_id is null or doc_id = class_id").select(F.col("doc_id").alias("_kept")).distinct()
+    marks, named = grouped(docs, p)
     width = docs.columns
+    keep = named.where("doc_id = class_id").select("doc_id").unionByName(marks.where("bands is null and doc_id is not null").select("doc_id")).select(F.col("doc_id").alias("_kept")).distinct()
     row = F.xxhash64(*[F.col(c) for c in width if not dict(docs.dtypes)[c].startswith("map")])
     some = docs.where("doc_id is not null").join(keep, F.col("doc_id") == F.col("_kept"), "left_semi")
     some = some.withColumn("_row", row).dropDuplicates(["doc_id", "_row"]).select(*width)
-    return some.unionByName(docs.where("doc_id is null").select(*width))
+    bare = docs.where("doc_id is null").withColumn("_t", F.xxhash64("text"))
+    alone = bare.join(named.where("class_id is null and first").select(F.col("t").alias("_t")), "_t", "left_semi").dropDuplicates(["_t"])
+    wordless = bare.join(marks.where("bands is null and doc_id is null").select(F.col("t").alias("_t")).distinct(), "_t", "left_semi")
+    return some.unionByName(alone.select(*width)).unionByName(wordless.select(*width))
 
 
 def op4_near_dedup(docs: DataFrame, p: Params = Params()) -> DataFrame:
