@@ -100,13 +100,21 @@ def mixed(docs: DataFrame, labels: DataFrame | None = None, p: Params = Params()
     epoch takes it; a document taken in part keeps its first words. Columns as they came, n_chars (where there
     is one) the new length.
 
-    Rows meet their share by doc_id, source and size; rows equal in all three share alike.
+    Rows meet their share by doc_id, source and size. Rows equal in all three share what they take together: they are
+    numbered in the order of their texts' hashes and filled one after the other, as `mix` does.
     """
     names = docs.columns
-    share = mix(docs, labels, p).groupBy("doc_id", "source", "size").agg(F.max("taken").alias("_taken"))
-    share = share.select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_size"), "_taken")
+    key = lambda size: F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("source"), F.lit("")), size)
+    share = mix(docs, labels, p).groupBy("doc_id", "source", "size").agg(F.sum("taken").alias("_all"), F.count("*").alias("_rows")).where("_all > 0")
+    share = share.select(key(F.col("size")).alias("_key"), F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_size"), "_all", "_rows")
     d = sizes(docs.drop("size")).withColumnRenamed("size", "_n") if "size" not in names else sizes(docs.withColumnRenamed("size", "_own")).withColumnRenamed("size", "_n").withColumnRenamed("_own", "size")
-    d = d.join(share, d["doc_id"].eqNullSafe(F.col("_d")) & d["source"].eqNullSafe(F.col("_s")) & (d["_n"] == F.col("_size")))
+    d = d.withColumn("_key", key(F.col("_n")))
+    same = d["doc_id"].eqNullSafe(share["_d"]) & d["source"].eqNullSafe(share["_s"]) & (d["_n"] == share["_size"])
+    d = d.join(share, (d["_key"] == share["_key"]) & F.when(same, F.lit(True)).otherwise(F.lit(False))).drop(share["_key"])  # dealt by _key alone
+    # the join leaves equal rows together: numbering them moves nothing
+    place = F.row_number().over(W.partitionBy("_key", "_d", "_s", "_size").orderBy(F.xxhash64("text"))) - 1
+    base = F.expr("_all div (_rows * _n) * _n")
+    d = d.withColumn("_place", place).withColumn("_taken", base + F.greatest(F.lit(0), F.least(F.col("_n"), F.col("_all") - F.col("_rows") * base - F.col("_place") * F.col("_n"))))
     d = d.where("_taken > 0").withColumn("_part", F.col("_taken") % F.col("_n"))
     copies = F.expr("sequence(1, cast(_taken div _n + if(_part > 0, 1, 0) as int))")
     d = d.withColumn("_copy", F.explode(copies))
