@@ -6,11 +6,13 @@ bit-sliced numbers too: the bitmaps of its components are added by carry-save ad
 time, negative multipliers by the complement. From the most significant slice downward the rows are
 narrowed to the k best; rows that tie at the boundary are resolved exactly, by their score and vec_id.
 
-Blocks of rows meet blocks of queries through a join on the block's number. A query's best of each block
+Blocks of rows meet blocks of queries in cells (index block, group of query blocks); each cell is a partition of its
+own, so that tasks are of one size. A query's best of each block
 are merged by a second selection. Nothing but a fixed number of rows for each query and block leaves a task.
 
-Defined cases: vectors that are null, empty, of another length than most or that hold null or non-finite
-components take no part, nor do rows without vec_id; a query leaves out every row with its own vec_id;
+Defined cases: vectors that are null, empty or that hold null or non-finite
+components take no part, nor do rows without vec_id; finite components of any size do, as long as they and the scores fit
+a long (an error says so where they do not); vectors of several lengths only meet those of their own; a query leaves out every row with its own vec_id;
 repeated rows stand beside each other as candidates, and of query rows with one vec_id the least vector asks; ties go to the smaller vec_id; extra columns are ignored.
 """
 
@@ -21,11 +23,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from locuslake.llm.shared import written
+from locuslake.llm.shared import drop_written, written
 
 
 @dataclass(frozen=True)
@@ -35,14 +38,20 @@ class Params:
     k: int = 5
     rows: int = 8192  # of an index block
     queries: int = 128  # of a query block
+    asked: int = 8192  # queries that one task works on
+    partitions: int = 20_000  # at most, of the cells
 
 
 def quantised(vectors: DataFrame, p: Params) -> DataFrame:
-    """(vec_id, q array<int>) of the rows that take part; native."""
-    q = F.transform("embedding", lambda x: F.floor(x.cast("double") * p.scale).cast("int"))
-    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(1e6)))
-    d = vectors.where("vec_id is not null and size(embedding) > 0").where(F.coalesce(fine, F.lit(False))).select(F.col("vec_id").cast("long").alias("vec_id"), q.alias("q"))
-    return d
+    """(vec_id, q array<long>) of the rows that take part; native."""
+
+    def one(x):
+        y = x.cast("double") * p.scale
+        return F.when(F.abs(y) < F.lit(float(1 << 62)), F.floor(y)).otherwise(F.raise_error(F.lit("a quantised component does not fit a long")).cast("long")).cast("long")
+
+    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) != F.lit(float("inf"))))
+    d = vectors.where("vec_id is not null and size(embedding) > 0").where(F.coalesce(fine, F.lit(False)))
+    return d.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", one).alias("q"))
 
 
 def slices(values: np.ndarray, bits: int) -> np.ndarray:
@@ -104,7 +113,8 @@ class Block:
         order = np.argsort(ids, kind="stable")
         self.ids, self.values = ids[order], values[order]
         self.low = int(values.min())
-        self.bits = max(1, int(values.max() - self.low).bit_length())
+        self.bits = max(1, (int(values.max()) - self.low).bit_length())
+        self.most = max(int(values.max()), -self.low)
         self.slices = slices(self.values - self.low, self.bits)
         self.words = self.slices.shape[2]
         alive = np.zeros(self.words * 8, dtype=np.uint8)
@@ -117,7 +127,10 @@ class Block:
     def best(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(vec_ids, scores) of the k best rows other than the query's own id."""
         size = np.abs(query)
-        width = int(size.sum() * ((1 << self.bits) - 1)).bit_length() + 1
+        total_size = sum(map(int, size))
+        if total_size * self.most >= 1 << 63:
+            raise OverflowError("a score may not fit a long")
+        width = (total_size * ((1 << self.bits) - 1)).bit_length() + 1
         parts = []
         for b in range(int(size.max()).bit_length()):
             chosen = np.flatnonzero((size >> b) & 1)
@@ -139,67 +152,66 @@ class Block:
         return self.ids[kept][order], exact[order]
 
 
-def _rows(batches: Iterator[pa.RecordBatch], size: int, dim: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    ids, values = [], []
-    held = 0
-    for batch in batches:
-        for k in range(0, batch.num_rows, size):
-            part = batch.slice(k, size)
-            if not part.num_rows:
-                continue
-            ids.append(part.column("vec_id").to_numpy())
-            values.append(np.asarray(part.column("q").flatten()).reshape(-1, dim))
-            held += part.num_rows
-            if held >= size:
-                yield np.concatenate(ids), np.concatenate(values)
-                ids, values, held = [], [], 0
-    if held:
-        yield np.concatenate(ids), np.concatenate(values)
+BLOCKS = "part int, dim int, ids binary, values binary"
 
 
-def packed(vectors: DataFrame, size: int, dim: int) -> DataFrame:
-    """(ids, values) in blocks of about `size` rows, as little-endian int64 and int32 bytes."""
+def packed(vectors: DataFrame, size: int) -> DataFrame:
+    """(part, dim, ids, values): the rows of each partition (its number is `part`) in blocks of one vector length and of
+    `size` rows at most, as little-endian int64 bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, values in _rows(batches, size, dim):
-            yield pa.RecordBatch.from_arrays([pa.array([ids.astype("<i8").tobytes()]), pa.array([values.astype("<i4").tobytes()])], ["ids", "values"])
+        part, held = TaskContext.get().partitionId(), {}
 
-    return vectors.mapInArrow(run, "ids binary, values binary")
+        def block(dim: int) -> pa.RecordBatch:
+            ids, values = (np.concatenate(x) for x in zip(*held.pop(dim), strict=True))
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([dim], pa.int32()), pa.array([ids.astype("<i8").tobytes()]), pa.array([values.astype("<i8").tobytes()])], ["part", "dim", "ids", "values"])
+
+        for batch in batches:
+            q = batch.column("q")
+            ids, lengths = batch.column("vec_id").to_numpy(), q.value_lengths().to_numpy(zero_copy_only=False)
+            flat, ends = q.flatten().to_numpy(), np.cumsum(lengths)
+            for dim in np.unique(lengths).tolist():
+                rows = np.flatnonzero(lengths == dim)
+                values = flat[(ends[rows] - dim)[:, None] + np.arange(dim)]
+                for k in range(0, len(rows), size):
+                    held.setdefault(dim, []).append((ids[rows[k : k + size]], values[k : k + size]))
+                    if sum(len(x) for x, _ in held[dim]) >= size:
+                        yield block(dim)
+        for dim in [*held]:
+            yield block(dim)
+
+    return vectors.mapInArrow(run, BLOCKS)
 
 
 def search(vectors: DataFrame, p: Params = Params()) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best candidates of each query."""
     d = quantised(vectors, p)
-    shape = d.groupBy(F.size("q").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
-    if shape is None:
-        return d.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0).cast("long").alias("score")).where("false")
-    dim, n = shape["dim"], shape["count"]
-    d = d.where(F.size("q") == dim)
-    lanes = max(1, -(-n // p.rows))
-    spread = d.repartition(lanes, "vec_id")
-    index = written(packed(spread, p.rows, dim).withColumn("lane", F.pmod(F.monotonically_increasing_id() + F.spark_partition_id(), F.lit(lanes)).cast("int")), "index")
-    queries = d.where(F.pmod("vec_id", F.lit(p.every)) == 0).groupBy("vec_id").agg(F.min("q").alias("q"))
-    asked = packed(queries, p.queries, dim).select(F.col("ids").alias("q_ids"), F.col("values").alias("q_values"))
-    asked = asked.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
-    met = index.repartition(lanes, "lane").join(asked, "lane").select("ids", "values", "q_ids", "q_values")
+    asking = d.where(F.pmod("vec_id", F.lit(p.every)) == 0).groupBy("vec_id").agg(F.min("q").alias("q"))
+    lanes, groups = max(1, -(-d.count() // p.rows)), max(1, -(-asking.count() // p.asked))
+    # dealt out in turn, so that every lane and every group has about as many rows
+    index = packed(d.repartition(lanes), 2 * p.rows)
+    asked = written(packed(asking.repartition(groups), p.queries), "asked")
+    cell = lambda lane, group: (lane * F.lit(groups) + group).cast("int")
+    index = index.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).select(cell(F.col("part").cast("long"), F.col("group")).alias("cell"), F.lit(0).alias("kind"), "dim", "ids", "values")
+    asked_ = asked.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)))).select(cell(F.col("lane").cast("long"), F.col("part")).alias("cell"), F.lit(1).alias("kind"), "dim", "ids", "values")
+    met = index.unionByName(asked_).repartitionById(min(p.partitions, lanes * groups), "cell").sortWithinPartitions("cell", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, block = None, None
+        cell, blocks = None, {}
         for batch in batches:
-            for i in range(batch.num_rows):
-                ids, values, q_ids, q_values = (batch.column(c)[i].as_buffer() for c in range(4))
-                own = np.frombuffer(ids, "<i8")
-                if name is None or len(name) != len(own) or (name != own).any():
-                    name, block = own.copy(), Block(own, np.frombuffer(values, "<i4").reshape(-1, dim).astype(np.int64))
-                out: list[list] = [[], [], []]
-                for q, v in zip(np.frombuffer(q_ids, "<i8"), np.frombuffer(q_values, "<i4").reshape(-1, dim), strict=True):
-                    found, score = block.best(int(q), v.astype(np.int64), p.k)
-                    out[0].append(np.full(len(found), q))
-                    out[1].append(found)
-                    out[2].append(score)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in out], ["query_id", "vec_id", "score"])
-
-    part = met.mapInArrow(run, "query_id long, vec_id long, score long")
+            for at, kind, dim, ids, values in zip(batch.column("cell").to_pylist(), batch.column("kind").to_pylist(), batch.column("dim").to_pylist(), batch.column("ids"), batch.column("values"), strict=True):
+                if at != cell:
+                    cell, blocks = at, {}
+                names, vectors = np.frombuffer(ids.as_buffer(), "<i8"), np.frombuffer(values.as_buffer(), "<i8").reshape(-1, dim)
+                if kind == 0:
+                    blocks.setdefault(dim, []).append(Block(names, vectors))
+                    continue
+                out = [(np.full(len(found), q), found, score) for block in blocks.get(dim, []) for q, v in zip(names.tolist(), vectors, strict=True) for found, score in [block.best(q, v, p.k)]]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*out, strict=True)], ["query_id", "vec_id", "score"])
+
+    part = written(met.mapInArrow(run, "query_id long, vec_id long, score long"), "found")
+    drop_written(asked)
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return part.withColumn("rank", rank.cast("int")).where(F.col("rank") <= p.k).select("query_id", "rank", "vec_id", "score")
 
@@ -207,7 +219,7 @@ def search(vectors: DataFrame, p: Params = Params()) -> DataFrame:
 ORACLE = """
 with v as (select vec_id, list_transform(embedding, lambda x: floor(x::double * 256)::bigint) as q from embeddings),
 s as (select a.vec_id as query_id, b.vec_id, list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2]))::bigint as score
-      from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0),
+      from v a join v b on a.vec_id <> b.vec_id and len(a.q) = len(b.q) where a.vec_id % 50 = 0),
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
 select query_id, rank, vec_id, score from r where rank <= 5
 """
