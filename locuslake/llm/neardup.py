@@ -17,7 +17,8 @@ their texts are joined across components by rare shingles: in one order of all s
 the threshold share one of the first n - ceil(threshold n) + 1 of the larger and of the first
 n - ceil(2 threshold / (1 + threshold) n) + 1 of the smaller. Shingles that one text alone has are left out, the
 component that holds most of a shingle's texts is not paired with itself, and what a pair shares at most follows
-from its shared places; these are bounds, never guesses. So no link between different components is lost among candidates, and neither a bucket
+from its shared places and from bitmaps of both sets (two sets differ in at least as many shingles as their bitmaps in
+bits); these are bounds, never guesses. So no link between different components is lost among candidates, and neither a bucket
 nor a group of copies becomes all pairs.
 
 Defined cases: null and empty texts and those without a word belong to no group (class_id is doc_id);
@@ -186,9 +187,20 @@ def frequencies(texts: DataFrame, p: Params) -> np.ndarray:
     return table
 
 
+WORDS = 8  # of 64 bits in a text's bitmap
+
+
+def bitmaps(doc: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
+    """n x WORDS: each distinct shingle of a text turns one bit; shingles that two texts share turn equal bits in both."""
+    out = np.zeros((n, WORDS), np.uint64)
+    bit = (h >> np.uint64(20)) % np.uint64(64 * WORDS)
+    np.bitwise_xor.at(out, (doc, (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
+    return out
+
+
 def postings(texts: DataFrame, table: np.ndarray, p: Params) -> DataFrame:
-    """(key, node, n, place, short): the shingles in the front of each text, less those that no other text has by the
-    table; `place` is that among its n shingles, rarest first, and places under `short` are enough for larger partners."""
+    """(key, node, n, alone, place, short, m0 ...): the shingles in the front of each text, less those (`alone` of them) that no other text has by the
+    table; `place` is that among its n shingles, rarest first, places under `short` are enough for larger partners, m0 ... is the bitmap."""
     slim = texts.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,10 +213,12 @@ def postings(texts: DataFrame, table: np.ndarray, p: Params) -> DataFrame:
             size = n - np.ceil(p.threshold * n - 1e-9).astype(np.int64) + 1
             short = n - np.ceil(2 * p.threshold / (1 + p.threshold) * n - 1e-9).astype(np.int64) + 1
             kept = np.flatnonzero((place < size[doc]) & (often[order] > 1))
-            of = doc[kept]
-            yield pa.RecordBatch.from_arrays([pa.array(h[order][kept].view(np.int64)), batch.column("node").take(pa.array(of)), *(pa.array(x.astype(np.int32)) for x in (n[of], place[kept], short[of]))], ["key", "node", "n", "place", "short"])
+            of, alone = doc[kept], np.bincount(doc[often == 1], minlength=batch.num_rows)
+            bits = bitmaps(doc, h, batch.num_rows)[of].view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(h[order][kept].view(np.int64)), batch.column("node").take(pa.array(of)), *(pa.array(x.astype(np.int32)) for x in (n[of], alone[of], place[kept], short[of])), *(pa.array(np.ascontiguousarray(bits[:, k])) for k in range(WORDS))], names)
 
-    return texts.select("node", "text").mapInArrow(run, "key long, node long, n int, place int, short int")
+    names = ["key", "node", "n", "alone", "place", "short", *(f"m{k}" for k in range(WORDS))]
+    return texts.select("node", "text").mapInArrow(run, "key long, node long, n int, alone int, place int, short int, " + ", ".join(f"m{k} long" for k in range(WORDS)))
 
 
 def across(posts: DataFrame, p: Params) -> DataFrame:
@@ -217,7 +231,12 @@ def across(posts: DataFrame, p: Params) -> DataFrame:
     sizes = F.least("x.n", "y.n") >= F.lit(p.threshold - 1e-9) * F.greatest("x.n", "y.n")
     larger = (F.col("x.n") > F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.node") > F.col("y.node")))
     fronts = F.when(larger, F.col("y.place") < F.col("y.short")).otherwise(F.col("x.place") < F.col("x.short"))
-    met = x.join(y, (F.col("x.key") == F.col("y.key")) & apart & sizes & fronts)
+    both = (F.col("x.n") + F.col("y.n")).cast("double")
+    # of a shared shingle: those before it that may be shared, itself, and those after it
+    most = F.least(F.col("x.place") - F.col("x.alone"), F.col("y.place") - F.col("y.alone")) + F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+    differ = sum((F.bit_count(F.col(f"x.m{k}").bitwiseXOR(F.col(f"y.m{k}"))) for k in range(WORDS)), F.lit(0))
+    may = (most * F.lit(1 + p.threshold) >= F.lit(p.threshold - 1e-9) * both) & (differ * F.lit(1 + p.threshold) <= F.lit(1 - p.threshold + 1e-9) * both)
+    met = x.join(y, (F.col("x.key") == F.col("y.key")) & apart & sizes & fronts & may)
     pair = met.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.count("*").alias("same"), F.max("x.place").alias("at_a"), F.max("y.place").alias("at_b"), F.max("x.n").alias("na"), F.max("y.n").alias("nb"))
     common = F.col("same") + F.least(F.col("na") - F.col("at_a"), F.col("nb") - F.col("at_b")) - 1
     return pair.where(common * F.lit(1 + p.threshold) >= F.lit(p.threshold - 1e-9) * (F.col("na") + F.col("nb"))).select("a", "b")
