@@ -128,7 +128,7 @@ def scores(texts: list[str | None], model: Model) -> np.ndarray:
     return np.where(some, 1 / (1 + np.exp(-np.clip(a * logit + b, -60, 60))), model.empty)
 
 
-def pieces(texts: list[str], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def pieces(texts: list[str], most: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Bounds of runs of texts of about `most` characters."""
     start, held = 0, 0
     for i, t in enumerate(texts):
@@ -196,7 +196,7 @@ def train(texts: list[str], labels: list[int], p: Params = Params(), stands: tup
             many = counts[words]
             at = np.repeat(first[words], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
             f, head = feats[at], np.cumsum(many) - many
-            vec = np.add.reduceat(model.vectors[f], head, axis=0) / many[:, None]
+            vec = np.stack([np.add.reduceat(model.vectors[f, j], head) for j in range(p.dim)], axis=1) / many[:, None]
             total = np.concatenate([np.zeros((1, p.dim)), np.cumsum(vec[inverse], axis=0)])
             begins, ends, owner, base = [], [], [], 0
             for i, s in enumerate(spans):
@@ -224,8 +224,7 @@ def train(texts: list[str], labels: list[int], p: Params = Params(), stands: tup
             flow = np.cumsum(flow, axis=0)[:-1]
             dvec = np.stack([np.bincount(inverse, flow[:, j], len(words)) for j in range(p.dim)], axis=1) / many[:, None]
             touched, spot = np.unique(f, return_inverse=True)
-            spread = np.repeat(dvec, many, axis=0)
-            grad_v = np.stack([np.bincount(spot, spread[:, j], len(touched)) for j in range(p.dim)], axis=1)
+            grad_v = np.stack([np.bincount(spot, np.repeat(dvec[:, j], many), len(touched)) for j in range(p.dim)], axis=1)
             square_v[touched] += (grad_v**2).mean(axis=1)
             square_w += grad_w**2
             model.vectors[touched] -= p.rate * grad_v / np.sqrt(square_v[touched])[:, None]
@@ -288,7 +287,8 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Model:
         sample = part if sample is None else sample.unionByName(part)
     if sample is None:
         return train([], [], p)
-    model = fitted(sample.select("doc_id", "h", "draw", "y").join(texts, ["doc_id", "h"]).dropDuplicates(["doc_id"]), p, tuple(stands))
+    wanted = F.broadcast(sample.select("doc_id", "h", "draw", "y"))  # at most max_per_label rows a label
+    model = fitted(texts.join(wanted, ["doc_id", "h"]).dropDuplicates(["doc_id"]), p, tuple(stands))
     drop_written(found)
     return model
 
@@ -299,7 +299,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     slim = spark.sparkContext.broadcast(Model(model.params, None, None, model.bias, model.scale, model.empty, model.pull))  # buckets x 4 bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, most=1 << 20):
             got = pa.array(scores(batch.column("text").to_pylist(), slim.value), pa.float64())
             yield pa.RecordBatch.from_arrays([*(c for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != "score"), got], [*(n for n in batch.schema.names if n != "score"), "score"])
 
