@@ -21,7 +21,7 @@ import hashlib
 import json
 import re
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -83,7 +83,8 @@ class Tables:
         self.letters = letters
         back = {c: b for b, c in enumerate(letters)}
         self.bytes = {i: t.encode() if t in self.special else bytes(back[c] for c in t.removesuffix(self.suffix)) for i, t in names.items()}
-        self.ends = {i for i, t in names.items() if t not in self.special and t.endswith(self.suffix)}
+        self.pieces = {i: b + b" " * (t in self.special or t.endswith(self.suffix)) for (i, b), t in zip(self.bytes.items(), names.values(), strict=True)}
+        self.digits = {i: str(i) for i in names}
         self.known: dict[tuple[str, str], bool] = {}
 
     def fits(self, a: str, b: str) -> bool:
@@ -183,41 +184,45 @@ class Transducer:
 
 
 class Surface:
-    """The library's decoded form, id by id."""
+    """The library's decoded form, fed ids: token strings, and a space between two."""
 
     def __init__(self, tables: Tables):
         self.names, self.any = tables.names, False
 
-    def feed(self, i: int) -> str:
-        out = " " + self.names[i] if self.any else self.names[i]
-        self.any = True
-        return out
+    def feed(self, ids: Sequence[int]) -> str:
+        names = self.names
+        out = " ".join([names[i] for i in ids])
+        lead, self.any = " " if self.any and ids else "", self.any or bool(ids)
+        return lead + out
 
 
 class ByteText:
-    """Text from ids: bytes go through an incremental UTF-8 decoder; the end of a word owes a space to the next id."""
+    """Text from ids: bytes go through an incremental UTF-8 decoder; the end of a word owes a space to the next id.
+
+    Its state is the bytes of an unfinished character and whether a space is owed.
+    """
 
     def __init__(self, tables: Tables):
-        self.t, self.utf8, self.owes = tables, codecs.getincrementaldecoder("utf-8")("replace"), False
+        self.pieces, self.utf8, self.owes = tables.pieces, codecs.getincrementaldecoder("utf-8")("replace"), b""
 
-    def feed(self, i: int) -> str:
-        out = self.utf8.decode((b" " if self.owes else b"") + self.t.bytes[i])
-        self.owes = i in self.t.ends or self.t.names[i] in self.t.special
-        return out
+    def feed(self, ids: Sequence[int]) -> str:
+        if not ids:
+            return ""
+        pieces = self.pieces
+        data = self.owes + b"".join([pieces[i] for i in ids])
+        self.owes = b" " if pieces[ids[-1]].endswith(b" ") else b""
+        return self.utf8.decode(data[:-1] if self.owes else data)
 
     def finish(self) -> str:
         return self.utf8.decode(b"", True)
 
 
 class Codec:
-    """Encodes whole texts; white-space-free chunks are remembered in two generations of bounded size.
-
-    What is kept of a chunk is its ids where `plain`, else (tokens, ids, decoded form) with the latter two as text.
-    """
+    """Encodes whole texts, a window of them at a time; the ids of white-space-free chunks are remembered in two generations of bounded size."""
 
-    def __init__(self, path: str | None = None, remember: int = 150_000, plain: bool = False):
+    def __init__(self, path: str | None = None, remember: int = 300_000, window: int = 1 << 16):
         self.t = Tables(path or default_path())
-        self.remember, self.plain = remember, plain
+        self.remember, self.window = remember, window
         self.words: tuple[dict, dict] = ({}, {})  # of chunks
         self.parts: tuple[dict, dict] = ({}, {})  # of pretokens that are no words of plain letters
         self.special = re.compile("(" + "|".join(map(re.escape, self.t.special)) + ")") if self.t.special else None
@@ -240,16 +245,6 @@ class Codec:
             out += run.feed(data[k : k + 256])
         return out + run.finish()
 
-    def _entry(self, ids: list[int]) -> tuple:
-        return tuple(ids) if self.plain else (len(ids), " ".join(map(str, ids)), self.surface(ids))
-
-    def _joined(self, found: list[tuple]) -> tuple:
-        if len(found) == 1:
-            return found[0]
-        if self.plain:
-            return tuple(chain.from_iterable(found))
-        return sum([e[0] for e in found]), " ".join([e[1] for e in found]), " ".join([e[2] for e in found])
-
     def _kept(self, where: tuple[dict, dict], key: str, make: Callable[[str], tuple]) -> tuple[tuple[dict, dict], tuple]:
         """The generations after a look at `key`, and its entry, made where neither holds it."""
         new, old = where
@@ -262,7 +257,7 @@ class Codec:
         return (new, old), e
 
     def _pretoken(self, pretoken: str) -> tuple:
-        make = lambda p: self._entry([self.t.ids[t] for t in self.tokens(p)])
+        make = lambda p: tuple([self.t.ids[t] for t in self.tokens(p)])
         if pretoken.isascii() and pretoken.isalpha():  # as a chunk it is its own pretoken
             self.words, e = self._kept(self.words, pretoken, make)
         else:
@@ -273,62 +268,68 @@ class Codec:
         found = self.pretokens(chunk)
         if found == [chunk] and chunk.isascii() and chunk.isalpha():
             return self._pretoken(chunk)
-        made = self.words[0].get(chunk) or self.words[1].get(chunk) or self._joined([self._pretoken(p) for p in found])
+        made = self.words[0].get(chunk) or self.words[1].get(chunk) or tuple(chain.from_iterable([self._pretoken(p) for p in found]))
         self.words, e = self._kept(self.words, chunk, lambda _: made)
         return e
 
-    def chunks(self, text: str) -> list[tuple]:
-        """The entry of each chunk and special token of the text."""
-        if "<|" in text and self.special:
-            out: list[tuple] = []
-            for k, piece in enumerate(self.special.split(text)):
-                if k % 2:
-                    out.append(self._entry([self.t.special[piece]]))
-                else:
-                    out += self._plain(piece)
-            return out
-        return self._plain(text)
-
     def _plain(self, text: str) -> list[tuple]:
         split = [c for c in self.spaces.split(text) if c] if self.odd.search(text) else text.split()
         get, miss = self.words[0].get, self._chunk  # a generation that fills up meanwhile is still good to read
         return [get(c) or miss(c) for c in split]
 
+    def blocks(self, text: str | None) -> Iterator[list[int]]:
+        """The ids, a window of the text after the other; windows end at white space, where no token crosses."""
+        text, start = text or "", 0
+        while start < len(text):
+            end = len(text)
+            if end - start > self.window and (gap := self.spaces.search(text, start + self.window)):
+                end = gap.end()
+            part, start = text[start:end], end
+            if "<|" in part and self.special:
+                found: list[tuple] = []
+                for k, piece in enumerate(self.special.split(part)):
+                    found += [(self.t.special[piece],)] if k % 2 else self._plain(piece)
+            else:
+                found = self._plain(part)
+            yield list(chain.from_iterable(found))
+
     def encode(self, text: str | None) -> list[int]:
-        found = self.chunks(text or "")
-        return list(chain.from_iterable(found)) if self.plain else [int(i) for e in found for i in e[1].split()]
+        return list(chain.from_iterable(self.blocks(text)))
 
-    def surface(self, ids: list[int]) -> str:
-        run = Surface(self.t)
-        return "".join([run.feed(i) for i in ids])
+    def surface(self, ids: Sequence[int]) -> str:
+        return Surface(self.t).feed(ids)
 
-    def text(self, ids: list[int]) -> str:
+    def text(self, ids: Sequence[int]) -> str:
         run = ByteText(self.t)
-        return "".join([run.feed(i) for i in ids]) + run.finish()
-
-    def digests(self, text: str | None) -> tuple[int, str, str]:
-        """(n_tokens, hash of the ids, hash of the decoded form)."""
-        found = self.chunks(text or "")
-        ids, decoded = hashlib.sha256(), hashlib.sha256()
-        for k in range(0, len(found), 1 << 16):
-            lead = " " if k else ""
-            part = found[k : k + (1 << 16)]
-            ids.update((lead + " ".join([e[1] for e in part])).encode())
-            decoded.update((lead + " ".join([e[2] for e in part])).encode("utf-8", "replace"))
-        return sum([e[0] for e in found]), ids.hexdigest(), decoded.hexdigest()
+        return run.feed(ids) + run.finish()
+
+    def digests(self, text: str | None) -> tuple[int, str, str, str]:
+        """(n_tokens, hash of the ids, hash of the library's decoded form, hash of the text read back from the ids' bytes):
+        each block of ids goes through both decoders as it comes, and nothing of it is kept."""
+        n, ids, decoded, back = 0, hashlib.sha256(), hashlib.sha256(), hashlib.sha256()
+        surface, plain, digits = Surface(self.t), ByteText(self.t), self.t.digits
+        for block in self.blocks(text):
+            if block:
+                ids.update(((" " if n else "") + " ".join([digits[i] for i in block])).encode())
+                n += len(block)
+                decoded.update(surface.feed(block).encode("utf-8", "replace"))
+                back.update(plain.feed(block).encode())
+        back.update(plain.finish().encode())
+        return n, ids.hexdigest(), decoded.hexdigest(), back.hexdigest()
 
 
 def op6_bpe(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every whole text; no shuffle."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256, text_sha256) of every whole text; no shuffle. The last is of the text that the
+    byte-to-text machine reads back: the normal form, words and marks a space apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.set_threshold(200_000, 20, 100)  # large caches without cycles
-        codec = Codec(path, remember=300_000)
+        codec = Codec(path)
         for batch in small_batches(batches):
             got = [codec.digests(t.as_py()) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got]), pa.array([g[2] for g in got])], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got]), pa.array([g[2] for g in got]), pa.array([g[3] for g in got])], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "text_sha256"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string, text_sha256 string")
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -339,7 +340,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.set_threshold(200_000, 20, 100)  # large caches without cycles
-        codec = Codec(path, plain=True)
+        codec = Codec(path, remember=60_000)  # beside the memory that a pipeline's other stages have taken
         for batch in small_batches(batches):
             found = [np.array(codec.encode(t.as_py()), np.int32) for t in batch.column("text")]
             ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), pa.array(np.concatenate(found)))
