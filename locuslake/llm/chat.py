@@ -10,7 +10,7 @@ In text and roles `&`, `<` and `[` are escaped, so no control string of this or
 appear in them, and unescaping gives back every character. The loss mask is kept as run lengths, a run for each
 turn: characters to skip, to take, and to skip after; only what assistants say is taken.
 
-A conversation is one output row, so its turns meet in one task; rows of different conversations spread by id.
+A conversation is one output row, so its turns meet in one task and must fit there; rows of different conversations spread by id.
 
 Defined cases: a null text is empty, a null role is empty and never under the loss; turns sort by turn (null
 first), then role and content; repeated rows are turns of their own; a null conv_id is a conversation; an
@@ -48,6 +48,11 @@ def unescaped(c: Column) -> Column:
     return c
 
 
+def text_part(text: Column) -> Column:
+    """Content of one typed part."""
+    return F.array(F.struct(F.lit("text").alias("type"), text.alias("text"), F.lit(None).cast("string").alias("ref"), F.lit(None).cast("int").alias("units")))
+
+
 def _visit(parts: Column, p: Params) -> tuple[Column, Column]:
     """(content, attachments) of an array of struct<type, text, ref, units>."""
     known = F.filter(parts, lambda x: x["type"].isin("text", *p.fixed))
@@ -66,15 +71,12 @@ def _visit(parts: Column, p: Params) -> tuple[Column, Column]:
 def format_chat(messages: DataFrame, p: Params = Params()) -> DataFrame:
     """(conv_id, formatted, loss_runs, attachments, expanded_tokens) of each conversation.
 
-    messages has conv_id, turn, role and text, or in place of text an array `parts`.
+    messages has conv_id, turn, role and an array `parts` of struct<type, text, ref, units>, or text in its place, which
+    is visited as one part of type text.
     """
     role = F.coalesce(F.col("role"), F.lit(""))
-    if "parts" in messages.columns:
-        content, found = _visit(F.col("parts"), p)
-        content, found = F.coalesce(content, F.lit("")), F.coalesce(found, F.array())
-    else:
-        content = escaped(F.coalesce(F.col("text"), F.lit("")))
-        found = F.expr("cast(array() as array<struct<place:int,type:string,ref:string,tokens:bigint>>)")
+    content, found = _visit(F.col("parts") if "parts" in messages.columns else text_part(F.col("text")), p)
+    content, found = F.coalesce(content, F.lit("")), F.coalesce(found, F.array())
     turns = messages.select("conv_id", F.struct("turn", role.alias("role"), content.alias("content"), found.alias("found")).alias("t"))
     grouped = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
     line = lambda t: F.concat(F.lit(ROLE), escaped(t["role"]), F.lit(TEXT), t["content"], F.lit(END))
@@ -103,21 +105,22 @@ def probe(spark: SparkSession) -> DataFrame:
 
 
 def op10_chat(conversations: DataFrame, p: Params = Params()) -> DataFrame:
-    messages = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text").unionByName(probe(conversations.sparkSession))
-    back = read_back(format_chat(messages, p))
+    """One row for each conversation and one for the probe, which stands apart even where the input has a conversation -7."""
+    typed = lambda d: d.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", text_part(F.col("text")).alias("parts"))
+    back = read_back(format_chat(typed(conversations), p).unionByName(format_chat(typed(probe(conversations.sparkSession)), p)))
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told.cast("binary"), 256).alias("turns_sha256"), F.length("loss_text").cast("long").alias("loss_chars"), F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"), "formatted_chars")
 
 
 ORACLE = r"""
 with m as (
-  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
-  union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text, 0 as probe from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]', 1 union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]', 1),
 e as (select *, replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;') as safe, replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;') as safe_role from m)
 select conv_id, count(*)::bigint as n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, safe)) as turns_sha256,
   coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
   sha256(coalesce(string_agg(text, '' order by turn nulls first, role, safe) filter (role = 'assistant'), '')) as loss_sha256,
   sum(length(safe_role) + length(safe) + 24)::bigint as formatted_chars
-from e group by conv_id
+from e group by conv_id, probe
 """
