@@ -59,6 +59,25 @@ def test_topk_equals_brute_force_with_ties_repeats_and_odd_rows(spark):
     assert topk.search(d.where("vec_id = 50")).count() == 0
 
 
+def test_topk_takes_large_components_and_mixed_lengths(spark):
+    rows = [(0, [1.0, 0.0]), (1, [2e6, 0.0]), (2, [3.0, 0.0]), (3, [1e9, -1e9]), (50, [1.0, 1.0, 1.0]), (4, [1.0, 2.0, 3.0]), (5, [-4e6, 1.0, 0.5])]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, topk.search(d, topk.Params(rows=2, queries=1, asked=1)).collect()))
+    q = {i: np.floor(256 * np.array(v)).astype(np.int64) for i, v in rows}
+    want = [(a, k, b, s) for a in (0, 50) for k, (s, b) in enumerate(sorted(((int(q[a] @ q[b]), b) for b in q if b != a and len(q[b]) == len(q[a])), key=lambda x: (-x[0], x[1])), 1)]
+    assert got == want
+    for bad in ([(0, [1e30]), (1, [1.0])], [(0, [1e12]), (1, [1e12])]):  # no long holds these: an error, not a wrong answer
+        with pytest.raises(Exception, match="long"):
+            topk.search(spark.createDataFrame(bad, "vec_id long, embedding array<double>")).collect()
+
+
+def test_cells_are_even(spark):
+    rows = [(i, [float(i % 7), 1.0]) for i in range(2100)]
+    d = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), topk.Params())
+    sizes = [len(r["ids"]) // 8 for r in topk.packed(d.repartition(9), 1000).collect()]
+    assert len(sizes) == 9 and max(sizes) < 1.2 * min(sizes)
+
+
 def test_bit_sliced_sums_are_exact():
     rng = np.random.default_rng(0)
     v = rng.integers(-140, 140, (200, 16))
@@ -132,7 +151,7 @@ def test_spots_and_likeness_equal_brute_force(spark):
     rows = sorted(zip(ids, texts), reverse=True)
     d = spark.createDataFrame([(i, t, "own") for i, t in rows], "doc_id long, text string, fingerprint string")
     got = {r["doc_id"]: r for r in spotsigs.op7_spotsigs(d, spotsigs.Params(rows_per_bucket=7)).collect()}
-    like = lambda a, b: 1.0 if not a | b else len(a & b) / len(a | b)
+    like = lambda a, b: 1.0 if not a | b else x if (x := len(a & b) / len(a | b)) >= 0.1 else 0.0
     assert len(got) == len(rows)
     for k, (i, t) in enumerate(rows):
         t, nxt = t or "", rows[(k + 1) % len(rows)][1] or ""
@@ -157,6 +176,35 @@ def test_following_document_over_ranges_repeats_and_nulls(spark):
     assert spotsigs.op7_spotsigs(d.where("false")).count() == 0
 
 
+def test_a_hot_doc_id_is_dealt_over_ranges(spark):
+    rows = [(7, f"t{i}") for i in range(300)] + [(i, f"u{i}") for i in range(100)] + [(7, "t5"), (None, "n")]
+    d = spark.createDataFrame(rows, "doc_id long, text string").withColumn("k", F.monotonically_increasing_id())
+    got = spotsigs.followed(d, ["text", "doc_id"], spotsigs.Params(rows_per_bucket=10))
+    pairs = got.select("doc_id", "text", "next_doc_id", "next_text").collect()
+    assert len(pairs) == len(rows) and got.columns == ["doc_id", "text", "k", "next_text", "next_doc_id"]
+    # one cycle through all rows, doc_id falling
+    assert sorted(str(r["next_text"]) for r in pairs) == sorted(t for _, t in rows)
+    assert sum(r["next_doc_id"] is not None and (r["doc_id"] is None or r["next_doc_id"] > r["doc_id"]) for r in pairs) == 1
+    assert {r["next_text"] for r in pairs if r["doc_id"] == 0} == {"n"} and {r["next_text"] for r in pairs if r["doc_id"] is None} == {"u99"}
+
+
+def test_likeness_is_pruned_by_partition(spark):
+    sets = [list(range(n)) for n in (0, 1, 5, 9, 10, 50, 99, 100, 400)]
+    d = spark.createDataFrame([(a, b) for a in sets for b in sets], "a array<long>, b array<long>")
+    for r in d.select("a", "b", spotsigs.likeness(F.col("a"), F.col("b"), 0.1).alias("x"), spotsigs.likeness(F.col("a"), F.col("b")).alias("y")).collect():
+        exact = 1.0 if not r["a"] and not r["b"] else len({*r["a"]} & {*r["b"]}) / len({*r["a"]} | {*r["b"]})
+        assert abs(r["y"] - exact) < 1e-12 and abs(r["x"] - (exact if exact >= 0.1 - 1e-9 else 0)) < 1e-12
+
+
+def test_very_long_texts_pass(spark):
+    text = "the cat of the house is a small animal " * 60_000
+    d = spark.createDataFrame([(1, text), (2, text + "end"), (3, "")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in spotsigs.op7_spotsigs(d).collect()}
+    assert got[1]["n_chars"] == len(text) and got[2]["near_next"] > 0.5
+    talk = spark.createDataFrame([(1, 1, "user", text), (1, 2, "assistant", text)], "conv_id long, turn long, role string, text string")
+    assert {r["conv_id"]: r["loss_chars"] for r in chat.op10_chat(talk).collect()} == {1: len(text), -7: 21}
+
+
 def test_similar_pairs_equal_brute_force(spark):
     rng = random.Random(6)
     base = [[rng.choice(["the", "of", "is"]) if k % 2 else "".join(rng.choices("abcdef", k=5)) for k in range(60)] for _ in range(6)]
@@ -225,8 +273,10 @@ def test_mix_meets_its_targets_and_reruns_agree(spark):
 
 
 def test_mixed_rows_have_the_words_taken(spark):
-    d = mixed_docs(spark).where("doc_id is not null and doc_id <> 5")
-    share = {r["doc_id"]: r["taken"] for r in mixing.mix(d).collect()}
+    d = mixed_docs(spark)
+    share = {}
+    for r in mixing.mix(d).collect():
+        share[r["doc_id"]] = share.get(r["doc_id"], 0) + r["taken"]
     out = mixing.mixed(d)
     assert out.columns == d.columns
     words = {}
@@ -235,6 +285,14 @@ def test_mixed_rows_have_the_words_taken(spark):
     assert words == {k: v for k, v in share.items() if v}
 
 
+def test_repeated_rows_meet_the_target(spark):
+    rows = [(5, "a b c d", "p")] * 31 + [(100 + i, "e f g h", "p") for i in range(39)] + [(900 + i, "x y", "q") for i in range(50)] + [(None, "k l", None)] * 3
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = {r["source"]: r["target"] for r in mixing.mix(d).select("doc_id", "source", "target").distinct().collect()}
+    got = {r["source"]: r["words"] for r in mixing.mixed(d).groupBy("source").agg(F.sum(F.regexp_count("text", F.lit(mixing.WORD))).alias("words")).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) <= 1 for k in want)
+
+
 def test_better_documents_are_taken_more_often(spark):
     d = spark.createDataFrame([(i, "w w w w", "a" if i < 2000 else "b") for i in range(4000)], "doc_id long, text string, source string")
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(4000)], "doc_id long, quality int, toxic int")
@@ -258,6 +316,16 @@ def test_chat_reads_back_what_went_in(spark):
     assert formatted["formatted"].count("<|end|>") == 4 and "[INST]" not in formatted["formatted"]
     got = {r["conv_id"] for r in chat.op10_chat(d.where("false")).collect()}
     assert got == {-7}
+    own = d.where("conv_id = 1").withColumn("conv_id", F.lit(-7).cast("long"))  # stands beside the probe, not in it
+    assert sorted((r["conv_id"], r["n_turns"]) for r in chat.op10_chat(own).collect()) == [(-7, 2), (-7, 4)]
+
+
+def test_the_query_goes_through_the_visitor(spark, monkeypatch):
+    seen = []
+    visit = chat._visit
+    monkeypatch.setattr(chat, "_visit", lambda parts, p: seen.append(1) or visit(parts, p))
+    QUERIES["op10_chat"](spark, D)
+    assert seen
 
 
 def test_typed_parts_become_placeholders_with_attachments(spark):

@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 
 from locuslake.llm import bpe, bytewords, neardup, pii, tokencounts, toxicity
 from locuslake.llm.graph import components
+from locuslake.llm.queries import QUERIES
 
 D = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -97,7 +98,26 @@ def test_bytes_to_text_round_trip(codec):
         assert codec.text(codec.encode(t)) == t
     run = bpe.ByteText(codec.t)
     ids = codec.encode("😀")
-    assert "".join(run.feed(i) for i in ids) + run.finish() == "😀"
+    assert "".join(run.feed([i]) for i in ids) + run.finish() == "😀"
+
+
+def test_windows_change_nothing_and_digests_come_through_both_decoders(library):
+    rng = random.Random(9)
+    text = "".join(rng.choices([*PIECES, " ", "word", "\n"], k=4000))
+    small, whole = bpe.Codec(window=50), bpe.Codec()
+    want = library.encode(text, add_special_tokens=False).ids
+    assert small.encode(text) == whole.encode(text) == want and len([*small.blocks(text)]) > 20
+    n, ids, decoded, back = small.digests(text)
+    assert n == len(want) and ids == hashlib.sha256(" ".join(map(str, want)).encode()).hexdigest()
+    assert decoded == hashlib.sha256(library.decode(want, skip_special_tokens=False).encode()).hexdigest()
+    assert back == hashlib.sha256(whole.text(want).encode()).hexdigest()
+
+
+def test_very_long_text(library, codec):
+    text = " ".join(random.Random(2).choices(["alpha", "beta", "Gamma42", "été"], k=300_000))
+    n, ids, _, _ = codec.digests(text)
+    want = library.encode(text, add_special_tokens=False).ids
+    assert n == len(want) and ids == hashlib.sha256(" ".join(map(str, want)).encode()).hexdigest()
 
 
 def test_op6_cases(spark, library):
@@ -189,6 +209,106 @@ def test_copies_that_repeat_lines_are_found(spark):
     assert [got[i] for i in range(len(texts))] == [i - i % 2 for i in range(len(texts))]
 
 
+@pytest.mark.parametrize("times", [1, 6, 40])
+def test_recall_of_pairs_at_the_threshold(spark, times):
+    """Pairs of plain Jaccard 0.8 to 0.85 of which one side repeats a passage: at least 0.9 must be linked."""
+    rng = random.Random(times)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    texts, want = [], 0
+    while want < 150:
+        base = [word() for _ in range(120)]
+        t = list(base)
+        for k in rng.sample(range(30, 120), 2):
+            t[k] = word()
+        pair = [" ".join(base), " ".join(t[:20] * times + t[20:])]
+        a, b = map(shingle_set, pair)
+        if 0.8 <= len(a & b) / len(a | b) <= 0.88:
+            texts += pair
+            want += 1
+    got = {r["doc_id"]: r["class_id"] for r in neardup.classes(docs(spark, texts)).collect()}
+    found = sum(got[i] == got[i + 1] for i in range(0, len(texts), 2))
+    assert found >= 0.98 * want
+
+
+def test_components_that_share_a_bucket_are_joined_without_loss(spark):
+    """Chains of near copies around several bases that share most of their words: pivots alone leave them apart."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    base, texts = [word() for _ in range(150)], []
+    for _ in range(12):
+        one = list(base)
+        for k in rng.sample(range(150), 4):
+            one[k] = word()
+        for _ in range(15):
+            t = list(one)
+            for k in rng.sample(range(150), rng.randint(0, 3)):
+                t[k] = word()
+            texts.append(" ".join(t))
+            one = t if rng.random() < 0.5 else one
+    got = {r["doc_id"]: r["class_id"] for r in neardup.classes(docs(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_classes(texts)
+
+
+def test_postings_find_every_pair_across_components(spark):
+    rng = random.Random(22)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    texts = []
+    for _ in range(25):
+        base = [word() for _ in range(rng.choice([5, 30, 90]))]
+        for _ in range(6):
+            t = list(base)
+            for k in rng.sample(range(len(t)), rng.randint(0, max(1, len(t) // 20))):
+                t[k] = word()
+            texts.append(" ".join(t[: len(t) - rng.randint(0, len(t) // 12)]))
+    p = neardup.Params()
+    d = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    posts = neardup.postings(d, neardup.frequencies(d, p), p).withColumn("component", F.col("node") % 3)
+    got = {tuple(sorted(r)) for r in neardup.across(posts, p).collect()}
+    sets = [shingle_set(t) for t in texts]
+    want = {(a, b) for b in range(len(texts)) for a in range(b) if a % 3 != b % 3 and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert want <= got and len(got) < 2 * len(want) + 50
+
+
+def test_op4_on_the_smallest_tables_equals_brute_force(spark):
+    rows = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{D}/documents.parquet").select("doc_id", "text").collect())
+    words = re.compile("[0-9a-z_\x80-\U0010ffff]+")
+    sets = []
+    for _, t in rows:
+        w = words.findall((t or "").lower())
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    up = list(range(len(rows)))
+    find = lambda x: x if up[x] == x else find(up[x])
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                up[y] = x
+    got = {r["doc_id"]: r["class_id"] for r in QUERIES["op4_prob_minhash"](spark, D).collect()}
+    assert got == {rows[i][0]: rows[find(i)][0] for i in range(len(rows))}
+
+
+def test_rows_without_id_are_linked_and_reduced(spark):
+    a = "one two three four five six seven eight nine ten " * 3
+    b = "red blue green gold grey pink black white brown teal " * 3
+    d = docs(spark, [a, a, a, b, b, b + "more", None, ""], [4, None, None, None, None, None, None, None])
+    got = sorted((str(r["doc_id"]), str(r["class_id"])) for r in neardup.classes(d).collect())
+    assert got.count(("None", "4")) == 2 and got.count(("4", "4")) == 1 and len(got) == 8
+    out = [(r["doc_id"], r["text"]) for r in neardup.dedup(d).collect()]
+    assert sum(t == a for _, t in out) == 1 and sum(t in (b, b + "more") for _, t in out) == 1 and len(out) == 4
+
+
+def test_very_long_texts_and_one_id_for_many_rows(spark):
+    rng = random.Random(1)
+    long = " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(200_000))
+    d = docs(spark, [long, long + " end", "other words stand in this text here", *["same id and another text " + c for c in "abcdefgh"]], [1, 2, 3, *[7] * 8])
+    got = collections.defaultdict(set)
+    for r in neardup.classes(d).collect():
+        got[r["doc_id"]].add(r["class_id"])
+    assert got[1] == got[2] == {1} and got[3] == {3} and got[7] == {7}
+    labels = spark.createDataFrame([(1, 0, 1), (3, 0, 0)], "doc_id long, quality long, toxic long")
+    assert toxicity.op5_toxicity(d, labels).count() == 11 and pii.op9_pii(d).count() == 11
+
+
 def test_sketch_estimates_probability_jaccard():
     rng = np.random.default_rng(1)
     a, b = {k: rng.uniform(0.5, 4) for k in range(0, 160)}, {k: rng.uniform(0.5, 4) for k in range(60, 220)}
@@ -260,6 +380,57 @@ def test_op5_on_the_smallest_tables_and_cases(spark):
     assert toxicity.reject(docs(spark, ODD), labels.where("false")).columns == docs(spark, ODD).columns
 
 
+def plain_logit(text, m):
+    """The score's logit in plain Python: words, n-grams, their hashes, the mean of each window of words, the largest."""
+    odd, whole = 0x9E3779B97F4A7C15, (1 << 64) - 1
+
+    def mix(x):
+        x ^= x >> 30
+        x = x * 0xBF58476D1CE4E5B9 & whole
+        x ^= x >> 27
+        x = x * 0x94D049BB133111EB & whole
+        return x ^ x >> 31
+
+    def bucket(b, tag):
+        return mix((sum((c + 1) * pow(odd, k, 1 << 64) for k, c in enumerate(b)) + tag) & whole) % m.params.buckets
+
+    pulls = []
+    for word in re.findall(rb"[0-9a-z_\x80-\xff]+", text.lower().encode()):
+        w = b" " + word + b" "
+        grams = [bucket(w, 99)] + [bucket(w[i : i + n], n) for n in range(m.params.low, m.params.high + 1) for i in range(len(w) - n + 1)]
+        pulls.append(float(np.mean([float(m.pull[g]) for g in grams])))
+    size = min(m.params.span, len(pulls))
+    return max(float(np.mean(pulls[i : i + size])) for i in range(len(pulls) - size + 1)) + float(m.bias[1] - m.bias[0])
+
+
+@pytest.mark.parametrize("p", [toxicity.Params(epochs=1), toxicity.Params(window=None, epochs=1)])
+def test_scores_equal_plain_python(p):
+    texts = ["you are an idiot", "a fine day é", "Worthless, pathetic! x", "some other_words 42 here and there"]
+    m = toxicity.train(texts, [1, 0, 1, 0], p)
+    got, some = toxicity.text_logits(texts, m)
+    assert some.all() and np.allclose(got, [plain_logit(t, m) for t in texts], atol=1e-9)
+
+
+def test_op5_held_out_accuracy(spark):
+    """On rows that were not learned from; labels are noisy: about a quarter of the toxic ones hold no such word."""
+    at = "/root/testdata/sf0.01"
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{at}/labels.parquet").where("toxic is not null").collect()}
+    got = [r for r in QUERIES["op5_toxicity"](spark, at).collect() if r["held_out"] and r["doc_id"] in labels]
+    y, score = np.array([labels[r["doc_id"]] for r in got]), np.array([r["score"] for r in got])
+    assert len(got) > 50 and ((score >= 0.5) == y).mean() >= 0.9
+    order = np.argsort(np.argsort(score)) + 1
+    assert (order[y == 1].sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (y == 0).sum()) >= 0.8
+
+
+def test_plain_average_learns_too():
+    rng = random.Random(4)
+    clean = lambda n: ["".join(rng.choices("abdehinorst", k=rng.randint(2, 9))) for _ in range(n)]
+    texts = [" ".join([*clean(40), *(["worthless"] * (k % 2)), *clean(40)]) for k in range(400)]
+    m = toxicity.train(texts[:300], [k % 2 for k in range(300)], toxicity.AVERAGED)
+    hit = (toxicity.scores(texts[300:], m) >= 0.5) == np.array([k % 2 for k in range(100)], bool)
+    assert hit.mean() > 0.9
+
+
 def labelled(spark, rows):
     """(docs, labels) of (text, toxic) rows."""
     return docs(spark, [t for t, _ in rows]), spark.createDataFrame([(i, None, y) for i, (_, y) in enumerate(rows)], "doc_id long, quality long, toxic long")
@@ -347,6 +518,59 @@ def test_fifty_repeats_take_the_kind_of_their_match(spark):
     assert len(g.skip) < 2 * len(g.doc)
 
 
+@pytest.mark.parametrize("text, spans", [
+    ("mail bob[at]x.org", [(5, 17)]), ("id 12, mail bob[at]x.org", [(12, 24)]), ("BOB (AT) X.ORG", [(0, 14)]),
+    ("a" * 200 + "(at)" + "b" * 100 + "." + "c" * 100, [(0, 405)]), ("jo at site dot org ok", [(0, 18)]), ("meet at noon. at all", []), ("(at)x.y", []),
+])
+def test_spelt_addresses(text, spans):
+    assert [s[1:] for s in pii.mentions(text)[1]] == spans
+
+
+def test_messages_against_exact_marginals():
+    """Trees are exact; loops of up to 8 nodes come near."""
+    rng = np.random.default_rng(5)
+    for trial in range(60):
+        n = int(rng.integers(2, 9))
+        tree = [(int(rng.integers(0, k)), k) for k in range(1, n)]
+        loops = [tuple(sorted(map(int, rng.choice(n, 2, replace=False)))) for _ in range(trial % 3)]
+        cut = len(tree) // 2
+        chain, skip = tree[:cut], tree[cut:] + [e for e in dict.fromkeys(loops) if e not in tree]
+        label = [int(rng.integers(0, pii.NONE)) if rng.random() < 0.3 else pii.NONE for _ in range(n)]
+        g = pii.Graph([0] * n, [0] * n, [0] * n, label, [[k] for k in range(n)], chain, skip)
+        unary, pair = np.zeros((pii.N_FEATURES, pii.LABELS)), [rng.normal(0, 0.5, (pii.LABELS, pii.LABELS)) for _ in range(2)]
+        unary[:n] = rng.normal(0, 1, (n, pii.LABELS))
+        pair = [(w + w.T) / 2 for w in pair]
+        state = np.stack(np.meshgrid(*[range(pii.LABELS)] * min(n, 8), indexing="ij"), -1).reshape(-1, n)
+        if n > 6:  # 5^n states: keep the free nodes' and the clamped ones' labels only
+            free = [range(pii.LABELS) if y == pii.NONE else [y] for y in label]
+            state = np.stack(np.meshgrid(*free, indexing="ij"), -1).reshape(-1, n)
+        score = np.zeros(len(state))
+        for k, y in enumerate(label):
+            score += unary[k][state[:, k]] if y == pii.NONE else np.where(state[:, k] == y, 0.0, -50.0)
+        for edges, w in ((chain, pair[0]), (skip, pair[1])):
+            for a, b in edges:
+                score += w[state[:, a], state[:, b]]
+        weight = np.exp(score - score.max())
+        exact = np.stack([np.bincount(state[:, k], weight, pii.LABELS) for k in range(n)]) / weight.sum()
+        got = pii.beliefs(g, (unary, *pair))
+        off = np.abs(got - exact).max()
+        assert off < (2e-3 if not loops else 0.12), (trial, n, off)
+
+
+def test_a_document_gets_the_same_beside_any_other():
+    texts = ["call +1 415 555-2671 or 415 555-2671, 415.555.2671", "mail a@b.cc " * 40, "7 4155552671 " * 30]
+    rng = np.random.default_rng(1)
+    weights = (rng.normal(0, 1, (pii.N_FEATURES, pii.LABELS)), np.eye(pii.LABELS), np.eye(pii.LABELS) * 2)
+    alone = [pii.find([t], weights, pii.Params())[0] for t in texts]
+    assert pii.find(texts, weights, pii.Params()) == alone
+
+
+def test_op9_ignores_clashing_columns_and_keeps_repeats(spark):
+    d = docs(spark, ["mail a@b.cc", "mail a@b.cc", None], [1, 1, None]).withColumns({"spans": F.lit(1), "n_email": F.lit("x"), "draw": F.lit(0.5)})
+    rows = pii.op9_pii(d).collect()
+    assert sorted((r["n_email"], r["spans"]) for r in rows) == [(0, ""), (1, "email:5:11"), (1, "email:5:11")]
+
+
 def test_redaction(spark):
     d = docs(spark, ["mail a@b.cc or +1 415 555-2671", None, ""]).withColumn("spans", F.lit(1))
     out = {r["doc_id"]: r for r in pii.redact(d).collect()}
