@@ -66,10 +66,16 @@ def by_reads(rows: DataFrame, group: list[str], order: list[str], samples: list[
 
 
 def numbered(binned: DataFrame, group: list[str], order: list[Column | str]) -> DataFrame:
-    """With bin_id: local bins counted on over groups in the order of their first rows."""
-    per = binned.groupBy(*group).agg((F.max("local_bin") + 1).alias("_bins"), F.min(F.struct(*order)).alias("_first"))
-    ahead = F.coalesce(F.sum("_bins").over(W.orderBy("_first").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    return binned.join(per.withColumn("_ahead", ahead).select(*group, "_ahead"), group).withColumn("bin_id", (F.col("_ahead") + F.col("local_bin")).cast("long")).drop("_ahead")
+    """With bin_id: local bins counted on over groups in the order of their first rows.
+
+    The count runs within each value of the first of `order` (the chromosome), then over these values.
+    """
+    per = binned.groupBy(*group).agg((F.max("local_bin") + 1).alias("_bins"), F.min(F.struct(*order)).alias("_first")).withColumn("_part", F.col("_first")[order[0]])
+    before = W.unboundedPreceding, -1
+    parts = per.groupBy("_part").agg(F.sum("_bins").alias("_all")).select("_part", F.coalesce(F.sum("_all").over(W.orderBy("_part").rowsBetween(*before)), F.lit(0)).alias("_base"))
+    inside = F.coalesce(F.sum("_bins").over(W.partitionBy("_part").orderBy("_first").rowsBetween(*before)), F.lit(0))
+    ahead = per.join(parts, "_part").withColumn("_ahead", F.col("_base") + inside).select(*group, "_ahead")
+    return binned.join(ahead, group).withColumn("bin_id", (F.col("_ahead") + F.col("local_bin")).cast("long")).drop("_ahead")
 
 
 def bin_bounds(binned: DataFrame, order: str, first: list[str] = (), names: str | None = None) -> DataFrame:
@@ -89,13 +95,18 @@ def flips(snps: DataFrame, group: list[str], order: list[str], samples: dict[str
     w = W.partitionBy(*group).orderBy(*order)
     d, tests = snps, []
     for name, (b, a) in samples.items():
-        below, above = outside_interval(F.col(b), F.col(a), epsilon, alpha)
-        d = d.withColumn(f"_lo_{name}", below).withColumn(f"_hi_{name}", above)
+        d = d.join(interval_sides(d, b, a, epsilon, alpha).withColumnsRenamed({"_lo": f"_lo_{name}", "_hi": f"_hi_{name}"}), [b, a])
         tests.append((F.lag(f"_lo_{name}").over(w) & F.col(f"_hi_{name}")) | (F.lag(f"_hi_{name}").over(w) & F.col(f"_lo_{name}")))
     flip = tests[0]
     for t in tests[1:]:
         flip = flip | t
-    return d.withColumn("flip", F.coalesce(flip, F.lit(False))).drop(*[c for n in samples for c in (f"_lo_{n}", f"_hi_{n}")])
+    return d.withColumn("flip", F.coalesce(flip, F.lit(False))).select(*snps.columns, "flip")
+
+
+def interval_sides(counts: DataFrame, b: str, a: str, epsilon: float, alpha: float) -> DataFrame:
+    """(b, a, _lo, _hi): the sides of each pair of counts that occurs, worked out once for all rows that have it."""
+    below, above = outside_interval(F.col(b), F.col(a), epsilon, alpha)
+    return counts.where(F.col(b).isNotNull() & F.col(a).isNotNull()).select(b, a).distinct().withColumn("_lo", below).withColumn("_hi", above)
 
 
 def phase_groups(flipped: DataFrame, group: list[str], order: list[str]) -> DataFrame:

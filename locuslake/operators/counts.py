@@ -65,9 +65,14 @@ def frequencies(df: DataFrame, by: list[str], num: str = "b", den: str = "dp") -
     return df.groupBy(*by).agg(F.sum(num).alias(num), F.sum(den).alias(den)).withColumn("af", ratio(F.col(num), F.col(den)))
 
 
-def binned(counts: DataFrame, bins: DataFrame, bin_id: str, columns: list[str], values: list[str]) -> DataFrame:
-    """Sums of values by bin and column over all bins and columns there are, 0 where nothing falls."""
-    sums = counts.groupBy(bin_id, *columns).agg(*[F.sum(v).alias(v) for v in values])
+def binned(counts: DataFrame, bin_id: str, columns: list[str], values: list[str]) -> DataFrame:
+    """Sums of values by bin and column where anything falls: a sparse matrix."""
+    return counts.groupBy(bin_id, *columns).agg(*[F.sum(v).alias(v) for v in values])
+
+
+def binned_grid(counts: DataFrame, bins: DataFrame, bin_id: str, columns: list[str], values: list[str]) -> DataFrame:
+    """The same over all bins and columns there are, 0 where nothing falls: a dense matrix, for few columns (samples)."""
+    sums = binned(counts, bin_id, columns, values)
     grid = bins.select(bin_id).distinct().join(counts.select(*columns).distinct(), how="cross")
     return grid.join(sums, [bin_id, *columns], "left").withColumns({v: F.coalesce(v, F.lit(0)) for v in values})
 
@@ -83,8 +88,21 @@ def reference_bias(df: DataFrame, ref: str = "ref", total: str = "dp") -> DataFr
     return df.agg(F.min(x).alias("least"), F.max(x).alias("most"), F.median(x).alias("middle"), F.avg(x).alias("mean"))
 
 
-def pileup(reads: DataFrame) -> DataFrame:
-    """(chrom, pos0, barcode, dp, ad, oth) from reads at sites (chrom, pos0, barcode, umi, base, ref, alt); a molecule counts once for each base."""
+def pileup(reads: DataFrame, min_count: int = 0, min_maf: float = 0.0) -> DataFrame:
+    """(chrom, pos0, barcode, dp, ad, oth) from reads at sites (chrom, pos0, barcode, umi, base, ref, alt); a molecule counts once for each base.
+
+    Sites stay whose reads over all barcodes are `min_count` or more and whose rarer allele has a share of `min_maf` or more.
+    """
     one = reads.dropDuplicates(["chrom", "pos0", "barcode", "umi", "base"])
     base = F.col("base")
-    return one.groupBy("chrom", "pos0", "barcode").agg(F.count_if((base == F.col("ref")) | (base == F.col("alt"))).alias("dp"), F.count_if(base == F.col("alt")).alias("ad"), F.count_if((base != F.col("ref")) & (base != F.col("alt"))).alias("oth"))
+    per = one.groupBy("chrom", "pos0", "barcode").agg(F.count_if((base == F.col("ref")) | (base == F.col("alt"))).alias("dp"), F.count_if(base == F.col("alt")).alias("ad"), F.count_if((base != F.col("ref")) & (base != F.col("alt"))).alias("oth"))
+    if min_count <= 0 and min_maf <= 0:
+        return per
+    site = per.groupBy("chrom", "pos0").agg(F.sum("dp").alias("_d"), F.sum("ad").alias("_a"), F.sum("oth").alias("_o"))
+    rare = F.coalesce(ratio(F.least(F.col("_a"), F.col("_d") - F.col("_a")), F.col("_d")), F.lit(0.0))
+    return per.join(site.where((F.col("_d") + F.col("_o") >= min_count) & (rare >= min_maf)).select("chrom", "pos0"), ["chrom", "pos0"], "left_semi")
+
+
+def barcodes_of(lists: dict[str, DataFrame]) -> DataFrame:
+    """(barcode, rep_id): the barcodes of all replicates, named {barcode}_{replicate}."""
+    return stacked({r: d.select("barcode") for r, d in lists.items()})

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -46,21 +49,45 @@ def without_outliers(bins: DataFrame, share: float, value: str = "rdr") -> DataF
     return fine.join(F.broadcast(cut), how="cross").withColumn(value, F.when(F.col(value) <= F.col("_q"), F.col(value))).drop("_q")  # one row
 
 
+def with_windows(depth: DataFrame, windows: DataFrame) -> DataFrame:
+    """Depths (chrom, start, stop, ...) with the columns of the equal window, null where there is none."""
+    more = [c for c in windows.columns if c not in depth.columns]
+    return depth.join(windows.select("chrom", "start", "stop", *more), ["chrom", "start", "stop"], "left")
+
+
 def complete_rows(values: DataFrame, row: list[str], columns: list[str], order: list[str]) -> DataFrame:
-    """Rows (all samples of a row) none of whose columns is null, with their new dense number new_id."""
+    """Rows (all samples of a row) none of whose columns is null, with their new dense number new_id.
+
+    Rows are numbered within each value of the first of `order` (the chromosome), and these counted on, so that no task
+    numbers them all.
+    """
     bad = F.lit(False)
     for c in columns:
         bad = bad | F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
     per = values.groupBy(*row).agg(F.bool_or(bad).alias("_bad")).where("not _bad").drop("_bad")
-    fresh = per.withColumn("new_id", (F.row_number().over(W.orderBy(*order)) - 1).cast("long"))
+    part, rest = order[0], order[1:] or order[:1]
+    sizes = per.groupBy(part).agg(F.count("*").alias("_c"))
+    ahead = sizes.select(part, F.coalesce(F.sum("_c").over(W.orderBy(part).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_ahead"))
+    fresh = per.join(ahead, part).withColumn("new_id", (F.col("_ahead") + F.row_number().over(W.partitionBy(part).orderBy(*rest)) - 1).cast("long")).drop("_ahead")
     return values.join(fresh, row)
 
 
+def mid_ranks(d: DataFrame, part: str, value: str, out: str, cuts: int = 64) -> DataFrame:
+    """With `out`, the rank of `value` within `part`, the mean one where values are equal: ranks within ranges between
+    quantiles, counted on over the ranges, so that no task ranks a whole part."""
+    points = d.groupBy(part).agg(F.array_distinct(F.percentile_approx(value, [(k + 1) / cuts for k in range(cuts - 1)], 100 * cuts)).alias("_cuts"))
+    x = d.join(points, part).withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
+    sizes = x.groupBy(part, "_range").agg(F.count("*").alias("_c"))
+    ahead = sizes.select(part, "_range", F.coalesce(F.sum("_c").over(W.partitionBy(part).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_ahead"))
+    w = W.partitionBy(part, "_range")
+    same = F.count("*").over(W.partitionBy(part, "_range", value))
+    return x.join(ahead, [part, "_range"]).withColumn(out, F.col("_ahead") + F.rank().over(w.orderBy(value)) + (same - 1) / 2).drop("_range", "_ahead")
+
+
 def gc_statistics(d: DataFrame, bins: int = 100) -> DataFrame:
     """(sample_id, pearson, spearman, bin_std) of depth against gc: correlations, and the spread of medians of depth by GC bin."""
-    both = d.where("depth is not null and gc is not null")
-    rank = lambda c: F.rank().over(W.partitionBy("sample_id").orderBy(c)) + (F.count("*").over(W.partitionBy("sample_id", c)) - 1) / 2
-    ranked = both.withColumn("_rd", rank("depth")).withColumn("_rg", rank("gc"))
+    both = d.where("depth is not null and gc is not null").select("sample_id", "gc", "depth")
+    ranked = mid_ranks(mid_ranks(both, "sample_id", "depth", "_rd"), "sample_id", "gc", "_rg")
     cors = ranked.groupBy("sample_id").agg(F.corr("gc", "depth").alias("pearson"), F.corr("_rg", "_rd").alias("spearman"))
     at = F.greatest(F.lit(0), F.least(F.lit(bins - 1), F.floor(F.col("gc") * bins)))
     mids = both.groupBy("sample_id", at.alias("_g")).agg(F.median("depth").alias("_m")).groupBy("sample_id").agg(F.stddev_pop("_m").alias("bin_std"))
@@ -93,45 +120,99 @@ def limits(d: DataFrame, value: str, share: float = 0.99) -> DataFrame:
 # ---- correction ----------------------------------------------------------------------------------
 
 
+@contextmanager
+def held(d: DataFrame):
+    """d cached while its samples' few numbers are worked out, unless it is cached already."""
+    if d.storageLevel != StorageLevel.NONE:
+        yield d
+        return
+    d.persist()
+    try:
+        yield d
+    finally:
+        d.unpersist()
+
+
+def _fixed(small: DataFrame) -> DataFrame:
+    """A row for each sample, worked out now: plans that use it again don't run it again."""
+    return F.broadcast(small.sparkSession.createDataFrame(small.collect(), small.schema))
+
+
 def _rescaled(d: DataFrame, before: str, after: str) -> DataFrame:
     """`after` scaled so that its median is that of `before` over the rows where it is known."""
-    scale = d.where(F.col(after).isNotNull() & (F.col(before) > 0)).groupBy("sample_id").agg((F.median(before) / F.median(after)).alias("_k"))
+    scale = _fixed(d.where(F.col(after).isNotNull() & (F.col(before) > 0)).groupBy("sample_id").agg((F.median(before) / F.median(after)).alias("_k")))
     return d.join(scale, "sample_id", "left").withColumn(after, F.col(after) * F.col("_k")).drop("_k")
 
 
-def median_regression(d: DataFrame, value: str, terms: list[str], rounds: int = 30, close: float = 1e-4) -> dict[str, np.ndarray]:
-    """Coefficients by sample of value ~ 1 + terms at the median, by iteratively reweighted least squares.
-
-    A round is one aggregate of the weighted normal equations over the table; only those sums, a few numbers for each
-    sample, reach the driver.
+def _least_absolute(x: np.ndarray, y: np.ndarray, pull: np.ndarray, rounds: int = 2000) -> np.ndarray:
+    """b that minimises sum |y - x b| + pull . b, by reweighted least squares whose smoothing shrinks as it settles."""
+    centre, scale = np.zeros(x.shape[1]), np.maximum(np.sqrt((x**2).mean(axis=0)), 1e-300)
+    z, pull = x / scale, pull / scale
+    unit = max(float(np.median(np.abs(y))), 1e-300)
+    b, eps = centre, unit
+    loss = np.inf
+    for _ in range(rounds):
+        weight = 1 / np.maximum(np.abs(y - z @ b), eps)
+        b = np.linalg.lstsq((z * weight[:, None]).T @ z, z.T @ (weight * y) - pull, rcond=None)[0]
+        now = float(np.abs(y - z @ b).sum() + pull @ b)
+        if loss - now < 1e-7 * max(abs(now), 1e-300):
+            if eps <= 1e-7 * unit:
+                return b / scale
+            eps /= 4
+        loss = min(loss, now)
+    raise RuntimeError(f"the median regression did not settle in {rounds} rounds")
+
+
+def median_regression(d: DataFrame, value: str, terms: list[str], rows: int = 200_000, passes: int = 20, seed: int = 42, least: int = 1) -> dict[str, np.ndarray]:
+    """Coefficients by sample of value ~ 1 + terms at the median, over all rows.
+
+    A sample of up to `rows` rows is fitted in one task. Of a larger one, a fit on `rows` rows of smallest hash says which
+    residuals are near 0; only those rows meet in a task, while each row beyond the band adds its sign times its terms to a
+    sum (a linear pull on the coefficients). If a pass over the table finds that no row beyond the band changed its
+    side, the fit is that of all rows; else the band grows. It is an error if that does not settle in `passes`. Samples of
+    fewer than `least` rows are left out.
     """
     names = ["_one", *terms]
     k = len(names)
-    base = d.withColumn("_one", F.lit(1.0)).select("sample_id", F.col(value).alias("_y"), *names).cache()
-    beta: dict[str, np.ndarray] = {}
+    base = d.withColumn("_one", F.lit(1.0)).select("sample_id", F.col(value).cast("double").alias("_y"), *[F.col(n).cast("double").alias(n) for n in names])
+    base = base.withColumn("_u", F.pmod(F.xxhash64(F.lit(seed), "_y", *terms, F.monotonically_increasing_id()), F.lit(1 << 40)) / F.lit(float(1 << 40))).cache()
+    schema = "sample_id string, b array<double>, width double"
+
+    def solved(part: DataFrame, shares: dict[str, float], pulls: dict[str, list[float]]) -> dict[str, tuple[np.ndarray, float]]:
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            name = pdf["sample_id"].iloc[0]
+            x, y = pdf[names].to_numpy(float), pdf["_y"].to_numpy(float)
+            b = _least_absolute(x, y, np.asarray(pulls.get(name, [0.0] * k)))
+            return pd.DataFrame({"sample_id": [name], "b": [b.tolist()], "width": [float(np.quantile(np.abs(y - x @ b), min(1.0, shares.get(name, 1.0))))]})
+
+        return {r["sample_id"]: (np.array(r["b"]), r["width"]) for r in part.groupBy("sample_id").applyInPandas(run, schema).collect()}  # a row for each sample
+
     try:
-        for _ in range(rounds):
-            known = d.sparkSession.createDataFrame([(s, b.tolist()) for s, b in beta.items()], "sample_id string, _b array<double>")
-            now = base.join(F.broadcast(known), "sample_id", "left")  # a row for each sample; as data, so that each round runs the same compiled plan
-            fit = sum((F.col(n) * F.get("_b", F.lit(i)) for i, n in enumerate(names)), F.lit(0.0))
-            weight = F.coalesce(1 / F.greatest(F.abs(F.col("_y") - fit), F.lit(1e-6)), F.lit(1.0))
-            sums = [F.sum(weight * F.col(a) * F.col(b)) for i, a in enumerate(names) for b in names[i:]] + [F.sum(weight * F.col(a) * F.col("_y")) for a in names]
-            rows = now.groupBy("sample_id").agg(*[s.alias(f"s{i}") for i, s in enumerate(sums)]).collect()
-            moved = 0.0
-            for r in rows:
-                v = [float(x) for x in r[1:]]
-                m = np.zeros((k, k))
-                m[np.triu_indices(k)] = v[: k * (k + 1) // 2]
-                m = m + m.T - np.diag(np.diag(m))
-                new = np.linalg.lstsq(m, np.array(v[k * (k + 1) // 2 :]), rcond=None)[0]
-                old = beta.get(r["sample_id"])
-                moved = max(moved, np.inf if old is None else float((np.abs(new - old) / np.maximum(1.0, np.abs(old))).max()))
-                beta[r["sample_id"]] = new
-            if not rows or moved < close:
-                break
+        counts = {r[0]: r[1] for r in base.groupBy("sample_id").count().collect() if r[1] >= least}
+        share = {s: rows / n for s, n in counts.items()}
+        known = d.sparkSession.createDataFrame(list(share.items()), "sample_id string, _share double") if share else None
+        if known is None:
+            return {}
+        fits = solved(base.join(F.broadcast(known), "sample_id").where(F.col("_u") < F.col("_share")), share, {})
+        done = {s: fits[s][0] for s in counts if counts[s] <= rows}
+        open_ = {s: fits[s] for s in counts if s not in done and s in fits}
+        for _ in range(passes):
+            if not open_:
+                return done
+            at = d.sparkSession.createDataFrame([(s, b.tolist(), w) for s, (b, w) in open_.items()], "sample_id string, _b array<double>, _w double")
+            far = base.join(F.broadcast(at), "sample_id").withColumn("_r", F.col("_y") - sum((F.col(n) * F.get("_b", F.lit(i)) for i, n in enumerate(names)), F.lit(0.0)))
+            beyond = F.abs("_r") > F.col("_w")
+            sums = far.where(beyond).groupBy("sample_id").agg(*[F.sum(-F.signum("_r") * F.col(n)).alias(n) for n in names]).collect()
+            pulls = {r["sample_id"]: [float(r[n]) for n in names] for r in sums}
+            new = solved(far.where(~beyond), {}, pulls)
+            after = d.sparkSession.createDataFrame([(s, b.tolist()) for s, (b, _) in new.items()], "sample_id string, _n array<double>")
+            side = F.signum(F.col("_y") - sum((F.col(n) * F.get("_n", F.lit(i)) for i, n in enumerate(names)), F.lit(0.0)))
+            crossed = {r[0] for r in far.where(beyond).join(F.broadcast(after), "sample_id").where(side != F.signum("_r")).select("sample_id").distinct().collect()}
+            done |= {s: new[s][0] for s in open_ if s not in crossed}
+            open_ = {s: (new[s][0], 2 * w) for s, (_, w) in open_.items() if s in crossed}
+        raise RuntimeError(f"the median regression did not settle in {passes} passes")
     finally:
         base.unpersist()
-    return beta
 
 
 def corrected_by_regression(d: DataFrame, doutlier: float = 0.001, min_mappability: float = 0.9, eps_quantile: float = 0.01, value: str = "depth") -> DataFrame:
@@ -140,109 +221,121 @@ def corrected_by_regression(d: DataFrame, doutlier: float = 0.001, min_mappabili
     With repli, its first and second power join; map filters windows. Predictions stop at the eps quantile of the positive
     ones; the sample's median is kept. Windows without depth or under the mappability are null.
     """
+    with held(d):
+        return _by_regression(d, doutlier, min_mappability, eps_quantile, value)
+
+
+def _by_regression(d: DataFrame, doutlier: float, min_mappability: float, eps_quantile: float, value: str) -> DataFrame:
     names = ["gc", "gc2"] + (["repli", "repli2"] if "repli" in d.columns else [])
     x = d.withColumn("gc2", F.col("gc") * F.col("gc"))
     if "repli" in d.columns:
         x = x.withColumn("repli2", F.col("repli") * F.col("repli"))
-    x = x.persist()
-    ends = x.groupBy("sample_id").agg(F.percentile("gc", doutlier).alias("_lo"), F.percentile("gc", 1 - doutlier).alias("_hi"))
-    fit = x.join(F.broadcast(ends), "sample_id").where((F.col(value) > 0) & F.col("gc").between(F.col("_lo"), F.col("_hi")))
+    ends = _fixed(x.groupBy("sample_id").agg(F.percentile("gc", doutlier).alias("_lo"), F.percentile("gc", 1 - doutlier).alias("_hi")))
+    fit = x.join(ends, "sample_id").where((F.col(value) > 0) & F.col("gc").between(F.col("_lo"), F.col("_hi")))
     if "map" in d.columns:
         fit = fit.where(F.col("map") >= min_mappability)
     if "repli" in d.columns:
         fit = fit.where("repli is not null")
-    enough = {r[0] for r in fit.groupBy("sample_id").count().where("count >= 10").collect()}
-    beta = {s: b for s, b in median_regression(fit.where(F.col("sample_id").isin([*enough])) if enough else fit.where("false"), value, names).items()}
-    if not beta:
-        return d.withColumn("corrected", F.col(value).cast("double"))
-    flat = [y for s, b in beta.items() for y in (F.lit(s), F.array(*map(F.lit, map(float, b))))]
-    coefficients = F.create_map(*flat)[F.col("sample_id")]
-    predicted = F.get(coefficients, F.lit(0)) + sum((F.coalesce(F.col(n), F.lit(0.0) if n.startswith("repli") else F.col(n)) * F.get(coefficients, F.lit(i + 1)) for i, n in enumerate(names)), F.lit(0.0))
-    x = x.withColumn("_p", predicted)
-    eps = x.where("_p > 0").groupBy("sample_id").agg(F.percentile("_p", eps_quantile).alias("_eps"))
-    x = x.join(F.broadcast(eps), "sample_id", "left").withColumn("_eps", F.coalesce("_eps", F.lit(1.0)))
+    beta = median_regression(fit, value, names, least=10)
+    known = d.sparkSession.createDataFrame([(s, list(map(float, b))) for s, b in beta.items()], "sample_id string, _b array<double>")
+    x = x.join(F.broadcast(known), "sample_id", "left")  # a row for each sample
+    x = x.withColumn("_p", F.get("_b", F.lit(0)) + sum((F.coalesce(F.col(n), F.lit(0.0) if n.startswith("repli") else F.col(n)) * F.get("_b", F.lit(i + 1)) for i, n in enumerate(names)), F.lit(0.0)))
+    eps = _fixed(x.where("_p > 0").groupBy("sample_id").agg(F.percentile("_p", eps_quantile).alias("_eps")))
+    x = x.join(eps, "sample_id", "left").withColumn("_eps", F.coalesce("_eps", F.lit(1.0)))
     good = F.col(value) > 0
     if "map" in d.columns:
         good = good & ~F.coalesce(F.col("map") < min_mappability, F.lit(False))
     x = x.withColumn("corrected", F.when(good, F.col(value) / F.greatest(F.coalesce("_p", "_eps"), F.col("_eps"))))
-    out = _rescaled(x, value, "corrected").withColumn("corrected", F.when(F.col("sample_id").isin([*beta]), F.col("corrected")).otherwise(F.col(value).cast("double")))
+    out = _rescaled(x, value, "corrected").withColumn("corrected", F.when(F.col("_b").isNotNull(), F.col("corrected")).otherwise(F.col(value).cast("double")))
     return out.select(*d.columns, "corrected")
 
 
-def lowess(x: np.ndarray, y: np.ndarray, at: np.ndarray, frac: float, rounds: int = 3) -> np.ndarray:
-    """Locally weighted linear fits with bisquare robustness, evaluated at `at` (within or beyond the x)."""
-    order = np.argsort(x, kind="stable")
-    x, y = x[order], y[order]
+#: Fixed values of the smoother: reweightings, the ends of the tricube and bisquare weights, and the spread of x under which a window is level.
+REWEIGHTINGS, NEAR, FAR, LEVEL = 3, 0.001, 0.999, 0.001
+
+
+def lowess(x: np.ndarray, y: np.ndarray, frac: float, reweightings: int = REWEIGHTINGS, cells: int = 200_000) -> np.ndarray:
+    """The fitted value at each of the rising x: lines through the frac n nearest points with tricube weights, and
+    bisquare weights of the residuals `reweightings` times (Cleveland 1979). Points are worked on `cells` numbers at a time."""
     n = len(x)
-    k = max(2, min(n, int(np.ceil(frac * n))))
-    robust = np.ones(n)
-
-    def fit(points: np.ndarray) -> np.ndarray:
-        out = np.empty(len(points))
-        left = np.clip(np.searchsorted(x, points) - k // 2, 0, n - k)
-        for i, p in enumerate(points):
-            a = left[i]
-            while a + k < n and x[a + k] - p < p - x[a]:
-                a += 1
-            while a > 0 and p - x[a - 1] < x[a + k - 1] - p:
-                a -= 1
-            xs, ys = x[a : a + k], y[a : a + k]
-            far = max(abs(p - xs[0]), abs(xs[-1] - p), 1e-12)
-            w = (1 - np.minimum(1, np.abs(xs - p) / (far * 1.001)) ** 3) ** 3 * robust[a : a + k]
-            total = w.sum()
-            if total <= 0:
-                out[i] = ys.mean()
-                continue
-            mx, my = (w * xs).sum() / total, (w * ys).sum() / total
-            sxx = (w * (xs - mx) ** 2).sum()
-            out[i] = my + ((w * (xs - mx) * (ys - my)).sum() / sxx * (p - mx) if sxx > 1e-12 * far * far * total else 0.0)
-        return out
-
-    grid = x if n <= 400 else np.quantile(x, np.linspace(0, 1, 400))
-    grid = np.unique(grid)
-    for r in range(rounds):
-        at_grid = fit(grid)
-        if r == rounds - 1:
-            break
-        rest = np.abs(y - np.interp(x, grid, at_grid))
-        scale = 6 * np.median(rest)
-        if scale <= 0:
-            break
-        robust = np.clip(1 - (rest / scale) ** 2, 0, None) ** 2
-    return fit(at) if len(at) <= 2000 else np.interp(at, grid, at_grid)
+    k = min(n, max(2, int(frac * n + 1e-10)))
+    left = np.searchsorted((x[: n - k] + x[k:]) / 2, x, side="left")  # a window moves on while the point beyond is nearer than its first
+    radius = np.maximum(x - x[left], x[left + k - 1] - x)
+    robust, out = np.ones(n), np.empty(n)
+    step = max(1, cells // k)
+    for turn in range(reweightings + 1):
+        for a in range(0, n, step):
+            at = left[a : a + step, None] + np.arange(k)
+            xs, here, r = x[at], x[a : a + step, None], np.maximum(radius[a : a + step, None], 1e-300)
+            far = np.abs(xs - here) / r
+            w = np.where(far <= NEAR, 1.0, np.where(far >= FAR, 0.0, (1 - np.minimum(far, 1) ** 3) ** 3)) * robust[at]
+            total = w.sum(axis=1, keepdims=True)
+            w = w / np.where(total > 0, total, 1)
+            middle = (w * xs).sum(axis=1, keepdims=True)
+            spread = (w * (xs - middle) ** 2).sum(axis=1, keepdims=True)
+            slope = np.where(np.sqrt(spread) > LEVEL * (x[-1] - x[0]), (here - middle) / np.where(spread > 0, spread, 1), 0.0)
+            fit = (w * (1 + slope * (xs - middle)) * y[at]).sum(axis=1)
+            out[a : a + step] = np.where(total[:, 0] > 0, fit, y[a : a + step])
+        if turn < reweightings:
+            rest = np.abs(y - out)
+            middle = np.median(rest)
+            far = rest / (6 * middle) if middle > 0 else (rest > 0).astype(float)
+            robust = np.where(far <= NEAR, 1.0, np.where(far >= FAR, 0.0, (1 - np.minimum(far, 1) ** 2) ** 2))
+    return out
+
+
+def along(at: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Linear interpolation between rising x, carried on beyond their ends."""
+    k = np.clip(np.searchsorted(x, at, side="right") - 1, 0, len(x) - 2)
+    return y[k] + (y[k + 1] - y[k]) * (at - x[k]) / (x[k + 1] - x[k])
 
 
 def _curve(x: np.ndarray, y: np.ndarray, grid: np.ndarray, tight: float, smooth: float) -> np.ndarray:
     """A tight fit on mean y by distinct x, smoothed over the grid."""
     ux, inverse = np.unique(x, return_inverse=True)
     uy = np.bincount(inverse, y) / np.bincount(inverse)
-    return lowess(grid, lowess(ux, uy, grid, tight), grid, smooth)
+    return lowess(grid, along(grid, ux, lowess(ux, uy, tight)), smooth)
+
+
+def drawn(rows: DataFrame, part: str, keys: list[str], most: int | None, seed: int) -> DataFrame:
+    """At most `most` rows of each part, those of smallest hash of the keys; all of them where `most` is None.
+
+    A cut on the hash leaves few more than that, so that no task orders a whole part.
+    """
+    if most is None:
+        return rows
+    h = rows.withColumn("_h", F.xxhash64(F.lit(seed), *keys))
+    sizes = h.groupBy(part).agg(F.count("*").alias("_c"))
+    unit = F.pmod("_h", F.lit(1 << 40)) / F.lit(float(1 << 40))
+    h = h.join(F.broadcast(sizes), part).where(unit * F.col("_c") <= most + 10 * F.sqrt(F.lit(float(most))) + 50)  # a row for each sample
+    order = W.partitionBy(part).orderBy(F.pmod("_h", F.lit(1 << 40)), *keys)
+    return h.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= most).drop("_n", "_h", "_c")
 
 
-def lowess_stage(d: DataFrame, value: str, covariate: str, out: str, low_high: tuple[float, float] | None = None, sample: int = 50_000, routlier: float = 0.01, doutlier: float = 0.001, tight: float = 0.03, smooth: float = 0.3, grid: int = 1001, seed: int = 42, ideal=None) -> DataFrame:
+def lowess_stage(d: DataFrame, value: str, covariate: str, out: str, low_high: tuple[float, float] | None = None, sample: int | None = 50_000, routlier: float = 0.01, doutlier: float = 0.001, tight: float = 0.03, smooth: float = 0.3, grid: int = 1001, seed: int = 42, ideal=None) -> DataFrame:
     """`out` = value over its LOWESS curve on the covariate, by sample, with the sample's median kept.
 
-    The curve is fitted on at most `sample` ideal windows of each sample, those of smallest hash (a documented bound), and
-    comes back as `grid` points; prediction joins each value with the two grid points around it, in Spark.
+    The curve is fitted on at most `sample` ideal windows of each sample, those of smallest hash (None: on all), and
+    comes back as `grid` points, a row for each sample; prediction joins each value with the two grid points around it, in
+    Spark.
     """
-    d = d.persist()  # read four times below, and once more for each later stage
     valid = (F.col(value) > 0) & F.col(covariate).isNotNull()
-    ends = d.groupBy("sample_id").agg(F.percentile(covariate, doutlier).alias("_lo"), F.percentile(covariate, 1 - doutlier).alias("_hi"), F.percentile(F.when(valid, F.col(value)), 1 - routlier).alias("_top"))
-    fit = d.join(F.broadcast(ends), "sample_id").where(valid & F.col(covariate).between(F.col("_lo"), F.col("_hi")) & (F.col(value) <= F.col("_top")))
+    ends = _fixed(d.groupBy("sample_id").agg(F.percentile(covariate, doutlier).alias("_lo"), F.percentile(covariate, 1 - doutlier).alias("_hi"), F.percentile(F.when(valid, F.col(value)), 1 - routlier).alias("_top")))
+    fit = d.join(ends, "sample_id").where(valid & F.col(covariate).between(F.col("_lo"), F.col("_hi")) & (F.col(value) <= F.col("_top")))
     if ideal is not None:
         fit = fit.where(ideal)
-    draw = F.row_number().over(W.partitionBy("sample_id").orderBy(F.xxhash64(F.lit(seed), "chrom", "start"), "chrom", "start"))
-    picked = fit.withColumn("_n", draw).where(F.col("_n") <= sample).select("sample_id", F.col(covariate).cast("double").alias("x"), F.col(value).cast("double").alias("y"), "_lo", "_hi")
+    picked = drawn(fit.select("sample_id", "chrom", "start", F.col(covariate).cast("double").alias("x"), F.col(value).cast("double").alias("y"), "_lo", "_hi"), "sample_id", ["chrom", "start"], sample, seed)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi = low_high or (pdf["_lo"].iloc[0], pdf["_hi"].iloc[0])
         points = np.linspace(lo, hi, grid)
         if len(pdf) < 10 or pdf["x"].nunique() < 2 or hi <= lo:
-            return pd.DataFrame({"sample_id": [], "lo": [], "step": [], "curve": []})
+            return pd.DataFrame({c: [] for c in ("sample_id", "lo", "step", "curve")}, dtype=object)
+        pdf = pdf.sort_values(["x", "y"])  # sums in one order
         return pd.DataFrame({"sample_id": [pdf["sample_id"].iloc[0]], "lo": [lo], "step": [(hi - lo) / (grid - 1)], "curve": [_curve(pdf["x"].to_numpy(), pdf["y"].to_numpy(), points, tight, smooth).tolist()]})
 
     curves = picked.groupBy("sample_id").applyInPandas(run, "sample_id string, lo double, step double, curve array<double>")
-    x = d.join(F.broadcast(curves), "sample_id", "left")  # a row of `grid` numbers for each sample
+    x = d.join(_fixed(curves), "sample_id", "left")
     at = (F.col(covariate) - F.col("lo")) / F.col("step")
     k = F.greatest(F.lit(0), F.least(F.lit(grid - 2), F.floor(at))).cast("int")
     a, b = F.get("curve", k), F.get("curve", k + 1)
@@ -251,13 +344,14 @@ def lowess_stage(d: DataFrame, value: str, covariate: str, out: str, low_high: t
     return _rescaled(x, value, out).select(*d.columns, out) if out not in d.columns else _rescaled(x, value, out).select(*d.columns)
 
 
-def corrected_by_lowess(d: DataFrame, min_mappability: float = 0.9, sample: int = 50_000, seed: int = 42) -> DataFrame:
-    """d with `corrected`: LOWESS stages on gc, then map and repli where there are such columns."""
+def corrected_by_lowess(d: DataFrame, min_mappability: float = 0.9, sample: int | None = 50_000, seed: int = 42, **fit) -> DataFrame:
+    """d with `corrected`: LOWESS stages on gc, then map and repli where there are such columns. `fit` goes to each stage."""
     ideal = (F.col("map") >= min_mappability) if "map" in d.columns else None
-    x = lowess_stage(d, "depth", "gc", "corrected", (0.0, 1.0), sample, seed=seed, ideal=ideal)
-    for k, (c, ends) in enumerate((("map", (0.0, 1.0)), ("repli", None)), 1):
-        if c in d.columns:
-            x = lowess_stage(x.withColumnRenamed("corrected", "_before"), "_before", c, "corrected", ends, sample, seed=seed + k).drop("_before")
+    with held(d):
+        x = lowess_stage(d, "depth", "gc", "corrected", (0.0, 1.0), sample, seed=seed, ideal=ideal, **fit)
+        for k, (c, ends) in enumerate((("map", (0.0, 1.0)), ("repli", None)), 1):
+            if c in d.columns:
+                x = lowess_stage(x.withColumnRenamed("corrected", "_before"), "_before", c, "corrected", ends, sample, seed=seed + k, **fit).drop("_before")
     return x
 
 
@@ -265,10 +359,9 @@ def rmse(d: DataFrame, value: str, predicted: str) -> DataFrame:
     return d.where((F.col(value) > 0) & F.col(predicted).isNotNull()).groupBy("sample_id").agg(F.sqrt(F.avg(F.pow(F.col(value) - F.col(predicted), 2))).alias("rmse"))
 
 
-def density(d: DataFrame, x: str, y: str, points: int = 20_000, size: int = 200, seed: int = 42) -> DataFrame:
-    """(sample_id, i, j, x, y, density): a Gaussian kernel estimate on a size x size grid from at most `points` rows a sample, those of smallest hash."""
-    draw = F.row_number().over(W.partitionBy("sample_id").orderBy(F.xxhash64(F.lit(seed), x, y), x, y))
-    picked = d.where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumn("_n", draw).where(F.col("_n") <= points).select("sample_id", F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+def density(d: DataFrame, x: str, y: str, points: int | None = 20_000, size: int = 200, seed: int = 42) -> DataFrame:
+    """(sample_id, i, j, x, y, density): a Gaussian kernel estimate on a size x size grid from at most `points` rows a sample, those of smallest hash (None: from all)."""
+    picked = drawn(d.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select("sample_id", F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")), "sample_id", ["x", "y"], points, seed)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         n = len(pdf)

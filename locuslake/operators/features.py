@@ -68,6 +68,26 @@ def missing_barcodes(x: DataFrame, barcodes: DataFrame) -> DataFrame:
     return barcodes.select("barcode").distinct().join(x.select("barcode").distinct(), "barcode", "left_anti")
 
 
+def listed(x: DataFrame, barcodes: DataFrame) -> DataFrame:
+    """Rows of x (one for each barcode) in the order of a list (barcode, row_id); a listed barcode without a row is an error when rows are read."""
+    d = barcodes.select("barcode", "row_id").join(x.withColumn("_there", F.lit(True)), "barcode", "left")
+    lost = F.when(F.col("_there").isNull(), F.raise_error(F.concat(F.lit("no row for barcode "), F.col("barcode"))).cast("string")).otherwise(F.col("barcode"))
+    return d.withColumn("barcode", lost).orderBy("row_id").select(*x.columns)
+
+
+def replicate_index(cells: DataFrame, replicates: DataFrame) -> DataFrame:
+    """cells with rep_index, the place of their rep_id in the list (rep_id, rep_index); one that is not listed is an error when rows are read."""
+    d = cells.join(F.broadcast(replicates.select("rep_id", F.col("rep_index").alias("_i"))), "rep_id", "left")  # a row for each replicate of the sheet
+    lost = F.raise_error(F.concat(F.lit("unknown replicate "), F.coalesce(F.col("rep_id"), F.lit("null")))).cast("int")
+    return d.withColumn("rep_index", F.coalesce("_i", lost).cast("int")).drop("_i")
+
+
+def counted_by_block(placed: DataFrame, blocks_: DataFrame, block_id: str = "bin_id") -> DataFrame:
+    """blocks with n_features, the number of features placed in each, 0 where none."""
+    per = placed.groupBy(block_id).agg(F.count("*").alias("n_features"))
+    return blocks_.join(per, block_id, "left").fillna(0, ["n_features"])
+
+
 def coordinates(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     """rows (chrom, pos0) with x, the position along the genome: chromosomes of `sizes` one after the other."""
     before = W.orderBy("chrom_ord").rowsBetween(W.unboundedPreceding, -1)

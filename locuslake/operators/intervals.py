@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from locuslake.schema import sort_chroms
+
 BUCKET = 1 << 16
 
 
@@ -186,3 +188,13 @@ def wes_windows(targets: DataFrame, regions: DataFrame, blacklist: DataFrame, wi
     """Windows of exome data: merged targets, tiled, without any that touches the blacklist or lies outside the regions."""
     tiles = tiled(merged(targets, "gene"), width)
     return region_by_midpoint(without_overlap(tiles, blacklist, bucket), regions, bucket=bucket).where("region_id is not null")
+
+
+def in_order(df: DataFrame, by_name: bool = False) -> DataFrame:
+    """Intervals by chromosome and start; by the chromosome's name as text where `by_name`."""
+    return df.orderBy("chrom", "start") if by_name else sort_chroms(df, "start")
+
+
+def unassigned(windows: DataFrame, region_id: str = "region_id", n: int = 30) -> DataFrame:
+    """The first `n` windows without a region, for a report."""
+    return windows.where(F.col(region_id).isNull()).orderBy("chrom", "start").limit(n)

@@ -29,8 +29,24 @@ def deep_enough(counts: DataFrame, n_samples: int, least: int = 1) -> DataFrame:
 
 
 def balanced(normal: DataFrame, gamma: float = 0.05) -> DataFrame:
-    """SNPs of the normal sample whose reference share may be a half."""
-    return normal.where(het_balanced(F.col("dp") - F.col("ad"), F.col("ad"), gamma)).select(*KEY)
+    """SNPs of the normal sample whose reference share may be a half; each pair of counts that occurs is tested once."""
+    fair = normal.select("dp", "ad").distinct().where(het_balanced(F.col("dp") - F.col("ad"), F.col("ad"), gamma))
+    return normal.join(fair, ["dp", "ad"], "left_semi").select(*KEY)
+
+
+def in_features(snps: DataFrame, features: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """SNPs inside any feature (chrom, start, stop)."""
+    return points_in_intervals(snps, features, [], how="left_semi", bucket=bucket)
+
+
+def exonic(annotated_: DataFrame) -> DataFrame:
+    """Annotated SNPs of feature type exon."""
+    return annotated_.where("feature_type = 'exon'")
+
+
+def with_feature(snps: DataFrame, features: DataFrame, feature_id: str = "feature_id", bucket: int = BUCKET) -> DataFrame:
+    """SNPs with the id of the first feature that holds them, null where none does."""
+    return first_interval(snps, features, feature_id, KEY, bucket=bucket)
 
 
 def all_of(snps: DataFrame, *masks: DataFrame) -> DataFrame:

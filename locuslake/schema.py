@@ -41,3 +41,9 @@ def sort_chroms(df: DataFrame, *then: str, chrom: str = "chrom") -> DataFrame:
     """Rows in chromosome order and by the columns `then`; an unknown chromosome is an error when the rows are read."""
     known = F.when(chrom_ord(F.col(chrom)).isNull(), F.raise_error(F.concat(F.lit("unknown chromosome "), F.coalesce(F.col(chrom), F.lit("null"))))).otherwise(chrom_ord(F.col(chrom)))
     return df.orderBy(known, *then)
+
+
+def standard(df: DataFrame, sizes: DataFrame, chrom: str = "chrom") -> DataFrame:
+    """Rows on the known chromosomes that the genome's table of sizes has too."""
+    there = sizes.select(F.col("chrom").alias(chrom)).where(chrom_ord(F.col(chrom)).isNotNull()).distinct()
+    return df.join(there, chrom, "left_semi")
