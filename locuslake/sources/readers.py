@@ -1,13 +1,19 @@
 """Text sources as DataFrames: variants, intervals, gene models, genetic maps, matrices, fragments, sheets.
 
 All are declared plans over Spark's csv and text readers with explicit schemas; gzip is read as it is. A file's
-row order, where it matters, is kept in `row_id`.
+row order, where it matters, is kept in `row_id`. Matrices are long tables: dense or sparse numpy archives, MatrixMarket folders and
+annotated matrices kept as Parquet; HDF5 files need a library that is not at hand and are converted to one of these before.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from locuslake import schema as S
 from locuslake.functions.columns import format_map, info_map, phase_of, simplify_label
@@ -20,15 +26,39 @@ def _tsv(spark: SparkSession, path, schema, comment: str | None = "#", sep: str
     return reader.csv(path)
 
 
-def vcf(spark: SparkSession, path, add_chr: bool = True) -> DataFrame:
-    """Variants with info and first-sample format fields as maps, pos0, key, gt and phase; 8 columns or 10 and more."""
+def lines(spark: SparkSession, path) -> DataFrame:
+    """(row_id, value): the lines of a text numbered from 0, without a task that sees them all."""
+    d = spark.read.text(path).withColumn("_id", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_id", 33))
+    sizes = d.groupBy("_part").agg(F.count("*").alias("_n"))
+    ahead = sizes.select("_part", F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_ahead"))
+    return d.join(F.broadcast(ahead), "_part").select((F.col("_ahead") + F.col("_id").bitwiseAND((1 << 33) - 1)).alias("row_id"), "value")  # a row for each split
+
+
+def vcf(spark: SparkSession, path, add_chr: bool = True, presorted: bool = True) -> DataFrame:
+    """Variants with info and first-sample format fields as maps, pos0, key, gt and phase; 8 columns or 10 and more.
+
+    Where the first row has no chr prefix, all rows get one. Rows are put in the order of chromosome, position and file
+    unless `presorted`; a file without rows gives an empty table.
+    """
     d = _tsv(spark, path, S.VCF)
-    chrom = S.with_chr(F.col("chrom")) if add_chr else F.col("chrom")
+    first = d.select("chrom").head(1)
+    chrom = S.with_chr(F.col("chrom")) if add_chr and first and not str(first[0][0]).startswith("chr") else F.col("chrom")
     d = d.withColumn("chrom", chrom).withColumn("chrom_ord", S.chrom_ord(F.col("chrom"))).withColumn("row_id", F.monotonically_increasing_id())
     d = d.withColumn("pos0", F.col("pos") - 1).withColumn("key", F.concat_ws("_", "chrom", F.col("pos").cast("string")))
     d = d.withColumn("info", info_map(F.col("info"))).withColumn("fields", F.when(F.col("format").isNotNull(), format_map(F.col("format"), F.col("sample"))))
     d = d.withColumn("gt", F.try_element_at("fields", F.lit("GT")))
-    return d.withColumn("phase", F.when(F.col("gt").contains("|"), phase_of(F.col("gt"))))
+    d = d.withColumn("phase", F.when(F.col("gt").contains("|"), phase_of(F.col("gt"))))
+    return d if presorted else d.orderBy("chrom_ord", "pos", "row_id")
+
+
+def vcfs(spark: SparkSession, paths: list[str], **options) -> DataFrame:
+    """Several variant files under one another; row_id counts within a file."""
+    return reduce(DataFrame.unionByName, [vcf(spark, p, **options) for p in paths])
+
+
+def panel_sites(variants: DataFrame) -> DataFrame:
+    """(chrom, pos) of the single-base variants of a reference panel."""
+    return variants.where((F.length("ref") == 1) & (F.length("alt") == 1)).select("chrom", "pos")
 
 
 def chrom_sizes(spark: SparkSession, path) -> DataFrame:
@@ -101,6 +131,68 @@ def matrix_market(spark: SparkSession, path) -> DataFrame:
     return d.join(F.broadcast(first), F.col("n") > F.col("first")).select((p[0].cast("long") - 1).alias("row_id"), (p[1].cast("long") - 1).alias("col_id"), p[2].cast("long").alias("value"))  # one row
 
 
+def npz(spark: SparkSession, path, name: str = "mat", rows: int = 4096) -> DataFrame:
+    """(row_id, col_id, value double) of the cells other than 0 of numpy archives: a dense array `name`, or a matrix
+    stored by rows (data, indices, indptr). An archive is read in one task and leaves it `rows` rows at a time."""
+    import io
+
+    import numpy as np
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column("content"):
+                held = np.load(io.BytesIO(content.as_py()), allow_pickle=False)
+                if name not in held and bytes(held["format"].tobytes()).replace(b"\0", b"") != b"csr":
+                    raise ValueError("a sparse archive must be stored by rows")
+                n = len(held[name]) if name in held else len(held["indptr"]) - 1
+                for a in range(0, n, rows):
+                    if name in held:
+                        part = np.atleast_2d(held[name])[a : a + rows] if held[name].ndim > 1 else held[name][a : a + rows, None]
+                        i, j = np.nonzero(part)
+                        value = part[i, j]
+                    else:
+                        ends = held["indptr"][a : a + rows + 1]
+                        i, j, value = np.repeat(np.arange(len(ends) - 1), np.diff(ends)), held["indices"][ends[0] : ends[-1]], held["data"][ends[0] : ends[-1]]
+                    yield pa.RecordBatch.from_arrays([pa.array((i + a).astype(np.int64)), pa.array(j.astype(np.int64)), pa.array(value.astype(np.float64))], ["row_id", "col_id", "value"])
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "row_id long, col_id long, value double").where("value <> 0")
+
+
+def matrix(spark: SparkSession, path) -> DataFrame:
+    """A long matrix as writers.matrix leaves it."""
+    return spark.read.parquet(path)
+
+
+def annotated_matrix(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """obs (barcodes), var (features) and x (barcode, feature_id, value) as writers.annotated_matrix leaves them."""
+    return {part: spark.read.parquet(f"{folder}/{part}") for part in ("obs", "var", "x")}
+
+
+def feature_matrix(spark: SparkSession, folder: str, rep_id: str | None = None, listed: DataFrame | None = None) -> DataFrame:
+    """(barcode, feature_id, value) of a folder of matrix.mtx.gz, features.tsv.gz and barcodes.tsv.gz, features by row; of listed
+    barcodes only, where there is a list (without replicate), named {barcode}_{rep_id} where a replicate is given."""
+    cells = lines(spark, f"{folder}/barcodes.tsv.gz").select(F.col("row_id").alias("col_id"), F.trim("value").alias("barcode"))
+    if listed is not None:
+        cells = cells.join(listed.select("barcode").distinct(), "barcode", "left_semi")
+    if rep_id:
+        cells = cells.withColumn("barcode", F.concat_ws("_", "barcode", F.lit(rep_id)))
+    kinds = lines(spark, f"{folder}/features.tsv.gz").select("row_id", F.split("value", "\t")[0].alias("feature_id"))
+    return matrix_market(spark, f"{folder}/matrix.mtx.gz").join(cells, "col_id").join(kinds, "row_id").select("barcode", "feature_id", "value")
+
+
+#: Where a fragments file may lie in a sample's folder, the first that is there.
+FRAGMENT_FILES = ("atac_fragments.tsv.gz", "fragments.tsv.gz")
+
+
+def fragments_of(spark: SparkSession, folder: str, whitelist: DataFrame | None = None) -> DataFrame:
+    jvm = spark.sparkContext._jvm
+    for name in FRAGMENT_FILES:
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            return fragments(spark, f"{folder}/{name}", whitelist)
+    raise FileNotFoundError(f"none of {', '.join(FRAGMENT_FILES)} in {folder}")
+
+
 def fragments(spark: SparkSession, path, whitelist: DataFrame | None = None) -> DataFrame:
     d = _tsv(spark, path, "chrom string, start long, stop long, barcode string, count long")
     return d.join(whitelist.select("barcode").distinct(), "barcode", "left_semi") if whitelist is not None else d
@@ -119,8 +211,6 @@ def map_rows(d: DataFrame) -> DataFrame:
 
 def shapeit_map(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """(chrom, pos, cm) of one tab-separated map for each chromosome."""
-    from functools import reduce
-
     return reduce(DataFrame.unionByName, [_tsv(spark, p, "pos long, rate double, cm double", None, "\t", True).select(F.lit(c).alias("chrom"), "pos", "cm") for c, p in paths.items()])
 
 

@@ -2,29 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
+
+from locuslake.schema import LONG_MATRIX
+
+# The lines above the variants.
+HEADER = [
+    "##fileformat=VCFv4.2",
+    '##INFO=<ID=AD,Number=1,Type=Integer,Description="alternative reads">',
+    '##INFO=<ID=DP,Number=1,Type=Integer,Description="reads">',
+    '##INFO=<ID=OTH,Number=1,Type=Integer,Description="reads of other bases">',
+    '##FORMAT=<ID=GT,Number=1,Type=String,Description="genotype">',
+]
+NAMES = "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tSAMPLE"
 
 
 def tsv(df: DataFrame, path: str, header: bool = True) -> None:
-    df.write.option("sep", "\t").option("header", header).option("compression", "gzip").option("quote", "").csv(path)
+    # a comment mark that no table holds: else a header that starts with # would be quoted
+    df.write.option("sep", "\t").option("header", header).option("compression", "gzip").option("quote", "").option("comment", "\x01").csv(path)
 
 
 def bed3(df: DataFrame, path: str) -> None:
     tsv(df.select("chrom", "start", "stop"), path, header=False)
 
 
-def variants(calls: DataFrame, path: str) -> None:
-    """Variant lines by chromosome and position, one folder a chromosome; info and gt must be columns."""
+def variants(calls: DataFrame, path: str, header: list[str] | None = None) -> None:
+    """Variant lines by chromosome and position, one folder a chromosome, each file with the header's lines (without the
+    line of column names, which is added); info and gt must be columns."""
     line = F.concat_ws("\t", "chrom", (F.col("pos0") + 1).cast("string"), "snp_id", "ref", "alt", F.lit("."), F.lit("PASS"), "info", F.lit("GT"), "gt")
     d = calls.select(F.col("chrom").alias("by_chrom"), "pos0", line.alias("value"))
+    top = [*(HEADER if header is None else header), NAMES]
+    lead = calls.select(F.col("chrom").alias("by_chrom")).distinct().select("by_chrom", F.posexplode(F.array(*map(F.lit, top))).alias("pos0", "value"))
+    d = lead.withColumn("pos0", F.col("pos0").cast("long") - len(top)).unionByName(d)
     d.repartition("by_chrom").sortWithinPartitions("by_chrom", "pos0").drop("pos0").write.partitionBy("by_chrom").option("compression", "gzip").text(path)
 
 
+def eagle_map(maps: DataFrame, path: str) -> None:
+    """A genetic map (chrom, pos, cm) as space-separated text with a header, X as 23; the rate is that to the next position of the chromosome."""
+    w = W.partitionBy("chrom").orderBy("pos")
+    rate = F.coalesce((F.lead("cm").over(w) - F.col("cm")) / (F.lead("pos").over(w) - F.col("pos")) * 1e6, F.lit(0.0))
+    number = F.when(F.col("chrom") == "chrX", "23").otherwise(F.substring("chrom", 4, 9))
+    d = maps.select(number.alias("chr"), F.col("pos").alias("position"), rate.alias("COMBINED_rate(cM/Mb)"), F.col("cm").alias("Genetic_Map(cM)"), F.col("chrom").alias("_c"))
+    d.repartition("_c").sortWithinPartitions("_c", "position").drop("_c").write.option("sep", " ").option("header", True).option("compression", "gzip").csv(path)
+
+
 def matrix(df: DataFrame, path: str) -> None:
     df.write.parquet(path)
 
 
+def annotated_matrix(obs: DataFrame, var: DataFrame, x: DataFrame, folder: str) -> None:
+    """Barcodes, features and their long matrix beside one another."""
+    for name, df in (("obs", obs), ("var", var), ("x", x)):
+        df.write.parquet(f"{folder}/{name}")
+
+
+def empty_matrix(spark: SparkSession) -> DataFrame:
+    """The matrix that stands for one that a mode does not make."""
+    return spark.createDataFrame([], LONG_MATRIX)
+
+
 def stamped(path: str, run_id: str | None) -> str:
     """path with the run's id before its extensions."""
     folder, slash, name = path.rpartition("/")
