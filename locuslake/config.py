@@ -32,6 +32,7 @@ class Phase:
 
 @dataclass(frozen=True)
 class Depth:
+    method: str = "median"  # or lowess
     routlier: float = 0.01
     doutlier: float = 0.001
     min_mappability: float = 0.9

@@ -15,11 +15,11 @@ ROLES = {
         cast(floor(max(pos0) / 500.0) as bigint) % 2 as phase from [obs] group by chrom, chrom_ord, pos0""",
     "snp_sample": """select chrom, chrom_ord, pos0, sample_id, cast(sum(dp) as bigint) as dp, cast(sum(ad) as bigint) as ad from [obs] group by chrom, chrom_ord, pos0, sample_id""",
     "region": """select distinct concat('chr', cast(s_suppkey % 22 + 1 as string)) as chrom, cast(0 as bigint) as start, cast(400000 as bigint) as stop, concat('p', cast(s_suppkey % 22 + 1 as string)) as region_id from {supplier}
-        union all select distinct concat('chr', cast(s_suppkey % 22 + 1 as string)), cast(450000 as bigint), cast(20000000 as bigint), concat('q', cast(s_suppkey % 22 + 1 as string)) from {supplier}""",
-    "win": """select distinct chrom, chrom_ord, cast(floor(pos0 / 4000.0) as bigint) * 4000 as start, cast(floor(pos0 / 4000.0) as bigint) * 4000 + 4000 as stop,
+        union all select distinct concat('chr', cast(s_suppkey % 22 + 1 as string)), cast(450000 as bigint), (select greatest(cast(1000000 as bigint), max(l_partkey * 500 + l_suppkey * 3) + 1) from {lineitem}), concat('q', cast(s_suppkey % 22 + 1 as string)) from {supplier}""",
+    "win": """select distinct chrom, chrom_ord, cast(floor(pos0 / 4000.0) as bigint) * 4000 as start, cast(floor(pos0 / 4000.0) as bigint) * 4000 + case when cast(floor(pos0 / 4000.0) as bigint) % 9 = 4 then 3000 else 4000 end as stop,
         ((cast(floor(pos0 / 4000.0) as bigint) * 37 + chrom_ord * 11) % 61 + 20) / 100.0e0 as gc, ((cast(floor(pos0 / 4000.0) as bigint) * 13 + chrom_ord) % 20 + 81) / 100.0e0 as map,
         ((cast(floor(pos0 / 4000.0) as bigint) * 7 + chrom_ord) % 100) / 10.0e0 as repli
-        from [obs] where cast(floor(pos0 / 4000.0) as bigint) % 9 <> 4""",
+        from [obs]""",
     "depth": """select w.chrom, w.chrom_ord, w.start, w.stop, w.gc, w.map, w.repli, o.sample_id, cast(sum(o.dp) as double) as depth
         from [win] w join [obs] o on w.chrom = o.chrom and cast(floor(o.pos0 / 4000.0) as bigint) * 4000 = w.start group by w.chrom, w.chrom_ord, w.start, w.stop, w.gc, w.map, w.repli, o.sample_id""",
     "gene": """select concat('chr', cast(p_partkey % 22 + 1 as string)) as chrom, p_partkey * 500 - p_size * 10 as start, p_partkey * 500 + p_size * 800 as stop,
@@ -29,7 +29,7 @@ ROLES = {
     "score": """select concat('chr', cast(p_partkey % 22 + 1 as string)) as chrom, p_partkey * 500 as start, p_partkey * 500 + 5000 as stop, cast(p_size % 11 as double) / 8 as score from {part}""",
     "knot": """select distinct c.chrom, k.pos, k.cm from (select distinct chrom from [obs]) c cross join
         (select distinct (p_partkey % 150) * 100000 + 50000 as pos, ((p_partkey % 150) * (p_partkey % 150 + 7)) / 1000.0e0 as cm from {part}) k""",
-    "cellcount": """select concat('B', cast(cell as string)) as barcode, sample_id as rep_id, concat('F', cast(k3 % 200 as string)) as feature_id, cast(sum(dp) as bigint) as value from [obs] where k3 % 7 <> 0 group by 1, 2, 3""",
+    "cellcount": """select concat('B', cast(cell as string)) as barcode, sample_id as rep_id, concat('F', cast(k3 % 200 as string)) as feature_id, cast(sum(dp) as bigint) as value from [obs] group by 1, 2, 3""",
     "size": """select distinct concat('chr', cast(s_suppkey % 22 + 1 as string)) as chrom, cast(s_suppkey % 22 + 1 as int) as chrom_ord, 1000000 + (s_suppkey % 22 + 1) * 1000 as size from {supplier}""",
     "variant": """select chrom, pos0, case when pos0 % 5 = 0 then '0|1' when pos0 % 5 = 1 then '1|0' when pos0 % 5 = 2 then '0/1' when pos0 % 5 = 3 then '1/1' else '0/0' end as gt from [snp]""",
     "read": """select chrom, pos0 as start, pos0 + dp * 20 as stop, sample_id from [obs]""",

@@ -7,9 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from locuslake.config import Bins, Config, Phase
 from locuslake.functions import columns as C
 from locuslake.operators import binning, counts, depth, features, genetics, genotype, intervals, masks
+from locuslake.plans import stages
 from locuslake.plans.fixtures import ctes, role
+from locuslake.plans.tables import scratch
+from locuslake.schema import standard
+from locuslake.sources import readers, writers
 
 BUCKET = 1 << 14  # for these roles' intervals of 2 to 60 kb
 
@@ -143,7 +148,7 @@ def allele_freq_pseudobulk(obs):
     select g.chrom || ':' || g.start::varchar as bin_id, g.sample_id, coalesce(sum(s.dp), 0)::bigint as dp, coalesce(sum(s.ad), 0)::bigint as ad from g left join s using (chrom, start, sample_id) group by 1, 2""")
 def bin_aggregate(snp_sample, win):
     w = win.withColumn("bin_id", F.concat_ws(":", "chrom", F.col("start").cast("string")))
-    return counts.binned(intervals.points_in_intervals(snp_sample, w, ["bin_id"], bucket=BUCKET), w, "bin_id", ["sample_id"], ["dp", "ad"])
+    return counts.binned_grid(intervals.points_in_intervals(snp_sample, w, ["bin_id"], bucket=BUCKET), w, "bin_id", ["sample_id"], ["dp", "ad"])
 
 
 @query("snp", """with s as (select chrom, phase, sum(case when phase = 1 then dp - ad else ad end)::bigint as b, sum(dp)::bigint as dp from snp group by chrom, phase)
@@ -169,6 +174,32 @@ def allele_pileup(obs):
     return counts.pileup(obs.select("chrom", "pos0", F.col("cell").alias("barcode"), F.col("k1").alias("umi"), base.alias("base"), F.lit("A").alias("ref"), F.lit("C").alias("alt")))
 
 
+@query("obs", """with r as (select distinct chrom, pos0, cell as barcode, k1 as umi, case k2 % 4 when 0 then 'A' when 1 then 'C' when 2 then 'G' else 'A' end as base from obs),
+    p as (select chrom, pos0, barcode, count(*) filter (base in ('A', 'C')) as dp, count(*) filter (base = 'C') as ad, count(*) filter (base not in ('A', 'C')) as oth from r group by chrom, pos0, barcode),
+    s as (select chrom, pos0 from p group by 1, 2 having sum(dp) + sum(oth) >= 3 and sum(dp) > 0 and least(sum(ad), sum(dp) - sum(ad))::double / sum(dp)::double >= 0.25::double)
+    select p.* from p join s using (chrom, pos0)""")
+def filtered_pileup(obs):
+    base = F.when(F.col("k2") % 4 == 1, "C").when(F.col("k2") % 4 == 2, "G").otherwise("A")
+    return counts.pileup(obs.select("chrom", "pos0", F.col("cell").alias("barcode"), F.col("k1").alias("umi"), base.alias("base"), F.lit("A").alias("ref"), F.lit("C").alias("alt")), 3, 0.25)
+
+
+@query("cellcount", "select distinct barcode || '_' || rep_id as barcode, rep_id from cellcount")
+def barcode_union(cellcount):
+    return counts.barcodes_of({r: cellcount.where(F.col("rep_id") == r).select("barcode").distinct() for r in ("A", "N", "R")})
+
+
+@query("snp_sample win", """select w.chrom || ':' || w.start::varchar as bin_id, s.sample_id, sum(s.dp)::bigint as dp, sum(s.ad)::bigint as ad from snp_sample s join win w on s.chrom = w.chrom and s.pos0 >= w.start and s.pos0 < w.stop group by 1, 2""")
+def bin_aggregate_sparse(snp_sample, win):
+    w = win.withColumn("bin_id", F.concat_ws(":", "chrom", F.col("start").cast("string")))
+    return counts.binned(intervals.points_in_intervals(snp_sample, w, ["bin_id"], bucket=BUCKET), "bin_id", ["sample_id"], ["dp", "ad"])
+
+
+@query("variant", "select chrom, pos0, gt from variant where gt like '%1%' and pos0 % 50 >= 20 and pos0 % 31 >= 10")
+def quality_filter(variant):
+    d = variant.withColumns({"ref": F.lit("A"), "alt": F.lit("C"), "qual": (F.col("pos0") % 50).cast("string"), "dp": F.col("pos0") % 31})
+    return genotype.quality(d, 20, 10).select("chrom", "pos0", "gt")
+
+
 # ---- masks -----------------------------------------------------------------------------------------
 
 
@@ -211,6 +242,21 @@ def feature_annotation(snp, gene, exon):
     return masks.annotated(snp, gene, exon, BUCKET).select("chrom", "pos0", "gene_id", "feature_type")
 
 
+@query("snp gene exon", "select distinct s.chrom, s.pos0 from snp s join gene g on g.chrom = s.chrom and s.pos0 >= g.start and s.pos0 < g.stop")
+def feature_mask(snp, gene, exon):
+    return masks.in_features(snp, gene, BUCKET).select("chrom", "pos0")
+
+
+@query("snp exon", "select distinct s.chrom, s.pos0 from snp s join exon x on x.chrom = s.chrom and s.pos0 >= x.start and s.pos0 < x.stop")
+def exon_mask(snp, exon):
+    return masks.exonic(masks.annotated(snp, exon, exon, BUCKET)).select("chrom", "pos0")
+
+
+@query("snp gene", "select s.chrom, s.pos0, min_by(g.gene_id, (g.start, g.stop, g.gene_id)) as feature_id from snp s left join gene g on s.chrom = g.chrom and s.pos0 >= g.start and s.pos0 < g.stop group by 1, 2")
+def snp_feature(snp, gene):
+    return masks.with_feature(snp, gene.withColumnRenamed("gene_id", "feature_id"), bucket=BUCKET).select("chrom", "pos0", "feature_id")
+
+
 @query("snp region", """with d as (select s.chrom, s.pos0, r.region_id, r.start as a, r.stop as z, lag(s.pos0) over w as p, lead(s.pos0) over w as n from snp s join region r on r.chrom = s.chrom and s.pos0 >= r.start and s.pos0 < r.stop window w as (partition by r.region_id order by s.pos0))
     select chrom, pos0, region_id, coalesce(ceil((p + pos0) / 2.0)::bigint, a) as start, coalesce(ceil((pos0 + n) / 2.0)::bigint, z) as stop from d""")
 def snp_boundaries(snp, region):
@@ -285,6 +331,16 @@ def interval_map_mean(win, score):
     return intervals.mean_over(win, score, "score", "mappability", BUCKET).select("chrom", "start", F.round("mappability", 9).alias("mappability"))
 
 
+@query("win size", "select w.chrom, w.start, w.stop from win w where w.chrom in (select chrom from size)")
+def standard_chroms(win, size):
+    return standard(win, size).select("chrom", "start", "stop")
+
+
+@query("win region", "select w.chrom, w.start from win w left join region r on r.chrom = w.chrom and (w.start + w.stop) // 2 >= r.start and (w.start + w.stop) // 2 < r.stop where r.region_id is null order by w.chrom, w.start limit 30")
+def unassigned_windows(win, region):
+    return intervals.unassigned(intervals.region_by_midpoint(win, region, bucket=1 << 22)).select("chrom", "start")
+
+
 TILES = """with l as (select *, stop - start as len, ceil((stop - start) / 3001.0)::bigint as n0 from gene),
     m as (select *, case when n0 > 1 and len - (n0 - 1) * 3001 < 1500 then n0 - 1 else n0 end as n from l), t as (select *, unnest(range(0, n)) as i from m)"""
 
@@ -336,16 +392,15 @@ def wes_windows(gene, region, blacklist):
     return intervals.wes_windows(gene.withColumn("gene", F.col("gene_id")), region, blacklist, 267, 1 << 16).select("chrom", "start", "stop", "gene", "region_id")
 
 
-@query("blacklist region", """with p as (select r.chrom, r.region_id, r.start as a, 1000000::bigint as z from region r where r.start = 450000),
-    b as (select distinct p.*, b.start as s, b.stop as e from p join blacklist b on b.chrom = p.chrom and b.start < p.z and p.a < b.stop),
+@query("blacklist region", """with b as (select distinct p.chrom, p.region_id, p.start as a, p.stop as z, b.start as s, b.stop as e from region p join blacklist b on b.chrom = p.chrom and b.start < p.stop and p.start < b.stop),
     m as (select *, max(e) over (partition by region_id order by s, e rows between unbounded preceding and 1 preceding) as q from b),
-    g as (select chrom, coalesce(greatest(q, a), a) as start, least(s, z) as stop from m union all select chrom, greatest(max(e), any_value(a)), any_value(z) from b group by chrom, region_id
-      union all select chrom, a, z from p where region_id not in (select region_id from b)),
+    g as (select chrom, region_id, coalesce(greatest(q, a), a) as start, least(s, z) as stop from m union all select chrom, region_id, greatest(max(e), any_value(a)), any_value(z) from b group by chrom, region_id
+      union all select chrom, region_id, start, stop from region where region_id not in (select region_id from b)),
     l as (select *, stop - start as len, ceil((stop - start) / 1000.0)::bigint as n0 from g where start < stop), n as (select *, case when n0 > 1 and len - (n0 - 1) * 1000 < 500 then n0 - 1 else n0 end as n from l),
     t as (select *, unnest(range(0, n)) as i from n)
-    select chrom, start + i * 1000 as start, case when i = n - 1 then stop else start + (i + 1) * 1000 end as stop, 'q' || substr(chrom, 4) as region_id from t""")
+    select chrom, start + i * 1000 as start, case when i = n - 1 then stop else start + (i + 1) * 1000 end as stop, region_id from t""")
 def wgs_windows(blacklist, region):
-    return intervals.wgs_windows(region.where("start = 450000").withColumn("stop", F.lit(1_000_000).cast("long")), blacklist, 1000, 1 << 20)
+    return intervals.wgs_windows(region, blacklist, 1000, 1 << 20)
 
 
 # ---- features and labels -------------------------------------------------------------------------------
@@ -379,17 +434,23 @@ def tile_matrix(obs):
     return features.tiles(obs.select(F.concat(F.lit("B"), F.col("cell").cast("string")).alias("barcode"), "chrom", F.col("pos0").alias("start")), 200_000)
 
 
-@query("cellcount", "select feature_id, barcode, rep_id, value from cellcount where rep_id = 'A' or (rep_id = 'N' and value > 60)")
+# in replicate R a fifth of the features goes by other names, so that not all replicates have all
+NAMED = "u as (select case when rep_id = 'R' and feature_id like '%7' then feature_id || 'r' else feature_id end as feature_id, barcode, rep_id, value from cellcount)"
+
+
+def _named(cellcount):
+    own = F.when((F.col("rep_id") == "R") & F.col("feature_id").endswith("7"), F.concat("feature_id", F.lit("r"))).otherwise(F.col("feature_id"))
+    return {r: cellcount.where(F.col("rep_id") == r).select(own.alias("feature_id"), "barcode", "value") for r in ("A", "N", "R")}
+
+
+@query("cellcount", f"with {NAMED} select feature_id, barcode, rep_id, value from u")
 def concat_outer(cellcount):
-    parts = {"A": cellcount.where("rep_id = 'A'"), "N": cellcount.where("rep_id = 'N' and value > 60")}
-    return features.outer({k: v.drop("rep_id") for k, v in parts.items()}).select("feature_id", "barcode", "rep_id", "value")
+    return features.outer(_named(cellcount)).select("feature_id", "barcode", "rep_id", "value")
 
 
-@query("cellcount", """with u as (select * from cellcount where rep_id = 'A' or (rep_id = 'N' and value > 60)), f as (select feature_id from u group by 1 having count(distinct rep_id) = 2)
-    select feature_id, barcode, rep_id, value from u where feature_id in (select feature_id from f)""")
+@query("cellcount", f"with {NAMED}, f as (select feature_id from u group by 1 having count(distinct rep_id) = 3) select feature_id, barcode, rep_id, value from u where feature_id in (select feature_id from f)")
 def concat_inner(cellcount):
-    parts = {"A": cellcount.where("rep_id = 'A'"), "N": cellcount.where("rep_id = 'N' and value > 60")}
-    return features.inner({k: v.drop("rep_id") for k, v in parts.items()}).select("feature_id", "barcode", "rep_id", "value")
+    return features.inner(_named(cellcount)).select("feature_id", "barcode", "rep_id", "value")
 
 
 @query("cellcount gene", "with m as (select 'B' || (start % 300)::varchar as src, max_by(brand, (start, gene_id)) as tgt from gene group by 1) select m.tgt as barcode, c.feature_id, sum(c.value)::bigint as value from cellcount c join m on c.barcode = m.src group by 1, 2")
@@ -404,6 +465,35 @@ def barcode_semi(cellcount):
     return features.restricted(cellcount, listed).select("barcode", "feature_id", "rep_id", "value")
 
 
+@query("cellcount", "select barcode, feature_id, rep_id, value, case rep_id when 'A' then 0 when 'N' then 1 else 2 end as rep_index from cellcount")
+def replicate_index(cellcount):
+    reps = cellcount.sparkSession.createDataFrame([("A", 0), ("N", 1), ("R", 2)], "rep_id string, rep_index int")
+    return features.replicate_index(cellcount, reps).select("barcode", "feature_id", "rep_id", "value", "rep_index")
+
+
+@query("cellcount", "select barcode, sum(value)::bigint as value, row_number() over (order by barcode desc) - 1 as place from cellcount group by 1")
+def listed_barcodes(cellcount):
+    from pyspark.sql import Window as W
+
+    total = cellcount.groupBy("barcode").agg(F.sum("value").alias("value"))
+    order = total.select("barcode", (F.row_number().over(W.orderBy(F.desc("barcode"))) - 1).cast("long").alias("row_id"))
+    return features.listed(total.join(order.withColumnRenamed("row_id", "place"), "barcode"), order).select("barcode", "value", "place")
+
+
+@query("cellcount", "select 'B' || i::varchar as barcode from range(0, 600) t(i) where 'B' || i::varchar not in (select barcode from cellcount)")
+def missing_barcodes(cellcount):
+    wanted = cellcount.sparkSession.range(600).select(F.concat(F.lit("B"), F.col("id").cast("string")).alias("barcode"))
+    return features.missing_barcodes(cellcount, wanted)
+
+
+@query("gene region", """with o as (select g.gene_id, r.region_id, least(g.stop, r.stop) - greatest(g.start, r.start) as ov, r.start from gene g join region r on g.chrom = r.chrom and g.start < r.stop and r.start < g.stop),
+    b as (select gene_id, region_id from (select *, row_number() over (partition by gene_id order by ov desc, start) as r from o) where r = 1) select r.region_id as bin_id, count(b.gene_id) as n_features from region r left join b using (region_id) group by 1""")
+def features_by_block(gene, region):
+    blocks = region.withColumnRenamed("region_id", "bin_id")
+    placed = features.blocks(gene.withColumn("feature_id", F.col("gene_id")), blocks, bucket=1 << 22)
+    return features.counted_by_block(placed, blocks).select("bin_id", "n_features")
+
+
 @query("snp", "select chrom, pos0, ad::varchar as ad, 'true' as somatic, dp::varchar as dp from snp")
 def info_map(snp):
     info = F.concat(F.lit("AD="), F.col("ad").cast("string"), F.lit(";SOMATIC;DP="), F.col("dp").cast("string"))
@@ -460,12 +550,12 @@ def adaptive_bins(snp):
     return binning.by_reads(d, ["chrom"], ["pos0"], ["dp"], 1000, 10).select("chrom", "pos0", "local_bin")
 
 
-@query("snp win", """recursive with v as (select w.chrom, w.start as pos0, count(s.pos0) as ns, coalesce(sum(s.dp), 0)::bigint as reads from win w left join snp s on s.chrom = w.chrom and s.pos0 >= w.start and s.pos0 < w.stop group by 1, 2),
+@query("snp win", """recursive with v as (select w.chrom, w.start as pos0, w.stop, count(s.pos0) as ns, coalesce(sum(s.dp), 0)::bigint as reads from win w left join snp s on s.chrom = w.chrom and s.pos0 >= w.start and s.pos0 < w.stop group by 1, 2, 3),
     r as (select *, row_number() over (partition by chrom order by pos0) as i, count(*) over (partition by chrom) as n from v),
-    w as (select chrom, i, pos0, n, reads as acc, ns as k, 0::bigint as b, pos0 as s from r where i = 1
-      union all select r.chrom, r.i, r.pos0, r.n, case when (w.acc >= 1000 and w.k >= 40) or w.pos0 + 4000 - w.s >= 48000 then r.reads else w.acc + r.reads end, case when (w.acc >= 1000 and w.k >= 40) or w.pos0 + 4000 - w.s >= 48000 then r.ns else w.k + r.ns end,
-        case when (w.acc >= 1000 and w.k >= 40) or w.pos0 + 4000 - w.s >= 48000 then w.b + 1 else w.b end, case when (w.acc >= 1000 and w.k >= 40) or w.pos0 + 4000 - w.s >= 48000 then r.pos0 else w.s end from w join r on r.chrom = w.chrom and r.i = w.i + 1),
-    z as (select chrom, case when ((acc >= 1000 and k >= 40) or pos0 + 4000 - s >= 48000) and b > 0 then b else greatest(b - 1, 0) end as fin from w where i = n)
+    w as (select chrom, i, pos0, n, reads as acc, ns as k, 0::bigint as b, pos0 as s, stop as e from r where i = 1
+      union all select r.chrom, r.i, r.pos0, r.n, case when (w.acc >= 1000 and w.k >= 40) or w.e - w.s >= 48000 then r.reads else w.acc + r.reads end, case when (w.acc >= 1000 and w.k >= 40) or w.e - w.s >= 48000 then r.ns else w.k + r.ns end,
+        case when (w.acc >= 1000 and w.k >= 40) or w.e - w.s >= 48000 then w.b + 1 else w.b end, case when (w.acc >= 1000 and w.k >= 40) or w.e - w.s >= 48000 then r.pos0 else w.s end, r.stop from w join r on r.chrom = w.chrom and r.i = w.i + 1),
+    z as (select chrom, case when ((acc >= 1000 and k >= 40) or e - s >= 48000) and b > 0 then b else greatest(b - 1, 0) end as fin from w where i = n)
     select w.chrom, w.pos0 as start, least(w.b, z.fin) as local_bin from w join z using (chrom)""")
 def adaptive_window_bins(snp, win):
     per = intervals.points_in_intervals(snp, win, ["start"], bucket=BUCKET).groupBy("chrom", "start").agg(F.count("*").alias("n_snps"), F.sum("dp").alias("dp"))
@@ -501,7 +591,9 @@ def top_flips(snp):
     m as (select chrom, start, ps from (select *, row_number() over (partition by chrom, start order by c desc, ps) as r from s) where r = 1), j as (select w.chrom, w.chrom_ord, w.start, m.ps from win w left join m using (chrom, start))
     select chrom, start, last_value(ps ignore nulls) over (order by chrom_ord, start rows unbounded preceding) as ps from j""")
 def window_phase_mode_ffill(snp, win):
-    hit = intervals.points_in_intervals(snp.where("pos0 % 4 = 0").withColumn("ps", F.col("dp") % 5), win, ["start"], bucket=BUCKET)
+    # all SNPs are read; three in four have no phase set
+    ps = F.when(F.col("pos0") % 4 == 0, F.col("dp") % 5)
+    hit = intervals.points_in_intervals(snp.withColumn("ps", ps), win, ["start"], bucket=BUCKET)
     w = win.select("chrom", "chrom_ord", "start").join(binning.mode_by_window(hit, ["chrom", "start"], "ps"), ["chrom", "start"], "left")
     return binning.filled_forward(w, ["ps"], "chrom_ord", ["start"]).select("chrom", "start", "ps")
 
@@ -514,6 +606,17 @@ def depth_statistics(depth_):
     return depth.statistics(depth_).withColumn("mean_depth", F.round("mean_depth", 9))
 
 
+@query("depth win", "select d.chrom, d.start, d.stop, d.sample_id, d.depth, w.gc, w.map from depth d left join (select * from win where start % 3 = 0) w using (chrom, start, stop)")
+def window_merge(depth_, win):
+    some = win.where("start % 3 = 0").select("chrom", "start", "stop", "gc", "map")  # a third of the windows have covariates
+    return depth.with_windows(depth_.select("chrom", "start", "stop", "sample_id", "depth"), some).select("chrom", "start", "stop", "sample_id", "depth", "gc", "map")
+
+
+@query("depth", "select sample_id, round(sqrt(avg(pow(depth - gc * 100, 2))), 6) as rmse from depth where depth > 0 and gc is not null group by 1")
+def fit_rmse(depth_):
+    return depth.rmse(depth_.withColumn("p", F.col("gc") * 100), "depth", "p").withColumn("rmse", F.round("rmse", 6))
+
+
 BINS = "b as (select chrom, start // 40000 as bin_id, sample_id, sum(depth * (stop - start)) / sum(stop - start) as depth from depth group by 1, 2, 3)"
 
 
@@ -641,10 +744,8 @@ def switchprob_ps(snp):
 
 @query("knot", "select case when c in ('23', 'chr23') then 'chrX' when c like 'chr%' then c else 'chr' || c end as chrom, pos, cm from (select case when chrom = 'chr1' then '23' when chrom = 'chr2' then 'Un' else substr(chrom, 4) end as c, pos, cm from knot) where c <> 'Un'")
 def genetic_map_rows(knot):
-    from locuslake.sources.readers import map_rows
-
     c = F.when(F.col("chrom") == "chr1", "23").when(F.col("chrom") == "chr2", "Un").otherwise(F.substring("chrom", 4, 9))
-    return map_rows(knot.withColumn("chrom", c))
+    return readers.map_rows(knot.withColumn("chrom", c))
 
 
 # ---- stages --------------------------------------------------------------------------------------------
@@ -657,6 +758,244 @@ def genetic_map_rows(knot):
     select ahead + lb as bin_id, x.sample_id, sum(case when (x.pos0 // 500) % 2 = 1 then x.dp - x.ad else x.ad end)::bigint as b, sum(x.dp)::bigint as dp, sum(case when (x.pos0 // 500) % 2 = 1 then x.dp - x.ad else x.ad end)::double / sum(x.dp)::double as af
     from l join o using (region_id) join snp_sample x on x.chrom = l.chrom and x.pos0 = l.pos0 group by 1, 2""")
 def bulk_baf(snp_sample, region):
-    from locuslake.plans.stages import bulk_baf as stage
+    return stages.bulk_baf(snp_sample.withColumn("phase", F.floor(F.col("pos0") / 500) % 2), region, 20, 1 << 22)
+
+
+SINGLE = f"""with t as (select chrom, chrom_ord, pos0, sum(dp)::bigint as dp, sum(ad)::bigint as ad from obs group by 1, 2, 3), c as (select *, {GT} as gt from t), h as (select * from c where gt = '0/1'),
+    s as (select h.chrom, h.chrom_ord, h.pos0, r.region_id from h join region r on r.chrom = h.chrom and h.pos0 >= r.start and h.pos0 < r.stop),
+    n as (select *, row_number() over (partition by region_id order by pos0) - 1 as rn, count(*) over (partition by region_id) as c from s), l as (select *, least(rn // 2, greatest(c // 2 - 1, 0)) as lb from n),
+    g as (select region_id, max(lb) + 1 as k, min((chrom_ord, pos0)) as f from l group by 1), o as (select region_id, coalesce(sum(k) over (order by f rows between unbounded preceding and 1 preceding), 0)::bigint as ahead from g),
+    b as (select l.chrom, l.pos0, ahead + lb as bin_id from l join o using (region_id))"""
+
+
+def _modalities(obs):
+    cells = obs.withColumns({"barcode": F.concat(F.lit("B"), F.col("cell").cast("string")), "phase": F.floor(F.col("pos0") / 500) % 2})
+    return {"dna": cells.where("modality = 'F'"), "rna": cells.where("modality = 'O'")}
+
+
+@query("obs region gene exon", SINGLE + """
+    select b.bin_id, 'B' || x.cell::varchar || case x.modality when 'F' then '_dna' else '_rna' end as barcode, sum(case when (x.pos0 // 500) % 2 = 1 then x.dp - x.ad else x.ad end)::bigint as b, sum(x.dp)::bigint as dp,
+      sum(case when (x.pos0 // 500) % 2 = 1 then x.dp - x.ad else x.ad end)::double / sum(x.dp)::double as af from b join obs x using (chrom, pos0) group by 1, 2""")
+def single_cell_counts(obs, region, gene, exon):
+    return stages.single_cell(_modalities(obs), region, gene, exon, bucket=1 << 22)["cell_counts"]
+
+
+@query("obs region gene exon", SINGLE + """, f as (select s.chrom, s.pos0, min_by(g.gene_id, (g.start, g.stop, g.gene_id)) as gene_id from s join gene g on g.chrom = s.chrom and s.pos0 >= g.start and s.pos0 < g.stop group by 1, 2),
+    e as (select distinct s.chrom, s.pos0 from s join exon x on x.chrom = s.chrom and s.pos0 >= x.start and s.pos0 < x.stop)
+    select b.chrom, b.pos0, b.bin_id, coalesce(f.gene_id, 'intergenic') as gene_id, case when e.chrom is not null then 'exon' when f.gene_id is not null then 'intron' else 'intergenic' end as feature_type
+    from b left join f using (chrom, pos0) left join e using (chrom, pos0)""")
+def single_cell_snps(obs, region, gene, exon):
+    return stages.single_cell(_modalities(obs), region, gene, exon, bucket=1 << 22)["snps"].select("chrom", "pos0", "bin_id", "gene_id", "feature_type")
+
+
+def _copytyping(obs, region, cellcount, gene):
+    listed = cellcount.where(F.substring("barcode", 2, 9).cast("int") < 250).select("barcode").distinct()
+    cells = _modalities(obs)["dna"].unionByName(_modalities(obs)["rna"])
+    x = cellcount.select("barcode", F.concat(F.lit("G"), F.substring("feature_id", 2, 9)).alias("feature_id"), "value")
+    return stages.copytyping(cells, region.withColumnRenamed("region_id", "bin_id"), listed, x, gene.withColumnRenamed("gene_id", "feature_id"), 1 << 22)
+
+
+LISTED = "v as (select distinct barcode from cellcount where substr(barcode, 2)::int < 250)"
+
+
+@query("obs region cellcount gene", f"""with {LISTED} select r.region_id as bin_id, 'B' || x.cell::varchar as barcode, sum(case when (x.pos0 // 500) % 2 = 1 then x.dp - x.ad else x.ad end)::bigint as b, sum(x.dp)::bigint as dp,
+    case when sum(x.dp) > 0 then sum(case when (x.pos0 // 500) % 2 = 1 then x.dp - x.ad else x.ad end)::double / sum(x.dp)::double end as af
+    from obs x join region r on r.chrom = x.chrom and x.pos0 >= r.start and x.pos0 < r.stop where 'B' || x.cell::varchar in (select barcode from v) group by 1, 2""")
+def copytyping_counts(obs, region, cellcount, gene):
+    return _copytyping(obs, region, cellcount, gene)["counts"]
+
+
+@query("obs region cellcount gene", f"""with {LISTED}, o as (select g.gene_id, r.region_id, least(g.stop, r.stop) - greatest(g.start, r.start) as ov, r.start from gene g join region r on g.chrom = r.chrom and g.start < r.stop and r.start < g.stop),
+    b as (select gene_id, region_id from (select *, row_number() over (partition by gene_id order by ov desc, start) as r from o) where r = 1)
+    select b.region_id as bin_id, c.barcode, sum(c.value)::bigint as value from cellcount c join b on b.gene_id = 'G' || substr(c.feature_id, 2) where c.barcode in (select barcode from v) group by 1, 2""")
+def copytyping_features(obs, region, cellcount, gene):
+    return _copytyping(obs, region, cellcount, gene)["features"]
+
+
+# settings of the bulk stage for these tables, as its SQL has them
+BULK = Config(phase=Phase(min_depth=1), bins=Bins(min_snp_reads=300, min_snp_per_block=3, max_blocksize=400_000))
+
+BULK_SQL = f"""recursive with k as (select chrom, chrom_ord, pos0 from snp_sample group by 1, 2, 3 having count(*) = 3 and min(dp) >= 1),
+    m as (select k.* from k join (select chrom, pos0 from snp_sample where sample_id = 'N' and round({BETA.replace('(ad + 1)', '(dp - ad + 1)')}, 9) between 0.025 and 0.975) n using (chrom, pos0)
+      where exists (select 1 from region r where r.chrom = k.chrom and k.pos0 >= r.start and k.pos0 < r.stop) and not exists (select 1 from blacklist b where b.chrom = k.chrom and k.pos0 >= b.start and k.pos0 < b.stop)),
+    e as (select x.*, case when (pos0 // 500) % 2 = 1 then dp - ad else ad end as b from snp_sample x join m using (chrom, chrom_ord, pos0)),
+    q as (select *, 1 - {_tail(0.45, 'b + 1', '(dp + 1)')} > 0.975 as lo, 1 - {_tail(0.55, 'b + 1', '(dp + 1)')} < 0.025 as hi from e where sample_id <> 'N'),
+    wide as (select chrom, chrom_ord, pos0, bool_or(lo) filter (sample_id = 'A') as lo_a, bool_or(hi) filter (sample_id = 'A') as hi_a, bool_or(lo) filter (sample_id = 'R') as lo_r, bool_or(hi) filter (sample_id = 'R') as hi_r,
+      sum(dp) filter (sample_id = 'A')::bigint as dp_a, sum(dp) filter (sample_id = 'R')::bigint as dp_r from q group by 1, 2, 3),
+    inr as (select wide.*, r.region_id from wide join region r on r.chrom = wide.chrom and wide.pos0 >= r.start and wide.pos0 < r.stop),
+    f as (select *, coalesce((lag(lo_a) over w and hi_a) or (lag(hi_a) over w and lo_a) or (lag(lo_r) over w and hi_r) or (lag(hi_r) over w and lo_r), false) as flip from inr window w as (partition by region_id order by pos0)),
+    l as (select *, sum(flip::int) over (partition by region_id order by pos0)::bigint as lb from f), g as (select region_id, max(lb) + 1 as c, min((chrom_ord, pos0)) as o from l group by 1),
+    a as (select region_id, coalesce(sum(c) over (order by o rows between unbounded preceding and 1 preceding), 0)::bigint as ahead from g), pg as (select l.*, ahead + lb as phase_group from l join a using (region_id)),
+    hit as (select pg.chrom, pg.pos0, w.start, pg.phase_group, pg.dp_a, pg.dp_r from pg join win w on w.chrom = pg.chrom and pg.pos0 >= w.start and pg.pos0 < w.stop),
+    tot as (select chrom, start, count(*) as ns, sum(dp_a)::bigint as ra, sum(dp_r)::bigint as rr from hit group by 1, 2),
+    md as (select chrom, start, phase_group from (select *, row_number() over (partition by chrom, start order by c desc, phase_group) as r from (select chrom, start, phase_group, count(*) as c from hit group by 1, 2, 3)) where r = 1),
+    placed as (select w.chrom, w.chrom_ord, w.start, w.stop, r.region_id from win w join region r on r.chrom = w.chrom and (w.start + w.stop) // 2 >= r.start and (w.start + w.stop) // 2 < r.stop),
+    rows_ as (select p.*, coalesce(t.ns, 0) as ns, coalesce(t.ra, 0) as ra, coalesce(t.rr, 0) as rr, coalesce(last_value(md.phase_group ignore nulls) over (order by p.chrom_ord, p.start rows unbounded preceding), -1) as grp from placed p left join tot t using (chrom, start) left join md using (chrom, start)),
+    rn as (select *, row_number() over (partition by region_id, grp order by start) as i, count(*) over (partition by region_id, grp) as n from rows_),
+    fold as (select region_id, grp, i, n, chrom, chrom_ord, start, ra as xa, rr as xr, ns as k, 0::bigint as b, start as s, stop as e from rn where i = 1
+      union all select r.region_id, r.grp, r.i, r.n, r.chrom, r.chrom_ord, r.start, case when full_ then r.ra else f.xa + r.ra end, case when full_ then r.rr else f.xr + r.rr end, case when full_ then r.ns else f.k + r.ns end,
+        case when full_ then f.b + 1 else f.b end, case when full_ then r.start else f.s end, r.stop
+      from (select *, (xa >= 300 and xr >= 300 and k >= 3) or e - s >= 400000 as full_ from fold) f join rn r on r.region_id = f.region_id and r.grp = f.grp and r.i = f.i + 1),
+    z as (select region_id, grp, case when ((xa >= 300 and xr >= 300 and k >= 3) or e - s >= 400000) and b > 0 then b else greatest(b - 1, 0) end as fin from fold where i = n),
+    lbin as (select fold.region_id, fold.grp, fold.chrom, fold.chrom_ord, fold.start, least(fold.b, z.fin) as lb from fold join z using (region_id, grp)),
+    gb as (select region_id, grp, max(lb) + 1 as c, min((chrom_ord, start)) as o from lbin group by 1, 2), ab as (select region_id, grp, coalesce(sum(c) over (order by o rows between unbounded preceding and 1 preceding), 0)::bigint as ahead from gb),
+    bins as (select lbin.chrom, lbin.start, ahead + lb as bin_id, grp as phase_group, region_id from lbin join ab using (region_id, grp))"""
+
+
+def _bulk(snp_sample, region, blacklist, win):
+    x = snp_sample.withColumn("phase", F.floor(F.col("pos0") / 500) % 2)
+    good = stages.masked(x, region, blacklist, "N", 3, BULK, bucket=1 << 20)
+    return stages.bulk_bins(x, good, region, win, "N", ["A", "N", "R"], BULK, 1 << 20)
+
+
+@query("snp_sample region blacklist win", BULK_SQL + """
+    select bins.bin_id, e.sample_id, sum(e.b)::bigint as b, sum(e.dp)::bigint as dp, sum(e.b)::double / sum(e.dp)::double as af from hit join bins using (chrom, start) join e using (chrom, pos0) group by 1, 2""")
+def bulk_bin_counts(snp_sample, region, blacklist, win):
+    return _bulk(snp_sample, region, blacklist, win)["bin_counts"]
+
+
+@query("snp_sample region blacklist win", BULK_SQL + " select chrom, start, region_id, phase_group, bin_id from bins")
+def bulk_windows(snp_sample, region, blacklist, win):
+    return _bulk(snp_sample, region, blacklist, win)["windows"].select("chrom", "start", "region_id", "phase_group", "bin_id")
+
+
+@query("snp_sample region blacklist win depth knot")
+def bulk_ratios(snp_sample, region, blacklist, win, depth_, knot):
+    x = snp_sample.withColumn("phase", F.floor(F.col("pos0") / 500) % 2)
+    return stages.bulk(x, region, blacklist, win, depth_.select("chrom", "start", "stop", "sample_id", "depth"), knot, "N", BULK, 1 << 20)["ratios"]
+
+
+# ---- files written and read back ------------------------------------------------------------------------
+
+
+def _text(df, *columns, sep="\t"):
+    """A folder with the columns as lines of text."""
+    path = scratch(df.sparkSession, "text")
+    df.select(F.concat_ws(sep, *[F.col(c).cast("string") if isinstance(c, str) else c for c in columns]).alias("value")).write.text(path)
+    return path
+
+
+@query("snp", "select chrom, pos0, ad::varchar as ad, dp::varchar as dp, '0/1' as gt from snp")
+def read_variants(snp):
+    path = scratch(snp.sparkSession, "vcf")
+    writers.variants(genotype.vcf_lines(snp.withColumns({"oth": F.lit(0), "ref": F.lit("A"), "alt": F.lit("C"), "gt": F.lit("0/1")})), path)
+    d = readers.vcf(snp.sparkSession, f"{path}/*")
+    return d.select("chrom", "pos0", d["info"]["AD"].alias("ad"), d["info"]["DP"].alias("dp"), "gt")
+
+
+@query("win", "select chrom, start, stop from win")
+def read_bed(win):
+    path = scratch(win.sparkSession, "bed")
+    writers.bed3(win, path)
+    return readers.bed(win.sparkSession, path)
+
+
+@query("score", "select chrom, start, stop, score as value from score")
+def read_bedgraph(score):
+    return readers.bedgraph(score.sparkSession, _text(score, "chrom", "start", "stop", "score"))
+
+
+@query("depth", "select chrom, start, stop, depth, 'A' as sample_id from depth where sample_id = 'A'")
+def read_depth(depth_):
+    return readers.depth(depth_.sparkSession, _text(depth_.where("sample_id = 'A'"), "chrom", "start", "stop", "depth"), "A")
+
+
+@query("win", "select chrom, start, stop, gc, map, case when repli >= 1 then repli end as repli from win")
+def read_windows(win):
+    path = scratch(win.sparkSession, "windows")
+    named = win.select(F.col("chrom").alias("#CHR"), F.col("start").alias("START"), F.col("stop").alias("END"), F.col("gc").alias("GC"), F.col("map").alias("MAP"), F.when(F.col("repli") >= 1, F.col("repli")).alias("REPLI"))
+    writers.tsv(named, path)
+    return readers.windows(win.sparkSession, path)
+
+
+def _gtf(gene, feature):
+    attributes = F.concat(F.lit('gene_id "'), F.col("gene_id"), F.lit('"; gene_name "x";'))
+    return _text(gene, F.substring("chrom", 4, 9), F.lit("src"), F.lit(feature), F.col("start") + 1, "stop", F.lit("."), F.lit("+"), F.lit("."), attributes)
+
+
+@query("gene", "select chrom, start, stop, gene_id from gene")
+def read_genes(gene):
+    return readers.genes(gene.sparkSession, _gtf(gene, "gene")).select("chrom", "start", "stop", "gene_id")
+
+
+@query("exon", "select chrom, start, stop, gene_id from exon")
+def read_exons(exon):
+    return readers.exons(exon.sparkSession, _gtf(exon, "exon")).select("chrom", "start", "stop", "gene_id")
+
+
+@query("size", "select chrom, size from size")
+def read_chrom_sizes(size):
+    return readers.chrom_sizes(size.sparkSession, _text(size, "chrom", "size", sep="  "))
+
+
+@query("cellcount", "select distinct barcode || '_A' as barcode from cellcount")
+def read_barcodes(cellcount):
+    return readers.barcodes(cellcount.sparkSession, _text(cellcount.select("barcode").distinct(), "barcode"), "A")
+
+
+@query("cellcount", "select distinct rep_id, barcode from cellcount")
+def read_barcode_map(cellcount):
+    path = scratch(cellcount.sparkSession, "map")
+    writers.tsv(cellcount.select("rep_id", "barcode").distinct(), path)
+    return readers.barcode_map(cellcount.sparkSession, path)
+
+
+@query("obs", "select cell as row_id, k3 % 200 as col_id, sum(dp)::bigint as value from obs group by 1, 2")
+def read_matrix_market(obs):
+    x = obs.groupBy((F.col("cell") + 1).alias("i"), (F.col("k3") % 200 + 1).alias("j")).agg(F.sum("dp").alias("v"))
+    rows = x.select(F.lit(2).alias("place"), F.concat_ws(" ", "i", "j", "v").alias("value"))
+    top = obs.sparkSession.createDataFrame([(0, "%%MatrixMarket matrix coordinate integer general"), (1, "500 200 0")], "place int, value string")
+    path = scratch(obs.sparkSession, "matrix")
+    top.unionByName(rows).coalesce(1).sortWithinPartitions("place").select("value").write.text(path)  # one file, as the format has it
+    return readers.matrix_market(obs.sparkSession, path)
+
+
+@query("obs", "select chrom, pos0 as start, pos0 + 100 as stop, 'B' || cell::varchar as barcode, dp as count from obs where cell < 100")
+def read_fragments(obs):
+    b = F.concat(F.lit("B"), F.col("cell").cast("string"))
+    path = _text(obs, "chrom", "pos0", F.col("pos0") + 100, b, "dp")
+    white = obs.where("cell < 100").select(b.alias("barcode"))
+    return readers.fragments(obs.sparkSession, path, white).select("chrom", "start", "stop", "barcode", "count")
+
+
+@query("knot", "select chrom, pos, round(cm, 9) as cm from knot")
+def read_eagle_map(knot):
+    path = scratch(knot.sparkSession, "eagle")
+    writers.eagle_map(knot, path)
+    return readers.eagle_map(knot.sparkSession, path).withColumn("cm", F.round("cm", 9))
+
+
+@query("knot", "select chrom, pos, round(cm, 9) as cm from knot where chrom in ('chr1', 'chr2', 'chr3')")
+def read_shapeit_map(knot):
+    paths = {}
+    for c in ("chr1", "chr2", "chr3"):
+        paths[c] = scratch(knot.sparkSession, c)
+        writers.tsv(knot.where(F.col("chrom") == c).select(F.col("pos").alias("pos"), F.lit(1.0).alias("rate"), F.col("cm").alias("cM")), paths[c])
+    return readers.shapeit_map(knot.sparkSession, paths).withColumn("cm", F.round("cm", 9))
+
+
+@query("cellcount", "select distinct barcode, case when substr(barcode, 2)::int % 3 = 0 then 'normal' when substr(barcode, 2)::int % 3 = 1 then 'tumor' else 'immune' end as label from cellcount")
+def read_annotations(cellcount):
+    k = F.substring("barcode", 2, 9).cast("int") % 3
+    path = scratch(cellcount.sparkSession, "labels")
+    writers.tsv(cellcount.select("barcode").distinct().select(F.col("barcode").alias("Barcode"), F.when(k == 0, "NA").when(k == 1, "T1").otherwise("T1_immune").alias("Microregion_annotation")), path)
+    return readers.annotations(cellcount.sparkSession, path)
+
+
+@query("gene", "select distinct brand as gene from gene")
+def read_gene_list(gene):
+    return readers.gene_list(gene.sparkSession, _text(gene.select("brand").distinct(), "brand"))
+
+
+@query("cellcount", "select barcode, feature_id, sum(value)::bigint as value from cellcount group by 1, 2")
+def read_annotated_matrix(cellcount):
+    x = cellcount.groupBy("barcode", "feature_id").agg(F.sum("value").alias("value"))
+    path = scratch(cellcount.sparkSession, "annotated")
+    writers.annotated_matrix(x.select("barcode").distinct(), x.select("feature_id").distinct(), x, path)
+    return readers.annotated_matrix(cellcount.sparkSession, path)["x"]
+
 
-    return stage(snp_sample.withColumn("phase", F.floor(F.col("pos0") / 500) % 2), region, 20, 1 << 22)
+@query("variant", "select chrom, pos0 + 1 as pos from variant where pos0 % 3 <> 0")
+def panel_sites(variant):
+    d = variant.select("chrom", (F.col("pos0") + 1).alias("pos"), F.lit("A").alias("ref"), F.when(F.col("pos0") % 3 == 0, "CA").otherwise("C").alias("alt"))
+    return readers.panel_sites(d)

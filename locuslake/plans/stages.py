@@ -1,4 +1,7 @@
-"""The stages joined into plans: from count tables to bins with allele frequencies, depth ratios and switch probabilities."""
+"""The stages joined into plans: from count tables to bins with allele frequencies, depth ratios and switch probabilities.
+
+Where several later steps read a result, it is stored first.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +10,7 @@ from pyspark.sql import functions as F
 
 from locuslake.config import Config
 from locuslake.operators import binning, counts, depth, features, genetics, genotype, intervals, masks
+from locuslake.plans.tables import stored
 
 
 def bulk_baf(counts_: DataFrame, regions: DataFrame, snps_per_bin: int, bucket: int = intervals.BUCKET) -> DataFrame:
@@ -22,57 +26,116 @@ def bulk_baf(counts_: DataFrame, regions: DataFrame, snps_per_bin: int, bucket:
     return counts.frequencies(each, ["bin_id", "sample_id"])
 
 
-def bulk(counts_: DataFrame, regions: DataFrame, blacklist: DataFrame, windows: DataFrame, depths: DataFrame, knots: DataFrame, normal: str, cfg: Config = Config(), bucket: int = intervals.BUCKET) -> dict[str, DataFrame]:
-    """Bulk genotyping from allele counts and window depths: bins, bin_counts (b, dp, af), depth (corrected) and ratios.
+def masked(counts_: DataFrame, regions: DataFrame, blacklist: DataFrame, normal: str, n_samples: int, cfg: Config = Config(), genes: DataFrame | None = None, exons: DataFrame | None = None, bucket: int = intervals.BUCKET) -> DataFrame:
+    """(chrom, chrom_ord, pos0) of the SNPs that all masks of the bulk mode pass: regions, blacklist, depth, the normal's balance and, if asked for, exons."""
+    keys = counts_.select("chrom", "chrom_ord", "pos0").distinct()
+    found = [masks.in_regions(keys, regions, bucket), masks.outside(keys, blacklist, bucket), masks.deep_enough(counts_, n_samples, cfg.phase.min_depth), masks.balanced(counts_.where(F.col("sample_id") == normal), cfg.phase.gamma)]
+    if cfg.phase.exon_only:
+        if genes is None or exons is None:
+            raise ValueError("exon_only needs gene and exon tables")
+        found.append(masks.exonic(masks.annotated(keys, genes, exons, bucket)))
+    return masks.all_of(keys, *found)
 
-    counts_: chrom, chrom_ord, pos0, phase, sample_id, ad, dp; depths: chrom, start, stop, gc[, map, repli], sample_id, depth.
-    """
-    keys = counts_.groupBy("chrom", "chrom_ord", "pos0").agg(F.first("phase").alias("phase"))
-    samples = [r[0] for r in counts_.select("sample_id").distinct().orderBy("sample_id").collect()]
-    good = masks.all_of(keys, masks.in_regions(keys, regions, bucket), masks.outside(keys, blacklist, bucket), masks.deep_enough(counts_, len(samples), cfg.phase.min_depth), masks.balanced(counts_.where(F.col("sample_id") == normal), cfg.phase.gamma))
-    each = counts.phased(counts_.join(good.select("chrom", "pos0"), ["chrom", "pos0"], "left_semi"))
+
+def corrected(depths: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """Depths with `corrected`, by median regression or by LOWESS as the settings say."""
+    c = cfg.depth
+    if c.method == "lowess":
+        return depth.corrected_by_lowess(depths, c.min_mappability, c.fit_sample, routlier=c.routlier, doutlier=c.doutlier, tight=c.frac_tight, smooth=c.frac_smooth, grid=c.grid)
+    if c.method != "median":
+        raise ValueError(f"unknown method of correction {c.method}")
+    return depth.corrected_by_regression(depths, c.doutlier, c.min_mappability, c.eps_quantile)
+
+
+def bulk_bins(counts_: DataFrame, good: DataFrame, regions: DataFrame, windows: DataFrame, normal: str, samples: list[str], cfg: Config = Config(), bucket: int = intervals.BUCKET) -> dict[str, DataFrame]:
+    """The bins of the bulk mode: windows (with bin_id), bins, snp_bins and bin_counts (b, dp, af by bin and sample)."""
+    each = stored(counts.phased(counts_.join(good.select("chrom", "pos0"), ["chrom", "pos0"], "left_semi")), "snp_counts")
     tumours = [s for s in samples if s != normal]
     wide = each.where(F.col("sample_id") != normal).groupBy("chrom", "chrom_ord", "pos0").pivot("sample_id", tumours).agg(F.first("b").alias("b"), F.first("a").alias("a"), F.first("dp").alias("dp")).fillna(0)
     wide = intervals.points_in_intervals(wide, regions, ["region_id"], bucket=bucket)
     flips = binning.flips(wide, ["region_id"], ["pos0"], {s: (f"{s}_b", f"{s}_a") for s in tumours}, cfg.phase.epsilon, cfg.phase.alpha)
     groups = binning.phase_groups(flips, ["region_id"], ["chrom_ord", "pos0"])
-    hit = intervals.points_in_intervals(groups, windows, ["start"], bucket=bucket)
+    hit = stored(intervals.points_in_intervals(groups, windows, ["start"], bucket=bucket), "snp_windows")
     per = hit.groupBy("chrom", "start").agg(F.count("*").alias("n_snps"), F.mode("phase_group", True).alias("phase_group"), *[F.sum(f"{s}_dp").alias(s) for s in tumours])
     placed = intervals.region_by_midpoint(windows.select("chrom", "chrom_ord", "start", "stop"), regions, bucket=bucket).where("region_id is not null")
     rows = binning.filled_forward(placed.join(per, ["chrom", "start"], "left"), ["phase_group"], "chrom_ord", ["start"]).fillna(0, ["n_snps", *tumours]).fillna(-1, ["phase_group"])
     local = binning.by_reads(rows, ["region_id", "phase_group"], ["start"], tumours, cfg.bins.min_snp_reads, cfg.bins.min_snp_per_block, cfg.bins.max_blocksize)
-    win_bins = binning.numbered(local, ["region_id", "phase_group"], ["chrom_ord", "start"])
-    bins = binning.bin_bounds(win_bins, "start", ["region_id", "phase_group"])
+    win_bins = stored(binning.numbered(stored(local, "local_bins"), ["region_id", "phase_group"], ["chrom_ord", "start"]), "window_bins")
     snp_bins = hit.select("chrom", "pos0", "start").join(win_bins.select("chrom", "start", "bin_id"), ["chrom", "start"])
-    bin_counts = counts.frequencies(each.join(snp_bins, ["chrom", "pos0"]), ["bin_id", "sample_id"])
-    fixed = depth.corrected_by_regression(depths, cfg.depth.doutlier, cfg.depth.min_mappability, cfg.depth.eps_quantile)
-    whole = depth.complete_rows(fixed, ["chrom", "start"], ["corrected"], ["chrom", "start"]).withColumn("depth", F.col("corrected"))
-    bin_depth = depth.weighted(whole.join(win_bins.select("chrom", "start", "bin_id"), ["chrom", "start"]), ["bin_id", "sample_id"])
+    bin_counts = counts.frequencies(each.join(snp_bins.select("chrom", "pos0", "bin_id"), ["chrom", "pos0"]), ["bin_id", "sample_id"])
+    return {"windows": win_bins, "bins": binning.bin_bounds(win_bins, "start", ["region_id", "phase_group"]), "snp_bins": snp_bins, "bin_counts": bin_counts}
+
+
+def bulk_ratios(depths: DataFrame, win_bins: DataFrame, normal: str, cfg: Config = Config()) -> dict[str, DataFrame]:
+    """depth (corrected, by window and sample) and ratios (rdr by bin and tumour sample)."""
+    fixed = stored(corrected(stored(depths, "depths"), cfg), "corrected")
+    whole = stored(depth.complete_rows(fixed, ["chrom", "start"], ["corrected"], ["chrom", "start"]).withColumn("depth", F.col("corrected")), "complete")
+    bin_depth = stored(depth.weighted(whole.join(win_bins.select("chrom", "start", "bin_id"), ["chrom", "start"]), ["bin_id", "sample_id"]), "bin_depth")
     ratios = depth.ratio_to_normal(bin_depth, whole, normal)
     if cfg.bins.rdr_outlier > 0:
         ratios = depth.without_outliers(ratios, cfg.bins.rdr_outlier)
-    ends = snp_bins.groupBy("bin_id").agg(F.first("chrom").alias("chrom"), F.min("pos0").alias("first_pos"), F.max("pos0").alias("last_pos"))
+    return {"depth": fixed, "ratios": ratios}
+
+
+def bulk(counts_: DataFrame, regions: DataFrame, blacklist: DataFrame, windows: DataFrame, depths: DataFrame, knots: DataFrame, normal: str, cfg: Config = Config(), bucket: int = intervals.BUCKET, genes: DataFrame | None = None, exons: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Bulk genotyping from allele counts and window depths: bins, bin_counts (b, dp, af), depth (corrected) and ratios.
+
+    counts_: chrom, chrom_ord, pos0, phase, sample_id, ad, dp; windows: chrom, chrom_ord, start, stop, gc[, map, repli]; depths:
+    chrom, start, stop, sample_id, depth, and the windows' covariates unless `windows` has them.
+    """
+    samples = [r[0] for r in counts_.select("sample_id").distinct().orderBy("sample_id").collect()]
+    good = masked(counts_, regions, blacklist, normal, len(samples), cfg, genes, exons, bucket)
+    out = bulk_bins(counts_, good, regions, windows, normal, samples, cfg, bucket)
+    wanted = [c for c in ("gc", "map", "repli") if c in windows.columns and c not in depths.columns]
+    if wanted:
+        depths = depth.with_windows(depths, windows.select("chrom", "start", "stop", *wanted))
+    out |= bulk_ratios(depths, out["windows"], normal, cfg)
+    ends = out["snp_bins"].groupBy("bin_id").agg(F.first("chrom").alias("chrom"), F.min("pos0").alias("first_pos"), F.max("pos0").alias("last_pos"))
     switch = genetics.switchprobs_from_map(ends, knots, cfg.bins.nu, cfg.bins.min_switchprob, bucket)
-    return {"bins": bins.join(switch.select("bin_id", "switchprob"), "bin_id", "left"), "bin_counts": bin_counts, "depth": fixed, "ratios": ratios}
+    out["bins"] = out["bins"].join(switch.select("bin_id", "switchprob"), "bin_id", "left")
+    return out
+
 
+def single_cell(parts: dict[str, DataFrame], regions: DataFrame, genes: DataFrame, exons: DataFrame, cfg: Config = Config(), bucket: int = intervals.BUCKET, features_: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Single-cell genotyping: modalities (chrom, chrom_ord, pos0, barcode, phase, ad, dp[, oth]) merged, called, annotated, binned by SNPs and summed by cell.
 
-def single_cell(parts: dict[str, DataFrame], regions: DataFrame, genes: DataFrame, exons: DataFrame, cfg: Config = Config(), bucket: int = intervals.BUCKET) -> dict[str, DataFrame]:
-    """Single-cell genotyping: modalities (chrom, chrom_ord, pos0, barcode, phase, ad, dp) merged, called, annotated, binned by SNPs and summed by cell."""
-    bulk_ = {n: d.groupBy("chrom", "chrom_ord", "pos0").agg(F.sum("ad").alias("ad"), F.sum("dp").alias("dp")) for n, d in parts.items()}
-    merged = counts.merged_modalities(bulk_, ["ad", "dp"], ["chrom", "chrom_ord", "pos0"])
+    With features_ (feature_id, chrom, start, stop) only SNPs inside a feature stay, each with its first one.
+    """
+    other = ["oth"] if cfg.genotype.no_other else []
+    bulk_ = {n: d.groupBy("chrom", "chrom_ord", "pos0").agg(*[F.sum(c).alias(c) for c in ("ad", "dp", *other)]) for n, d in parts.items()}
+    merged = counts.merged_modalities(bulk_, ["ad", "dp", *other], ["chrom", "chrom_ord", "pos0"])
     calls = genotype.called(merged, cfg.genotype.min_het_reads, cfg.genotype.min_vaf, cfg.genotype.min_hom_dp)
-    het = masks.annotated(genotype.kept(calls, cfg.genotype.keep_hom_alt), genes, exons, bucket)
+    het = masks.annotated(genotype.kept(calls, cfg.genotype.keep_hom_alt, cfg.genotype.no_other), genes, exons, bucket)
+    if cfg.phase.exon_only:
+        het = masks.exonic(het)
+    if features_ is not None:
+        het = masks.with_feature(masks.in_features(het, features_, bucket), features_, bucket=bucket)
     inside = intervals.points_in_intervals(het, regions, ["region_id"], bucket=bucket)
     bins = binning.numbered(binning.by_number(inside, ["region_id"], ["pos0"], cfg.bins.nsnp_multi), ["region_id"], ["chrom_ord", "pos0"])
-    cells = counts.phased(counts.stacked(parts)).join(bins.select("chrom", "pos0", "bin_id"), ["chrom", "pos0"])
+    cells = counts.phased(counts.stacked({n: d.select("chrom", "pos0", "barcode", "phase", "ad", "dp") for n, d in parts.items()})).join(bins.select("chrom", "pos0", "bin_id"), ["chrom", "pos0"])
     return {"calls": calls, "snps": bins, "cell_counts": counts.frequencies(cells, ["bin_id", "barcode"])}
 
 
 def copytyping(cells: DataFrame, blocks: DataFrame, barcodes: DataFrame, matrix: DataFrame, var: DataFrame, bucket: int = intervals.BUCKET) -> dict[str, DataFrame]:
     """Copy-typing inputs: phased cell counts (chrom, pos0, barcode, phase, ad, dp) and a feature matrix summed by segment (chrom, start, stop, bin_id)."""
-    listed = features.restricted(counts.phased(cells), barcodes)
-    inside = intervals.points_in_intervals(listed, blocks, ["bin_id"], bucket=bucket)
+    kept = features.restricted(counts.phased(cells), barcodes)
+    inside = intervals.points_in_intervals(kept, blocks, ["bin_id"], bucket=bucket)
     placed = features.blocks(var, blocks, bucket=bucket).select("feature_id", "bin_id")
     total = features.restricted(matrix, barcodes).join(placed, "feature_id").groupBy("bin_id", "barcode").agg(F.sum("value").alias("value"))
-    sizes = blocks.join(placed.groupBy("bin_id").agg(F.count("*").alias("n_features")), "bin_id", "left").fillna(0, ["n_features"])
-    return {"counts": counts.frequencies(inside, ["bin_id", "barcode"]), "features": total, "blocks": sizes}
+    return {"counts": counts.frequencies(inside, ["bin_id", "barcode"]), "features": total, "blocks": features.counted_by_block(placed, blocks)}
+
+
+def tile_counts(fragments: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """Fragments of cells counted in tiles of the settings' width."""
+    return features.tiles(fragments, cfg.bins.tile)
+
+
+def run(cfg: Config, **tables) -> dict[str, DataFrame]:
+    """The stage of the settings' mode over its tables, which are the arguments of that stage."""
+    if cfg.mode == "bulk_genotyping":
+        return bulk(cfg=cfg, **tables)
+    if cfg.mode == "single_cell_genotyping":
+        return single_cell(cfg=cfg, **tables)
+    if cfg.mode == "copytyping_preprocess":
+        return copytyping(**tables)
+    raise ValueError(f"unknown mode {cfg.mode}")
