@@ -94,6 +94,20 @@ def gc_statistics(d: DataFrame, bins: int = 100) -> DataFrame:
     return cors.join(mids, "sample_id")
 
 
+def domain(d: DataFrame, column: str, outer: float = 0.001) -> DataFrame:
+    """(sample_id, low, high): the quantiles `outer` and 1 - outer of a covariate, the ends of what a fit looks at."""
+    return d.groupBy("sample_id").agg(F.percentile(column, outer).alias("low"), F.percentile(column, 1 - outer).alias("high"))
+
+
+def panel_statistics(d: DataFrame, x: str, y: str) -> DataFrame:
+    """(sample_id, mad, pearson, spearman) of a scatter panel: median distance of y to its median, and the correlations of x and y."""
+    both = d.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select("sample_id", F.col(x).alias("_x"), F.col(y).alias("_y"))
+    ranked = mid_ranks(mid_ranks(both, "sample_id", "_x", "_rx"), "sample_id", "_y", "_ry")
+    cors = ranked.groupBy("sample_id").agg(F.corr("_x", "_y").alias("pearson"), F.corr("_rx", "_ry").alias("spearman"))
+    far = spread(both.select("sample_id", F.col("_y").alias("depth"))).select("sample_id", "mad")
+    return far.join(cors, "sample_id")
+
+
 def histogram(d: DataFrame, value: str, bins: int, low: float, high: float) -> DataFrame:
     """(sample_id, bin, n) of values in [low, high]; the upper end falls in the last bin."""
     at = F.least(F.floor((F.col(value) - low) / ((high - low) / bins)), F.lit(bins - 1))
@@ -230,7 +244,7 @@ def _by_regression(d: DataFrame, doutlier: float, min_mappability: float, eps_qu
     x = d.withColumn("gc2", F.col("gc") * F.col("gc"))
     if "repli" in d.columns:
         x = x.withColumn("repli2", F.col("repli") * F.col("repli"))
-    ends = _fixed(x.groupBy("sample_id").agg(F.percentile("gc", doutlier).alias("_lo"), F.percentile("gc", 1 - doutlier).alias("_hi")))
+    ends = _fixed(domain(x, "gc", doutlier).withColumnsRenamed({"low": "_lo", "high": "_hi"}))
     fit = x.join(ends, "sample_id").where((F.col(value) > 0) & F.col("gc").between(F.col("_lo"), F.col("_hi")))
     if "map" in d.columns:
         fit = fit.where(F.col("map") >= min_mappability)

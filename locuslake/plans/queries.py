@@ -333,7 +333,7 @@ def interval_map_mean(win, score):
 
 @query("win size", "select w.chrom, w.start, w.stop from win w where w.chrom in (select chrom from size)")
 def standard_chroms(win, size):
-    return standard(win, size).select("chrom", "start", "stop")
+    return intervals.in_order(standard(win, size)).select("chrom", "start", "stop")
 
 
 @query("win region", "select w.chrom, w.start from win w left join region r on r.chrom = w.chrom and (w.start + w.stop) // 2 >= r.start and (w.start + w.stop) // 2 < r.stop where r.region_id is null order by w.chrom, w.start limit 30")
@@ -587,6 +587,14 @@ def top_flips(snp):
     return binning.flips(d, ["chrom"], ["pos0"], {"t": ("b", "a")}).where("flip").orderBy(F.desc("gap"), "chrom", "pos0").limit(10).select("chrom", "pos0", "gap")
 
 
+@query("snp", FLIPS.replace("coalesce((lag", "abs(b::double / dp - lag(b::double / dp) over w) as gap, coalesce((lag") + " select chrom, pos0, gap from f where flip order by gap, chrom, pos0 limit 10")
+def bottom_flips(snp):
+    from pyspark.sql import Window as W
+
+    d = counts.phased(snp).withColumn("gap", F.abs(C.ratio(F.col("b"), F.col("dp")) - F.lag(C.ratio(F.col("b"), F.col("dp"))).over(W.partitionBy("chrom").orderBy("pos0"))))
+    return binning.flips(d, ["chrom"], ["pos0"], {"t": ("b", "a")}).where("flip").orderBy("gap", "chrom", "pos0").limit(10).select("chrom", "pos0", "gap")
+
+
 @query("snp win", """with s as (select s.chrom, w.start, s.dp % 5 as ps, count(*) as c from snp s join win w on s.chrom = w.chrom and s.pos0 >= w.start and s.pos0 < w.stop where s.pos0 % 4 = 0 group by 1, 2, 3),
     m as (select chrom, start, ps from (select *, row_number() over (partition by chrom, start order by c desc, ps) as r from s) where r = 1), j as (select w.chrom, w.chrom_ord, w.start, m.ps from win w left join m using (chrom, start))
     select chrom, start, last_value(ps ignore nulls) over (order by chrom_ord, start rows unbounded preceding) as ps from j""")
@@ -672,6 +680,17 @@ def af_hist(snp_sample):
     return depth.histogram(snp_sample.withColumn("af", C.ratio(F.col("ad"), F.col("dp"))), "af", 50, 0.0, 1.0)
 
 
+@query("depth", "select sample_id, round(quantile_cont(gc, 0.001::double), 9) as low, round(quantile_cont(gc, 0.999::double), 9) as high from depth group by 1")
+def covariate_domain(depth_):
+    return depth.domain(depth_, "gc").select("sample_id", F.round("low", 9).alias("low"), F.round("high", 9).alias("high"))
+
+
+@query("depth", """with r as (select *, rank() over (partition by sample_id order by depth) + (count(*) over (partition by sample_id, depth) - 1) / 2.0::double as rd, rank() over (partition by sample_id order by repli) + (count(*) over (partition by sample_id, repli) - 1) / 2.0::double as rg, abs(depth - median(depth) over (partition by sample_id)) as far from depth)
+    select sample_id, median(far) as mad, round(corr(repli, depth), 6) as pearson, round(corr(rg, rd), 6) as spearman from r group by 1""")
+def panel_statistics(depth_):
+    return depth.panel_statistics(depth_, "repli", "depth").select("sample_id", "mad", F.round("pearson", 6).alias("pearson"), F.round("spearman", 6).alias("spearman"))
+
+
 @query("depth", "with m as (select sample_id, median(depth) as middle from depth group by 1) select sample_id, middle, median(abs(depth - middle)) as mad from depth join m using (sample_id) group by 1, 2")
 def mad_corr(depth_):
     return depth.spread(depth_)
