@@ -237,7 +237,11 @@ def across(posts: DataFrame, p: Params) -> DataFrame:
     differ = sum((F.bit_count(F.col(f"x.m{k}").bitwiseXOR(F.col(f"y.m{k}"))) for k in range(WORDS)), F.lit(0))
     may = (most * F.lit(1 + p.threshold) >= F.lit(p.threshold - 1e-9) * both) & (differ * F.lit(1 + p.threshold) <= F.lit(1 - p.threshold + 1e-9) * both)
     met = x.join(y, (F.col("x.key") == F.col("y.key")) & apart & sizes & fronts & may)
-    pair = met.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.count("*").alias("same"), F.max("x.place").alias("at_a"), F.max("y.place").alias("at_b"), F.max("x.n").alias("na"), F.max("y.n").alias("nb"))
+    # which of the two is x differs from shingle to shingle
+    first = F.col("x.node") < F.col("y.node")
+    side = lambda c, of: F.when(first if of == "a" else ~first, F.col(f"x.{c}")).otherwise(F.col(f"y.{c}"))
+    met = met.select(*[side(c, of).alias(f"{c}_{of}") for c in ("node", "place", "n") for of in "ab"])
+    pair = met.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(F.count("*").alias("same"), F.max("place_a").alias("at_a"), F.max("place_b").alias("at_b"), F.max("n_a").alias("na"), F.max("n_b").alias("nb"))
     common = F.col("same") + F.least(F.col("na") - F.col("at_a"), F.col("nb") - F.col("at_b")) - 1
     return pair.where(common * F.lit(1 + p.threshold) >= F.lit(p.threshold - 1e-9) * (F.col("na") + F.col("nb"))).select("a", "b")
 
