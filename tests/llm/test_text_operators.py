@@ -425,9 +425,9 @@ def test_op5_held_out_accuracy(spark):
 def test_plain_average_learns_too():
     rng = random.Random(4)
     clean = lambda n: ["".join(rng.choices("abdehinorst", k=rng.randint(2, 9))) for _ in range(n)]
-    texts = [" ".join([*clean(40), *(["worthless"] * (k % 2)), *clean(40)]) for k in range(400)]
-    m = toxicity.train(texts[:300], [k % 2 for k in range(300)], toxicity.AVERAGED)
-    hit = (toxicity.scores(texts[300:], m) >= 0.5) == np.array([k % 2 for k in range(100)], bool)
+    texts = [" ".join([*clean(6), *(["worthless"] * (k % 2)), *clean(6)]) for k in range(1000)]
+    m = toxicity.train(texts[:800], [k % 2 for k in range(800)], toxicity.AVERAGED)
+    hit = (toxicity.scores(texts[800:], m) >= 0.5) == np.array([k % 2 for k in range(200)], bool)
     assert hit.mean() > 0.9
 
 
