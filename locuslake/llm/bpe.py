@@ -83,8 +83,11 @@ class Tables:
         self.letters = letters
         back = {c: b for b, c in enumerate(letters)}
         self.bytes = {i: t.encode() if t in self.special else bytes(back[c] for c in t.removesuffix(self.suffix)) for i, t in names.items()}
-        self.pieces = {i: b + b" " * (t in self.special or t.endswith(self.suffix)) for (i, b), t in zip(self.bytes.items(), names.values(), strict=True)}
-        self.digits = {i: str(i) for i in names}
+        # by id, for the decoders
+        by_id = [names.get(i, "") for i in range(max(names) + 1)]
+        self.surface = by_id
+        self.pieces = [self.bytes[i] + b" " * (t in self.special or t.endswith(self.suffix)) if i in names else b"" for i, t in enumerate(by_id)]
+        self.digits = [str(i) for i in range(len(by_id))]
         self.known: dict[tuple[str, str], bool] = {}
 
     def fits(self, a: str, b: str) -> bool:
@@ -187,11 +190,10 @@ class Surface:
     """The library's decoded form, fed ids: token strings, and a space between two."""
 
     def __init__(self, tables: Tables):
-        self.names, self.any = tables.names, False
+        self.name, self.any = tables.surface.__getitem__, False
 
     def feed(self, ids: Sequence[int]) -> str:
-        names = self.names
-        out = " ".join([names[i] for i in ids])
+        out = " ".join(map(self.name, ids))
         lead, self.any = " " if self.any and ids else "", self.any or bool(ids)
         return lead + out
 
@@ -208,9 +210,8 @@ class ByteText:
     def feed(self, ids: Sequence[int]) -> str:
         if not ids:
             return ""
-        pieces = self.pieces
-        data = self.owes + b"".join([pieces[i] for i in ids])
-        self.owes = b" " if pieces[ids[-1]].endswith(b" ") else b""
+        data = self.owes + b"".join(map(self.pieces.__getitem__, ids))
+        self.owes = b" " if self.pieces[ids[-1]].endswith(b" ") else b""
         return self.utf8.decode(data[:-1] if self.owes else data)
 
     def finish(self) -> str:
@@ -307,10 +308,10 @@ class Codec:
         """(n_tokens, hash of the ids, hash of the library's decoded form, hash of the text read back from the ids' bytes):
         each block of ids goes through both decoders as it comes, and nothing of it is kept."""
         n, ids, decoded, back = 0, hashlib.sha256(), hashlib.sha256(), hashlib.sha256()
-        surface, plain, digits = Surface(self.t), ByteText(self.t), self.t.digits
+        surface, plain, digit = Surface(self.t), ByteText(self.t), self.t.digits.__getitem__
         for block in self.blocks(text):
             if block:
-                ids.update(((" " if n else "") + " ".join([digits[i] for i in block])).encode())
+                ids.update(((" " if n else "") + " ".join(map(digit, block))).encode("ascii"))
                 n += len(block)
                 decoded.update(surface.feed(block).encode("utf-8", "replace"))
                 back.update(plain.feed(block).encode())
