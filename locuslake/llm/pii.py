@@ -6,7 +6,8 @@ in text order. Neighbours in the text share a chain potential; each mention and
 (equal characters, equal digits or equal last seven digits) share a skip potential, and so do a free mention and
 the base match it repeats (the latest before it, else the first after it), however far apart they stand and
 however many repeats lie between: no message has to pass through the repeats. Loopy sum-product passing over all documents of a batch at once, each until its own
-messages change by less than `settled` (or `rounds` are over), gives each node's belief; base
+messages change by less than `settled`, gives each node's belief (a document whose messages have not settled after
+`rounds` says so in the query's column `settled`); base
 matches are clamped to their kind, and a free node whose belief in one kind exceeds `least` becomes a span.
 
 Weights are trained by pseudo-likelihood on the base matches of a bounded sample (the `sample` documents with mentions
@@ -109,7 +110,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     out = [(0, s, e) for s, e in emails(text)] if "@" in text else []
     if _DIGIT.search(text):
         if text.count(".") > 2:
-            out += [(1, m.start(), m.end()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split("."))]
+            out += [(1, m.start(), m.end()) for m in _IP.finditer(text) if all(len(q := p.lstrip("0")) < 4 and int(q or "0") <= 255 for p in m[0].split("."))]
         out += [(2, m.start(), m.end()) for m in _CARD.finditer(text) if m.end() - m.start() > 15 and 16 <= len(d := _digits(m[0])) <= 19 and luhn(d)]
         if "+" in text:
             out += [(3, m.start(), m.end()) for m in _PHONE.finditer(text) if 8 <= len(_digits(m[0])) <= 15]
@@ -251,8 +252,8 @@ def train(feats: list[list[int]], label: np.ndarray, chain: np.ndarray, skip: np
     return unary, links[0], links[1]
 
 
-def beliefs(g: Graph, weights: tuple[np.ndarray, np.ndarray, np.ndarray], p: Params = Params()) -> np.ndarray:
-    """Loopy sum-product beliefs of every node. All documents of the graph pass messages at once, each until its own
+def beliefs(g: Graph, weights: tuple[np.ndarray, np.ndarray, np.ndarray], p: Params = Params()) -> tuple[np.ndarray, set[int]]:
+    """Loopy sum-product beliefs of every node, and the documents whose messages did not settle. All documents of the graph pass messages at once, each until its own
     have settled, so that what a document gets does not depend on those beside it."""
     unary, chain, skip = weights
     label, doc = np.asarray(g.label), np.asarray(g.doc)
@@ -283,19 +284,21 @@ def beliefs(g: Graph, weights: tuple[np.ndarray, np.ndarray, np.ndarray], p: Par
     total = own
     np.add.at(total, dst, msg)
     total = np.exp(total - total.max(axis=1, keepdims=True))
-    return total / total.sum(axis=1, keepdims=True)
+    return total / total.sum(axis=1, keepdims=True), {*doc[src[live]].tolist()}
 
 
-def find(texts: list[str | None], weights, p: Params) -> list[tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]]:
-    """(base matches, all spans) of each text, each as (kind, start, end) by kind and start."""
+def find(texts: list[str | None], weights, p: Params) -> list[tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], bool]]:
+    """(base matches, all spans, whether its messages settled) of each text, spans as (kind, start, end) by kind and start."""
     g = Graph.empty()
     base = [g.add(i, t) for i, t in enumerate(texts)]
     added: dict[int, list] = {}
+    moving: set[int] = set()
     if g.doc and NONE in g.label:
-        belief = beliefs(g, weights, p)[:, :NONE]
+        belief, moving = beliefs(g, weights, p)
+        belief = belief[:, :NONE]
         for i in np.flatnonzero((np.asarray(g.label) == NONE) & (belief.max(axis=1) > p.least)):
             added.setdefault(g.doc[i], []).append((int(belief[i].argmax()), g.start[i], g.end[i]))
-    return [(b, sorted(b + added[i]) if i in added else b) for i, b in enumerate(base)]
+    return [(b, sorted(b + added[i]) if i in added else b, i not in moving) for i, b in enumerate(base)]
 
 
 def fit(docs: DataFrame, p: Params = Params()):
@@ -348,10 +351,10 @@ def op9_pii(docs: DataFrame, p: Params = Params()) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             found = find(batch.column("text").to_pylist(), weights.value, p)
-            counts = [pa.array([sum(k == kind for k, _, _ in base) for base, _ in found], pa.int64()) for kind in range(NONE)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *counts, pa.array([hashlib.sha256(_joined(b).encode()).hexdigest() for b, _ in found]), pa.array([_joined(a) for _, a in found])], ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
+            counts = [pa.array([sum(k == kind for k, _, _ in base) for base, _, _ in found], pa.int64()) for kind in range(NONE)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *counts, pa.array([hashlib.sha256(_joined(b).encode()).hexdigest() for b, _, _ in found]), pa.array([_joined(a) for _, a, _ in found]), pa.array([s for _, _, s in found])], ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "settled"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, settled boolean")
 
 
 def masked(text: str, spans: list[tuple[int, int, int]]) -> str:
@@ -376,7 +379,7 @@ def redact(docs: DataFrame, p: Params = Params()) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             texts = batch.column("text").to_pylist()
-            clean = [t if t is None or not spans else masked(t, spans) for t, (_, spans) in zip(texts, find(texts, weights.value, p), strict=True)]
+            clean = [t if t is None or not spans else masked(t, spans) for t, (_, spans, _) in zip(texts, find(texts, weights.value, p), strict=True)]
             put = dict(zip(batch.schema.names, batch.columns, strict=True))
             put["text"] = pa.array(clean, pa.string())
             if "n_chars" in put:
