@@ -3,11 +3,12 @@
 A spot is a chain of two content words that follows an anchor: one of the common words of the languages at
 hand, or the start of the text. A text's fingerprint is the set of its spots' 64-bit hashes, in order. Fingerprints are partitioned by
 their number of spots, so that likely pairs lie in one partition or the next, and compared by Jaccard
-similarity, which is only worked out where the partitions and the numbers of spots allow the threshold. `similar` finds the
-pairs at a threshold in all documents; the query compares stated pairs with `floor` as its threshold.
+similarity. `similar` finds the pairs at a threshold in all documents: there it is only worked out where the partitions and the
+numbers of spots allow the threshold. The query compares stated pairs and gives their exact likeness, however small: it leaves out
+only what cannot share a spot (a set is empty).
 
 Defined cases: a null text is empty and an empty text has no spots (fingerprint ""); two fingerprints without
-spots are alike (1.0), one without and one with are not (0.0), nor are two whose likeness is under `floor` (0.0); rows with one doc_id
+spots are alike (1.0), one without and one with are not (0.0); rows with one doc_id
 follow each other by the hash of their text; a null doc_id comes last; repeated rows follow each other; extra columns are ignored.
 """
 
@@ -35,7 +36,6 @@ class Params:
     anchors: tuple[str, ...] = ANCHORS
     rows_per_bucket: int = 2000
     tau: float = 0.8  # between the lengths of two partitions
-    floor: float = 0.1  # a likeness under it reads 0
     broadcast_ranges: int = 100_000  # ranges whose bounds may be broadcast (a few MB); more are joined by shuffle
 
 
@@ -158,5 +158,5 @@ def op7_spotsigs(docs: DataFrame, p: Params = Params()) -> DataFrame:
     return d.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         fingerprint(F.col("spots")).alias("fingerprint"), fingerprint(F.col("edited_spots")).alias("edited_fingerprint"),
-        likeness(F.col("spots"), F.col("edited_spots"), p.floor, p.tau).alias("near_edited"), likeness(F.col("spots"), F.col("next_spots"), p.floor, p.tau).alias("near_next"),
+        likeness(F.col("spots"), F.col("edited_spots")).alias("near_edited"), likeness(F.col("spots"), F.col("next_spots")).alias("near_next"),
         partition_of(F.col("spots"), p.tau).alias("length_partition"))
