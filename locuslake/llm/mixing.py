@@ -1,13 +1,13 @@
 """Mixing sources to target weights (8): Efraimidis-Spirakis sampling, in DataFrame operations only.
 
 A source's target comes from its weight and is filled with complete epochs first; the rest of it is a
-fractional epoch. In it each document draws the exponential key -ln(u) / w, with u from a hash of doc_id and
+fractional epoch. In it each document draws the exponential key -ln(u) / w, with u from a hash of doc_id and text and
 w its quality weight; documents are taken by ascending key until the words are used up, the last one
 in part. The running sums are two-level, over buckets of keys and within a bucket, so that no task sorts a
 source whole, however large.
 
 Defined cases: a null or text without words has size 0 and takes 0; a null source is a source of its own, the
-last by order; rows that share a doc_id draw the same key and follow each other by size; an empty table
+last by order; rows that share a doc_id or have none draw by their texts, and only rows equal in both draw the same key; an empty table
 returns no rows; without labels all quality weights are 1.
 """
 
@@ -58,19 +58,23 @@ def unit(p: Params, *columns: Column) -> Column:
     return (F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
+def digest(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
 def sizes(docs: DataFrame) -> DataFrame:
     return docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
 
 
 def mix(docs: DataFrame, labels: DataFrame | None = None, p: Params = Params()) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) of each row of docs."""
-    d = sizes(docs.select("doc_id", "source", "text")).drop("text")
+    """(doc_id, source, size, source_size, target, taken, _text) of each row of docs, _text the digest of its text."""
+    d = sizes(docs.select("doc_id", "source", "text")).withColumn("_text", digest(F.col("text"))).drop("text")
     weight = F.lit(p.unknown)
     if labels is not None:
         known = labels.where("quality is not null").groupBy("doc_id").agg(F.max("quality").alias("_q"))
         d = d.join(known, "doc_id", "left")
         weight = F.when(F.col("_q") == 1, F.lit(p.good)).when(F.col("_q") == 0, F.lit(p.bad)).otherwise(weight)
-    d = d.select("doc_id", "source", "size", (-F.log(unit(p, F.col("doc_id"))) / weight).alias("key"))
+    d = d.select("doc_id", "source", "size", "_text", (-F.log(unit(p, F.col("doc_id"), F.col("_text"))) / weight).alias("key"))
     d = written(d, "keys")  # texts are read once; what follows works on four small columns
     # buckets of about equal share, in the order of the keys; their number follows the rows of the largest source
     per = d.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
@@ -88,11 +92,11 @@ def mix(docs: DataFrame, labels: DataFrame | None = None, p: Params = Params())
     steps = steps.select(F.col("source").alias("_s"), F.col("bucket").alias("_b"), F.coalesce(F.sum("step").over(outer), F.lit(0)).alias("ahead"))
     d = d.join(steps, F.col("source").eqNullSafe(F.col("_s")) & (F.col("bucket") == F.col("_b")))
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("budget") - F.col("ahead") - F.col("inside")))
-    return d.select("doc_id", "source", "size", "source_size", F.col("target").cast("double").alias("target"), (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"))
+    return d.select("doc_id", "source", "size", "source_size", F.col("target").cast("double").alias("target"), (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"), "_text")
 
 
 def op8_mixing(docs: DataFrame, labels: DataFrame | None = None, p: Params = Params()) -> DataFrame:
-    return mix(docs, labels, p).drop("source")
+    return mix(docs, labels, p).drop("source", "_text")
 
 
 def mixed(docs: DataFrame, labels: DataFrame | None = None, p: Params = Params()) -> DataFrame:
@@ -100,19 +104,20 @@ def mixed(docs: DataFrame, labels: DataFrame | None = None, p: Params = Params()
     epoch takes it; a document taken in part keeps its first words. Columns as they came, n_chars (where there
     is one) the new length.
 
-    Rows meet their share by doc_id, source and size. Rows equal in all three share what they take together: they are
-    numbered in the order of their texts' hashes and filled one after the other, as `mix` does.
+    Rows meet their share by doc_id, source and text. Rows equal in all three share what they take together: they are
+    numbered and filled one after the other, as `mix` does.
     """
     names = docs.columns
-    key = lambda size: F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("source"), F.lit("")), size)
-    share = mix(docs, labels, p).groupBy("doc_id", "source", "size").agg(F.sum("taken").alias("_all"), F.count("*").alias("_rows")).where("_all > 0")
-    share = share.select(key(F.col("size")).alias("_key"), F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_size"), "_all", "_rows")
+    key = lambda text: F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("source"), F.lit("")), text)
+    share = mix(docs, labels, p).groupBy("doc_id", "source", "_text").agg(F.sum("taken").alias("_all"), F.count("*").alias("_rows")).where("_all > 0")
+    share = share.select(key(F.col("_text")).alias("_key"), F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("_text").alias("_t"), "_all", "_rows")
     d = sizes(docs.drop("size")).withColumnRenamed("size", "_n") if "size" not in names else sizes(docs.withColumnRenamed("size", "_own")).withColumnRenamed("size", "_n").withColumnRenamed("_own", "size")
-    d = d.withColumn("_key", key(F.col("_n")))
-    same = d["doc_id"].eqNullSafe(share["_d"]) & d["source"].eqNullSafe(share["_s"]) & (d["_n"] == share["_size"])
+    d = d.withColumn("_digest", digest(F.col("text")))
+    d = d.withColumn("_key", key(F.col("_digest")))
+    same = d["doc_id"].eqNullSafe(share["_d"]) & d["source"].eqNullSafe(share["_s"]) & (d["_digest"] == share["_t"])
     d = d.join(share, (d["_key"] == share["_key"]) & F.when(same, F.lit(True)).otherwise(F.lit(False))).drop(share["_key"])  # dealt by _key alone
     # the join leaves equal rows together: numbering them moves nothing
-    place = F.row_number().over(W.partitionBy("_key", "_d", "_s", "_size").orderBy(F.xxhash64("text"))) - 1
+    place = F.row_number().over(W.partitionBy("_key", "_d", "_s", "_t").orderBy(F.lit(0))) - 1
     base = F.expr("_all div (_rows * _n) * _n")
     d = d.withColumn("_place", place).withColumn("_taken", base + F.greatest(F.lit(0), F.least(F.col("_n"), F.col("_all") - F.col("_rows") * base - F.col("_place") * F.col("_n"))))
     d = d.where("_taken > 0").withColumn("_part", F.col("_taken") % F.col("_n"))
@@ -129,8 +134,8 @@ def mixed(docs: DataFrame, labels: DataFrame | None = None, p: Params = Params()
 
 ORACLE = r"""
 with labelled as (select doc_id, max(quality) q from labels where quality is not null group by doc_id),
-d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size from documents),
-k as (select d.*, -ln((('0x' || substr(md5('mix|' || coalesce(d.doc_id::varchar, '')), 1, 13))::bigint + 0.5::double) / 4503599627370496::double)
+d as (select doc_id, source, md5(coalesce(text, '')) as digest, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size from documents),
+k as (select d.*, -ln((('0x' || substr(md5('mix|' || coalesce(d.doc_id::varchar, '') || '|' || digest), 1, 13))::bigint + 0.5::double) / 4503599627370496::double)
         / case when q = 1 then 2.0::double when q = 0 then 0.5::double else 1.0::double end as key from d left join labelled using (doc_id)),
 s as (select source, sum(size)::bigint as source_size from d group by source),
 w as (select *, (1 + (row_number() over (order by source nulls last) - 1) % 3)::double as weight, source_size * 3.0::double as cap from s),
