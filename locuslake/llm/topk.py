@@ -11,15 +11,18 @@ own, so that tasks are of one size. A query's best of each block
 are merged by a second selection. Nothing but a fixed number of rows for each query and block leaves a task.
 
 Defined cases: vectors that are null, empty or that hold null or non-finite
-components take no part, nor do rows without vec_id; finite components of any size do, as long as they and the scores fit
-a long (an error says so where they do not); vectors of several lengths only meet those of their own; a query leaves out every row with its own vec_id;
-repeated rows stand beside each other as candidates, and of query rows with one vec_id the least vector asks; ties go to the smaller vec_id; extra columns are ignored.
+components take no part, nor do rows without vec_id; finite components of any size do: rows and queries too large for bitmaps of
+long scores are scored with Python's integers, rank by their exact scores, and a score that no long holds is null beside its digits in
+`exact_score` (which is null for all others); vectors of several lengths only meet those of their own; a query leaves out every row with its own vec_id;
+repeated rows stand beside each other as candidates and each of them asks; ties go to the smaller vec_id; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -42,16 +45,21 @@ class Params:
     partitions: int = 20_000  # at most, of the cells
 
 
-def quantised(vectors: DataFrame, p: Params) -> DataFrame:
-    """(vec_id, q array<long>) of the rows that take part; native."""
-
-    def one(x):
-        y = x.cast("double") * p.scale
-        return F.when(F.abs(y) < F.lit(float(1 << 62)), F.floor(y)).otherwise(F.raise_error(F.lit("a quantised component does not fit a long")).cast("long")).cast("long")
-
+def taking_part(vectors: DataFrame, *more: str) -> DataFrame:
+    """(vec_id, x array<double>, *more) of the rows that take part; native. Doubles keep every finite component."""
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) != F.lit(float("inf"))))
     d = vectors.where("vec_id is not null and size(embedding) > 0").where(F.coalesce(fine, F.lit(False)))
-    return d.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", one).alias("q"))
+    return d.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda x: x.cast("double")).alias("x"), *more)
+
+
+LARGE = float(1 << 40)  # from this size on, components are Python's integers
+
+
+def quantised(x: np.ndarray, scale: int) -> np.ndarray:
+    """floor(scale * x) as int64, or as Python's integers where a component is large: those are whole numbers already."""
+    if not x.size or float(np.abs(x).max()) * scale < LARGE:
+        return np.floor(x * scale).astype(np.int64)
+    return np.array([int(v) * scale if abs(v) >= 1 << 53 else math.floor(Fraction(v) * scale) for v in x.ravel().tolist()], dtype=object).reshape(x.shape)
 
 
 def slices(values: np.ndarray, bits: int) -> np.ndarray:
@@ -112,6 +120,9 @@ class Block:
     def __init__(self, ids: np.ndarray, values: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.values = ids[order], values[order]
+        self.large = values.dtype == object
+        if self.large:
+            return  # scored by integers of any size
         self.low = int(values.min())
         self.bits = max(1, (int(values.max()) - self.low).bit_length())
         self.most = max(int(values.max()), -self.low)
@@ -126,10 +137,13 @@ class Block:
 
     def best(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(vec_ids, scores) of the k best rows other than the query's own id."""
+        if self.large or query.dtype == object or sum(map(int, np.abs(query))) * self.most >= 1 << 62:
+            other = np.flatnonzero(self.ids != own)
+            exact = (self.values[other].astype(object) * query.astype(object)).sum(axis=1)
+            order = sorted(range(len(other)), key=lambda i: (-exact[i], self.ids[other[i]]))[:k]
+            return self.ids[other][order], exact[order]
         size = np.abs(query)
         total_size = sum(map(int, size))
-        if total_size * self.most >= 1 << 63:
-            raise OverflowError("a score may not fit a long")
         width = (total_size * ((1 << self.bits) - 1)).bit_length() + 1
         parts = []
         for b in range(int(size.max()).bit_length()):
@@ -152,68 +166,81 @@ class Block:
         return self.ids[kept][order], exact[order]
 
 
-BLOCKS = "part int, dim int, ids binary, values binary"
+BLOCKS = "part int, dim int, first long, ids binary, values binary"
 
 
-def packed(vectors: DataFrame, size: int) -> DataFrame:
-    """(part, dim, ids, values): the rows of each partition (its number is `part`) in blocks of one vector length and of
-    `size` rows at most, as little-endian int64 bytes."""
+def packed(vectors: DataFrame, size: int, most: int = 256) -> DataFrame:
+    """(part, dim, first, ids, values): the rows of each partition (its number is `part`) in blocks of one vector length and of
+    `size` rows at most, as little-endian int64 and float64 bytes; `first` counts the rows before the block. Rows with large
+    components stand in blocks of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, held = TaskContext.get().partitionId(), {}
+        part, held, given = TaskContext.get().partitionId(), {}, 0
 
-        def block(dim: int) -> pa.RecordBatch:
-            ids, values = (np.concatenate(x) for x in zip(*held.pop(dim), strict=True))
-            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([dim], pa.int32()), pa.array([ids.astype("<i8").tobytes()]), pa.array([values.astype("<i8").tobytes()])], ["part", "dim", "ids", "values"])
+        def block(key: tuple[int, bool]) -> pa.RecordBatch:
+            nonlocal given
+            ids, values = (np.concatenate(x) for x in zip(*held.pop(key), strict=True))
+            first, given = given, given + len(ids)
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([key[0]], pa.int32()), pa.array([first], pa.int64()), pa.array([ids.astype("<i8").tobytes()]), pa.array([values.astype("<f8").tobytes()])], ["part", "dim", "first", "ids", "values"])
 
         for batch in batches:
-            q = batch.column("q")
+            q = batch.column("x")
             ids, lengths = batch.column("vec_id").to_numpy(), q.value_lengths().to_numpy(zero_copy_only=False)
             flat, ends = q.flatten().to_numpy(), np.cumsum(lengths)
             for dim in np.unique(lengths).tolist():
                 rows = np.flatnonzero(lengths == dim)
                 values = flat[(ends[rows] - dim)[:, None] + np.arange(dim)]
-                for k in range(0, len(rows), size):
-                    held.setdefault(dim, []).append((ids[rows[k : k + size]], values[k : k + size]))
-                    if sum(len(x) for x, _ in held[dim]) >= size:
-                        yield block(dim)
-        for dim in [*held]:
-            yield block(dim)
+                outsize = np.abs(values).max(axis=1) * most >= LARGE
+                for large in (False, True):
+                    mine, v = rows[outsize == large], values[outsize == large]
+                    for k in range(0, len(mine), size):
+                        held.setdefault((dim, large), []).append((ids[mine[k : k + size]], v[k : k + size]))
+                        if sum(len(x) for x, _ in held[dim, large]) >= size:
+                            yield block((dim, large))
+        for key in [*held]:
+            yield block(key)
 
     return vectors.mapInArrow(run, BLOCKS)
 
 
 def search(vectors: DataFrame, p: Params = Params()) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k best candidates of each query."""
-    d = quantised(vectors, p)
-    asking = d.where(F.pmod("vec_id", F.lit(p.every)) == 0).groupBy("vec_id").agg(F.min("q").alias("q"))
+    """(query_id, rank, vec_id, score, exact_score): the k best candidates of each query row."""
+    d = taking_part(vectors)
+    asking = d.where(F.pmod("vec_id", F.lit(p.every)) == 0)
     lanes, groups = max(1, -(-d.count() // p.rows)), max(1, -(-asking.count() // p.asked))
     # dealt out in turn, so that every lane and every group has about as many rows
-    index = packed(d.repartition(lanes), 2 * p.rows)
-    asked = written(packed(asking.repartition(groups), p.queries), "asked")
+    index = packed(d.repartition(lanes), 2 * p.rows, p.scale)
+    asked = written(packed(asking.repartition(groups), p.queries, p.scale), "asked")
     cell = lambda lane, group: (lane * F.lit(groups) + group).cast("int")
-    index = index.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).select(cell(F.col("part").cast("long"), F.col("group")).alias("cell"), F.lit(0).alias("kind"), "dim", "ids", "values")
-    asked_ = asked.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)))).select(cell(F.col("lane").cast("long"), F.col("part")).alias("cell"), F.lit(1).alias("kind"), "dim", "ids", "values")
+    index = index.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).select(cell(F.col("part").cast("long"), F.col("group")).alias("cell"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("ask"), "dim", "ids", "values")
+    asked_ = asked.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)))).select(cell(F.col("lane").cast("long"), F.col("part")).alias("cell"), F.lit(1).alias("kind"), (F.col("part").cast("long") * F.lit(1 << 40) + F.col("first")).alias("ask"), "dim", "ids", "values")
     met = index.unionByName(asked_).repartitionById(min(p.partitions, lanes * groups), "cell").sortWithinPartitions("cell", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, blocks = None, {}
         for batch in batches:
-            for at, kind, dim, ids, values in zip(batch.column("cell").to_pylist(), batch.column("kind").to_pylist(), batch.column("dim").to_pylist(), batch.column("ids"), batch.column("values"), strict=True):
+            for at, kind, ask, dim, ids, values in zip(*(batch.column(c).to_pylist() for c in ("cell", "kind", "ask", "dim")), batch.column("ids"), batch.column("values"), strict=True):
                 if at != cell:
                     cell, blocks = at, {}
-                names, vectors = np.frombuffer(ids.as_buffer(), "<i8"), np.frombuffer(values.as_buffer(), "<i8").reshape(-1, dim)
+                names, vectors = np.frombuffer(ids.as_buffer(), "<i8"), quantised(np.frombuffer(values.as_buffer(), "<f8").reshape(-1, dim), p.scale)
                 if kind == 0:
                     blocks.setdefault(dim, []).append(Block(names, vectors))
                     continue
-                out = [(np.full(len(found), q), found, score) for block in blocks.get(dim, []) for q, v in zip(names.tolist(), vectors, strict=True) for found, score in [block.best(q, v, p.k)]]
+                out = [(np.full(len(found), ask + i), np.full(len(found), q), found, score) for block in blocks.get(dim, []) for i, (q, v) in enumerate(zip(names.tolist(), vectors, strict=True)) for found, score in [block.best(q, v, p.k)]]
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*out, strict=True)], ["query_id", "vec_id", "score"])
+                    asks, queries, found, score = (np.concatenate(x) for x in zip(*out, strict=True))
+                    digits = [None if -(1 << 63) <= s < 1 << 63 else str(s) for s in score.tolist()]
+                    held = [s if t is None else (1 << 63) - 1 if s > 0 else -(1 << 63) for s, t in zip(score.tolist(), digits, strict=True)]
+                    yield pa.RecordBatch.from_arrays([pa.array(asks.astype(np.int64)), pa.array(queries.astype(np.int64)), pa.array(found.astype(np.int64)), pa.array(held, pa.int64()), pa.array(digits, pa.string())], ["ask", "query_id", "vec_id", "score", "exact_score"])
 
-    part = written(met.mapInArrow(run, "query_id long, vec_id long, score long"), "found")
+    part = written(met.mapInArrow(run, "ask long, query_id long, vec_id long, score long, exact_score string"), "found")
     drop_written(asked)
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return part.withColumn("rank", rank.cast("int")).where(F.col("rank") <= p.k).select("query_id", "rank", "vec_id", "score")
+    # beyond the longs: more digits, then larger digits, are larger scores above and smaller ones below
+    far, above = F.struct(F.length("exact_score"), "exact_score"), F.col("score") > 0
+    order = [F.desc("score"), F.when(above, far).desc_nulls_last(), F.when(~above, far).asc_nulls_first(), F.col("vec_id")]
+    rank = F.row_number().over(W.partitionBy("ask").orderBy(*order))
+    best = part.withColumn("rank", rank.cast("int")).where(F.col("rank") <= p.k)
+    return best.select("query_id", "rank", "vec_id", F.when(F.col("exact_score").isNull(), F.col("score")).alias("score"), "exact_score")
 
 
 ORACLE = """
@@ -221,5 +248,5 @@ with v as (select vec_id, list_transform(embedding, lambda x: floor(x::double *
 s as (select a.vec_id as query_id, b.vec_id, list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2]))::bigint as score
       from v a join v b on a.vec_id <> b.vec_id and len(a.q) = len(b.q) where a.vec_id % 50 = 0),
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
-select query_id, rank, vec_id, score from r where rank <= 5
+select query_id, rank, vec_id, score, null::varchar as exact_score from r where rank <= 5
 """
