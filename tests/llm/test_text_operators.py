@@ -480,6 +480,22 @@ def test_base_spans_equal_the_patterns():
         assert pii.base_spans(t) == plain_spans(t), t
 
 
+def test_parts_of_thousands_of_zeros(spark):
+    """Leading zeros count for nothing, however many: 0...01.2.3.4 is an address."""
+    rows = [(k, ".".join("0" * 5000 * (j == k) + str(j + 1) for j in range(4))) for k in range(4)] + [(9, "0" * 5000 + ".0.0." + "0" * 5000), (10, "0" * 5000 + "256.1.1.1")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_ip"], r["settled"]) for r in pii.op9_pii(d).collect()}
+    assert got == {**{k: (1, True) for k in (0, 1, 2, 3, 9)}, 10: (0, True)}
+    assert {r["text"] for r in pii.redact(d).collect()} >= {"<IP>"}
+
+
+def test_documents_whose_messages_have_not_settled_say_so():
+    text = "card 4111 1111 1111 1111 call +1 415 555 0100 or 415 555 0100 or 5550100 and 4111111111111111"
+    weights = (np.random.default_rng(0).normal(0, 1, (pii.N_FEATURES, pii.LABELS)), np.zeros((pii.LABELS,) * 2), np.eye(pii.LABELS) * 3)
+    assert [s for _, _, s in pii.find([text, "", "no digits"], weights, pii.Params(rounds=1))] == [False, True, True]
+    assert [s for _, _, s in pii.find([text], weights, pii.Params())] == [True]
+
+
 def test_long_runs_take_linear_time():
     for t in ("a" * 200_000 + "@", "1" * 200_000, "1." * 100_000, "+1" + " " * 200_000, "@" * 100_000):
         pii.base_spans(t)
@@ -552,7 +568,7 @@ def test_messages_against_exact_marginals():
                 score += w[state[:, a], state[:, b]]
         weight = np.exp(score - score.max())
         exact = np.stack([np.bincount(state[:, k], weight, pii.LABELS) for k in range(n)]) / weight.sum()
-        got = pii.beliefs(g, (unary, *pair))
+        got, moving = pii.beliefs(g, (unary, *pair))
         off = np.abs(got - exact).max()
         assert off < (2e-3 if not loops else 0.12), (trial, n, off)
 
