@@ -6,7 +6,7 @@ documents table, each stage written as Parquet in the shared folder and read aga
 Defined cases, stage by stage. Toxicity: a text that is null or has no words has no evidence and stays; rows that share a
 doc_id are judged by their own text. Near duplicates: texts without words stay, a repeated row stands once, a class
 without any doc_id keeps one row. PII: null texts stay null with a null n_chars, every row stays. Mixing: nothing is taken of a text without
-words, so such rows end here; rows equal in doc_id, source and size share what they take together; a null source
+words, so such rows end here; rows equal in doc_id, source and text share what they take together; a null source
 is a source. Encoding: a null text has no ids. An empty table gives empty tables; extra columns pass through, and those
 named text, ids or n_tokens give way to the last stage's own.
 """
