@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from locuslake.llm import bpe, chat, mixing, neardup, pii, spotsigs, tokencounts, topk, toxicity, warc
+from locuslake.llm import bpe, chat, clusters, mixing, neardup, pii, spotsigs, tokencounts, topk, toxicity, warc
 from locuslake.llm.shared import table
 
 
@@ -50,6 +50,10 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.op10_chat(table(spark, sf_dir, "conversations"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_topk, op3_warc, op4_prob_minhash, op5_toxicity, op6_bpe, op7_spotsigs, op8_mixing, op9_pii, op10_chat)}
+def op11_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.op11_kmeans(table(spark, sf_dir, "embeddings"))
 
-ORACLES: dict[str, str] = {"op2_topk": topk.ORACLE, "op3_warc": warc.ORACLE, "op8_mixing": mixing.ORACLE, "op10_chat": chat.ORACLE}
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_topk, op3_warc, op4_prob_minhash, op5_toxicity, op6_bpe, op7_spotsigs, op8_mixing, op9_pii, op10_chat, op11_kmeans)}
+
+ORACLES: dict[str, str] = {"op2_topk": topk.ORACLE, "op3_warc": warc.ORACLE, "op8_mixing": mixing.ORACLE, "op10_chat": chat.ORACLE, "op11_kmeans": clusters.ORACLE}

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from fractions import Fraction
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -74,3 +77,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def text_or_empty(df: DataFrame, column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def taking_part(vectors: DataFrame, *more: str) -> DataFrame:
+    """(vec_id, x array<double>, *more) of the rows that take part; native. Doubles keep every finite component."""
+    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) != F.lit(float("inf"))))
+    d = vectors.where("vec_id is not null and size(embedding) > 0").where(F.coalesce(fine, F.lit(False)))
+    return d.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda x: x.cast("double")).alias("x"), *more)
+
+
+LARGE = float(1 << 40)  # from this size on, components are Python's integers
+
+
+def quantised(x: np.ndarray, scale: int) -> np.ndarray:
+    """floor(scale * x) as int64, or as Python's integers where a component is large: those are whole numbers already."""
+    if not x.size or float(np.abs(x).max()) * scale < LARGE:
+        return np.floor(x * scale).astype(np.int64)
+    return np.array([int(v) * scale if abs(v) >= 1 << 53 else math.floor(Fraction(v) * scale) for v in x.ravel().tolist()], dtype=object).reshape(x.shape)
+
+
+def far_scores(scores: list[int]) -> tuple[pa.Array, pa.Array]:
+    """(scores as longs, digits of those that no long holds): the longs stop at their ends, the digits are null for all others."""
+    digits = [None if -(1 << 63) <= s < 1 << 63 else str(s) for s in scores]
+    return pa.array([s if t is None else (1 << 63) - 1 if s > 0 else -(1 << 63) for s, t in zip(scores, digits, strict=True)], pa.int64()), pa.array(digits, pa.string())
+
+
+def score_order() -> list[Column]:
+    """Highest first, by columns score and exact_score of far_scores: beyond the longs, more digits, then larger digits, are
+    larger scores above and smaller ones below."""
+    far, above = F.struct(F.length("exact_score"), F.col("exact_score")), F.col("score") > 0
+    return [F.desc("score"), F.when(above, far).desc_nulls_last(), F.when(~above, far).asc_nulls_first()]

@@ -19,10 +19,8 @@ repeated rows stand beside each other as candidates and each of them asks; ties
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from locuslake.llm.shared import drop_written, written
+from locuslake.llm.shared import LARGE, drop_written, far_scores, quantised, score_order, taking_part, written
 
 
 @dataclass(frozen=True)
@@ -45,23 +43,6 @@ class Params:
     partitions: int = 20_000  # at most, of the cells
 
 
-def taking_part(vectors: DataFrame, *more: str) -> DataFrame:
-    """(vec_id, x array<double>, *more) of the rows that take part; native. Doubles keep every finite component."""
-    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) != F.lit(float("inf"))))
-    d = vectors.where("vec_id is not null and size(embedding) > 0").where(F.coalesce(fine, F.lit(False)))
-    return d.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda x: x.cast("double")).alias("x"), *more)
-
-
-LARGE = float(1 << 40)  # from this size on, components are Python's integers
-
-
-def quantised(x: np.ndarray, scale: int) -> np.ndarray:
-    """floor(scale * x) as int64, or as Python's integers where a component is large: those are whole numbers already."""
-    if not x.size or float(np.abs(x).max()) * scale < LARGE:
-        return np.floor(x * scale).astype(np.int64)
-    return np.array([int(v) * scale if abs(v) >= 1 << 53 else math.floor(Fraction(v) * scale) for v in x.ravel().tolist()], dtype=object).reshape(x.shape)
-
-
 def slices(values: np.ndarray, bits: int) -> np.ndarray:
     """bits x dim x words: bitmaps over rows of the bits of non-negative values (rows x dim); the rows fill 64-bit words."""
     n, dim = values.shape
@@ -229,16 +210,11 @@ def search(vectors: DataFrame, p: Params = Params()) -> DataFrame:
                 out = [(np.full(len(found), ask + i), np.full(len(found), q), found, score) for block in blocks.get(dim, []) for i, (q, v) in enumerate(zip(names.tolist(), vectors, strict=True)) for found, score in [block.best(q, v, p.k)]]
                 if out:
                     asks, queries, found, score = (np.concatenate(x) for x in zip(*out, strict=True))
-                    digits = [None if -(1 << 63) <= s < 1 << 63 else str(s) for s in score.tolist()]
-                    held = [s if t is None else (1 << 63) - 1 if s > 0 else -(1 << 63) for s, t in zip(score.tolist(), digits, strict=True)]
-                    yield pa.RecordBatch.from_arrays([pa.array(asks.astype(np.int64)), pa.array(queries.astype(np.int64)), pa.array(found.astype(np.int64)), pa.array(held, pa.int64()), pa.array(digits, pa.string())], ["ask", "query_id", "vec_id", "score", "exact_score"])
+                    yield pa.RecordBatch.from_arrays([pa.array(asks.astype(np.int64)), pa.array(queries.astype(np.int64)), pa.array(found.astype(np.int64)), *far_scores(score.tolist())], ["ask", "query_id", "vec_id", "score", "exact_score"])
 
     part = written(met.mapInArrow(run, "ask long, query_id long, vec_id long, score long, exact_score string"), "found")
     drop_written(asked)
-    # beyond the longs: more digits, then larger digits, are larger scores above and smaller ones below
-    far, above = F.struct(F.length("exact_score"), "exact_score"), F.col("score") > 0
-    order = [F.desc("score"), F.when(above, far).desc_nulls_last(), F.when(~above, far).asc_nulls_first(), F.col("vec_id")]
-    rank = F.row_number().over(W.partitionBy("ask").orderBy(*order))
+    rank = F.row_number().over(W.partitionBy("ask").orderBy(*score_order(), "vec_id"))
     best = part.withColumn("rank", rank.cast("int")).where(F.col("rank") <= p.k)
     return best.select("query_id", "rank", "vec_id", F.when(F.col("exact_score").isNull(), F.col("score")).alias("score"), "exact_score")
 
