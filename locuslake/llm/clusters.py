@@ -225,9 +225,9 @@ def op11_kmeans(vectors: DataFrame, p: Params = Params()) -> DataFrame:
 
 
 def _oracle(p: Params = Params()) -> str:
-    near = "list_sum(list_transform(list_zip(e.v, c.v), z -> (z[1] - z[2]) * (z[1] - z[2])))::bigint"
+    near = "list_sum(list_transform(list_zip(e.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint"
     steps = [
-        f"e as materialized (select vec_id, list_transform(embedding, x -> floor(x::double * {p.scale})::bigint) as v from embeddings where len(embedding) = {p.dim} and len(list_filter(embedding, x -> isfinite(x::double))) = {p.dim})",
+        f"e as materialized (select vec_id, list_transform(embedding, lambda x: floor(x::double * {p.scale})::bigint) as v from embeddings where len(embedding) = {p.dim} and len(list_filter(embedding, lambda x: isfinite(x::double))) = {p.dim})",
         f"c0 as materialized (select row_number() over (order by h) - 1 as c, v from (select v, sha256('{p.seed}:' || vec_id::varchar) as h from e order by h limit {p.k}))",
     ]
     for k in range(p.rounds + 1):
