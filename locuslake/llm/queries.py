@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from locuslake.llm import bpe, chat, clusters, mixing, neardup, negatives, pii, spotsigs, tokencounts, topk, toxicity, warc
+from locuslake.llm import bpe, chat, clusters, mixing, neardup, negatives, pii, quality, spotsigs, tokencounts, topk, toxicity, warc
 from locuslake.llm.shared import table
 
 
@@ -58,6 +58,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.op12_hard_negatives(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_topk, op3_warc, op4_prob_minhash, op5_toxicity, op6_bpe, op7_spotsigs, op8_mixing, op9_pii, op10_chat, op11_kmeans, op12_hard_negatives)}
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.op13_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_topk, op3_warc, op4_prob_minhash, op5_toxicity, op6_bpe, op7_spotsigs, op8_mixing, op9_pii, op10_chat, op11_kmeans, op12_hard_negatives, op13_quality)}
 
 ORACLES: dict[str, str] = {"op2_topk": topk.ORACLE, "op3_warc": warc.ORACLE, "op8_mixing": mixing.ORACLE, "op10_chat": chat.ORACLE, "op11_kmeans": clusters.ORACLE, "op12_hard_negatives": negatives.ORACLE}
