@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from locuslake.operators.quantiles import median, quantiles
+from locuslake.plans.tables import stored
+
 
 def statistics(depth: DataFrame) -> DataFrame:
     """(sample_id, chrom, mean_depth, median_depth) by chromosome and over all as TOTAL."""
-    sets = depth.groupingSets([["sample_id", "chrom"], ["sample_id"]], "sample_id", "chrom").agg(F.avg("depth").alias("mean_depth"), F.median("depth").alias("median_depth"))
-    return sets.withColumn("chrom", F.coalesce("chrom", F.lit("TOTAL")))
+    d = stored(depth.select("sample_id", "chrom", "depth"), "depths")  # read several times below
+    each, whole = d, d.withColumn("chrom", F.lit("TOTAL"))
+    mean = lambda x: x.groupBy("sample_id", "chrom").agg(F.avg("depth").alias("mean_depth"))
+    return mean(each).unionByName(mean(whole)).join(median(each, ["sample_id", "chrom"], "depth", "median_depth").unionByName(median(whole, ["sample_id", "chrom"], "depth", "median_depth")), ["sample_id", "chrom"])
 
 
 def weighted(depth: DataFrame, by: list[str]) -> DataFrame:
@@ -27,25 +29,28 @@ def weighted(depth: DataFrame, by: list[str]) -> DataFrame:
 def ratio_to_normal(bins: DataFrame, windows: DataFrame, normal: str, bin_id: str = "bin_id") -> DataFrame:
     """bins (bin_id, sample_id, depth) of tumour samples with rdr = depth / normal depth x normal total / sample total.
 
-    Totals are sums of the windows' depths (sample_id, depth); a normal depth of 0 gives null.
+    Totals are the bases of the windows (sample_id, start, stop, depth): depth times length, missing depths left out. Over a
+    normal depth of 0 a positive depth is infinite and one of 0 null.
     """
-    totals = windows.groupBy("sample_id").agg(F.sum("depth").alias("_total"))
+    totals = windows.groupBy("sample_id").agg(F.sum(F.col("depth") * (F.col("stop") - F.col("start"))).alias("_total"))
     base = bins.where(F.col("sample_id") == normal).select(bin_id, F.col("depth").alias("_normal"))
     whole = totals.where(F.col("sample_id") == normal).select(F.col("_total").alias("_all"))
     d = bins.where(F.col("sample_id") != normal).join(base, bin_id, "left").join(totals, "sample_id").join(F.broadcast(whole), how="cross")  # one row
-    return d.withColumn("rdr", F.when(F.col("_normal") > 0, F.col("depth") / F.col("_normal") * (F.col("_all") / F.col("_total")))).drop("_normal", "_total", "_all")
+    ratio = F.when(F.col("_normal") > 0, F.col("depth") / F.col("_normal") * (F.col("_all") / F.col("_total"))).when((F.col("_normal") == 0) & (F.col("depth") > 0), F.lit(float("inf")))
+    return d.withColumn("rdr", ratio).drop("_normal", "_total", "_all")
 
 
 def ratio_to_median(bins: DataFrame) -> DataFrame:
-    """With rdr = depth over the sample's median of positive depths."""
-    mid = bins.where("depth > 0").groupBy("sample_id").agg(F.median("depth").alias("_m"))
-    return bins.join(mid, "sample_id", "left").withColumn("rdr", F.col("depth") / F.col("_m")).drop("_m")
+    """With rdr = depth over the sample's median of positive finite depths; null where the depth is none of these."""
+    positive = (F.col("depth") > 0) & (F.col("depth") < F.lit(float("inf")))
+    mid = median(bins.where(positive), ["sample_id"], "depth", "_m")
+    return bins.join(mid, "sample_id", "left").withColumn("rdr", F.when(positive, F.col("depth") / F.col("_m"))).drop("_m")
 
 
 def without_outliers(bins: DataFrame, share: float, value: str = "rdr") -> DataFrame:
     """Values above the 1 - share quantile over all samples become null; infinite ones are null before."""
     fine = bins.withColumn(value, F.when(F.abs(value) < F.lit(float("inf")), F.col(value)))
-    cut = fine.agg(F.percentile(value, 1 - share).alias("_q"))
+    cut = quantiles(fine, [], {"_q": (value, 1 - share)})
     return fine.join(F.broadcast(cut), how="cross").withColumn(value, F.when(F.col(value) <= F.col("_q"), F.col(value))).drop("_q")  # one row
 
 
@@ -86,22 +91,22 @@ def mid_ranks(d: DataFrame, part: str, value: str, out: str, cuts: int = 64) ->
 
 def gc_statistics(d: DataFrame, bins: int = 100) -> DataFrame:
     """(sample_id, pearson, spearman, bin_std) of depth against gc: correlations, and the spread of medians of depth by GC bin."""
-    both = d.where("depth is not null and gc is not null").select("sample_id", "gc", "depth")
+    both = stored(d.where("depth is not null and gc is not null").select("sample_id", "gc", "depth"), "panel")
     ranked = mid_ranks(mid_ranks(both, "sample_id", "depth", "_rd"), "sample_id", "gc", "_rg")
     cors = ranked.groupBy("sample_id").agg(F.corr("gc", "depth").alias("pearson"), F.corr("_rg", "_rd").alias("spearman"))
     at = F.greatest(F.lit(0), F.least(F.lit(bins - 1), F.floor(F.col("gc") * bins)))
-    mids = both.groupBy("sample_id", at.alias("_g")).agg(F.median("depth").alias("_m")).groupBy("sample_id").agg(F.stddev_pop("_m").alias("bin_std"))
+    mids = median(both.withColumn("_g", at), ["sample_id", "_g"], "depth", "_m").groupBy("sample_id").agg(F.stddev_pop("_m").alias("bin_std"))
     return cors.join(mids, "sample_id")
 
 
 def domain(d: DataFrame, column: str, outer: float = 0.001) -> DataFrame:
     """(sample_id, low, high): the quantiles `outer` and 1 - outer of a covariate, the ends of what a fit looks at."""
-    return d.groupBy("sample_id").agg(F.percentile(column, outer).alias("low"), F.percentile(column, 1 - outer).alias("high"))
+    return quantiles(d, ["sample_id"], {"low": (column, outer), "high": (column, 1 - outer)})
 
 
 def panel_statistics(d: DataFrame, x: str, y: str) -> DataFrame:
     """(sample_id, mad, pearson, spearman) of a scatter panel: median distance of y to its median, and the correlations of x and y."""
-    both = d.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select("sample_id", F.col(x).alias("_x"), F.col(y).alias("_y"))
+    both = stored(d.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select("sample_id", F.col(x).alias("_x"), F.col(y).alias("_y")), "panel")
     ranked = mid_ranks(mid_ranks(both, "sample_id", "_x", "_rx"), "sample_id", "_y", "_ry")
     cors = ranked.groupBy("sample_id").agg(F.corr("_x", "_y").alias("pearson"), F.corr("_rx", "_ry").alias("spearman"))
     far = spread(both.select("sample_id", F.col("_y").alias("depth"))).select("sample_id", "mad")
@@ -116,37 +121,26 @@ def histogram(d: DataFrame, value: str, bins: int, low: float, high: float) -> D
 
 def depth_histogram(d: DataFrame, bins: int = 50, share: float = 0.99) -> DataFrame:
     """Histogram of each sample's depths up to its `share` quantile, in bins of equal width from 0."""
-    top = d.groupBy("sample_id").agg(F.percentile("depth", share).alias("_top")).where("_top > 0")
+    d = stored(d.select("sample_id", "depth"), "depths")
+    top = quantiles(d, ["sample_id"], {"_top": ("depth", share)}).where("_top > 0")
     at = F.least(F.floor(F.col("depth") / (F.col("_top") / bins)), F.lit(bins - 1))
-    return d.join(F.broadcast(top), "sample_id").where(F.col("depth") <= F.col("_top")).groupBy("sample_id", at.cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    return d.join(top, "sample_id").where(F.col("depth") <= F.col("_top")).groupBy("sample_id", at.cast("int").alias("bin")).agg(F.count("*").alias("n"))
 
 
 def spread(d: DataFrame) -> DataFrame:
     """(sample_id, middle, mad): median depth and median distance to it."""
-    mid = d.groupBy("sample_id").agg(F.median("depth").alias("middle"))
-    return d.join(mid, "sample_id").groupBy("sample_id", "middle").agg(F.median(F.abs(F.col("depth") - F.col("middle"))).alias("mad"))
+    d = stored(d.select("sample_id", "depth"), "depths")
+    mid = stored(median(d, ["sample_id"], "depth", "middle"), "middles")
+    return median(d.join(mid, "sample_id"), ["sample_id", "middle"], F.abs(F.col("depth") - F.col("middle")), "mad")
 
 
 def limits(d: DataFrame, value: str, share: float = 0.99) -> DataFrame:
-    return d.groupBy("sample_id").agg(F.percentile(value, share).alias("limit"))
+    return quantiles(d, ["sample_id"], {"limit": (value, share)})
 
 
 # ---- correction ----------------------------------------------------------------------------------
 
 
-@contextmanager
-def held(d: DataFrame):
-    """d cached while its samples' few numbers are worked out, unless it is cached already."""
-    if d.storageLevel != StorageLevel.NONE:
-        yield d
-        return
-    d.persist()
-    try:
-        yield d
-    finally:
-        d.unpersist()
-
-
 def _fixed(small: DataFrame) -> DataFrame:
     """A row for each sample, worked out now: plans that use it again don't run it again."""
     return F.broadcast(small.sparkSession.createDataFrame(small.collect(), small.schema))
@@ -154,8 +148,8 @@ def _fixed(small: DataFrame) -> DataFrame:
 
 def _rescaled(d: DataFrame, before: str, after: str) -> DataFrame:
     """`after` scaled so that its median is that of `before` over the rows where it is known."""
-    scale = _fixed(d.where(F.col(after).isNotNull() & (F.col(before) > 0)).groupBy("sample_id").agg((F.median(before) / F.median(after)).alias("_k")))
-    return d.join(scale, "sample_id", "left").withColumn(after, F.col(after) * F.col("_k")).drop("_k")
+    mids = quantiles(d.where(F.col(after).isNotNull() & (F.col(before) > 0)), ["sample_id"], {"_b": (before, 0.5), "_a": (after, 0.5)})
+    return d.join(_fixed(mids.select("sample_id", (F.col("_b") / F.col("_a")).alias("_k"))), "sample_id", "left").withColumn(after, F.col(after) * F.col("_k")).drop("_k")
 
 
 def _least_absolute(x: np.ndarray, y: np.ndarray, pull: np.ndarray, rounds: int = 2000) -> np.ndarray:
@@ -235,11 +229,7 @@ def corrected_by_regression(d: DataFrame, doutlier: float = 0.001, min_mappabili
     With repli, its first and second power join; map filters windows. Predictions stop at the eps quantile of the positive
     ones; the sample's median is kept. Windows without depth or under the mappability are null.
     """
-    with held(d):
-        return _by_regression(d, doutlier, min_mappability, eps_quantile, value)
-
-
-def _by_regression(d: DataFrame, doutlier: float, min_mappability: float, eps_quantile: float, value: str) -> DataFrame:
+    d = stored(d, "depths")  # its samples' few numbers take several passes
     names = ["gc", "gc2"] + (["repli", "repli2"] if "repli" in d.columns else [])
     x = d.withColumn("gc2", F.col("gc") * F.col("gc"))
     if "repli" in d.columns:
@@ -254,7 +244,7 @@ def _by_regression(d: DataFrame, doutlier: float, min_mappability: float, eps_qu
     known = d.sparkSession.createDataFrame([(s, list(map(float, b))) for s, b in beta.items()], "sample_id string, _b array<double>")
     x = x.join(F.broadcast(known), "sample_id", "left")  # a row for each sample
     x = x.withColumn("_p", F.get("_b", F.lit(0)) + sum((F.coalesce(F.col(n), F.lit(0.0) if n.startswith("repli") else F.col(n)) * F.get("_b", F.lit(i + 1)) for i, n in enumerate(names)), F.lit(0.0)))
-    eps = _fixed(x.where("_p > 0").groupBy("sample_id").agg(F.percentile("_p", eps_quantile).alias("_eps")))
+    eps = _fixed(quantiles(x.where("_p > 0"), ["sample_id"], {"_eps": ("_p", eps_quantile)}))
     x = x.join(eps, "sample_id", "left").withColumn("_eps", F.coalesce("_eps", F.lit(1.0)))
     good = F.col(value) > 0
     if "map" in d.columns:
@@ -334,7 +324,7 @@ def lowess_stage(d: DataFrame, value: str, covariate: str, out: str, low_high: t
     Spark.
     """
     valid = (F.col(value) > 0) & F.col(covariate).isNotNull()
-    ends = _fixed(d.groupBy("sample_id").agg(F.percentile(covariate, doutlier).alias("_lo"), F.percentile(covariate, 1 - doutlier).alias("_hi"), F.percentile(F.when(valid, F.col(value)), 1 - routlier).alias("_top")))
+    ends = _fixed(quantiles(d, ["sample_id"], {"_lo": (covariate, doutlier), "_hi": (covariate, 1 - doutlier), "_top": (F.when(valid, F.col(value)), 1 - routlier)}))
     fit = d.join(ends, "sample_id").where(valid & F.col(covariate).between(F.col("_lo"), F.col("_hi")) & (F.col(value) <= F.col("_top")))
     if ideal is not None:
         fit = fit.where(ideal)
@@ -361,11 +351,12 @@ def lowess_stage(d: DataFrame, value: str, covariate: str, out: str, low_high: t
 def corrected_by_lowess(d: DataFrame, min_mappability: float = 0.9, sample: int | None = 50_000, seed: int = 42, **fit) -> DataFrame:
     """d with `corrected`: LOWESS stages on gc, then map and repli where there are such columns. `fit` goes to each stage."""
     ideal = (F.col("map") >= min_mappability) if "map" in d.columns else None
-    with held(d):
-        x = lowess_stage(d, "depth", "gc", "corrected", (0.0, 1.0), sample, seed=seed, ideal=ideal, **fit)
-        for k, (c, ends) in enumerate((("map", (0.0, 1.0)), ("repli", None)), 1):
-            if c in d.columns:
-                x = lowess_stage(x.withColumnRenamed("corrected", "_before"), "_before", c, "corrected", ends, sample, seed=seed + k, **fit).drop("_before")
+    d = stored(d, "depths")
+    x = lowess_stage(d, "depth", "gc", "corrected", (0.0, 1.0), sample, seed=seed, ideal=ideal, **fit)
+    for k, (c, ends) in enumerate((("map", (0.0, 1.0)), ("repli", None)), 1):
+        if c in d.columns:
+            x = stored(x.withColumnRenamed("corrected", "_before"), "before")
+            x = lowess_stage(x, "_before", c, "corrected", ends, sample, seed=seed + k, **fit).drop("_before")
     return x
 
 

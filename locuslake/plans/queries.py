@@ -637,17 +637,22 @@ def weighted_depth(depth_):
     return _bins(depth_).withColumn("depth", F.round("depth", 9))
 
 
-@query("depth", f"""with {BINS}, t as (select sample_id, sum(depth) as total from depth group by 1)
-    select b.chrom, b.bin_id, b.sample_id, round(case when n.depth > 0 then b.depth / n.depth * ((select total from t where sample_id = 'N') / t.total) end, 9) as rdr
+@query("depth", f"""with {BINS}, t as (select sample_id, sum(depth * (stop - start)) as total from depth group by 1)
+    select b.chrom, b.bin_id, b.sample_id, round(case when n.depth > 0 then b.depth / n.depth * ((select total from t where sample_id = 'N') / t.total) when n.depth = 0 and b.depth > 0 then 'inf'::double end, 9) as rdr
     from b left join b n on n.chrom = b.chrom and n.bin_id = b.bin_id and n.sample_id = 'N' join t on t.sample_id = b.sample_id where b.sample_id <> 'N'""")
 def rdr_normal(depth_):
     b = _bins(depth_).withColumn("key", F.struct("chrom", "bin_id"))
     return depth.ratio_to_normal(b, depth_, "N", "key").select("chrom", "bin_id", "sample_id", F.round("rdr", 9).alias("rdr"))
 
 
-@query("depth", f"with {BINS}, m as (select sample_id, median(depth) as m from b where depth > 0 group by 1) select chrom, bin_id, sample_id, round(depth / m, 9) as rdr from b left join m using (sample_id)")
+# a window in seven is not read at all, and so are bins of such windows alone
+SPARSE = BINS.replace("from depth", "from (select * replace (case when start // 4000 % 7 = 3 or start // 40000 % 5 = 2 then 0 else depth end as depth) from depth)")
+
+
+@query("depth", f"with {SPARSE}, m as (select sample_id, median(depth) as m from b where depth > 0 group by 1) select chrom, bin_id, sample_id, round(case when depth > 0 then depth / m end, 9) as rdr from b left join m using (sample_id)")
 def rdr_median(depth_):
-    return depth.ratio_to_median(_bins(depth_)).select("chrom", "bin_id", "sample_id", F.round("rdr", 9).alias("rdr"))
+    unread = (F.floor(F.col("start") / 4000) % 7 == 3) | (F.floor(F.col("start") / 40000) % 5 == 2)
+    return depth.ratio_to_median(_bins(depth_.withColumn("depth", F.when(unread, 0.0).otherwise(F.col("depth"))))).select("chrom", "bin_id", "sample_id", F.round("rdr", 9).alias("rdr"))
 
 
 @query("depth", f"with {BINS} select chrom, bin_id, sample_id, round(case when depth <= (select quantile_cont(depth, 0.95::double) from b) then depth end, 9) as depth from b")

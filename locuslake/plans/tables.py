@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -16,7 +17,33 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="locuslake-"))
         base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/locuslake-files/{uuid.uuid4().hex}/{name}"
+    path = f"{base.rstrip('/')}/locuslake-files/{uuid.uuid4().hex}/{name}"
+    if not _made:
+        atexit.register(swept)
+    _made.append((spark, path))
+    return path
+
+
+#: Folders that scratch() has given out, in this session.
+_made: list[tuple[SparkSession, str]] = []
+
+
+def _deleted(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def swept() -> int:
+    """Delete every table and file that stages have made so far, once no result is read any more; how many there were.
+
+    A program that ends normally does so by itself.
+    """
+    n = len(_made)
+    while _made:
+        spark, folder = _made.pop()
+        if spark.sparkContext._jsc is not None:
+            _deleted(spark, folder.rsplit("/", 1)[0])
+    return n
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -29,8 +56,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def dropped(*tables: DataFrame) -> None:
     """Delete the files of tables made by stored(), once nothing reads them any more."""
     for df in tables:
-        context = df.sparkSession.sparkContext
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             if "/locuslake-files/" in folder:
-                path = context._jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+                _deleted(df.sparkSession, folder)
