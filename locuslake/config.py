@@ -26,13 +26,14 @@ class Phase:
     min_depth: int = 1
     gamma: float = 0.05
     exon_only: bool = False
+    flip_test: bool = True
     epsilon: float = 0.05
     alpha: float = 0.05
 
 
 @dataclass(frozen=True)
 class Depth:
-    method: str = "median"  # or lowess
+    method: str = "median"  # or lowess, or none
     routlier: float = 0.01
     doutlier: float = 0.001
     min_mappability: float = 0.9
@@ -50,8 +51,10 @@ class Bins:
     min_snp_per_block: int = 10
     max_blocksize: int = 500_000
     rdr_outlier: float = 0.0
+    median_normalization: bool = False
     nu: float = 1.0
     min_switchprob: float = 1e-6
+    switchprob_ps: float = 0.05
     tile: int = 200_000
 
 

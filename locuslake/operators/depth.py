@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from locuslake.operators.intervals import numbered_on
 from locuslake.operators.quantiles import median, quantiles
 from locuslake.plans.tables import stored
 
@@ -70,11 +71,7 @@ def complete_rows(values: DataFrame, row: list[str], columns: list[str], order:
     for c in columns:
         bad = bad | F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
     per = values.groupBy(*row).agg(F.bool_or(bad).alias("_bad")).where("not _bad").drop("_bad")
-    part, rest = order[0], order[1:] or order[:1]
-    sizes = per.groupBy(part).agg(F.count("*").alias("_c"))
-    ahead = sizes.select(part, F.coalesce(F.sum("_c").over(W.orderBy(part).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_ahead"))
-    fresh = per.join(ahead, part).withColumn("new_id", (F.col("_ahead") + F.row_number().over(W.partitionBy(part).orderBy(*rest)) - 1).cast("long")).drop("_ahead")
-    return values.join(fresh, row)
+    return values.join(numbered_on(per, order[0], order[1:] or order[:1], "new_id"), row)
 
 
 def mid_ranks(d: DataFrame, part: str, value: str, out: str, cuts: int = 64) -> DataFrame:

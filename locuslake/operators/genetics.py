@@ -38,3 +38,12 @@ def switchprobs_from_phase_sets(blocks: DataFrame, order: list[str], part: str =
     """`least` within a phase set, just under a half where one begins (the first block of all included)."""
     before = F.lag(ps).over(W.partitionBy(part).orderBy(*order))
     return blocks.withColumn("switchprob", F.when(F.coalesce(before == F.col(ps), F.lit(False)), F.lit(least)).otherwise(0.5 - 1e-4))
+
+
+def switchprobs_along(blocks: DataFrame, part: str, order: list[str], ps: str = "ps", least: float = 0.05) -> DataFrame:
+    """As switchprobs_from_phase_sets, for one run of blocks over all parts: a part's first block is compared with the last one of the part before."""
+    inner = W.partitionBy(part).orderBy(*order)
+    ends = blocks.groupBy(part).agg(F.max_by(ps, F.struct(*order)).alias("_end"))
+    ends = ends.select(part, F.lag("_end").over(W.orderBy(part)).alias("_end"))  # a row for each part
+    before = F.when(F.row_number().over(inner) == 1, F.col("_end")).otherwise(F.lag(ps).over(inner))
+    return blocks.join(ends, part).withColumn("_before", before).withColumn("switchprob", F.when(F.coalesce(F.col("_before") == F.col(ps), F.lit(False)), F.lit(least)).otherwise(0.5 - 1e-4)).drop("_before", "_end")

@@ -132,6 +132,13 @@ def tiled(regions: DataFrame, width: int) -> DataFrame:
     return d.select("chrom", a.alias("start"), z.alias("stop"), *rest)
 
 
+def numbered_on(rows: DataFrame, part: str, order: list[str], out: str) -> DataFrame:
+    """With `out`: the place of each row from 0 by (part, order), counted within each part and on over the parts."""
+    sizes = rows.groupBy(part).agg(F.count("*").alias("_c"))
+    ahead = sizes.select(part, F.coalesce(F.sum("_c").over(W.orderBy(part).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_ahead"))  # a row for each part
+    return rows.join(ahead, part).withColumn(out, (F.col("_ahead") + F.row_number().over(W.partitionBy(part).orderBy(*order)) - 1).cast("long")).drop("_ahead")
+
+
 def region_by_midpoint(windows: DataFrame, regions: DataFrame, region_id: str = "region_id", bucket: int = BUCKET) -> DataFrame:
     """windows with the id of the disjoint region that holds their midpoint, null if none does."""
     mid = windows.drop(region_id).withColumn("_mid", F.floor((F.col("start") + F.col("stop")) / 2))

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locuslake.config import Bins, Config, Phase
+from locuslake.config import Bins, Config, Depth, Phase
 from locuslake.functions import columns as C
 from locuslake.operators import binning, counts, depth, features, genetics, genotype, intervals, masks
 from locuslake.plans import stages
@@ -839,35 +840,48 @@ def copytyping_features(obs, region, cellcount, gene):
 # settings of the bulk stage for these tables, as its SQL has them
 BULK = Config(phase=Phase(min_depth=1), bins=Bins(min_snp_reads=300, min_snp_per_block=3, max_blocksize=400_000))
 
-BULK_SQL = f"""recursive with k as (select chrom, chrom_ord, pos0 from snp_sample group by 1, 2, 3 having count(*) = 3 and min(dp) >= 1),
-    m as (select k.* from k join (select chrom, pos0 from snp_sample where sample_id = 'N' and round({BETA.replace('(ad + 1)', '(dp - ad + 1)')}, 9) between 0.025 and 0.975) n using (chrom, pos0)
+def bulk_sql(normal: bool = True, flips: bool = True, ps: str = "1", windows: str = "win") -> str:
+    """The bulk bins in SQL, up to `bins` (windows), `hit` (SNPs) and `e` (phased counts); with or without a normal sample, phase flips and phase sets."""
+    grp = "region_id, ps, phase_group" if flips else "region_id, ps"
+    tumours = ("A", "R") if normal else ("A", "N", "R")
+    balance = f"join (select chrom, pos0 from snp_sample where sample_id = 'N' and round({BETA.replace('(ad + 1)', '(dp - ad + 1)')}, 9) between 0.025 and 0.975) n using (chrom, pos0)" if normal else ""
+    one = lambda text, sep=", ": sep.join(text.format(t=t.lower(), s=t) for t in tumours)
+    full = f"({one('x{t} >= 300', ' and ')} and k >= 3) or e - s >= 400000"
+    mode = lambda c: f"md_{c} as (select chrom, start, {c} from (select *, row_number() over (partition by chrom, start order by c desc, {c}) as r from (select chrom, start, {c}, count(*) as c from hit group by 1, 2, 3)) where r = 1)"
+    votes = ["ps", "phase_group"] if flips else ["ps"]
+    on = " and ".join(f"r.{c} = f.{c}" for c in grp.split(", "))
+    return f"""recursive with k as (select chrom, chrom_ord, pos0 from snp_sample group by 1, 2, 3 having count(*) = 3 and min(dp) >= 1),
+    m as (select k.* from k {balance}
       where exists (select 1 from region r where r.chrom = k.chrom and k.pos0 >= r.start and k.pos0 < r.stop) and not exists (select 1 from blacklist b where b.chrom = k.chrom and k.pos0 >= b.start and k.pos0 < b.stop)),
     e as (select x.*, case when (pos0 // 500) % 2 = 1 then dp - ad else ad end as b from snp_sample x join m using (chrom, chrom_ord, pos0)),
-    q as (select *, 1 - {_tail(0.45, 'b + 1', '(dp + 1)')} > 0.975 as lo, 1 - {_tail(0.55, 'b + 1', '(dp + 1)')} < 0.025 as hi from e where sample_id <> 'N'),
-    wide as (select chrom, chrom_ord, pos0, bool_or(lo) filter (sample_id = 'A') as lo_a, bool_or(hi) filter (sample_id = 'A') as hi_a, bool_or(lo) filter (sample_id = 'R') as lo_r, bool_or(hi) filter (sample_id = 'R') as hi_r,
-      sum(dp) filter (sample_id = 'A')::bigint as dp_a, sum(dp) filter (sample_id = 'R')::bigint as dp_r from q group by 1, 2, 3),
+    q as (select *, 1 - {_tail(0.45, 'b + 1', '(dp + 1)')} > 0.975 as lo, 1 - {_tail(0.55, 'b + 1', '(dp + 1)')} < 0.025 as hi from e {"where sample_id <> 'N'" if normal else ""}),
+    wide as (select chrom, chrom_ord, pos0, {ps} as ps, {one("bool_or(lo) filter (sample_id = '{s}') as lo_{t}, bool_or(hi) filter (sample_id = '{s}') as hi_{t}, sum(dp) filter (sample_id = '{s}')::bigint as dp_{t}")} from q group by 1, 2, 3),
     inr as (select wide.*, r.region_id from wide join region r on r.chrom = wide.chrom and wide.pos0 >= r.start and wide.pos0 < r.stop),
-    f as (select *, coalesce((lag(lo_a) over w and hi_a) or (lag(hi_a) over w and lo_a) or (lag(lo_r) over w and hi_r) or (lag(hi_r) over w and lo_r), false) as flip from inr window w as (partition by region_id order by pos0)),
-    l as (select *, sum(flip::int) over (partition by region_id order by pos0)::bigint as lb from f), g as (select region_id, max(lb) + 1 as c, min((chrom_ord, pos0)) as o from l group by 1),
-    a as (select region_id, coalesce(sum(c) over (order by o rows between unbounded preceding and 1 preceding), 0)::bigint as ahead from g), pg as (select l.*, ahead + lb as phase_group from l join a using (region_id)),
-    hit as (select pg.chrom, pg.pos0, w.start, pg.phase_group, pg.dp_a, pg.dp_r from pg join win w on w.chrom = pg.chrom and pg.pos0 >= w.start and pg.pos0 < w.stop),
-    tot as (select chrom, start, count(*) as ns, sum(dp_a)::bigint as ra, sum(dp_r)::bigint as rr from hit group by 1, 2),
-    md as (select chrom, start, phase_group from (select *, row_number() over (partition by chrom, start order by c desc, phase_group) as r from (select chrom, start, phase_group, count(*) as c from hit group by 1, 2, 3)) where r = 1),
-    placed as (select w.chrom, w.chrom_ord, w.start, w.stop, r.region_id from win w join region r on r.chrom = w.chrom and (w.start + w.stop) // 2 >= r.start and (w.start + w.stop) // 2 < r.stop),
-    rows_ as (select p.*, coalesce(t.ns, 0) as ns, coalesce(t.ra, 0) as ra, coalesce(t.rr, 0) as rr, coalesce(last_value(md.phase_group ignore nulls) over (order by p.chrom_ord, p.start rows unbounded preceding), -1) as grp from placed p left join tot t using (chrom, start) left join md using (chrom, start)),
-    rn as (select *, row_number() over (partition by region_id, grp order by start) as i, count(*) over (partition by region_id, grp) as n from rows_),
-    fold as (select region_id, grp, i, n, chrom, chrom_ord, start, ra as xa, rr as xr, ns as k, 0::bigint as b, start as s, stop as e from rn where i = 1
-      union all select r.region_id, r.grp, r.i, r.n, r.chrom, r.chrom_ord, r.start, case when full_ then r.ra else f.xa + r.ra end, case when full_ then r.rr else f.xr + r.rr end, case when full_ then r.ns else f.k + r.ns end,
+    f as (select *, coalesce({one('(lag(lo_{t}) over w and hi_{t}) or (lag(hi_{t}) over w and lo_{t})', ' or ')}, false) as flip from inr window w as (partition by region_id, ps order by pos0)),
+    l as (select *, sum(flip::int) over (partition by region_id, ps order by pos0)::bigint as lb from f), g as (select region_id, ps, max(lb) + 1 as c, min((chrom_ord, pos0)) as o from l group by 1, 2),
+    a as (select region_id, ps, coalesce(sum(c) over (order by o rows between unbounded preceding and 1 preceding), 0)::bigint as ahead from g), pg as (select l.*, ahead + lb as phase_group from l join a using (region_id, ps)),
+    ww as (select w.*, r.region_id from {windows} w join region r on r.chrom = w.chrom and (w.start + w.stop) // 2 >= r.start and (w.start + w.stop) // 2 < r.stop),
+    hit as (select pg.chrom, pg.chrom_ord, pg.pos0, w.start, pg.ps, pg.phase_group, {one('pg.dp_{t}')} from pg join {windows} w on w.chrom = pg.chrom and pg.pos0 >= w.start and pg.pos0 < w.stop),
+    tot as (select chrom, start, count(*) as ns, {one('sum(dp_{t})::bigint as r{t}')} from hit group by 1, 2), {', '.join(map(mode, votes))},
+    rows_ as (select p.chrom, p.chrom_ord, p.start, p.stop, p.region_id, coalesce(t.ns, 0) as ns, {one('coalesce(t.r{t}, 0) as r{t}')}, {', '.join(f"last_value(md_{c}.{c} ignore nulls) over (order by p.chrom_ord, p.start rows unbounded preceding) as {c}" for c in votes)}
+      from ww p left join tot t using (chrom, start) {' '.join(f"left join md_{c} using (chrom, start)" for c in votes)}),
+    rn as (select *, row_number() over (partition by {grp} order by start) as i, count(*) over (partition by {grp}) as n from rows_ where ps is not null),
+    fold as (select {grp}, i, n, chrom, chrom_ord, start, stop, {one('r{t} as x{t}')}, ns as k, 0::bigint as b, start as s, stop as e from rn where i = 1
+      union all select {', '.join('r.' + c for c in grp.split(', '))}, r.i, r.n, r.chrom, r.chrom_ord, r.start, r.stop, {one('case when full_ then r.r{t} else f.x{t} + r.r{t} end')}, case when full_ then r.ns else f.k + r.ns end,
         case when full_ then f.b + 1 else f.b end, case when full_ then r.start else f.s end, r.stop
-      from (select *, (xa >= 300 and xr >= 300 and k >= 3) or e - s >= 400000 as full_ from fold) f join rn r on r.region_id = f.region_id and r.grp = f.grp and r.i = f.i + 1),
-    z as (select region_id, grp, case when ((xa >= 300 and xr >= 300 and k >= 3) or e - s >= 400000) and b > 0 then b else greatest(b - 1, 0) end as fin from fold where i = n),
-    lbin as (select fold.region_id, fold.grp, fold.chrom, fold.chrom_ord, fold.start, least(fold.b, z.fin) as lb from fold join z using (region_id, grp)),
-    gb as (select region_id, grp, max(lb) + 1 as c, min((chrom_ord, start)) as o from lbin group by 1, 2), ab as (select region_id, grp, coalesce(sum(c) over (order by o rows between unbounded preceding and 1 preceding), 0)::bigint as ahead from gb),
-    bins as (select lbin.chrom, lbin.start, ahead + lb as bin_id, grp as phase_group, region_id from lbin join ab using (region_id, grp))"""
+      from (select *, {full} as full_ from fold) f join rn r on {on} and r.i = f.i + 1),
+    z as (select {grp}, case when ({full}) and b > 0 then b else greatest(b - 1, 0) end as fin from fold where i = n),
+    lbin as (select {', '.join('fold.' + c for c in grp.split(', '))}, fold.chrom, fold.chrom_ord, fold.start, fold.stop, least(fold.b, z.fin) as lb from fold join z using ({grp})),
+    gb as (select {grp}, max(lb) + 1 as c, min((chrom_ord, start)) as o from lbin group by {grp}), ab as (select {grp}, coalesce(sum(c) over (order by o rows between unbounded preceding and 1 preceding), 0)::bigint as ahead from gb),
+    bins as (select lbin.chrom, lbin.chrom_ord, lbin.start, lbin.stop, (ahead + lb)::bigint as bin_id, {'phase_group' if flips else 'null::bigint as phase_group'}, region_id from lbin join ab using ({grp})
+      union all select chrom, chrom_ord, start, stop, 0, null, region_id from rows_ where ps is null)"""
+
+
+BULK_SQL = bulk_sql()
 
 
 def _bulk(snp_sample, region, blacklist, win):
-    x = snp_sample.withColumn("phase", F.floor(F.col("pos0") / 500) % 2)
+    x = _phased(snp_sample)
     good = stages.masked(x, region, blacklist, "N", 3, BULK, bucket=1 << 20)
     return stages.bulk_bins(x, good, region, win, "N", ["A", "N", "R"], BULK, 1 << 20)
 
@@ -885,8 +899,82 @@ def bulk_windows(snp_sample, region, blacklist, win):
 
 @query("snp_sample region blacklist win depth knot")
 def bulk_ratios(snp_sample, region, blacklist, win, depth_, knot):
-    x = snp_sample.withColumn("phase", F.floor(F.col("pos0") / 500) % 2)
-    return stages.bulk(x, region, blacklist, win, depth_.select("chrom", "start", "stop", "sample_id", "depth"), knot, "N", BULK, 1 << 20)["ratios"]
+    return stages.bulk(_phased(snp_sample), region, blacklist, win, depth_.select("chrom", "start", "stop", "sample_id", "depth"), knot, "N", BULK, 1 << 20)["ratios"]
+
+
+def _phased(snp_sample):
+    return snp_sample.withColumn("phase", F.floor(F.col("pos0") / 500) % 2)
+
+
+UNCORRECTED = Config(phase=Phase(min_depth=1), depth=Depth(method="none"), bins=Bins(min_snp_reads=300, min_snp_per_block=3, max_blocksize=400_000, rdr_outlier=0.02))
+COMPLETE = "(select * from win semi join (select chrom, start from depth where depth is not null group by 1, 2 having count(distinct sample_id) = 3) using (chrom, start))"
+
+
+def whole_sql(normal: bool, median_: bool, **how) -> str:
+    """The bulk stage over uncorrected depths in SQL, up to `kept`: bins (with new_id) that have every frequency, depth and ratio."""
+    tumour = "where sample_id <> 'N'" if normal else ""
+    ratio = f"""mids as (select sample_id, median(depth) as mid from bd where depth > 0 group by 1), r0 as (select bin_id, sample_id, depth, case when depth > 0 then depth / mid end as rdr from bd join mids using (sample_id) {tumour})""" if median_ or not normal else """t as (select sample_id, sum(depth * (stop - start)) as total from wd group by 1),
+    r0 as (select x.bin_id, x.sample_id, x.depth, case when n.depth > 0 then x.depth / n.depth * ((select total from t where sample_id = 'N') / t.total) end as rdr from bd x left join bd n on n.bin_id = x.bin_id and n.sample_id = 'N' join t on t.sample_id = x.sample_id where x.sample_id <> 'N')"""
+    return bulk_sql(normal, windows=COMPLETE, **how) + f""",
+    wd as (select d.chrom, d.start, d.stop, d.sample_id, d.depth, bins.bin_id from depth d join bins using (chrom, start)),
+    bd as (select bin_id, sample_id, sum(depth * (stop - start)) / sum(stop - start) as depth from wd group by 1, 2), {ratio},
+    rr as (select bin_id, sample_id, depth, case when rdr <= (select quantile_cont(rdr, 0.98::double) from r0) then rdr end as rdr from r0),
+    sb as (select hit.chrom, hit.chrom_ord, hit.pos0, hit.ps, bins.bin_id from hit join bins using (chrom, start)),
+    bc as (select sb.bin_id, e.sample_id, sum(e.b)::bigint as b, sum(e.dp)::bigint as dp from sb join e using (chrom, pos0) group by 1, 2),
+    fine as (select bin_id from bc where dp > 0 group by 1 having count(*) = 3 intersect select bin_id from bd where depth is not null group by 1 having count(*) = 3 intersect select bin_id from rr where rdr is not null group by 1 having count(*) = {2 if normal else 3}),
+    bb as (select bin_id, min_by(chrom, (chrom_ord, start)) as chrom, min_by(region_id, (chrom_ord, start)) as region_id, min(start) as start, max(stop) as stop from bins group by 1),
+    bs as (select bin_id, count(*) as n_snps, min_by(ps, (chrom_ord, pos0)) as ps, min(pos0) + 1 as first_pos, max(pos0) + 1 as last_pos from sb group by 1),
+    kept as (select bb.*, bs.n_snps, bs.ps, bs.first_pos, bs.last_pos, (row_number() over (order by bin_id) - 1)::bigint as new_id from bb join fine using (bin_id) join bs using (bin_id))"""
+
+
+MAPPED = f""", p as (select distinct chrom, first_pos as pos from kept union select distinct chrom, last_pos from kept), {CM},
+    d as (select b.chrom, b.new_id, s.cm as s, c.cm as e from kept b join cm s on s.chrom = b.chrom and s.pos = b.first_pos join cm c on c.chrom = b.chrom and c.pos = b.last_pos),
+    sw as (select new_id, greatest(0.000001::double, (1 - exp(-2 * greatest(0, coalesce(s - lag(e) over (partition by chrom order by new_id), 0)))) / 2) as switchprob from d)
+    select new_id as bin_id, chrom, start, stop, region_id, n_snps, round(switchprob, 9) as switchprob from kept join sw using (new_id)"""
+BY_SETS = """ select new_id as bin_id, chrom, start, stop, region_id, n_snps, case when lag(ps) over (order by new_id) = ps then 0.05::double else 0.4999::double end as switchprob from kept"""
+RATIOS = " select new_id as bin_id, sample_id, round(rr.depth, 9) as depth, round(rdr, 9) as rdr from kept join rr using (bin_id)"
+SETS = "pos0 // 150000"
+
+
+def _whole(snp_sample, region, blacklist, win, depth_, knot=None, normal="N", sets=False, **settings):
+    x = _phased(snp_sample)
+    if sets:
+        x = x.withColumn("ps", F.floor(F.col("pos0") / 150_000))
+    cfg = replace(UNCORRECTED, phase=replace(UNCORRECTED.phase, flip_test=settings.pop("flips", True)), bins=replace(UNCORRECTED.bins, **settings))
+    return stages.bulk(x, region, blacklist, win, depth_.select("chrom", "start", "stop", "sample_id", "depth"), knot, normal, cfg, 1 << 20)
+
+
+def _of_bins(out):
+    return out["bins"].select("bin_id", "chrom", "start", "stop", "region_id", "n_snps", F.round("switchprob", 9).alias("switchprob"))
+
+
+def _of_ratios(out):
+    return out["ratios"].select("bin_id", "sample_id", F.round("depth", 9).alias("depth"), F.round("rdr", 9).alias("rdr"))
+
+
+@query("snp_sample region blacklist win depth knot", whole_sql(True, False, ps=SETS) + MAPPED)
+def bulk_bins_to_normal(snp_sample, region, blacklist, win, depth_, knot):
+    return _of_bins(_whole(snp_sample, region, blacklist, win, depth_, knot, sets=True))
+
+
+@query("snp_sample region blacklist win depth", whole_sql(True, False, ps=SETS) + RATIOS)
+def bulk_ratios_to_normal(snp_sample, region, blacklist, win, depth_):
+    return _of_ratios(_whole(snp_sample, region, blacklist, win, depth_, sets=True))
+
+
+@query("snp_sample region blacklist win depth", whole_sql(True, True) + RATIOS)
+def bulk_ratios_to_median(snp_sample, region, blacklist, win, depth_):
+    return _of_ratios(_whole(snp_sample, region, blacklist, win, depth_, median_normalization=True))
+
+
+@query("snp_sample region blacklist win depth", whole_sql(False, True, ps=SETS, flips=False) + BY_SETS)
+def bulk_bins_of_tumours(snp_sample, region, blacklist, win, depth_):
+    return _of_bins(_whole(snp_sample, region, blacklist, win, depth_, normal=None, sets=True, flips=False))
+
+
+@query("snp_sample region blacklist win depth", whole_sql(False, True, ps=SETS, flips=False) + RATIOS)
+def bulk_ratios_of_tumours(snp_sample, region, blacklist, win, depth_):
+    return _of_ratios(_whole(snp_sample, region, blacklist, win, depth_, normal=None, sets=True, flips=False))
 
 
 # ---- files written and read back ------------------------------------------------------------------------

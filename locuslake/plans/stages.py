@@ -26,10 +26,12 @@ def bulk_baf(counts_: DataFrame, regions: DataFrame, snps_per_bin: int, bucket:
     return counts.frequencies(each, ["bin_id", "sample_id"])
 
 
-def masked(counts_: DataFrame, regions: DataFrame, blacklist: DataFrame, normal: str, n_samples: int, cfg: Config = Config(), genes: DataFrame | None = None, exons: DataFrame | None = None, bucket: int = intervals.BUCKET) -> DataFrame:
-    """(chrom, chrom_ord, pos0) of the SNPs that all masks of the bulk mode pass: regions, blacklist, depth, the normal's balance and, if asked for, exons."""
+def masked(counts_: DataFrame, regions: DataFrame, blacklist: DataFrame, normal: str | None, n_samples: int, cfg: Config = Config(), genes: DataFrame | None = None, exons: DataFrame | None = None, bucket: int = intervals.BUCKET) -> DataFrame:
+    """(chrom, chrom_ord, pos0) of the SNPs that all masks of the bulk mode pass: regions, blacklist, depth, the balance of the normal (if there is one) and, if asked for, exons."""
     keys = counts_.select("chrom", "chrom_ord", "pos0").distinct()
-    found = [masks.in_regions(keys, regions, bucket), masks.outside(keys, blacklist, bucket), masks.deep_enough(counts_, n_samples, cfg.phase.min_depth), masks.balanced(counts_.where(F.col("sample_id") == normal), cfg.phase.gamma)]
+    found = [masks.in_regions(keys, regions, bucket), masks.outside(keys, blacklist, bucket), masks.deep_enough(counts_, n_samples, cfg.phase.min_depth)]
+    if normal is not None:
+        found.append(masks.balanced(counts_.where(F.col("sample_id") == normal), cfg.phase.gamma))
     if cfg.phase.exon_only:
         if genes is None or exons is None:
             raise ValueError("exon_only needs gene and exon tables")
@@ -47,51 +49,103 @@ def corrected(depths: DataFrame, cfg: Config = Config()) -> DataFrame:
     return depth.corrected_by_regression(depths, c.doutlier, c.min_mappability, c.eps_quantile)
 
 
-def bulk_bins(counts_: DataFrame, good: DataFrame, regions: DataFrame, windows: DataFrame, normal: str, samples: list[str], cfg: Config = Config(), bucket: int = intervals.BUCKET) -> dict[str, DataFrame]:
-    """The bins of the bulk mode: windows (with bin_id), bins, snp_bins and bin_counts (b, dp, af by bin and sample)."""
-    each = stored(counts.phased(counts_.join(good.select("chrom", "pos0"), ["chrom", "pos0"], "left_semi")), "snp_counts")
+def bulk_bins(counts_: DataFrame, good: DataFrame, regions: DataFrame, windows: DataFrame, normal: str | None, samples: list[str], cfg: Config = Config(), bucket: int = intervals.BUCKET) -> dict[str, DataFrame]:
+    """The bins of the bulk mode: windows (with bin_id), bins, snp_bins and bin_counts (b, dp, af by bin and sample).
+
+    Groups are regions and, where counts_ has a column ps, phase sets; with the test for phase flips (a switch of the settings) also phase groups.
+    A window takes the most frequent phase set and phase group of its SNPs, the smallest on ties, and without SNPs those of the window before it in the
+    genome. Windows before all SNPs have no group and join bin 0.
+    """
+    keys = ["chrom", "chrom_ord", "pos0"]
+    phased = counts.phased(counts_.join(good.select("chrom", "pos0"), ["chrom", "pos0"], "left_semi"))
+    each = stored(phased if "ps" in counts_.columns else phased.withColumn("ps", F.lit(1).cast("long")), "snp_counts")
     tumours = [s for s in samples if s != normal]
-    wide = each.where(F.col("sample_id") != normal).groupBy("chrom", "chrom_ord", "pos0").pivot("sample_id", tumours).agg(F.first("b").alias("b"), F.first("a").alias("a"), F.first("dp").alias("dp")).fillna(0)
-    wide = intervals.points_in_intervals(wide, regions, ["region_id"], bucket=bucket)
-    flips = binning.flips(wide, ["region_id"], ["pos0"], {s: (f"{s}_b", f"{s}_a") for s in tumours}, cfg.phase.epsilon, cfg.phase.alpha)
-    groups = binning.phase_groups(flips, ["region_id"], ["chrom_ord", "pos0"])
-    hit = stored(intervals.points_in_intervals(groups, windows, ["start"], bucket=bucket), "snp_windows")
-    per = hit.groupBy("chrom", "start").agg(F.count("*").alias("n_snps"), F.mode("phase_group", True).alias("phase_group"), *[F.sum(f"{s}_dp").alias(s) for s in tumours])
+    read = each if normal is None else each.where(F.col("sample_id") != normal)
+    wide = read.groupBy(*keys).pivot("sample_id", tumours).agg(F.first("b").alias("b"), F.first("a").alias("a"), F.first("dp").alias("dp")).fillna(0)
+    wide = each.groupBy(*keys).agg(F.min("ps").alias("ps")).join(wide, keys, "left").fillna(0, [f"{s}_{c}" for s in tumours for c in ("b", "a", "dp")])
+    found = intervals.points_in_intervals(wide, regions, ["region_id"], bucket=bucket)
+    votes, group = ["ps"], ["region_id", "ps"]
+    if cfg.phase.flip_test:
+        flips = binning.flips(found, group, ["pos0"], {s: (f"{s}_b", f"{s}_a") for s in tumours}, cfg.phase.epsilon, cfg.phase.alpha)
+        found = binning.phase_groups(flips, group, ["chrom_ord", "pos0"])
+        votes, group = [*votes, "phase_group"], [*group, "phase_group"]
+    hit = stored(intervals.points_in_intervals(found, windows, ["start"], bucket=bucket), "snp_windows")
+    per = hit.groupBy("chrom", "start").agg(F.count("*").alias("n_snps"), *[F.mode(c, True).alias(c) for c in votes], *[F.sum(f"{s}_dp").alias(s) for s in tumours])
     placed = intervals.region_by_midpoint(windows.select("chrom", "chrom_ord", "start", "stop"), regions, bucket=bucket).where("region_id is not null")
-    rows = binning.filled_forward(placed.join(per, ["chrom", "start"], "left"), ["phase_group"], "chrom_ord", ["start"]).fillna(0, ["n_snps", *tumours]).fillna(-1, ["phase_group"])
-    local = binning.by_reads(rows, ["region_id", "phase_group"], ["start"], tumours, cfg.bins.min_snp_reads, cfg.bins.min_snp_per_block, cfg.bins.max_blocksize)
-    win_bins = stored(binning.numbered(stored(local, "local_bins"), ["region_id", "phase_group"], ["chrom_ord", "start"]), "window_bins")
-    snp_bins = hit.select("chrom", "pos0", "start").join(win_bins.select("chrom", "start", "bin_id"), ["chrom", "start"])
+    rows = binning.filled_forward(placed.join(per, ["chrom", "start"], "left"), votes, "chrom_ord", ["start"]).fillna(0, ["n_snps", *tumours])
+    local = stored(binning.by_reads(rows.where("ps is not null"), group, ["start"], tumours, cfg.bins.min_snp_reads, cfg.bins.min_snp_per_block, cfg.bins.max_blocksize), "local_bins")
+    ahead = rows.where("ps is null").withColumns({"local_bin": F.lit(0).cast("long"), "bin_id": F.lit(0).cast("long")})
+    win_bins = stored(binning.numbered(local, group, ["chrom_ord", "start"]).unionByName(ahead), "window_bins")
+    snp_bins = hit.select(*keys, "start", "ps").join(win_bins.select("chrom", "start", "bin_id"), ["chrom", "start"])
     bin_counts = counts.frequencies(each.join(snp_bins.select("chrom", "pos0", "bin_id"), ["chrom", "pos0"]), ["bin_id", "sample_id"])
-    return {"windows": win_bins, "bins": binning.bin_bounds(win_bins, "start", ["region_id", "phase_group"]), "snp_bins": snp_bins, "bin_counts": bin_counts}
+    several = binning.bin_bounds(win_bins.withColumn("_at", F.struct("chrom_ord", "start")), "_at", ["chrom_ord", *group])
+    many = snp_bins.groupBy("bin_id").agg(F.count("*").alias("n_snps"), F.min_by("ps", F.struct("chrom_ord", "pos0")).alias("_ps"))
+    bins = several.join(many, "bin_id", "left").withColumn("ps", F.coalesce("_ps", "ps")).drop("_ps").fillna(0, ["n_snps"])
+    return {"windows": win_bins, "bins": bins, "snp_bins": snp_bins, "bin_counts": bin_counts}
+
+
+def complete_depths(depths: DataFrame, samples: list[str], cfg: Config = Config()) -> dict[str, DataFrame]:
+    """depth (with `corrected`, by window and sample) and whole: the windows that every sample has a corrected depth of, which is their depth."""
+    raw = stored(depths, "raw_depths")
+    fixed = raw.withColumn("corrected", F.col("depth").cast("double")) if cfg.depth.method == "none" else stored(corrected(raw, cfg), "corrected")
+    fine = F.col("corrected").isNotNull() & ~F.isnan("corrected") & F.col("sample_id").isin(*samples)
+    full = fixed.where(fine).groupBy("chrom", "start").agg(F.countDistinct("sample_id").alias("_n")).where(F.col("_n") == len(samples)).drop("_n")
+    return {"depth": fixed, "whole": stored(fixed.join(full, ["chrom", "start"], "left_semi").where(fine).withColumn("depth", F.col("corrected")), "complete")}
 
 
-def bulk_ratios(depths: DataFrame, win_bins: DataFrame, normal: str, cfg: Config = Config()) -> dict[str, DataFrame]:
-    """depth (corrected, by window and sample) and ratios (rdr by bin and tumour sample)."""
-    fixed = stored(corrected(stored(depths, "depths"), cfg), "corrected")
-    whole = stored(depth.complete_rows(fixed, ["chrom", "start"], ["corrected"], ["chrom", "start"]).withColumn("depth", F.col("corrected")), "complete")
+def bulk_ratios(whole: DataFrame, win_bins: DataFrame, normal: str | None, cfg: Config = Config()) -> dict[str, DataFrame]:
+    """bin_depth (length-weighted, by bin and sample) and ratios (rdr by bin and tumour sample): to the normal, or to each sample's own median without one or
+    where the settings say so."""
     bin_depth = stored(depth.weighted(whole.join(win_bins.select("chrom", "start", "bin_id"), ["chrom", "start"]), ["bin_id", "sample_id"]), "bin_depth")
-    ratios = depth.ratio_to_normal(bin_depth, whole, normal)
+    if normal is not None and not cfg.bins.median_normalization:
+        ratios = depth.ratio_to_normal(bin_depth, whole, normal)
+    else:
+        ratios = depth.ratio_to_median(bin_depth if normal is None else bin_depth.where(F.col("sample_id") != normal))
     if cfg.bins.rdr_outlier > 0:
-        ratios = depth.without_outliers(ratios, cfg.bins.rdr_outlier)
-    return {"depth": fixed, "ratios": ratios}
+        ratios = depth.without_outliers(stored(ratios, "ratios"), cfg.bins.rdr_outlier)
+    return {"bin_depth": bin_depth, "ratios": ratios}
 
 
-def bulk(counts_: DataFrame, regions: DataFrame, blacklist: DataFrame, windows: DataFrame, depths: DataFrame, knots: DataFrame, normal: str, cfg: Config = Config(), bucket: int = intervals.BUCKET, genes: DataFrame | None = None, exons: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Bulk genotyping from allele counts and window depths: bins, bin_counts (b, dp, af), depth (corrected) and ratios.
+def known_bins(bins: DataFrame, bin_counts: DataFrame, bin_depth: DataFrame, ratios: DataFrame, samples: list[str], tumours: list[str]) -> DataFrame:
+    """(bin_id, new_id): bins with a frequency and a depth of every sample and a ratio of every tumour, numbered on from 0 in their order.
 
-    counts_: chrom, chrom_ord, pos0, phase, sample_id, ad, dp; windows: chrom, chrom_ord, start, stop, gc[, map, repli]; depths:
-    chrom, start, stop, sample_id, depth, and the windows' covariates unless `windows` has them.
+    Numbers run within chromosomes, then over them, so that no task numbers all bins."""
+    some = lambda x, c, n: x.where(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))).groupBy("bin_id").agg(F.countDistinct("sample_id").alias("_n")).where(F.col("_n") == n).select("bin_id")
+    kept = bins.select("bin_id", "chrom_ord")
+    for x in (some(bin_counts, "af", len(samples)), some(bin_depth, "depth", len(samples)), some(ratios, "rdr", len(tumours))):
+        kept = kept.join(x, "bin_id", "left_semi")
+    return stored(intervals.numbered_on(kept, "chrom_ord", ["bin_id"], "new_id"), "known_bins")
+
+
+def bulk(counts_: DataFrame, regions: DataFrame, blacklist: DataFrame, windows: DataFrame, depths: DataFrame, knots: DataFrame | None = None, normal: str | None = None, cfg: Config = Config(), bucket: int = intervals.BUCKET, genes: DataFrame | None = None, exons: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Bulk genotyping from allele counts and window depths: windows and snp_bins (with bin_id), bins, bin_counts (b, dp, af), depth (corrected), bin_depth and ratios.
+
+    counts_: chrom, chrom_ord, pos0, phase, sample_id, ad, dp[, ps]; windows: chrom, chrom_ord, start, stop, gc[, map, repli]; depths:
+    chrom, start, stop, sample_id, depth, and the windows' covariates unless `windows` has them. Without a normal the balance mask is left out and ratios are to medians;
+    without knots switch probabilities come from phase sets. Bins lacking a frequency, depth or ratio are left out and the others numbered anew;
+    windows and snp_bins of bins left out have none. What the stage stores lasts until `tables.swept()`, or the program's end.
     """
     samples = [r[0] for r in counts_.select("sample_id").distinct().orderBy("sample_id").collect()]
+    tumours = [s for s in samples if s != normal]
     good = masked(counts_, regions, blacklist, normal, len(samples), cfg, genes, exons, bucket)
-    out = bulk_bins(counts_, good, regions, windows, normal, samples, cfg, bucket)
     wanted = [c for c in ("gc", "map", "repli") if c in windows.columns and c not in depths.columns]
     if wanted:
         depths = depth.with_windows(depths, windows.select("chrom", "start", "stop", *wanted))
-    out |= bulk_ratios(depths, out["windows"], normal, cfg)
-    ends = out["snp_bins"].groupBy("bin_id").agg(F.first("chrom").alias("chrom"), F.min("pos0").alias("first_pos"), F.max("pos0").alias("last_pos"))
-    switch = genetics.switchprobs_from_map(ends, knots, cfg.bins.nu, cfg.bins.min_switchprob, bucket)
+    inside = stored(intervals.region_by_midpoint(windows, regions, bucket=bucket).where("region_id is not null").drop("region_id"), "windows")
+    out = complete_depths(depths.join(inside.select("chrom", "start"), ["chrom", "start"], "left_semi"), samples, cfg)
+    whole = out.pop("whole")
+    bins = bulk_bins(counts_, good, regions, inside.join(whole.select("chrom", "start").distinct(), ["chrom", "start"], "left_semi"), normal, samples, cfg, bucket)
+    out |= bulk_ratios(whole, bins["windows"], normal, cfg)
+    bins["bins"] = stored(bins["bins"], "bins")
+    new = known_bins(bins["bins"], bins["bin_counts"], out["bin_depth"], out["ratios"], samples, tumours)
+    renumbered = lambda x, how: x.join(new.drop("chrom_ord"), "bin_id", how).drop("bin_id").withColumnRenamed("new_id", "bin_id")
+    out |= {k: renumbered(bins[k], "left") for k in ("windows", "snp_bins")} | {k: renumbered(x, "inner") for k, x in (("bins", bins["bins"]), ("bin_counts", bins["bin_counts"]), ("bin_depth", out["bin_depth"]), ("ratios", out["ratios"]))}
+    if knots is not None:
+        # genetic maps count positions from 1
+        ends = out["snp_bins"].where("bin_id is not null").groupBy("bin_id").agg(F.first("chrom").alias("chrom"), (F.min("pos0") + 1).alias("first_pos"), (F.max("pos0") + 1).alias("last_pos"))
+        switch = genetics.switchprobs_from_map(ends, knots, cfg.bins.nu, cfg.bins.min_switchprob, bucket)
+    else:
+        switch = genetics.switchprobs_along(out["bins"], "chrom_ord", ["bin_id"], least=cfg.bins.switchprob_ps)
     out["bins"] = out["bins"].join(switch.select("bin_id", "switchprob"), "bin_id", "left")
     return out
 
@@ -117,7 +171,10 @@ def single_cell(parts: dict[str, DataFrame], regions: DataFrame, genes: DataFram
 
 
 def copytyping(cells: DataFrame, blocks: DataFrame, barcodes: DataFrame, matrix: DataFrame, var: DataFrame, bucket: int = intervals.BUCKET) -> dict[str, DataFrame]:
-    """Copy-typing inputs: phased cell counts (chrom, pos0, barcode, phase, ad, dp) and a feature matrix summed by segment (chrom, start, stop, bin_id)."""
+    """Copy-typing inputs, of listed barcodes alone; one that has no counts in `cells` is an error. Phased cell counts (chrom, pos0, barcode, phase, ad, dp) and a feature matrix summed by segment (chrom, start, stop, bin_id)."""
+    lost = [r[0] for r in features.missing_barcodes(cells, barcodes).limit(10).collect()]
+    if lost:
+        raise ValueError(f"listed barcodes without counts: {lost}")
     kept = features.restricted(counts.phased(cells), barcodes)
     inside = intervals.points_in_intervals(kept, blocks, ["bin_id"], bucket=bucket)
     placed = features.blocks(var, blocks, bucket=bucket).select("feature_id", "bin_id")
