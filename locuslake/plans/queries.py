@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from locuslake.config import Bins, Config, Depth, Phase
 from locuslake.functions import columns as C
-from locuslake.operators import binning, counts, depth, features, genetics, genotype, intervals, masks
+from locuslake.operators import binning, counts, depth, features, genetics, genotype, intervals, lift, masks
 from locuslake.plans import stages
 from locuslake.plans.fixtures import ctes, role
 from locuslake.plans.tables import scratch
@@ -738,6 +738,51 @@ def density_grid(depth_):
     return depth.density(depth_, "gc", "depth", size=50)
 
 
+# ---- other assemblies ----------------------------------------------------------------------------------
+
+# a chain for each chromosome, two blocks for each part; those of even chromosomes run on the other strand
+CHAINED = """c as (select 'chr' || (p_partkey % 22 + 1)::varchar as chrom, p_partkey % 22 + 1 as chain_id, p_partkey * 500 as t, p_partkey * 400 as q, p_size from part),
+    b0 as (select chrom, chain_id, t as start, t + 100 as stop, q as qa, q + 100 as qz from c union all select chrom, chain_id, t + 110, t + 200 + p_size * 5, q + 104, q + 194 + p_size * 5 from c),
+    blocks as (select *, case when chain_id % 2 = 1 then '+' else '-' end as strand, case when chain_id % 2 = 1 then qa else 1000000000 - qz end as to_start, case when chain_id % 2 = 1 then qz else 1000000000 - qa end as to_stop from b0),
+    iv as (select chrom, t + p_size * 4 as start, t + p_size * 12 as stop from c),
+    h as (select iv.chrom, iv.start, iv.stop, b.chain_id, b.strand, greatest(iv.start, b.start) as a, least(iv.stop, b.stop) as z, case when b.strand = '+' then b.to_start + greatest(iv.start, b.start) - b.start else b.to_start + b.stop - least(iv.stop, b.stop) end as ta
+      from iv join blocks b on b.chrom = iv.chrom and b.start < iv.stop and iv.start < b.stop)"""
+
+
+def _chained(part):
+    """The chain file of those blocks, read back, and the intervals to lift."""
+    c = part.select((F.col("p_partkey") % 22 + 1).alias("id"), F.struct((F.col("p_partkey") * 500).alias("t"), (F.col("p_partkey") * 400).alias("q"), (F.lit(90) + F.col("p_size") * 5).alias("s")).alias("x"))
+    g = c.groupBy("id").agg(F.array_sort(F.collect_list("x")).alias("x")).withColumn("n", F.size("x"))
+    first, last = F.element_at("x", 1), F.element_at("x", -1)
+    line = lambda x, k: F.concat(F.lit("100 10 4\n"), x["s"].cast("string"), F.when(k + 1 < F.col("n"), F.concat_ws(" ", F.lit(""), (F.get("x", k + 1)["t"] - x["t"] - 110 - x["s"]).cast("string"), (F.get("x", k + 1)["q"] - x["q"] - 104 - x["s"]).cast("string"))).otherwise(""))
+    head = F.concat_ws(" ", F.lit("chain 99"), F.concat(F.lit("chr"), "id"), F.lit("2000000000 +"), first["t"], last["t"] + 110 + last["s"], F.concat(F.lit("alt"), "id"), F.lit("1000000000"), F.when(F.col("id") % 2 == 1, "+").otherwise("-"), first["q"], last["q"] + 104 + last["s"], "id")
+    text = g.select(F.concat(head, F.lit("\n"), F.array_join(F.transform("x", line), "\n"), F.lit("\n")).alias("value"))
+    path = scratch(part.sparkSession, "chain")
+    text.write.text(path)
+    chrom = F.concat(F.lit("chr"), (F.col("p_partkey") % 22 + 1).cast("string"))
+    return readers.chains(part.sparkSession, path), part.select(chrom.alias("chrom"), (F.col("p_partkey") * 500 + F.col("p_size") * 4).alias("start"), (F.col("p_partkey") * 500 + F.col("p_size") * 12).alias("stop"))
+
+
+@query("parts", f"with {CHAINED} select chain_id, chrom, start, stop, 'alt' || chain_id::varchar as to_chrom, to_start, to_stop, strand from blocks")
+def read_chains(part):
+    return _chained(part)[0].drop("score")
+
+
+@query("parts", f"""with {CHAINED}, p as (select chrom, start, stop, any_value(strand) as s, sum(z - a)::bigint as mapped, min(ta) as ta, max(ta + z - a) as tz, any_value(chain_id) as id from h group by 1, 2, 3)
+    select iv.*, case when mapped >= 0.95::double * (iv.stop - iv.start) then 'alt' || id::varchar end as to_chrom, case when mapped >= 0.95::double * (iv.stop - iv.start) then ta end as to_start, case when mapped >= 0.95::double * (iv.stop - iv.start) then tz end as to_stop,
+      case when mapped >= 0.95::double * (iv.stop - iv.start) then s end as strand, coalesce(mapped, 0) as mapped, case when mapped is null then 'deleted' when mapped >= 0.95::double * (iv.stop - iv.start) then 'lifted' else 'partial' end as status
+    from iv left join p using (chrom, start, stop)""")
+def lifted_intervals(part):
+    blocks, iv = _chained(part)
+    return lift.lifted(iv, blocks, bucket=BUCKET)
+
+
+@query("parts", f"with {CHAINED} select chrom, start as from_start, stop as from_stop, chain_id, a as start, z as stop, 'alt' || chain_id::varchar as to_chrom, ta as to_start, ta + z - a as to_stop, strand from h")
+def lifted_pieces(part):
+    blocks, iv = _chained(part)
+    return lift.pieces(iv, blocks, ["chrom", "start", "stop"], BUCKET).withColumnsRenamed({"_from": "from_start", "_upto": "from_stop"})
+
+
 # ---- genetic maps --------------------------------------------------------------------------------------
 
 CM = """i as (select p.chrom, p.pos, (select max(pos) from knot k where k.chrom = p.chrom and k.pos <= p.pos) as lo, (select min(pos) from knot k where k.chrom = p.chrom and k.pos > p.pos) as hi from p),

@@ -227,3 +227,28 @@ def annotations(spark: SparkSession, path, barcode: str = "Barcode", label: str
 
 def gene_list(spark: SparkSession, path) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").alias("gene")).where("gene != ''")
+
+
+def chains(spark: SparkSession, path: str) -> DataFrame:
+    """The aligned blocks of a chain file, plain or gzip: chain_id, score, chrom, start, stop, to_chrom, to_start, to_stop, strand.
+
+    A record of the scan is a chain, so that a plain file is read by many tasks. Places on the other strand are counted from its end
+    there, and from the start here. Comments and empty lines are passed over; a chain whose blocks do not end where its header says is an error when read.
+    """
+    raw = spark.read.option("lineSep", "chain ").text(path).where(F.col("value").rlike(r"^\s*-?[0-9]+(\.[0-9]+)?\s+\S+\s+[0-9]+\s+\+"))
+    lines = F.filter(F.transform(F.split("value", "\n"), lambda x: F.trim(x)), lambda x: (x != "") & ~x.startswith("#"))
+    d = raw.select(lines.alias("lines")).withColumn("h", F.split(F.get("lines", F.lit(0)), r"\s+"))
+    word = lambda k: F.get("h", F.lit(k - 1))
+    number = lambda k: word(k).cast("long")
+    step = lambda x: F.transform(F.split(x, r"\s+"), lambda v: v.cast("long"))
+    blocks = F.transform(F.slice("lines", F.lit(2), F.size("lines")), step)
+    d = d.select(word(12).cast("long").alias("chain_id"), word(1).cast("double").alias("score"), word(2).alias("chrom"), number(5).alias("t0"), number(6).alias("t1"), word(7).alias("to_chrom"), number(8).alias("to_size"), word(9).alias("strand"), number(10).alias("q0"), number(11).alias("q1"), F.posexplode(blocks).alias("k", "b"))
+    size, dt, dq = F.col("b")[0], F.coalesce(F.get("b", F.lit(1)), F.lit(0)), F.coalesce(F.get("b", F.lit(2)), F.lit(0))
+    w = W.partitionBy("chain_id", "chrom", "t0", "to_chrom", "q0", "strand").orderBy("k")  # the blocks of one chain
+    before = w.rowsBetween(W.unboundedPreceding, -1)
+    d = d.withColumns({"start": F.col("t0") + F.coalesce(F.sum(size + dt).over(before), F.lit(0)), "_q": F.col("q0") + F.coalesce(F.sum(size + dq).over(before), F.lit(0)), "_last": F.lead("k").over(w).isNull()})
+    d = d.withColumn("stop", F.col("start") + size).withColumn("_r", F.col("_q") + size)
+    fine = ~F.col("_last") | ((F.col("stop") == F.col("t1")) & (F.col("_r") == F.col("q1")))
+    d = d.withColumn("stop", F.when(fine, F.col("stop")).otherwise(F.raise_error(F.concat(F.lit("the blocks do not fill chain "), F.col("chain_id").cast("string"))).cast("long")))
+    forward = F.col("strand") == "+"
+    return d.select("chain_id", "score", "chrom", "start", "stop", "to_chrom", F.when(forward, F.col("_q")).otherwise(F.col("to_size") - F.col("_r")).alias("to_start"), F.when(forward, F.col("_r")).otherwise(F.col("to_size") - F.col("_q")).alias("to_stop"), "strand")
