@@ -24,6 +24,7 @@ ROLES = {
         from [win] w join [obs] o on w.chrom = o.chrom and cast(floor(o.pos0 / 4000.0) as bigint) * 4000 = w.start group by w.chrom, w.chrom_ord, w.start, w.stop, w.gc, w.map, w.repli, o.sample_id""",
     "gene": """select concat('chr', cast(p_partkey % 22 + 1 as string)) as chrom, p_partkey * 500 - p_size * 10 as start, p_partkey * 500 + p_size * 800 as stop,
         concat('G', cast(p_partkey as string)) as gene_id, p_brand as brand from {part}""",
+    "signal": """select concat('chr', cast(p_partkey % 22 + 1 as string)) as chrom, p_partkey * 500 as start, p_partkey * 500 + 400 + p_size as stop, cast(p_size % 11 as double) / 8 as value from {part}""",
     "parts": "select p_partkey, p_size from {part}",
     "exon": """select concat('chr', cast(p_partkey % 22 + 1 as string)) as chrom, p_partkey * 500 + p_size * 100 as start, p_partkey * 500 + p_size * 300 as stop, concat('G', cast(p_partkey as string)) as gene_id from {part}""",
     "blacklist": """select concat('chr', cast(s_suppkey % 22 + 1 as string)) as chrom, s_suppkey * 5000 as start, s_suppkey * 5000 + 2000 as stop from {supplier}""",

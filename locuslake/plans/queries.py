@@ -15,7 +15,7 @@ from locuslake.plans import stages
 from locuslake.plans.fixtures import ctes, role
 from locuslake.plans.tables import scratch
 from locuslake.schema import standard
-from locuslake.sources import readers, writers
+from locuslake.sources import bigwig, readers, writers
 
 BUCKET = 1 << 14  # for these roles' intervals of 2 to 60 kb
 
@@ -1052,6 +1052,20 @@ def read_bedgraph(score):
     return readers.bedgraph(score.sparkSession, _text(score, "chrom", "start", "stop", "score"))
 
 
+@query("signal size", "select s.chrom, start, stop, value from signal s where chrom in (select chrom from size)")
+def read_bigwig(signal, size):
+    path = scratch(signal.sparkSession, "bigwig")
+    bigwig.write(signal.join(size, "chrom", "left_semi"), size, path)
+    return bigwig.read(signal.sparkSession, path)
+
+
+@query("signal size", "select s.chrom, start, stop, value from signal s where chrom in ('chr3', 'chr14') and start < 2000000 and stop > 100000")
+def bigwig_ranges(signal, size):
+    path = scratch(signal.sparkSession, "bigwig")
+    bigwig.write(signal.join(size, "chrom", "left_semi"), size, path)
+    return bigwig.read(signal.sparkSession, path).where("chrom in ('chr3', 'chr14') and start < 2000000 and stop > 100000")
+
+
 @query("depth", "select chrom, start, stop, depth, 'A' as sample_id from depth where sample_id = 'A'")
 def read_depth(depth_):
     return readers.depth(depth_.sparkSession, _text(depth_.where("sample_id = 'A'"), "chrom", "start", "stop", "depth"), "A")
