@@ -15,7 +15,7 @@ from locuslake.plans import stages
 from locuslake.plans.fixtures import ctes, role
 from locuslake.plans.tables import scratch
 from locuslake.schema import standard
-from locuslake.sources import bigwig, readers, writers
+from locuslake.sources import bgzf, bigwig, readers, writers
 
 BUCKET = 1 << 14  # for these roles' intervals of 2 to 60 kb
 
@@ -1040,6 +1040,28 @@ def read_variants(snp):
     return d.select("chrom", "pos0", d["info"]["AD"].alias("ad"), d["info"]["DP"].alias("dp"), "gt")
 
 
+def _indexed(snp, size):
+    path = scratch(snp.sparkSession, "indexed")
+    writers.indexed_variants(genotype.vcf_lines(snp.withColumns({"oth": F.lit(0), "ref": F.lit("A"), "alt": F.lit("C"), "gt": F.lit("0/1")})), size, path)
+    return path
+
+
+@query("snp size", "select chrom, pos0, ad::varchar as ad, dp::varchar as dp, '0/1' as gt from snp")
+def read_indexed_variants(snp, size):
+    d = readers.vcf(snp.sparkSession, f"{_indexed(snp, size)}/*/*.vcf.gz")
+    return d.select("chrom", "pos0", d["info"]["AD"].alias("ad"), d["info"]["DP"].alias("dp"), "gt")
+
+
+RANGES = [("chr3", 100_000, 400_000), ("chr3", 350_000, 900_000), ("chr14", 0, 250_000), ("chr21", 777_777, 5_000_000), ("chr99", 0, 100)]
+
+
+@query("snp size", "select chrom, pos0, ad::varchar as ad from snp where " + " or ".join(f"(chrom = '{c}' and pos0 >= {a} and pos0 < {z})" for c, a, z in RANGES))
+def variants_in_ranges(snp, size):
+    d = bgzf.lines_in(snp.sparkSession, _indexed(snp, size), RANGES)
+    f = F.split("value", "\t")
+    return d.select(f[0].alias("chrom"), (f[1].cast("long") - 1).alias("pos0"), F.regexp_extract(f[7], "AD=([0-9]+)", 1).alias("ad"))
+
+
 @query("win", "select chrom, start, stop from win")
 def read_bed(win):
     path = scratch(win.sparkSession, "bed")

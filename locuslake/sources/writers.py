@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from locuslake.schema import LONG_MATRIX
+from locuslake.sources import bgzf
 
 # The lines above the variants.
 HEADER = [
@@ -31,7 +32,7 @@ def bed3(df: DataFrame, path: str) -> None:
 def variants(calls: DataFrame, path: str, header: list[str] | None = None) -> None:
     """Variant lines by chromosome and position, one folder a chromosome, each file with the header's lines (without the
     line of column names, which is added); info and gt must be columns."""
-    line = F.concat_ws("\t", "chrom", (F.col("pos0") + 1).cast("string"), "snp_id", "ref", "alt", F.lit("."), F.lit("PASS"), "info", F.lit("GT"), "gt")
+    line = variant_line()
     d = calls.select(F.col("chrom").alias("by_chrom"), "pos0", line.alias("value"))
     top = [*(HEADER if header is None else header), NAMES]
     lead = calls.select(F.col("chrom").alias("by_chrom")).distinct().select("by_chrom", F.posexplode(F.array(*map(F.lit, top))).alias("pos0", "value"))
@@ -39,6 +40,18 @@ def variants(calls: DataFrame, path: str, header: list[str] | None = None) -> No
     d.repartition("by_chrom").sortWithinPartitions("by_chrom", "pos0").drop("pos0").write.partitionBy("by_chrom").option("compression", "gzip").text(path)
 
 
+def variant_line():
+    return F.concat_ws("\t", "chrom", (F.col("pos0") + 1).cast("string"), "snp_id", "ref", "alt", F.lit("."), F.lit("PASS"), "info", F.lit("GT"), "gt")
+
+
+def indexed_variants(calls: DataFrame, sizes: DataFrame, path: str, header: list[str] | None = None, files: int | None = None) -> DataFrame:
+    """Variant lines in block gzip with position indices, a file for each range of a chromosome; the header names every
+    chromosome of `sizes` (chrom, size) with its length. calls need chrom_ord besides what a line has."""
+    contigs = [f"##contig=<ID={r['chrom']},length={r['size']}>" for r in sizes.orderBy(*[c for c in ("chrom_ord", "chrom") if c in sizes.columns]).collect()]  # a row for each chromosome
+    first, *rest = HEADER if header is None else header
+    return bgzf.write(calls.select("chrom", "chrom_ord", "pos0", variant_line().alias("value")), [first, *contigs, *rest, NAMES], path, files)
+
+
 def eagle_map(maps: DataFrame, path: str) -> None:
     """A genetic map (chrom, pos, cm) as space-separated text with a header, X as 23; the rate is that to the next position of the chromosome."""
     w = W.partitionBy("chrom").orderBy("pos")
