@@ -1,8 +1,9 @@
 """Bins of consecutive SNPs or windows, and phase flips.
 
 Bins that close on a count of SNPs alone have a closed form over row numbers. Bins that close on reads or span are a
-fold over each group's rows in order, run as grouped pandas: a group is a region's (or phase group's) rows, whose
-number the genome bounds. Local bin numbers become global by the prefix sum of bins over groups, in the order in which
+fold over each group's rows in order (`fold` states it). `by_reads` works it out for parts of bounded size, whatever the groups' sizes: wherever a
+bin might start, the start of the next bin is found by search in running sums; following these pointers leads out of the part;
+a walk over the few starts at which parts are entered gives the real ones; and each part then marks its bins from there. Local bin numbers become global by the prefix sum of bins over groups, in the order in which
 groups first appear.
 """
 
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from locuslake.functions.columns import outside_interval
+from locuslake.plans.tables import dropped, stored
 
 
 def by_number(snps: DataFrame, group: list[str], order: list[str], size: int) -> DataFrame:
@@ -53,16 +55,121 @@ def fold(reads: np.ndarray, n_snps: np.ndarray, start: np.ndarray, stop: np.ndar
     return out
 
 
-def by_reads(rows: DataFrame, group: list[str], order: list[str], samples: list[str], least_reads: float, least_snps: int, most_span: int = 0) -> DataFrame:
-    """rows (with n_snps, start, stop and a column of reads for each sample) with local_bin."""
-    schema = T.StructType([*rows.schema.fields, T.StructField("local_bin", T.LongType())])
+#: What a pointer says that leads to no bin: the group ends while the bin is open, or with the bin complete; or the rows at hand do.
+OPEN, COMPLETE, UNKNOWN = -1, -2, -3
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
-        pdf["local_bin"] = fold(pdf[samples].to_numpy(float), pdf["n_snps"].to_numpy(np.int64), pdf["start"].to_numpy(np.int64), pdf["stop"].to_numpy(np.int64), least_reads, least_snps, most_span)
-        return pdf
 
-    return rows.groupBy(*group).applyInPandas(run, schema)
+def next_starts(reads: np.ndarray, n_snps: np.ndarray, start: np.ndarray, stop: np.ndarray, ends: bool, least_reads: float, least_snps: int, most_span: int) -> np.ndarray:
+    """For each row of a run of one group, if a bin started there: the row that starts the next bin, OPEN or COMPLETE; UNKNOWN where
+    the run does not reach that far, unless it `ends` with the group."""
+    n = len(n_snps)
+    snps = np.cumsum(n_snps)
+    # the first row with which a bin from each row has enough: the number of SNPs, and of reads in every sample
+    enough = np.maximum(np.searchsorted(snps, snps - n_snps + least_snps), np.arange(n))
+    if least_reads > 0:
+        for j in range(reads.shape[1]):
+            total = np.cumsum(reads[:, j])
+            enough = np.maximum(enough, np.searchsorted(total, total - reads[:, j] + least_reads))
+    if most_span > 0:
+        far = np.searchsorted(np.maximum.accumulate(stop), start + most_span)
+        enough = np.minimum(enough, np.maximum(far, np.arange(n)))
+    return np.where(enough < n - 1, enough + 1, (np.where(enough == n - 1, COMPLETE, OPEN)) if ends else UNKNOWN)
+
+
+def by_reads(rows: DataFrame, group: list[str], order: list[str], samples: list[str], least_reads: float, least_snps: int, most_span: int = 0, part_rows: int = 100_000, halo: int = 5_000) -> DataFrame:
+    """rows (with n_snps, start, stop and a column of whole-numbered reads for each sample) with local_bin, as `fold` has it.
+
+    A part is `part_rows` rows in the order of groups, and sees `halo` rows more; where a bin would reach beyond these, more are
+    taken until none does. Rows that tie in `order` stand in any order.
+    """
+    spark = rows.sparkSession
+    base = stored(rows.withColumn("_key", F.to_json(F.struct(*[F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(group)]))), "rows")
+    parts = max(1, -(-base.count() // part_rows))
+    ranged = stored(base.repartitionByRange(parts, "_key", *order).sortWithinPartitions("_key", *order).withColumn("_id", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_id", 33).cast("int")), "ranged")
+    dropped(base)
+    bounds, at = [], 0
+    for r in ranged.groupBy("_part").count().orderBy("_part").collect():  # a row for each part
+        bounds.append((r["_part"], at, at + r["count"]))
+        at += r["count"]
+    if not bounds:
+        return rows.withColumn("local_bin", F.lit(0).cast("long"))
+    schema = T.StructType([*rows.schema.fields, *T._parse_datatype_string("_key string, _q int, _g long, _next long, _exit long, _steps long, _head boolean").fields])
+
+    def hops(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_g", kind="stable").reset_index(drop=True)
+        g, lo, hi, last = pdf["_g"].to_numpy(), pdf["_lo"].iloc[0], pdf["_hi"].iloc[0], bounds[-1][2]
+        key = pdf["_key"].to_numpy()
+        cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        follows = np.full(len(pdf), UNKNOWN, np.int64)
+        for a, z in zip(cut, [*cut[1:], len(pdf)], strict=True):
+            run = pdf.iloc[a:z]
+            got = next_starts(run[samples].to_numpy(float), run["n_snps"].to_numpy(np.int64), run["start"].to_numpy(np.int64), run["stop"].to_numpy(np.int64), z < len(pdf) or g[-1] == last - 1, least_reads, least_snps, most_span)
+            follows[a:z] = np.where(got >= 0, g[a] + got, got)
+        head = np.zeros(len(pdf), bool)
+        head[cut] = True
+        head[0] = g[0] == 0
+        own = np.flatnonzero((g >= lo) & (g < hi))
+        follows, out = follows[own], np.empty(len(own), np.int64)
+        steps = np.zeros(len(own), np.int64)
+        for i in range(len(own) - 1, -1, -1):  # a pointer leads to a later row
+            t = follows[i]
+            if t < 0 or t >= hi:
+                out[i], steps[i] = t, t >= 0
+            else:
+                out[i], steps[i] = out[t - lo], 1 + steps[t - lo]
+        pdf = pdf.iloc[own].assign(_next=follows, _exit=out, _steps=steps, _head=head[own])
+        return pdf[schema.names]
+
+    while True:
+        # a part sees its rows, the row before them and the halo behind
+        seen_by = [(p, lo, [(q, a, z) for q, a, z in bounds if z + halo > lo and a <= hi]) for p, lo, hi in bounds]
+        small = F.broadcast(spark.createDataFrame(seen_by, "_part int, _first long, _by array<struct<q:int,lo:long,hi:long>>"))  # a row for each part
+        placed = ranged.join(small, "_part").withColumn("_g", F.col("_first") + F.col("_id").bitwiseAND((1 << 33) - 1))
+        near = placed.withColumn("_s", F.explode(F.filter("_by", lambda s: (F.col("_g") >= s["lo"] - 1) & (F.col("_g") < s["hi"] + halo))))
+        near = near.select(*rows.columns, "_key", "_g", F.col("_s.q").alias("_q"), F.col("_s.lo").alias("_lo"), F.col("_s.hi").alias("_hi"))
+        jumps = stored(near.groupBy("_q").applyInPandas(hops, schema), "jumps")
+        if jumps.where(F.col("_next") == UNKNOWN).limit(1).count() == 0:
+            break
+        dropped(jumps)
+        halo *= 4
+    entered = jumps.where("_head").select("_g").unionByName(jumps.where("_exit >= 0").select(F.col("_exit").alias("_g"))).distinct()
+    nodes = jumps.select("_key", "_q", "_g", "_exit", "_steps", "_head").join(entered, "_g")
+    segments = jumps.select("_key", "_q").distinct().select("_key", "_q", F.lit(-1).cast("long").alias("_g"), F.lit(OPEN).cast("long").alias("_exit"), F.lit(0).cast("long").alias("_steps"), F.lit(False).alias("_head"))
+
+    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+        real = pdf[pdf["_g"] >= 0]
+        known = {g: (q, out, steps) for g, q, out, steps in zip(*(real[c].tolist() for c in ("_g", "_q", "_exit", "_steps")), strict=True)}
+        at, begun, entry = int(real.loc[real["_head"], "_g"].iloc[0]), 0, {}
+        while at >= 0:
+            q, out, steps = known[at]
+            entry[q] = (at, begun)
+            at, begun = out, begun + steps
+        fin = begun if at == COMPLETE and begun > 0 else max(begun - 1, 0)
+        found, upto = [], begun + 1  # bins begun before a part without an entry: as many as before the next entry
+        for q in sorted(pdf["_q"].unique().tolist(), reverse=True):
+            g, before = entry.get(q, (-1, upto))
+            upto = before
+            found.append((pdf["_key"].iloc[0], q, g, before, fin))
+        return pd.DataFrame(found, columns=["_key", "_q", "_entry", "_before", "_fin"])
+
+    entries = nodes.unionByName(segments, True).groupBy("_key").applyInPandas(walk, "_key string, _q int, _entry long, _before long, _fin long")
+    final = T.StructType([*rows.schema.fields, T.StructField("local_bin", T.LongType())])
+
+    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_g", kind="stable").reset_index(drop=True)
+        g, follows, entry, before = (pdf[c].to_numpy() for c in ("_g", "_next", "_entry", "_before"))
+        key = pdf["_key"].to_numpy()
+        bins = before - 1
+        cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        for a, end in zip(cut, [*cut[1:], len(pdf)], strict=True):
+            at, number = entry[a], before[a]
+            while 0 <= at <= g[-1]:
+                i, t = at - g[0], follows[at - g[0]]
+                bins[i : min(t, g[-1] + 1) - g[0] if t >= 0 else end] = number
+                at, number = t, number + 1
+        return pdf.assign(local_bin=np.minimum(np.maximum(bins, 0), pdf["_fin"].to_numpy()))[final.names]
+
+    return jumps.join(entries, ["_key", "_q"]).groupBy("_q").applyInPandas(mark, final)
 
 
 def numbered(binned: DataFrame, group: list[str], order: list[Column | str]) -> DataFrame:
