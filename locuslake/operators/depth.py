@@ -369,7 +369,7 @@ def density(d: DataFrame, x: str, y: str, points: int | None = 20_000, size: int
         n = len(pdf)
         gx, gy = (np.linspace(pdf[c].min(), pdf[c].max(), size) for c in ("x", "y"))
         if n < 3 or gx[0] == gx[-1] or gy[0] == gy[-1]:
-            return pd.DataFrame({c: [] for c in ("sample_id", "i", "j", "x", "y", "density")})
+            return pd.DataFrame({c: [] for c in ("sample_id", "i", "j", "x", "y", "density")}, dtype=object)
         width = n ** (-1 / 6)  # Scott's rule in two dimensions
         sx, sy = pdf["x"].std() * width, pdf["y"].std() * width
         kx = np.exp(-0.5 * ((gx[:, None] - pdf["x"].to_numpy()) / sx) ** 2)

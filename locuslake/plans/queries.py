@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -474,10 +475,9 @@ def replicate_index(cellcount):
 
 @query("cellcount", "select barcode, sum(value)::bigint as value, row_number() over (order by barcode desc) - 1 as place from cellcount group by 1")
 def listed_barcodes(cellcount):
-    from pyspark.sql import Window as W
-
     total = cellcount.groupBy("barcode").agg(F.sum("value").alias("value"))
-    order = total.select("barcode", (F.row_number().over(W.orderBy(F.desc("barcode"))) - 1).cast("long").alias("row_id"))
+    # numbered within first digits, the largest first, and on over them
+    order = intervals.numbered_on(total.select("barcode", (-F.substring("barcode", 2, 1).cast("int")).alias("first")), "first", [F.desc("barcode")], "row_id").drop("first")
     return features.listed(total.join(order.withColumnRenamed("row_id", "place"), "barcode"), order).select("barcode", "value", "place")
 
 
@@ -615,9 +615,10 @@ def depth_statistics(depth_):
     return depth.statistics(depth_).withColumn("mean_depth", F.round("mean_depth", 9))
 
 
-@query("depth win", "select d.chrom, d.start, d.stop, d.sample_id, d.depth, w.gc, w.map from depth d left join (select * from win where start % 3 = 0) w using (chrom, start, stop)")
+@query("depth win", "select d.chrom, d.start, d.stop, d.sample_id, d.depth, case when start % 3 = 0 then w.gc end as gc, case when start % 3 < 2 then w.map end as map from depth d left join win w using (chrom, start, stop)")
 def window_merge(depth_, win):
-    some = win.where("start % 3 = 0").select("chrom", "start", "stop", "gc", "map")  # a third of the windows have covariates
+    # all windows meet their depths; a third of them have a gc, two thirds a mappability
+    some = win.select("chrom", "start", "stop", F.when(F.col("start") % 3 == 0, F.col("gc")).alias("gc"), F.when(F.col("start") % 3 < 2, F.col("map")).alias("map"))
     return depth.with_windows(depth_.select("chrom", "start", "stop", "sample_id", "depth"), some).select("chrom", "start", "stop", "sample_id", "depth", "gc", "map")
 
 
@@ -1088,9 +1089,18 @@ def bigwig_ranges(signal, size):
     return bigwig.read(signal.sparkSession, path).where("chrom in ('chr3', 'chr14') and start < 2000000 and stop > 100000")
 
 
-@query("depth", "select chrom, start, stop, depth, 'A' as sample_id from depth where sample_id = 'A'")
+def _by(df, key):
+    """A tab-separated folder, headed, for each value of a column: {value: path}."""
+    path = scratch(df.sparkSession, "parts")
+    df.withColumn("by", F.col(key)).write.partitionBy("by").option("sep", "\t").option("header", True).option("quote", "").option("comment", "\x01").csv(path)
+    return {r[0]: f"{path}/by={r[0]}" for r in df.select(key).distinct().collect()}  # a row for each sample or chromosome
+
+
+@query("depth", "select chrom, start, stop, depth, sample_id from depth")
 def read_depth(depth_):
-    return readers.depth(depth_.sparkSession, _text(depth_.where("sample_id = 'A'"), "chrom", "start", "stop", "depth"), "A")
+    """A file for each sample; their header is a comment to the reader."""
+    paths = _by(depth_.select(F.col("chrom").alias("#chrom"), "start", "stop", "depth", "sample_id"), "sample_id")
+    return reduce(DataFrame.unionByName, [readers.depth(depth_.sparkSession, p, s).select("chrom", "start", "stop", "depth", "sample_id") for s, p in sorted(paths.items())])
 
 
 @query("win", "select chrom, start, stop, gc, map, case when repli >= 1 then repli end as repli from win")
@@ -1139,7 +1149,7 @@ def read_matrix_market(obs):
     rows = x.select(F.lit(2).alias("place"), F.concat_ws(" ", "i", "j", "v").alias("value"))
     top = obs.sparkSession.createDataFrame([(0, "%%MatrixMarket matrix coordinate integer general"), (1, "500 200 0")], "place int, value string")
     path = scratch(obs.sparkSession, "matrix")
-    top.unionByName(rows).coalesce(1).sortWithinPartitions("place").select("value").write.text(path)  # one file, as the format has it
+    top.unionByName(rows).repartitionByRange(4, "place", "value").sortWithinPartitions("place", "value").select("value").write.text(path)
     return readers.matrix_market(obs.sparkSession, path)
 
 
@@ -1158,12 +1168,10 @@ def read_eagle_map(knot):
     return readers.eagle_map(knot.sparkSession, path).withColumn("cm", F.round("cm", 9))
 
 
-@query("knot", "select chrom, pos, round(cm, 9) as cm from knot where chrom in ('chr1', 'chr2', 'chr3')")
+@query("knot", "select chrom, pos, round(cm, 9) as cm from knot")
 def read_shapeit_map(knot):
-    paths = {}
-    for c in ("chr1", "chr2", "chr3"):
-        paths[c] = scratch(knot.sparkSession, c)
-        writers.tsv(knot.where(F.col("chrom") == c).select(F.col("pos").alias("pos"), F.lit(1.0).alias("rate"), F.col("cm").alias("cM")), paths[c])
+    """A file for each chromosome."""
+    paths = _by(knot.select("pos", F.lit(1.0).alias("rate"), F.col("cm").alias("cM"), "chrom"), "chrom")
     return readers.shapeit_map(knot.sparkSession, paths).withColumn("cm", F.round("cm", 9))
 
 

@@ -124,11 +124,27 @@ def barcode_map(spark: SparkSession, path) -> DataFrame:
 
 
 def matrix_market(spark: SparkSession, path) -> DataFrame:
-    """(row_id, col_id, value) from 0; the line of sizes, the first without %, is told by its place in the file."""
-    d = spark.read.text(path, wholetext=False).where("value not like '\\%%'").withColumn("n", F.monotonically_increasing_id())
-    first = d.agg(F.min("n").alias("first"))
+    """(row_id, col_id, value) from 0, as the first line says: value is long for integer, double for real and 1 for pattern; of a symmetric
+    or skew-symmetric matrix the other half comes too. Without such a line, or where it says no more, values are read as long.
+
+    The line of sizes is the first without % of the file that begins so, told by its place; a plain file is read by many tasks.
+    """
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n")).alias("at"))
+    said = raw.where(F.lower("value").startswith("%%matrixmarket")).select("file", F.split(F.lower(F.trim("value")), r"\s+").alias("words")).first()  # one line
+    words = said["words"] if said and len(said["words"]) > 4 else ["", "matrix", "coordinate", "integer", "general"]
+    if words[1:3] != ["matrix", "coordinate"] or words[3] not in ("integer", "real", "pattern") or words[4] not in ("general", "symmetric", "skew-symmetric"):
+        raise ValueError(f"a matrix of kind {words[1:]} is not read")
+    rows = raw.where("value not like '\\%%' and trim(value) != ''")
+    first = rows.where(F.col("file") == said["file"]) if said else rows
+    sizes = first.agg(F.min(F.struct("at", "file")).alias("s")).select(F.col("s.at").alias("_at"), F.col("s.file").alias("_file"))
     p = F.split(F.trim("value"), r"\s+")
-    return d.join(F.broadcast(first), F.col("n") > F.col("first")).select((p[0].cast("long") - 1).alias("row_id"), (p[1].cast("long") - 1).alias("col_id"), p[2].cast("long").alias("value"))  # one row
+    value = F.lit(1).cast("long") if words[3] == "pattern" else p[2].cast("double" if words[3] == "real" else "long")
+    d = rows.join(F.broadcast(sizes), ~((F.col("at") == F.col("_at")) & (F.col("file") == F.col("_file"))))  # one row
+    d = d.select((p[0].cast("long") - 1).alias("row_id"), (p[1].cast("long") - 1).alias("col_id"), value.alias("value"))
+    if words[4] == "general":
+        return d
+    other = d.where("row_id != col_id").select(F.col("col_id").alias("row_id"), F.col("row_id").alias("col_id"), (-F.col("value") if words[4] == "skew-symmetric" else F.col("value")).alias("value"))
+    return d.unionByName(other)
 
 
 def npz(spark: SparkSession, path, name: str = "mat", rows: int = 4096) -> DataFrame:
