@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from locuslake.config import Bins, Config, Depth, Phase
 from locuslake.functions import columns as C
-from locuslake.operators import binning, counts, depth, features, genetics, genotype, intervals, lift, masks
+from locuslake.operators import binning, counts, depth, features, genetics, genotype, intervals, lift, masks, phasing
 from locuslake.plans import stages
 from locuslake.plans.fixtures import ctes, role
 from locuslake.plans.tables import scratch
@@ -739,6 +739,20 @@ def density_grid(depth_):
     return depth.density(depth_, "gc", "depth", size=50)
 
 
+# ---- phasing by reads ----------------------------------------------------------------------------------
+
+
+# an order's lines on a chromosome are a read over their places; its alleles follow planted haplotypes
+@query("obs", """recursive with o as (select distinct k1, chrom, pos0 from obs), l as (select distinct chrom, lag(pos0) over (partition by k1, chrom order by pos0) as u, pos0 as v from o),
+    b as (select chrom, u, v from l where u is not null union select chrom, v, u from l where u is not null),
+    reach as (select chrom, u as pos0, u as r from b union select b.chrom, b.v, reach.r from reach join b on b.chrom = reach.chrom and b.u = reach.pos0 where reach.r < b.v),
+    c as (select chrom, pos0, min(r) as ps from reach group by 1, 2)
+    select chrom, pos0, ps + 1 as ps, ((pos0 // 7 + ps // 7) % 2)::int as phase from c""")
+def read_backed_phase(obs):
+    allele = (F.floor(F.col("pos0") / 7) + F.col("k1")) % 2
+    return phasing.phased(obs.select(F.col("k1").alias("read_id"), "chrom", "pos0", allele.cast("int").alias("allele")))
+
+
 # ---- other assemblies ----------------------------------------------------------------------------------
 
 # a chain for each chromosome, two blocks for each part; those of even chromosomes run on the other strand
