@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from locuslake.functions.columns import b_allele, ratio
+from locuslake.plans.tables import stored
 
 KEY = ["chrom", "pos0"]
 
@@ -106,3 +107,14 @@ def pileup(reads: DataFrame, min_count: int = 0, min_maf: float = 0.0) -> DataFr
 def barcodes_of(lists: dict[str, DataFrame]) -> DataFrame:
     """(barcode, rep_id): the barcodes of all replicates, named {barcode}_{replicate}."""
     return stacked({r: d.select("barcode") for r, d in lists.items()})
+
+
+def dense_ids(names: DataFrame, column: str, out: str, parts: int | None = None) -> DataFrame:
+    """(column, out): the distinct values of a column, numbered from 0 in their order, nulls left out: within ranges of values, and on over them."""
+    d = names.where(F.col(column).isNotNull()).select(column).distinct()
+    n = parts or names.sparkSession.sparkContext.defaultParallelism
+    held = stored(d.repartitionByRange(n, column).sortWithinPartitions(column).withColumn("_id", F.monotonically_increasing_id()), "names")
+    part = F.shiftright("_id", 33)
+    sizes = held.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    ahead = sizes.select("_part", F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_ahead"))  # a row for each range
+    return held.withColumn("_part", part).join(F.broadcast(ahead), "_part").select(column, (F.col("_ahead") + F.col("_id").bitwiseAND((1 << 33) - 1)).alias(out))

@@ -1167,6 +1167,27 @@ def read_matrix_market(obs):
     return readers.matrix_market(obs.sparkSession, path)
 
 
+CELLS = "with b as (select barcode, row_number() over (order by barcode) - 1 as row_id from (select distinct barcode from cellcount)), f as (select feature_id, row_number() over (order by feature_id) - 1 as col_id from (select distinct feature_id from cellcount)) select row_id, col_id, sum(value)::double as value from cellcount join b using (barcode) join f using (feature_id)"
+
+
+def _sharded(cellcount):
+    """The matrix of barcodes and features in shards of 64 rows."""
+    b, f = counts.dense_ids(cellcount, "barcode", "row_id"), counts.dense_ids(cellcount, "feature_id", "col_id")
+    path = scratch(cellcount.sparkSession, "csr")
+    writers.csr(cellcount.join(b, "barcode").join(f, "feature_id").select("row_id", "col_id", "value"), b.count(), f.count(), path, 64)
+    return path
+
+
+@query("cellcount", CELLS + " group by 1, 2 having sum(value) <> 0")
+def read_csr(cellcount):
+    return readers.csr(cellcount.sparkSession, _sharded(cellcount))
+
+
+@query("cellcount", CELLS + " where row_id >= 100 and row_id < 180 group by 1, 2 having sum(value) <> 0")
+def csr_rows(cellcount):
+    return readers.csr(cellcount.sparkSession, _sharded(cellcount), 100, 180)
+
+
 @query("obs", "select chrom, pos0 as start, pos0 + 100 as stop, 'B' || cell::varchar as barcode, dp as count from obs where cell < 100")
 def read_fragments(obs):
     b = F.concat(F.lit("B"), F.col("cell").cast("string"))

@@ -147,8 +147,8 @@ def matrix_market(spark: SparkSession, path) -> DataFrame:
     return d.unionByName(other)
 
 
-def npz(spark: SparkSession, path, name: str = "mat", rows: int = 4096) -> DataFrame:
-    """(row_id, col_id, value double) of the cells other than 0 of numpy archives: a dense array `name`, or a matrix
+def npz(spark: SparkSession, path, name: str = "mat", rows: int = 4096, with_name: bool = False) -> DataFrame:
+    """(row_id, col_id, value double; first, if asked for, file) of the cells other than 0 of numpy archives: a dense array `name`, or a matrix
     stored by rows (data, indices, indptr). An archive is read in one task and leaves it `rows` rows at a time."""
     import io
 
@@ -156,7 +156,7 @@ def npz(spark: SparkSession, path, name: str = "mat", rows: int = 4096) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column("content"):
+            for file, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
                 held = np.load(io.BytesIO(content.as_py()), allow_pickle=False)
                 if name not in held and bytes(held["format"].tobytes()).replace(b"\0", b"") != b"csr":
                     raise ValueError("a sparse archive must be stored by rows")
@@ -169,9 +169,21 @@ def npz(spark: SparkSession, path, name: str = "mat", rows: int = 4096) -> DataF
                     else:
                         ends = held["indptr"][a : a + rows + 1]
                         i, j, value = np.repeat(np.arange(len(ends) - 1), np.diff(ends)), held["indices"][ends[0] : ends[-1]], held["data"][ends[0] : ends[-1]]
-                    yield pa.RecordBatch.from_arrays([pa.array((i + a).astype(np.int64)), pa.array(j.astype(np.int64)), pa.array(value.astype(np.float64))], ["row_id", "col_id", "value"])
+                    yield pa.RecordBatch.from_arrays([pa.array((i + a).astype(np.int64)), pa.array(j.astype(np.int64)), pa.array(value.astype(np.float64)), pa.array([file] * len(i), pa.string())], ["row_id", "col_id", "value", "file"])
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "row_id long, col_id long, value double").where("value <> 0")
+    d = spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "row_id long, col_id long, value double, file string").where("value <> 0")
+    return d.select(*(["file"] if with_name else []), "row_id", "col_id", "value")
+
+
+def csr(spark: SparkSession, path: str, first: int | None = None, stop: int | None = None) -> DataFrame:
+    """(row_id, col_id, value double) of the archives that writers.csr leaves below `path`; of rows first to stop - 1 alone, only the archives that hold some are opened."""
+    path = path.rstrip("/")
+    shards = spark.read.parquet(f"{path}/shards").where("cells > 0")
+    low, high = first or 0, 1 << 62 if stop is None else stop
+    shards = shards.where((F.col("first") < high) & (F.col("first") + F.col("rows") > low))
+    cells = npz(spark, [f"{path}/{r['name']}" for r in shards.select("name").collect()], with_name=True) if shards.limit(1).count() else spark.createDataFrame([], "file string, row_id long, col_id long, value double")
+    d = cells.withColumn("name", F.element_at(F.split("file", "/"), -1)).join(shards.select("name", F.col("first").alias("_first")), "name")
+    return d.select((F.col("row_id") + F.col("_first")).alias("row_id"), "col_id", "value").where((F.col("row_id") >= low) & (F.col("row_id") < high))
 
 
 def matrix(spark: SparkSession, path) -> DataFrame:

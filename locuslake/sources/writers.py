@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from locuslake.schema import LONG_MATRIX
 from locuslake.sources import bgzf
+from locuslake.sources.files import put
 
 # The lines above the variants.
 HEADER = [
@@ -65,6 +67,40 @@ def matrix(df: DataFrame, path: str) -> None:
     df.write.parquet(path)
 
 
+def csr(x: DataFrame, n_rows: int, n_cols: int, path: str, rows: int = 4096) -> DataFrame:
+    """A long matrix (row_id, col_id, value) as numpy archives stored by rows, one for each range of `rows` rows, empty ranges too; what was written, as
+    (shard, name, first, rows, cols, cells), is kept beside them and returned.
+
+    Numbers run from 0; cells that repeat are added up, nulls and zeros left out. A range's cells are held by its task, at most rows x n_cols of them.
+    """
+    import io
+
+    import numpy as np
+
+    path = path.rstrip("/")
+    if min(n_rows, n_cols) < 0 or x.where((F.col("row_id") < 0) | (F.col("row_id") >= n_rows) | (F.col("col_id") < 0) | (F.col("col_id") >= n_cols)).limit(1).count():
+        raise ValueError("a cell lies outside the matrix")
+    cells = x.where("row_id is not null and col_id is not null and value is not null").groupBy("row_id", "col_id").agg(F.sum("value").cast("double").alias("value")).where("value != 0")
+    cells = cells.select(F.expr(f"cast(row_id div {rows} as long)").alias("shard"), F.col("row_id").cast("long").alias("row_id"), F.col("col_id").cast("long").alias("col_id"), "value")
+    # a mark for each range, so that empty ranges are written too
+    marks = x.sparkSession.range(-(-n_rows // rows)).select(F.col("id").alias("shard"), F.lit(-1).cast("long").alias("row_id"), F.lit(-1).cast("long").alias("col_id"), F.lit(0.0).alias("value"))
+
+    def run(pdf):
+        shard = int(pdf["shard"].iloc[0])
+        pdf = pdf[pdf["row_id"] >= 0].sort_values(["row_id", "col_id"])
+        first, many = shard * rows, min(rows, n_rows - shard * rows)
+        ends = np.concatenate([[0], np.cumsum(np.bincount(pdf["row_id"].to_numpy(np.int64) - first, minlength=many))])
+        data, held = pdf["value"].to_numpy(float), io.BytesIO()
+        np.savez_compressed(held, format=np.array(b"csr"), shape=np.array([many, n_cols]), indptr=ends, indices=pdf["col_id"].to_numpy(np.int64), data=data)
+        name = f"rows-{shard:06d}.npz"
+        put(f"{path}/{name}", [held.getvalue()])
+        return pd.DataFrame({"shard": [shard], "name": [name], "first": [first], "rows": [many], "cols": [n_cols], "cells": [len(data)]})
+
+    made = marks.unionByName(cells).groupBy("shard").applyInPandas(run, "shard long, name string, first long, rows long, cols long, cells long")
+    made.write.parquet(f"{path}/shards")
+    return x.sparkSession.read.schema(made.schema).parquet(f"{path}/shards")
+
+
 def annotated_matrix(obs: DataFrame, var: DataFrame, x: DataFrame, folder: str) -> None:
     """Barcodes, features and their long matrix beside one another."""
     for name, df in (("obs", obs), ("var", var), ("x", x)):
