@@ -76,15 +76,25 @@ def next_starts(reads: np.ndarray, n_snps: np.ndarray, start: np.ndarray, stop:
     return np.where(enough < n - 1, enough + 1, (np.where(enough == n - 1, COMPLETE, OPEN)) if ends else UNKNOWN)
 
 
-def by_reads(rows: DataFrame, group: list[str], order: list[str], samples: list[str], least_reads: float, least_snps: int, most_span: int = 0, part_rows: int = 100_000, halo: int = 5_000) -> DataFrame:
+def by_reads(rows: DataFrame, group: list[str], order: list[str], samples: list[str], least_reads: float, least_snps: int, most_span: int = 0, part_rows: int = 50_000, halo: int = 5_000, small: int = 1_000_000) -> DataFrame:
     """rows (with n_snps, start, stop and a column of whole-numbered reads for each sample) with local_bin, as `fold` has it.
 
     A part is `part_rows` rows in the order of groups, and sees `halo` rows more; where a bin would reach beyond these, more are
-    taken until none does. Rows that tie in `order` stand in any order.
+    taken until none does. Rows that tie in `order` stand in any order. Up to `small` rows in all, which any task can hold, each group is folded as it is.
     """
     spark = rows.sparkSession
     base = stored(rows.withColumn("_key", F.to_json(F.struct(*[F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(group)]))), "rows")
-    parts = max(1, -(-base.count() // part_rows))
+    n = base.count()
+    if n <= small:
+        out = T.StructType([*rows.schema.fields, T.StructField("local_bin", T.LongType())])
+
+        def folded(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
+            pdf["local_bin"] = fold(pdf[samples].to_numpy(float), pdf["n_snps"].to_numpy(np.int64), pdf["start"].to_numpy(np.int64), pdf["stop"].to_numpy(np.int64), least_reads, least_snps, most_span)
+            return pdf
+
+        return base.drop("_key").groupBy(*group).applyInPandas(folded, out)
+    parts = max(1, -(-n // part_rows))
     ranged = stored(base.repartitionByRange(parts, "_key", *order).sortWithinPartitions("_key", *order).withColumn("_id", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_id", 33).cast("int")), "ranged")
     dropped(base)
     bounds, at = [], 0
@@ -109,13 +119,10 @@ def by_reads(rows: DataFrame, group: list[str], order: list[str], samples: list[
         head[cut] = True
         head[0] = g[0] == 0
         own = np.flatnonzero((g >= lo) & (g < hi))
-        follows, out = follows[own], np.empty(len(own), np.int64)
-        steps = np.zeros(len(own), np.int64)
+        follows = follows[own]
+        out, steps = follows.tolist(), (follows >= 0).astype(int).tolist()
         for i in range(len(own) - 1, -1, -1):  # a pointer leads to a later row
-            t = follows[i]
-            if t < 0 or t >= hi:
-                out[i], steps[i] = t, t >= 0
-            else:
+            if lo <= (t := out[i]) < hi:
                 out[i], steps[i] = out[t - lo], 1 + steps[t - lo]
         pdf = pdf.iloc[own].assign(_next=follows, _exit=out, _steps=steps, _head=head[own])
         return pdf[schema.names]
@@ -127,7 +134,7 @@ def by_reads(rows: DataFrame, group: list[str], order: list[str], samples: list[
         placed = ranged.join(small, "_part").withColumn("_g", F.col("_first") + F.col("_id").bitwiseAND((1 << 33) - 1))
         near = placed.withColumn("_s", F.explode(F.filter("_by", lambda s: (F.col("_g") >= s["lo"] - 1) & (F.col("_g") < s["hi"] + halo))))
         near = near.select(*rows.columns, "_key", "_g", F.col("_s.q").alias("_q"), F.col("_s.lo").alias("_lo"), F.col("_s.hi").alias("_hi"))
-        jumps = stored(near.groupBy("_q").applyInPandas(hops, schema), "jumps")
+        jumps = stored(near.repartition(2 * len(bounds), "_q").groupBy("_q").applyInPandas(hops, schema), "jumps")
         if jumps.where(F.col("_next") == UNKNOWN).limit(1).count() == 0:
             break
         dropped(jumps)
@@ -157,19 +164,20 @@ def by_reads(rows: DataFrame, group: list[str], order: list[str], samples: list[
 
     def mark(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_g", kind="stable").reset_index(drop=True)
-        g, follows, entry, before = (pdf[c].to_numpy() for c in ("_g", "_next", "_entry", "_before"))
+        g, entry, before = (pdf[c].to_numpy() for c in ("_g", "_entry", "_before"))
+        follows, low, high = pdf["_next"].tolist(), int(g[0]), int(g[-1])
         key = pdf["_key"].to_numpy()
         bins = before - 1
         cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         for a, end in zip(cut, [*cut[1:], len(pdf)], strict=True):
-            at, number = entry[a], before[a]
-            while 0 <= at <= g[-1]:
-                i, t = at - g[0], follows[at - g[0]]
-                bins[i : min(t, g[-1] + 1) - g[0] if t >= 0 else end] = number
+            at, number = int(entry[a]), int(before[a])
+            while 0 <= at <= high:
+                i, t = at - low, follows[at - low]
+                bins[i : min(t, high + 1) - low if t >= 0 else end] = number
                 at, number = t, number + 1
         return pdf.assign(local_bin=np.minimum(np.maximum(bins, 0), pdf["_fin"].to_numpy()))[final.names]
 
-    return jumps.join(entries, ["_key", "_q"]).groupBy("_q").applyInPandas(mark, final)
+    return jumps.join(entries, ["_key", "_q"]).repartition(2 * len(bounds), "_q").groupBy("_q").applyInPandas(mark, final)
 
 
 def numbered(binned: DataFrame, group: list[str], order: list[Column | str]) -> DataFrame:

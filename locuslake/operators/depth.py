@@ -16,9 +16,9 @@ from locuslake.plans.tables import stored
 def statistics(depth: DataFrame) -> DataFrame:
     """(sample_id, chrom, mean_depth, median_depth) by chromosome and over all as TOTAL."""
     d = stored(depth.select("sample_id", "chrom", "depth"), "depths")  # read several times below
-    each, whole = d, d.withColumn("chrom", F.lit("TOTAL"))
+    each, whole, n = d, d.withColumn("chrom", F.lit("TOTAL")), d.count()
     mean = lambda x: x.groupBy("sample_id", "chrom").agg(F.avg("depth").alias("mean_depth"))
-    return mean(each).unionByName(mean(whole)).join(median(each, ["sample_id", "chrom"], "depth", "median_depth").unionByName(median(whole, ["sample_id", "chrom"], "depth", "median_depth")), ["sample_id", "chrom"])
+    return mean(each).unionByName(mean(whole)).join(median(each, ["sample_id", "chrom"], "depth", "median_depth", n).unionByName(median(whole, ["sample_id", "chrom"], "depth", "median_depth", n)), ["sample_id", "chrom"])
 
 
 def weighted(depth: DataFrame, by: list[str]) -> DataFrame:
@@ -92,13 +92,13 @@ def gc_statistics(d: DataFrame, bins: int = 100) -> DataFrame:
     ranked = mid_ranks(mid_ranks(both, "sample_id", "depth", "_rd"), "sample_id", "gc", "_rg")
     cors = ranked.groupBy("sample_id").agg(F.corr("gc", "depth").alias("pearson"), F.corr("_rg", "_rd").alias("spearman"))
     at = F.greatest(F.lit(0), F.least(F.lit(bins - 1), F.floor(F.col("gc") * bins)))
-    mids = median(both.withColumn("_g", at), ["sample_id", "_g"], "depth", "_m").groupBy("sample_id").agg(F.stddev_pop("_m").alias("bin_std"))
+    mids = median(both.withColumn("_g", at), ["sample_id", "_g"], "depth", "_m", both.count()).groupBy("sample_id").agg(F.stddev_pop("_m").alias("bin_std"))
     return cors.join(mids, "sample_id")
 
 
-def domain(d: DataFrame, column: str, outer: float = 0.001) -> DataFrame:
+def domain(d: DataFrame, column: str, outer: float = 0.001, rows: int | None = None) -> DataFrame:
     """(sample_id, low, high): the quantiles `outer` and 1 - outer of a covariate, the ends of what a fit looks at."""
-    return quantiles(d, ["sample_id"], {"low": (column, outer), "high": (column, 1 - outer)})
+    return quantiles(d, ["sample_id"], {"low": (column, outer), "high": (column, 1 - outer)}, rows=rows)
 
 
 def panel_statistics(d: DataFrame, x: str, y: str) -> DataFrame:
@@ -119,7 +119,7 @@ def histogram(d: DataFrame, value: str, bins: int, low: float, high: float) -> D
 def depth_histogram(d: DataFrame, bins: int = 50, share: float = 0.99) -> DataFrame:
     """Histogram of each sample's depths up to its `share` quantile, in bins of equal width from 0."""
     d = stored(d.select("sample_id", "depth"), "depths")
-    top = quantiles(d, ["sample_id"], {"_top": ("depth", share)}).where("_top > 0")
+    top = quantiles(d, ["sample_id"], {"_top": ("depth", share)}, rows=d.count()).where("_top > 0")
     at = F.least(F.floor(F.col("depth") / (F.col("_top") / bins)), F.lit(bins - 1))
     return d.join(top, "sample_id").where(F.col("depth") <= F.col("_top")).groupBy("sample_id", at.cast("int").alias("bin")).agg(F.count("*").alias("n"))
 
@@ -127,8 +127,9 @@ def depth_histogram(d: DataFrame, bins: int = 50, share: float = 0.99) -> DataFr
 def spread(d: DataFrame) -> DataFrame:
     """(sample_id, middle, mad): median depth and median distance to it."""
     d = stored(d.select("sample_id", "depth"), "depths")
-    mid = stored(median(d, ["sample_id"], "depth", "middle"), "middles")
-    return median(d.join(mid, "sample_id"), ["sample_id", "middle"], F.abs(F.col("depth") - F.col("middle")), "mad")
+    n = d.count()
+    mid = stored(median(d, ["sample_id"], "depth", "middle", n), "middles")
+    return median(d.join(mid, "sample_id"), ["sample_id", "middle"], F.abs(F.col("depth") - F.col("middle")), "mad", n)
 
 
 def limits(d: DataFrame, value: str, share: float = 0.99) -> DataFrame:
@@ -143,9 +144,9 @@ def _fixed(small: DataFrame) -> DataFrame:
     return F.broadcast(small.sparkSession.createDataFrame(small.collect(), small.schema))
 
 
-def _rescaled(d: DataFrame, before: str, after: str) -> DataFrame:
+def _rescaled(d: DataFrame, before: str, after: str, rows: int | None = None) -> DataFrame:
     """`after` scaled so that its median is that of `before` over the rows where it is known."""
-    mids = quantiles(d.where(F.col(after).isNotNull() & (F.col(before) > 0)), ["sample_id"], {"_b": (before, 0.5), "_a": (after, 0.5)})
+    mids = quantiles(d.where(F.col(after).isNotNull() & (F.col(before) > 0)), ["sample_id"], {"_b": (before, 0.5), "_a": (after, 0.5)}, rows=rows)
     return d.join(_fixed(mids.select("sample_id", (F.col("_b") / F.col("_a")).alias("_k"))), "sample_id", "left").withColumn(after, F.col(after) * F.col("_k")).drop("_k")
 
 
@@ -227,11 +228,12 @@ def corrected_by_regression(d: DataFrame, doutlier: float = 0.001, min_mappabili
     ones; the sample's median is kept. Windows without depth or under the mappability are null.
     """
     d = stored(d, "depths")  # its samples' few numbers take several passes
+    rows = d.count()
     names = ["gc", "gc2"] + (["repli", "repli2"] if "repli" in d.columns else [])
     x = d.withColumn("gc2", F.col("gc") * F.col("gc"))
     if "repli" in d.columns:
         x = x.withColumn("repli2", F.col("repli") * F.col("repli"))
-    ends = _fixed(domain(x, "gc", doutlier).withColumnsRenamed({"low": "_lo", "high": "_hi"}))
+    ends = _fixed(domain(x, "gc", doutlier, rows).withColumnsRenamed({"low": "_lo", "high": "_hi"}))
     fit = x.join(ends, "sample_id").where((F.col(value) > 0) & F.col("gc").between(F.col("_lo"), F.col("_hi")))
     if "map" in d.columns:
         fit = fit.where(F.col("map") >= min_mappability)
@@ -241,13 +243,13 @@ def corrected_by_regression(d: DataFrame, doutlier: float = 0.001, min_mappabili
     known = d.sparkSession.createDataFrame([(s, list(map(float, b))) for s, b in beta.items()], "sample_id string, _b array<double>")
     x = x.join(F.broadcast(known), "sample_id", "left")  # a row for each sample
     x = x.withColumn("_p", F.get("_b", F.lit(0)) + sum((F.coalesce(F.col(n), F.lit(0.0) if n.startswith("repli") else F.col(n)) * F.get("_b", F.lit(i + 1)) for i, n in enumerate(names)), F.lit(0.0)))
-    eps = _fixed(quantiles(x.where("_p > 0"), ["sample_id"], {"_eps": ("_p", eps_quantile)}))
+    eps = _fixed(quantiles(x.where("_p > 0"), ["sample_id"], {"_eps": ("_p", eps_quantile)}, rows=rows))
     x = x.join(eps, "sample_id", "left").withColumn("_eps", F.coalesce("_eps", F.lit(1.0)))
     good = F.col(value) > 0
     if "map" in d.columns:
         good = good & ~F.coalesce(F.col("map") < min_mappability, F.lit(False))
     x = x.withColumn("corrected", F.when(good, F.col(value) / F.greatest(F.coalesce("_p", "_eps"), F.col("_eps"))))
-    out = _rescaled(x, value, "corrected").withColumn("corrected", F.when(F.col("_b").isNotNull(), F.col("corrected")).otherwise(F.col(value).cast("double")))
+    out = _rescaled(x, value, "corrected", rows).withColumn("corrected", F.when(F.col("_b").isNotNull(), F.col("corrected")).otherwise(F.col(value).cast("double")))
     return out.select(*d.columns, "corrected")
 
 
@@ -313,7 +315,7 @@ def drawn(rows: DataFrame, part: str, keys: list[str], most: int | None, seed: i
     return h.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= most).drop("_n", "_h", "_c")
 
 
-def lowess_stage(d: DataFrame, value: str, covariate: str, out: str, low_high: tuple[float, float] | None = None, sample: int | None = 50_000, routlier: float = 0.01, doutlier: float = 0.001, tight: float = 0.03, smooth: float = 0.3, grid: int = 1001, seed: int = 42, ideal=None) -> DataFrame:
+def lowess_stage(d: DataFrame, value: str, covariate: str, out: str, low_high: tuple[float, float] | None = None, sample: int | None = 50_000, routlier: float = 0.01, doutlier: float = 0.001, tight: float = 0.03, smooth: float = 0.3, grid: int = 1001, seed: int = 42, ideal=None, rows: int | None = None) -> DataFrame:
     """`out` = value over its LOWESS curve on the covariate, by sample, with the sample's median kept.
 
     The curve is fitted on at most `sample` ideal windows of each sample, those of smallest hash (None: on all), and
@@ -321,7 +323,7 @@ def lowess_stage(d: DataFrame, value: str, covariate: str, out: str, low_high: t
     Spark.
     """
     valid = (F.col(value) > 0) & F.col(covariate).isNotNull()
-    ends = _fixed(quantiles(d, ["sample_id"], {"_lo": (covariate, doutlier), "_hi": (covariate, 1 - doutlier), "_top": (F.when(valid, F.col(value)), 1 - routlier)}))
+    ends = _fixed(quantiles(d, ["sample_id"], {"_lo": (covariate, doutlier), "_hi": (covariate, 1 - doutlier), "_top": (F.when(valid, F.col(value)), 1 - routlier)}, rows=rows))
     fit = d.join(ends, "sample_id").where(valid & F.col(covariate).between(F.col("_lo"), F.col("_hi")) & (F.col(value) <= F.col("_top")))
     if ideal is not None:
         fit = fit.where(ideal)
@@ -342,18 +344,19 @@ def lowess_stage(d: DataFrame, value: str, covariate: str, out: str, low_high: t
     a, b = F.get("curve", k), F.get("curve", k + 1)
     x = x.withColumn("_p", a + (b - a) * (at - k))
     x = x.withColumn(out, F.when(F.col("curve").isNull(), F.col(value).cast("double")).when((F.col("_p") > 0) & (F.col(value) > 0), F.col(value) / F.col("_p")))
-    return _rescaled(x, value, out).select(*d.columns, out) if out not in d.columns else _rescaled(x, value, out).select(*d.columns)
+    return _rescaled(x, value, out, rows).select(*d.columns, *([] if out in d.columns else [out]))
 
 
 def corrected_by_lowess(d: DataFrame, min_mappability: float = 0.9, sample: int | None = 50_000, seed: int = 42, **fit) -> DataFrame:
     """d with `corrected`: LOWESS stages on gc, then map and repli where there are such columns. `fit` goes to each stage."""
     ideal = (F.col("map") >= min_mappability) if "map" in d.columns else None
     d = stored(d, "depths")
-    x = lowess_stage(d, "depth", "gc", "corrected", (0.0, 1.0), sample, seed=seed, ideal=ideal, **fit)
+    rows = d.count()
+    x = lowess_stage(d, "depth", "gc", "corrected", (0.0, 1.0), sample, seed=seed, ideal=ideal, rows=rows, **fit)
     for k, (c, ends) in enumerate((("map", (0.0, 1.0)), ("repli", None)), 1):
         if c in d.columns:
             x = stored(x.withColumnRenamed("corrected", "_before"), "before")
-            x = lowess_stage(x, "_before", c, "corrected", ends, sample, seed=seed + k, **fit).drop("_before")
+            x = lowess_stage(x, "_before", c, "corrected", ends, sample, seed=seed + k, rows=rows, **fit).drop("_before")
     return x
 
 

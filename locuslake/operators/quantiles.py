@@ -15,14 +15,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-ACCURACY = 5_000
+ACCURACY = 1_000
+SMALL = 1_000_000
 
 
-def quantiles(d: DataFrame, by: list[str], wanted: dict[str, tuple[str | Column, float]], accuracy: int = ACCURACY) -> DataFrame:
-    """(*by, one column for each of `wanted`): the exact quantile of a value by group, as name: (value, share)."""
+def quantiles(d: DataFrame, by: list[str], wanted: dict[str, tuple[str | Column, float]], accuracy: int = ACCURACY, rows: int | None = None) -> DataFrame:
+    """(*by, one column for each of `wanted`): the exact quantile of a value by group, as name: (value, share).
+
+    `rows` says how many rows there are, where that is known; up to SMALL in all, a task can hold any group and one pass does.
+    """
     names = [*wanted]
     values = [F.col(v) if isinstance(v, str) else v for v, _ in wanted.values()]
     fine = lambda x: F.when(~F.isnan(x.cast("double")), x.cast("double"))
+    if rows is not None and rows <= SMALL:
+        return d.groupBy(*by).agg(*[F.percentile(fine(v), s).alias(n) for n, v, (_, s) in zip(names, values, wanted.values(), strict=True)])
     # names of its own for the groups, so that they meet by null-safe equality
     keys = [f"_k{i}" for i in range(len(by))]
     narrow = d.select(*[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], *[fine(v).alias(f"_v{i}") for i, v in enumerate(values)])
@@ -42,9 +48,10 @@ def quantiles(d: DataFrame, by: list[str], wanted: dict[str, tuple[str | Column,
     met = narrow.join(brackets, same) if keys else narrow.crossJoin(F.broadcast(brackets))  # one row
     # a value inside its bracket counts by itself, one below it as null
     part = [F.when(F.col(f"_v{i}") <= F.col(f"_s{i}.hi"), F.struct(F.lit(i).alias("i"), F.col(f"_s{i}.n").alias("n"), F.when(F.col(f"_v{i}") >= F.col(f"_s{i}.lo"), F.col(f"_v{i}")).alias("v"))) for i in range(len(names))]
+    part.append(F.struct(F.lit(-1).alias("i"), F.lit(0).cast("long").alias("n"), F.lit(None).cast("double").alias("v")))  # every group is there, with values or without
     counted = met.select(*keys, F.explode(F.filter(F.array(*part), lambda x: x.isNotNull())).alias("p")).groupBy(*keys, "p.i", "p.n", "p.v").agg(F.count("*").alias("c"))
     running = counted.withColumn("upto", F.sum("c").over(W.partitionBy(*keys, "i").orderBy(F.col("v").asc_nulls_first()).rowsBetween(W.unboundedPreceding, 0)))
-    share = F.element_at(F.array(*[F.lit(float(s)) for _, s in wanted.values()]), F.col("i") + 1)
+    share = F.get(F.array(*[F.lit(float(s)) for _, s in wanted.values()]), F.col("i"))
     place = (F.col("n") - 1) * share
     first = F.min(F.when(F.col("upto") > F.floor(place), F.struct("upto", F.col("v").isNull().alias("below"), "v")))
     second = F.min(F.when(F.col("upto") > F.ceil(place), F.struct("upto", F.col("v").isNull().alias("below"), "v")))
@@ -52,13 +59,10 @@ def quantiles(d: DataFrame, by: list[str], wanted: dict[str, tuple[str | Column,
     found = running.groupBy(*keys, "i").agg(at.alias("at"), first.alias("a"), second.alias("b"))
     lost = F.col("a").isNull() | F.col("b").isNull() | F.col("a.below")
     a, b = F.col("a.v"), F.col("b.v")
-    value = F.when(lost, F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")).when(a == b, a).otherwise((F.ceil("at") - F.col("at")) * a + (F.col("at") - F.floor("at")) * b)
+    value = F.when(F.col("i") < 0, F.lit(None).cast("double")).when(lost, F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")).when(a == b, a).otherwise((F.ceil("at") - F.col("at")) * a + (F.col("at") - F.floor("at")) * b)
     one = found.withColumn("q", value).groupBy(*keys).agg(*[F.max(F.when(F.col("i") == i, F.col("q"))).alias(f"_q{i}") for i in range(len(names))])
-    groups = brackets.select(*[F.col(f"_b{k}") for k in keys])
-    if not keys:
-        return one.select(*[F.col(f"_q{i}").alias(n) for i, n in enumerate(names)])
-    return groups.join(one, same, "left").select(*[F.col(f"_b{k}").alias(c) for k, c in zip(keys, by, strict=True)], *[F.col(f"_q{i}").alias(n) for i, n in enumerate(names)])
+    return one.select(*[F.col(k).alias(c) for k, c in zip(keys, by, strict=True)], *[F.col(f"_q{i}").alias(n) for i, n in enumerate(names)])
 
 
-def median(d: DataFrame, by: list[str], value: str | Column, out: str) -> DataFrame:
-    return quantiles(d, by, {out: (value, 0.5)})
+def median(d: DataFrame, by: list[str], value: str | Column, out: str, rows: int | None = None) -> DataFrame:
+    return quantiles(d, by, {out: (value, 0.5)}, rows=rows)
