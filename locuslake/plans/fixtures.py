@@ -34,6 +34,14 @@ ROLES = {
     "cellcount": """select concat('B', cast(cell as string)) as barcode, sample_id as rep_id, concat('F', cast(k3 % 200 as string)) as feature_id, cast(sum(dp) as bigint) as value from [obs] group by 1, 2, 3""",
     "size": """select distinct concat('chr', cast(s_suppkey % 22 + 1 as string)) as chrom, cast(s_suppkey % 22 + 1 as int) as chrom_ord, 1000000 + (s_suppkey % 22 + 1) * 1000 as size from {supplier}""",
     "variant": """select chrom, pos0, case when pos0 % 5 = 0 then '0|1' when pos0 % 5 = 1 then '1|0' when pos0 % 5 = 2 then '0/1' when pos0 % 5 = 3 then '1/1' else '0/0' end as gt from [snp]""",
+    "alignment": """select concat('r', cast(l_orderkey as string)) as name, case when l_linenumber = 5 then 1024 when l_linenumber % 3 = 0 then 16 else 0 end as flag,
+        concat('chr', cast(l_suppkey % 22 + 1 as string)) as chrom, l_partkey * 500 + l_suppkey * 3 as pos0, cast(l_quantity as int) as mapq, cast(l_linenumber % 4 as int) as kind,
+        case l_linenumber % 4 when 0 then '20M' when 1 then '3S17M' when 2 then '6M2D14M' else '8M3I9M' end as cigar,
+        substr('ACGTTGCAACGGTACCATGATTACAGGCATCAGTACA', cast(l_partkey % 13 + l_orderkey % 3 as int) + 1, 20) as seq,
+        substr('5?I:FD<+7HB5?I:FD<+7HBAA,,5?I:FD<+7H', cast(l_orderkey % 16 as int) + 1, 20) as qual,
+        case when l_linenumber <> 6 then concat('B', cast(l_orderkey % 500 as string)) end as barcode, l_returnflag as sample_id from {lineitem}""",
+    "site": """select distinct chrom, pos0 + k as pos0, substr('ACGT', cast(pos0 % 4 as int) + 1, 1) as ref, substr('CGTA', cast(pos0 % 4 as int) + 1, 1) as alt
+        from [alignment] cross join (select cast(7 as bigint) as k union all select cast(12 as bigint)) t""",
     "read": """select chrom, pos0 as start, pos0 + dp * 20 as stop, sample_id from [obs]""",
 }
 

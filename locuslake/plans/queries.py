@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from locuslake.config import Bins, Config, Depth, Phase
 from locuslake.functions import columns as C
-from locuslake.operators import binning, counts, depth, features, genetics, genotype, intervals, lift, masks, phasing
+from locuslake.operators import alignments, binning, counts, depth, features, genetics, genotype, intervals, lift, masks, phasing
 from locuslake.plans import stages
 from locuslake.plans.fixtures import ctes, role
 from locuslake.plans.tables import scratch
 from locuslake.schema import standard
-from locuslake.sources import bgzf, bigwig, readers, writers
+from locuslake.sources import bam, bgzf, bigwig, readers, writers
 
 BUCKET = 1 << 14  # for these roles' intervals of 2 to 60 kb
 
@@ -753,6 +753,96 @@ def read_backed_phase(obs):
     return phasing.phased(obs.select(F.col("k1").alias("read_id"), "chrom", "pos0", allele.cast("int").alias("allele")))
 
 
+# ---- alignments ----------------------------------------------------------------------------------------
+
+
+def _aligned(alignment, size):
+    """The alignments as indexed binary files, with barcode and sample as tags, read back by what is returned."""
+    path = scratch(alignment.sparkSession, "bam")
+    tags = F.filter(F.array(F.concat(F.lit("CB:Z:"), "barcode"), F.concat(F.lit("RG:Z:"), "sample_id"), F.concat(F.lit("NM:i:"), F.col("kind").cast("string"))), lambda t: t.isNotNull())
+    empty = {c: F.lit(None) for c in ("next_chrom", "next_pos0", "length")}
+    bam.write(alignment.withColumns({"tags": tags, **empty}), size, path)
+    return bam.read(alignment.sparkSession, path)
+
+
+def _fields(reads):
+    return reads.select("name", "flag", "chrom", "pos0", "mapq", "cigar", "seq", "qual", alignments.tag("CB").alias("barcode"), alignments.tag("RG").alias("sample_id"))
+
+
+@query("alignment size", "select name, flag, chrom, pos0, mapq, cigar, seq, qual, barcode, sample_id from alignment")
+def read_alignments(alignment, size):
+    return _fields(_aligned(alignment, size))
+
+
+@query("alignment size", "select name, flag, chrom, pos0, mapq, cigar, seq, qual, barcode, sample_id from alignment where chrom in ('chr3', 'chr14') and pos0 between 20000 and 700000")
+def alignments_in_range(alignment, size):
+    return _fields(_aligned(alignment, size).where("chrom in ('chr3', 'chr14') and pos0 between 20000 and 700000"))
+
+
+TARGETS = """t as (select 'B' || (start % 300)::varchar as src, max_by(brand, struct_pack(start := start, gene_id := gene_id)) as tgt from gene group by 1)"""
+
+
+def _targets(gene):
+    return gene.select(F.concat(F.lit("B"), (F.col("start") % 300).cast("string")).alias("src"), F.col("brand").alias("tgt"), F.struct("start", "gene_id").alias("row_id"))
+
+
+@query("alignment size gene", f"with {TARGETS} select name, flag, chrom, pos0, seq, tgt as barcode, sample_id from alignment join t on barcode = src")
+def rebarcoded_alignments(alignment, size, gene):
+    """Read, given the barcodes of their targets, written and read again."""
+    new = alignments.rebarcoded(_aligned(alignment, size), _targets(gene))
+    path = scratch(new.sparkSession, "bam")
+    bam.write(new, size, path)
+    return _fields(bam.read(new.sparkSession, path)).select("name", "flag", "chrom", "pos0", "seq", "barcode", "sample_id")
+
+
+@query("alignment gene", f"""with {TARGETS} select count(*) as processed, count(*) filter (barcode is null) as missing, count(*) filter (barcode is not null and tgt is null) as unlisted,
+    count(*) filter (tgt is not null) as kept from alignment left join t on barcode = src""")
+def barcode_accounting(alignment, gene):
+    return alignments.barcode_accounting(alignment.withColumn("tags", F.filter(F.array(F.concat(F.lit("CB:Z:"), "barcode")), lambda t: t.isNotNull())), _targets(gene))
+
+
+SEEN = """h as (select s.chrom, s.pos0, s.ref, s.alt, a.name, a.sample_id, a.seq, a.qual, a.kind, s.pos0 - a.pos0 as d from site s join alignment a on a.chrom = s.chrom and s.pos0 >= a.pos0 and s.pos0 < a.pos0 + 22 where a.flag <> 1024 and a.mapq >= 5),
+    i as (select *, case kind when 0 then case when d < 20 then d end when 1 then case when d < 17 then d + 3 end when 2 then case when d < 6 then d when d >= 8 then d - 2 end else case when d < 8 then d when d < 17 then d + 3 end end as u from h),
+    q as (select *, substr(seq, u + 1, 1) as base, ascii(substr(qual, u + 1, 1)) - 33 as quality from i where u is not null),
+    b as (select chrom, pos0, ref, alt, name, sample_id, base, quality from (select *, row_number() over (partition by chrom, pos0, ref, alt, name, sample_id order by quality desc, base) as r from q where quality >= 13) where r = 1)"""
+
+
+def _seen(alignment, site):
+    return alignments.bases_at(alignment, site, ["sample_id"], min_mapq=5, min_quality=13)
+
+
+@query("alignment site", f"with {SEEN} select * from b")
+def site_bases(alignment, site):
+    return _seen(alignment, site)
+
+
+SCORED = """e as (select *, pow(10.0::double, -least(greatest(quality, 1), 60) / 10.0::double) as w from b),
+    s as (select chrom, pos0, ref, alt, sample_id, count(*) filter (base in (ref, alt)) as dp, count(*) filter (base = alt) as ad, count(*) filter (base not in (ref, alt)) as oth,
+      coalesce(sum(round(log10(case when base = ref then 1 - w else w end) * 1000000)::bigint) filter (base in (ref, alt)), 0)::bigint as l0,
+      coalesce(sum(round(log10(0.5::double) * 1000000)::bigint) filter (base in (ref, alt)), 0)::bigint as l1,
+      coalesce(sum(round(log10(case when base = ref then w else 1 - w end) * 1000000)::bigint) filter (base in (ref, alt)), 0)::bigint as l2 from e group by chrom, pos0, ref, alt, sample_id)"""
+
+
+@query("alignment site", f"with {SEEN}, {SCORED} select * from s")
+def genotype_likelihoods(alignment, site):
+    return alignments.likelihoods(_seen(alignment, site), ["sample_id"])
+
+
+@query("alignment site", f"""recursive with {SEEN}, {SCORED},
+    x as (select *, greatest(l0, l1, l2) as m, pow(10.0::double, (l0 - m) / 1000000.0::double) as w0, pow(10.0::double, (l1 - m) / 1000000.0::double) as w1, pow(10.0::double, (l2 - m) / 1000000.0::double) as w2 from s),
+    v as (select chrom, pos0, ref, alt, list(struct_pack(a := w0, b := w1, c := w2)) as ws from x group by all),
+    em as (select chrom, pos0, ref, alt, ws, 0.5::double as f, 0 as n from v union all
+      select chrom, pos0, ref, alt, ws, least(greatest(list_sum(list_transform(ws, lambda g: (2 * f * (1 - f) * g.b + 2 * f * f * g.c) / (2 * ((1 - f) * (1 - f) * g.a + 2 * f * (1 - f) * g.b + f * f * g.c)))) / len(ws), 0.0001::double), 1 - 0.0001::double), n + 1 from em where n < 20),
+    y as (select x.*, f, (1 - f) * (1 - f) * w0 as p0, 2 * f * (1 - f) * w1 as p1, f * f * w2 as p2, p0 + p1 + p2 as t from x join em using (chrom, pos0, ref, alt) where n = 20)
+    select chrom, pos0, sample_id, round(f, 5) as af, round(least(-10 * sum(log10(greatest(p0 / t, 1e-300::double))) over (partition by chrom, pos0, ref, alt), 999), 2) + 0.0::double as qual,
+      case when dp = 0 then './.' when p0 >= p1 and p0 >= p2 then '0/0' when p1 >= p2 then '0/1' else '1/1' end as gt,
+      round(least(-10 * log10(greatest(case when p0 >= p1 and p0 >= p2 then p1 + p2 when p1 >= p2 then p0 + p2 else p0 + p1 end / t, 1e-300::double)), 999), 2) + 0.0::double as gq,
+      round((m - l0) / 100000.0::double)::int as pl0, round((m - l1) / 100000.0::double)::int as pl1, round((m - l2) / 100000.0::double)::int as pl2 from y""")
+def genotypes_by_reads(alignment, site):
+    d = alignments.genotyped(alignments.likelihoods(_seen(alignment, site), ["sample_id"]))
+    return d.select("chrom", "pos0", "sample_id", F.round("af", 5).alias("af"), "qual", "gt", "gq", *[F.col("pl")[k].alias(f"pl{k}") for k in range(3)])
+
+
 # ---- other assemblies ----------------------------------------------------------------------------------
 
 # a chain for each chromosome, two blocks for each part; those of even chromosomes run on the other strand
