@@ -3,14 +3,15 @@
 Without filters a file is cut into runs of bytes. A task finds the first member of its run by its checksum and in it the first record by its form, and
 reads every record that begins within the run. When it is through, it knows where the next run's first record truly stands, and raises an error if
 the next task looks for it elsewhere: a cut never gives other rows than a whole read. Filters on chrom and pos0 read the index beside
-the file (.bai), where there is one, and only the parts that it names.
+the file (.csi or .bai), where there is one, and only the parts that it names.
 
-The writer makes a file of each range of (chromosome, position, name), each headed and indexed like a whole one.
+The writer makes a file of each range of (chromosome, position, name), each headed and indexed like a whole one: by .bai, or by .csi where its records
+reach beyond the 2^29 positions that a .bai can hold.
 
 A row holds the fields of the text form: positions count from 0, tags are their text (``CB:Z:AC-1``), missing fields are null.
 
 Defined cases: a file without records has no rows; reads without a place are null in chrom and pos0 and written last; whole tags are written in the smallest form that holds
-them; positions go up to what the index can hold, one beyond is an error; bytes of tags that are not UTF-8 are read as the mark of replacement; more than 65,535 steps of a cigar stand in the tag that the format has for them; a base that the format does not know is N; qualities of another length than the bases are an
+them; positions go up to what a record can hold (2^31 - 2), one beyond is an error; bytes of tags that are not UTF-8 are read as the mark of replacement; more than 65,535 steps of a cigar stand in the tag that the format has for them; a base that the format does not know is N; qualities of another length than the bases are an
 error; a null or empty name is ``*``; a record or member that is cut short is an error; a chromosome that is not among the sizes is an error when it is written.
 """
 
@@ -33,11 +34,12 @@ from locuslake.sources import bgzf
 from locuslake.sources.files import listed, opened, put
 
 # fixed values of the format
-MAGIC, INDEX = b"BAM\1", b"BAI\1"
+MAGIC, INDEX, DEEP_INDEX = b"BAM\1", b"BAI\1", b"CSI\1"
 FIXED = struct.Struct("<iiBBHHHiiii")
 STEPS = "MIDNSHP=X"
 BASES = "=ACMGRSVTWYHKDBN"
-MOST = 1 << 29  # of positions in an index
+MOST = 1 << 29  # of positions in an index of bins and windows
+FARTHEST, DEEP = (1 << 31) - 1, 6  # of positions in a record, and the levels of bins that hold them
 WHOLE = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I"}
 SCHEMA = "name string, flag int, chrom string, pos0 long, mapq int, cigar string, next_chrom string, next_pos0 long, length long, seq string, qual string, tags array<string>"
 ARROW = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "array<string>": pa.list_(pa.string())}
@@ -142,13 +144,13 @@ def row_of(record: bytes, names: list[str]) -> tuple:
     )
 
 
-def record_of(row: tuple, numbers: dict[str, int]) -> tuple[int, int | None, int, bytes]:
-    """(number of its chromosome, start or None, stop, bytes) of a row in the order of SCHEMA."""
+def record_of(row: tuple, numbers: dict[str, int], most: int = MOST) -> tuple[int, int | None, int, bytes]:
+    """(number of its chromosome, start or None, stop, bytes) of a row in the order of SCHEMA, which begins before position `most`."""
     name, flag, chrom, pos0, mapq, cigar, chrom2, pos2, length, seq, qual, tags = row
     steps, tags, n = steps_of(cigar), b"".join(map(packed_tag, tags or [])), len(seq or "")
     pos = -1 if pos0 is None else pos0
-    if not -1 <= pos < MOST:
-        raise ValueError(f"{name} begins beyond position {MOST}")
+    if not -1 <= pos < most:
+        raise ValueError(f"{name} begins beyond position {most}")
     stop = pos + max(1, span_of(steps))
     if len(steps) > 65535:
         tags += b"CGBI" + struct.pack(f"<i{len(steps)}I", len(steps), *steps)
@@ -160,7 +162,7 @@ def record_of(row: tuple, numbers: dict[str, int]) -> tuple[int, int | None, int
     if seq:
         body += bytes.fromhex(seq.translate(TO_DIGIT) + "0" * (n & 1)) + (b"\xff" * n if qual is None else qual.encode("latin-1").translate(DOWN))
     ref = -1 if chrom is None else numbers[chrom]
-    bin_ = bgzf.bin_of(pos, stop) if pos >= 0 else 4680
+    bin_ = 4680 if pos < 0 else bgzf.bin_of(pos, stop) if stop <= MOST else 0  # a deep index has no use for it
     fixed = FIXED.pack(ref, pos, len(lead), mapq or 0, bin_, len(steps), flag or 0, n, -1 if chrom2 is None else numbers[chrom2], -1 if pos2 is None else pos2, length or 0)
     out = fixed + lead + body + tags
     return ref, pos if ref >= 0 and pos >= 0 else None, stop, struct.pack("<i", len(out)) + out
@@ -316,26 +318,38 @@ class Run(InputPartition):
 class Bounds:
     chroms: frozenset[str] | None = None
     least: int = 0
-    below: int = MOST
+    below: int = FARTHEST
 
 
 def parts_in(index: bytes, names: list[str], bounds: Bounds) -> list[tuple[int, int]]:
     """The parts of a file, as (begin, stop) places, that may hold records within the bounds, merged."""
-    if index[:4] != INDEX:
+    if index[:2] == b"\x1f\x8b":
+        index = b"".join(text for _, text in bgzf.members(index))
+    deep = index[:4] == DEEP_INDEX
+    if not deep and index[:4] != INDEX:
         raise ValueError("this is no position index")
-    (n_ref,), at, out = struct.unpack_from("<i", index, 4), 8, []
-    wanted = bgzf.bins_over(bounds.least, bounds.below) if bounds.least < bounds.below else set()
+    finest, levels, more = struct.unpack_from("<iii", index, 4) if deep else (bgzf.SHIFT, bgzf.LEVELS, 0)
+    at, out = 16 + more if deep else 4, []
+    (n_ref,), at = struct.unpack_from("<i", index, at), at + 4
+    below = min(bounds.below, 1 << finest + 3 * levels)
+    wanted = bgzf.bins_over(bounds.least, below, levels, finest) if bounds.least < below else set()
     for k in range(n_ref):
-        (n_bin,), at, some = struct.unpack_from("<i", index, at), at + 4, []
+        (n_bin,), at, some, firsts = struct.unpack_from("<i", index, at), at + 4, [], {}
         for _ in range(n_bin):
-            number, n = struct.unpack_from("<Ii", index, at)
+            (number,), at = struct.unpack_from("<I", index, at), at + 4
+            if deep:
+                (firsts[number],), at = struct.unpack_from("<Q", index, at), at + 8
+            (n,), at = struct.unpack_from("<i", index, at), at + 4
             if number in wanted:
-                some += [struct.unpack_from("<QQ", index, at + 8 + 16 * i) for i in range(n)]
-            at += 8 + 16 * n
-        (n_win,) = struct.unpack_from("<i", index, at)
-        w = bounds.least >> bgzf.SHIFT
-        least = struct.unpack_from("<Q", index, at + 4 + 8 * w)[0] if w < n_win else 1 << 63
-        at += 4 + 8 * n_win
+                some += [struct.unpack_from("<QQ", index, at + 16 * i) for i in range(n)]
+            at += 16 * n
+        if deep:
+            least = _least(firsts, bounds.least >> finest, levels)
+        else:
+            (n_win,) = struct.unpack_from("<i", index, at)
+            w = bounds.least >> bgzf.SHIFT
+            least = struct.unpack_from("<Q", index, at + 4 + 8 * w)[0] if w < n_win else 1 << 63
+            at += 4 + 8 * n_win
         if names[k] in bounds.chroms:
             out += [(max(a, least), z) for a, z in some if z > least]
     merged: list[list[int]] = []
@@ -347,6 +361,14 @@ def parts_in(index: bytes, names: list[str], bounds: Bounds) -> list[tuple[int,
     return [(a, z) for a, z in merged]
 
 
+def _least(firsts: dict[int, int], window: int, levels: int) -> int:
+    """The place before which nothing reaches a window of the finest level, from the first places of bins: that of the nearest bin before it or around it."""
+    number = ((1 << 3 * levels) - 1) // 7 + window
+    while number and number not in firsts:
+        number = number - 1 if number - 1 & 7 else number - 1 >> 3  # the bin before it in the same parent, else the parent
+    return firsts.get(number, 0)
+
+
 class Reader(DataSourceReader):
     def __init__(self, options):
         self.paths = listed(options["path"], options.get("suffix", ".bam"))
@@ -372,9 +394,10 @@ class Reader(DataSourceReader):
         for path in self.paths:
             file = File(path)
             _, names, first = file.header()
-            system, inner = opened(path + ".bai")
-            if self.bounds.chroms is not None and system.get_file_info(inner).type == fs.FileType.File:
-                with system.open_input_file(inner) as stream:
+            system, inner = opened(path)
+            index = next((inner + x for x in (".csi", ".bai") if self.bounds.chroms is not None and system.get_file_info(inner + x).type == fs.FileType.File), None)
+            if index:
+                with system.open_input_file(index) as stream:
                     out += [Run(path, names, a, z, True, False) for a, z in parts_in(stream.read(), names, self.bounds)]
                 continue
             edges = [*range(first >> 16, file.size, self.bytes)]
@@ -432,9 +455,12 @@ def read(spark: SparkSession, path: str, **options) -> DataFrame:
 class Indexed(bgzf.File):
     """A file in the making, with bins and windows for each chromosome."""
 
+    levels = DEEP
+
     def __init__(self) -> None:
         super().__init__()
         self.refs: dict[int, tuple[dict, dict]] = {}
+        self.reach = 0
 
     def of(self, header: bytes, records: Iterable[tuple[int, int | None, int, bytes]]) -> Iterator[bytes]:
         def rows() -> Iterator[tuple[int | None, int, bytes]]:
@@ -442,24 +468,33 @@ class Indexed(bgzf.File):
             for ref, start, stop, data in records:
                 if start is not None:
                     self.bins, self.windows = self.refs.setdefault(ref, ({}, {}))
+                    self.reach = max(self.reach, stop)
                 yield start, stop, data
 
         return self.lines(rows())
 
-    def index(self, n_ref: int) -> bytes:
-        out = [INDEX, struct.pack("<i", n_ref)]
+    def index(self, n_ref: int) -> tuple[str, bytes]:
+        """(ending of its name, bytes): an index of bins and windows, or a deep one where records reach beyond that."""
+        deep = self.reach > MOST
+        out = [DEEP_INDEX + struct.pack("<iii", bgzf.SHIFT, DEEP, 0) if deep else INDEX, struct.pack("<i", n_ref)]
         for k in range(n_ref):
             bins, windows = self.refs.get(k, ({}, {}))
+            n, firsts = max(windows, default=-1) + 1, []
+            for w in range(n):
+                firsts.append(windows.get(w, firsts[-1] if firsts else 0))
             out.append(struct.pack("<i", len(bins)))
             for number, chunks in sorted(bins.items()):
-                out.append(struct.pack("<Ii", number, len(chunks)))
+                level = next(x for x in range(DEEP, -1, -1) if number >= ((1 << 3 * x) - 1) // 7)
+                place = number - ((1 << 3 * level) - 1) // 7
+                if deep:
+                    out.append(struct.pack("<IQi", number, firsts[place << 3 * (DEEP - level)], len(chunks)))
+                else:  # the same bin, a level higher up
+                    out.append(struct.pack("<Ii", ((1 << 3 * (level - 1)) - 1) // 7 + place, len(chunks)))
                 out += [struct.pack("<QQ", *c) for c in chunks]
-            n, before = max(windows, default=-1) + 1, 0
-            out.append(struct.pack("<i", n))
-            for w in range(n):
-                before = windows.get(w, before)
-                out.append(struct.pack("<Q", before))
-        return b"".join(out)
+            if not deep:
+                out.append(struct.pack(f"<i{n}Q", n, *firsts))
+        data = b"".join(out)
+        return (".csi", b"".join(bgzf.member(data[k : k + bgzf.MOST]) for k in range(0, len(data), bgzf.MOST)) + bgzf.END) if deep else (".bai", data)
 
 
 def headed(sizes: list[tuple[str, int]], comments: list[str]) -> bytes:
@@ -479,7 +514,7 @@ def write(reads: DataFrame, sizes: DataFrame, path: str, files: int | None = Non
         def records() -> Iterator[tuple[int, int | None, int, bytes]]:
             for batch in batches:
                 for row in zip(*(batch.column(c).to_pylist() for c in cols), strict=True):
-                    yield record_of(row, numbers)
+                    yield record_of(row, numbers, FARTHEST)
 
         some = records()
         first = next(some, None)
@@ -491,7 +526,8 @@ def write(reads: DataFrame, sizes: DataFrame, path: str, files: int | None = Non
 
             name, file = f"part-{TaskContext.get().partitionId():05d}.bam", Indexed()
             size = put(f"{path.rstrip('/')}/{name}", file.of(header, all_()))
-            put(f"{path.rstrip('/')}/{name}.bai", [file.index(len(listed_))])
+            ending, index = file.index(len(listed_))
+            put(f"{path.rstrip('/')}/{name}{ending}", [index])
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([size], pa.int64())], ["name", "size"])
 
     d = reads.select(*(F.col(c).cast(t).alias(c) for c, t in FIELDS))

@@ -51,20 +51,20 @@ def members(data: bytes, at: int = 0) -> Iterator[tuple[int, bytes]]:
         at += size
 
 
-def bin_of(start: int, stop: int) -> int:
+def bin_of(start: int, stop: int, levels: int = LEVELS) -> int:
     """The smallest bin that holds the positions start to stop - 1: 8 times finer on each of the levels below the whole."""
-    for level in range(LEVELS, 0, -1):
-        shift = SHIFT + 3 * (LEVELS - level)
+    for level in range(levels, 0, -1):
+        shift = SHIFT + 3 * (levels - level)
         if start >> shift == (stop - 1) >> shift:
             return ((1 << 3 * level) - 1) // 7 + (start >> shift)
     return 0
 
 
-def bins_over(start: int, stop: int) -> set[int]:
+def bins_over(start: int, stop: int, levels: int = LEVELS, finest: int = SHIFT) -> set[int]:
     """All bins that may hold rows within start to stop - 1."""
     out = {0}
-    for level in range(1, LEVELS + 1):
-        shift = SHIFT + 3 * (LEVELS - level)
+    for level in range(1, levels + 1):
+        shift = finest + 3 * (levels - level)
         first = ((1 << 3 * level) - 1) // 7
         out |= {*range(first + (start >> shift), first + ((stop - 1) >> shift) + 1)}
     return out
@@ -73,6 +73,8 @@ def bins_over(start: int, stop: int) -> set[int]:
 class File:
     """A file in the making: members out, and where each row stands."""
 
+    levels = LEVELS
+
     def __init__(self) -> None:
         self.held, self.size, self.place = [], 0, 0
         self.bins: dict[int, list[list[int]]] = {}
@@ -99,7 +101,7 @@ class File:
             if start is None:
                 continue
             end = self.place << 16 | self.size
-            chunks = self.bins.setdefault(bin_of(start, stop), [])
+            chunks = self.bins.setdefault(bin_of(start, stop, self.levels), [])
             if chunks and chunks[-1][1] == begin:
                 chunks[-1][1] = end
             else:
