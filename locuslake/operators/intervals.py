@@ -178,11 +178,18 @@ def window_summary(windows: DataFrame) -> DataFrame:
 
 
 def gc_fraction(windows: DataFrame, chunks: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """windows with the share of G and C among the bases of sequence chunks (chrom, start, stop, seq) that fall in them."""
-    hit = overlaps(windows.select("chrom", "start", "stop"), chunks, ["start", "stop", "seq"], bucket=bucket)
-    a = F.greatest("start", "b_start")
-    part = F.upper(F.substr("b_seq", (a - F.col("b_start") + 1).cast("int"), F.col("overlap").cast("int")))
-    sums = hit.withColumn("_gc", F.length(F.regexp_replace(part, "[^GC]", ""))).groupBy("chrom", "start", "stop").agg(F.sum("_gc").alias("_gc"), F.sum("overlap").alias("_n"))
+    """windows with the share of G and C among the bases of sequence chunks (chrom, start, stop, seq) that fall in them.
+
+    Each bucket takes its own piece of a sequence, so that no base is moved twice. Spark takes sequences to be short; the merge hint keeps it from broadcasting them.
+    """
+    first, last = F.greatest("start", F.col("_b") * bucket), F.least("stop", (F.col("_b") + 1) * bucket)
+    own = F.substr("seq", (first - F.col("start") + 1).cast("int"), (last - first).cast("int"))
+    pieces = _over_buckets(chunks.select("chrom", "start", "stop", "seq"), bucket).select("chrom", "_b", first.alias("_a"), last.alias("_z"), own.alias("_seq"))
+    hit = _over_buckets(windows.select("chrom", "start", "stop").distinct(), bucket).join(pieces.hint("merge"), ["chrom", "_b"]).where((F.col("_a") < F.col("stop")) & (F.col("start") < F.col("_z")))
+    a = F.greatest("start", "_a")
+    size = F.least("stop", "_z") - a
+    part = F.upper(F.substr("_seq", (a - F.col("_a") + 1).cast("int"), size.cast("int")))
+    sums = hit.withColumn("_gc", F.length(F.regexp_replace(part, "[^GC]", ""))).groupBy("chrom", "start", "stop").agg(F.sum("_gc").alias("_gc"), F.sum(size).alias("_n"))
     return windows.join(sums, ["chrom", "start", "stop"], "left").withColumn("gc", F.col("_gc") / F.col("_n")).drop("_gc", "_n")
 
 
