@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from locuslake.schema import sort_chroms
 
 BUCKET = 1 << 16
+LISTED = 1 << 14  # positions whose intervals may stand in one list
 
 
 def _over_buckets(intervals: DataFrame, bucket: int, start: str = "start", stop: str = "stop") -> DataFrame:
@@ -43,11 +44,17 @@ def points_in_intervals(points: DataFrame, intervals: DataFrame, keep: list[str]
 def first_interval(points: DataFrame, intervals: DataFrame, ref_id: str, key: list[str], pos: str = "pos0", bucket: int = BUCKET) -> DataFrame:
     """Each point with the id of the interval that holds it, null if none does; of several the one of smallest (start, stop, id).
 
-    `key` names a point; intervals may overlap.
+    `key` names a point; intervals may overlap. A point meets one list, that of its bucket, and takes the first of it that holds the point. An
+    interval within one before it is never first; without these a list has at most two intervals for each position of the bucket, however many overlap.
     """
-    hits = points_in_intervals(points.select("chrom", pos, *[k for k in key if k not in ("chrom", pos)]), intervals, ["start", "stop", ref_id], pos, "inner", bucket)
-    best = hits.groupBy(*key).agg(F.min(F.struct("start", "stop", ref_id))[ref_id].alias(ref_id))
-    return points.drop(ref_id).join(best, key, "left")
+    bucket = min(bucket, LISTED)
+    spread = _over_buckets(intervals.select("chrom", "start", "stop", ref_id), bucket)
+    before = W.partitionBy("chrom", "_b").orderBy("start", "stop", ref_id).rowsBetween(W.unboundedPreceding, -1)
+    steps = spread.withColumn("_reach", F.max("stop").over(before)).where(F.col("_reach").isNull() | (F.col("stop") > F.col("_reach")))
+    lists = steps.groupBy("chrom", "_b").agg(F.array_sort(F.collect_list(F.struct("start", "stop", ref_id))).alias("_list"))
+    d = points.drop(ref_id).withColumn("_b", F.floor(F.col(pos) / bucket)).join(lists, ["chrom", "_b"], "left")
+    first = F.get(F.filter("_list", lambda x: (x["start"] <= F.col(pos)) & (F.col(pos) < x["stop"])), F.lit(0))[ref_id]
+    return d.select(*key, *[c for c in points.columns if c not in (*key, ref_id)], first.alias(ref_id))
 
 
 def snp_to_region(points: DataFrame, regions: DataFrame, region_id: str = "region_id", bucket: int = BUCKET) -> tuple[DataFrame, DataFrame]:
