@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
@@ -20,13 +20,26 @@ from locuslake.functions.columns import outside_interval
 from locuslake.plans.tables import dropped, stored
 
 
+SLAB = 1 << 20  # positions whose rows a task may order
+
+
 def by_number(snps: DataFrame, group: list[str], order: list[str], size: int) -> DataFrame:
-    """With local_bin: runs of `size` rows of each group; what remains joins the last run."""
-    w = W.partitionBy(*group)
-    row = F.row_number().over(w.orderBy(*order)) - 1
-    n = F.count("*").over(w)
-    last = F.greatest(F.floor(n / size) - 1, F.lit(0))
-    return snps.withColumn("local_bin", F.least(F.floor(row / size), last).cast("long"))
+    """With local_bin: runs of `size` rows of each group; what remains joins the last run.
+
+    Rows are counted within slabs of the first of `order` (a position), and on over the slabs of a group, so that no task orders a whole group. `snps` is read twice.
+    """
+    slab = F.floor(F.col(order[0]) / SLAB)
+    d = snps.withColumn("_slab", slab)
+    keys = [*group, "_slab"]
+    sizes = d.groupBy(*keys).agg(F.count("*").alias("_c"))
+    before = W.partitionBy(*group).orderBy("_slab").rowsBetween(W.unboundedPreceding, -1)
+    sizes = sizes.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_ahead"), F.sum("_c").over(W.partitionBy(*group)).alias("_n"))  # a row for each slab
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_g{i}"))
+    row = F.col("_ahead") + F.row_number().over(W.partitionBy(*keys).orderBy(*order)) - 1
+    last = F.greatest(F.floor(F.col("_n") / size) - 1, F.lit(0))
+    return d.join(sizes, same).withColumn("local_bin", F.least(F.floor(row / size), last).cast("long")).select(*snps.columns, "local_bin")
 
 
 def fold(reads: np.ndarray, n_snps: np.ndarray, start: np.ndarray, stop: np.ndarray, least_reads: float, least_snps: int, most_span: int = 0) -> np.ndarray:
@@ -180,12 +193,14 @@ def by_reads(rows: DataFrame, group: list[str], order: list[str], samples: list[
     return jumps.join(entries, ["_key", "_q"]).repartition(2 * len(bounds), "_q").groupBy("_q").applyInPandas(mark, final)
 
 
-def numbered(binned: DataFrame, group: list[str], order: list[Column | str]) -> DataFrame:
+def numbered(binned: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     """With bin_id: local bins counted on over groups in the order of their first rows.
 
     The count runs within each value of the first of `order` (the chromosome), then over these values.
     """
-    per = binned.groupBy(*group).agg((F.max("local_bin") + 1).alias("_bins"), F.min(F.struct(*order)).alias("_first")).withColumn("_part", F.col("_first")[order[0]])
+    # the last of `order` by itself first: the least of a struct would sort every row
+    ends = binned.groupBy(*group, *[c for c in order[:-1] if c not in group]).agg(F.max("local_bin").alias("_most"), F.min(order[-1]).alias(order[-1]))
+    per = ends.groupBy(*group).agg((F.max("_most") + 1).alias("_bins"), F.min(F.struct(*order)).alias("_first")).withColumn("_part", F.col("_first")[order[0]])
     before = W.unboundedPreceding, -1
     parts = per.groupBy("_part").agg(F.sum("_bins").alias("_all")).select("_part", F.coalesce(F.sum("_all").over(W.orderBy("_part").rowsBetween(*before)), F.lit(0)).alias("_base"))
     inside = F.coalesce(F.sum("_bins").over(W.partitionBy("_part").orderBy("_first").rowsBetween(*before)), F.lit(0))
