@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 
 from locuslake.functions.columns import het_balanced
 from locuslake.operators.intervals import BUCKET, first_interval, points_in_intervals
+from locuslake.plans.tables import stored
 
 KEY = ["chrom", "pos0"]
 
@@ -30,7 +31,8 @@ def deep_enough(counts: DataFrame, n_samples: int, least: int = 1) -> DataFrame:
 
 def balanced(normal: DataFrame, gamma: float = 0.05) -> DataFrame:
     """SNPs of the normal sample whose reference share may be a half; each pair of counts that occurs is tested once."""
-    fair = normal.select("dp", "ad").distinct().where(het_balanced(F.col("dp") - F.col("ad"), F.col("ad"), gamma))
+    pairs = stored(normal.select("dp", "ad").distinct(), "pairs")  # else the test moves below the distinct rows, to every SNP
+    fair = pairs.where(het_balanced(F.col("dp") - F.col("ad"), F.col("ad"), gamma))
     return normal.join(fair, ["dp", "ad"], "left_semi").select(*KEY)
 
 
