@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,6 +119,21 @@ def likelihoods(bases: DataFrame, by: list[str], most: int = 60) -> DataFrame:
         total(right_, wrong_).alias("l0"), total(half, half).alias("l1"), total(wrong_, right_).alias("l2"))
 
 
+def frequencies(sizes: np.ndarray, l0: np.ndarray, l1: np.ndarray, l2: np.ndarray, rounds: int, least: float) -> np.ndarray:
+    """The alternative's frequency of each site by expectation and maximisation; a site has the next `sizes` of the likelihoods. A round adds a site's samples in their order."""
+    first = np.cumsum(sizes) - sizes
+    f = np.full(len(sizes), 0.5)
+    for _ in range(rounds):
+        total = np.zeros(len(sizes))
+        for j in range(int(sizes.max(initial=0))):
+            has = np.flatnonzero(sizes > j)
+            at, g = first[has] + j, f[has]
+            p1, p2 = 2 * g * (1 - g) * l1[at], g * g * l2[at]
+            total[has] += (p1 + 2 * p2) / (2 * ((1 - g) * (1 - g) * l0[at] + p1 + p2))
+        f = np.minimum(np.maximum(total / sizes, least), 1 - least)
+    return f
+
+
 def genotyped(scored: DataFrame, rounds: int = 20, least: float = 1e-4) -> DataFrame:
     """likelihoods() of samples with af, qual, gt, gq and pl: the alternative's frequency by expectation and maximisation over the site's samples, starting at a half.
 
@@ -132,13 +148,11 @@ def genotyped(scored: DataFrame, rounds: int = 20, least: float = 1e-4) -> DataF
     weighed = scored.select(*keys, F.struct(*[scale(F.col(c), top).alias(c) for c in ("l0", "l1", "l2")], F.struct(*rest).alias("row")).alias("_w"))
     site = weighed.groupBy(*keys).agg(F.sort_array(F.collect_list("_w")).alias("_ws"))
 
-    def share(f: Column, x: Column) -> Column:
-        p1, p2 = 2 * f * (1 - f) * x["l1"], f * f * x["l2"]
-        return (p1 + 2 * p2) / (2 * ((1 - f) * (1 - f) * x["l0"] + p1 + p2))
+    @F.arrow_udf("double")
+    def settled(l0: pa.Array, l1: pa.Array, l2: pa.Array) -> pa.Array:
+        return pa.array(frequencies(np.diff(l0.offsets.to_numpy()), *(x.flatten().to_numpy(zero_copy_only=False) for x in (l0, l1, l2)), rounds, least))
 
-    inside = lambda f: F.least(F.greatest(f, F.lit(least)), F.lit(1 - least))
-    step = lambda f, _: inside(F.aggregate("_ws", F.lit(0.0), lambda a, x: a + share(f, x)) / F.size("_ws"))
-    site = site.withColumn("af", F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.lit(0.5), step))
+    site = site.withColumn("af", settled("_ws.l0", "_ws.l1", "_ws.l2"))
     f = F.col("af")
     none = lambda x: (1 - f) * (1 - f) * x["l0"] / ((1 - f) * (1 - f) * x["l0"] + 2 * f * (1 - f) * x["l1"] + f * f * x["l2"])
     phred = lambda p: F.round(F.least(F.greatest(-10 * p, F.lit(0.0)), F.lit(999.0)), 2)
