@@ -89,19 +89,26 @@ def reference_bias(df: DataFrame, ref: str = "ref", total: str = "dp") -> DataFr
     return df.agg(F.min(x).alias("least"), F.max(x).alias("most"), F.median(x).alias("middle"), F.avg(x).alias("mean"))
 
 
-def pileup(reads: DataFrame, min_count: int = 0, min_maf: float = 0.0) -> DataFrame:
+def pileup(reads: DataFrame, min_count: int = 0, min_maf: float = 0.0, part_rows: int = 250_000) -> DataFrame:
     """(chrom, pos0, barcode, dp, ad, oth) from reads at sites (chrom, pos0, barcode, umi, base, ref, alt); a molecule counts once for each base.
 
     Sites stay whose reads over all barcodes are `min_count` or more and whose rarer allele has a share of `min_maf` or more.
+    Rows are dealt out before they are summed, in parts of about `part_rows`, so that a task holds as much whatever the number of reads; `reads` is read twice.
     """
-    one = reads.dropDuplicates(["chrom", "pos0", "barcode", "umi", "base"])
-    base = F.col("base")
-    per = one.groupBy("chrom", "pos0", "barcode").agg(F.count_if((base == F.col("ref")) | (base == F.col("alt"))).alias("dp"), F.count_if(base == F.col("alt")).alias("ad"), F.count_if((base != F.col("ref")) & (base != F.col("alt"))).alias("oth"))
+    parts = max(1, -(-reads.count() // part_rows))
+    base, ref, alt = F.col("base"), F.col("ref"), F.col("alt")
+    # of the reference 0, of the alternative 1, of neither 2: a number, so that sums need no sort
+    kind = F.when((base == ref) | (base == alt), F.when(base == alt, 1).otherwise(0)).when((base != ref) & (base != alt), 2)
+    dealt = reads.select("chrom", "pos0", "barcode", "umi", "base", kind.alias("_kind")).repartition(parts, "chrom", "pos0", "barcode")
+    one = dealt.groupBy("chrom", "pos0", "barcode", "umi", "base").agg(F.min("_kind").alias("_kind"))
+    k = F.col("_kind")
+    per = one.groupBy("chrom", "pos0", "barcode").agg(F.count_if(k < 2).alias("dp"), F.count_if(k == 1).alias("ad"), F.count_if(k == 2).alias("oth"))
     if min_count <= 0 and min_maf <= 0:
         return per
-    site = per.groupBy("chrom", "pos0").agg(F.sum("dp").alias("_d"), F.sum("ad").alias("_a"), F.sum("oth").alias("_o"))
-    rare = F.coalesce(ratio(F.least(F.col("_a"), F.col("_d") - F.col("_a")), F.col("_d")), F.lit(0.0))
-    return per.join(site.where((F.col("_d") + F.col("_o") >= min_count) & (rare >= min_maf)).select("chrom", "pos0"), ["chrom", "pos0"], "left_semi")
+    site = W.partitionBy("chrom", "pos0")
+    sums = per.repartition(parts, "chrom", "pos0").withColumns({f"_{c}": F.sum(c).over(site) for c in ("dp", "ad", "oth")})  # a row for each barcode of a site
+    rare = F.coalesce(ratio(F.least(F.col("_ad"), F.col("_dp") - F.col("_ad")), F.col("_dp")), F.lit(0.0))
+    return sums.where(F.col("chrom").isNotNull() & F.col("pos0").isNotNull() & (F.col("_dp") + F.col("_oth") >= min_count) & (rare >= min_maf)).select(*per.columns)
 
 
 def barcodes_of(lists: dict[str, DataFrame]) -> DataFrame:
