@@ -17,10 +17,16 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from locuslake.functions.columns import outside_interval
-from locuslake.plans.tables import dropped, stored
+from locuslake.plans import tables
+from locuslake.plans.tables import dropped
 
 
 SLAB = 1 << 20  # positions whose rows a task may order
+PART = 50_000  # rows of a part, and of a file between the steps
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    return tables.stored(df, name, PART)
 
 
 def by_number(snps: DataFrame, group: list[str], order: list[str], size: int) -> DataFrame:
@@ -89,11 +95,12 @@ def next_starts(reads: np.ndarray, n_snps: np.ndarray, start: np.ndarray, stop:
     return np.where(enough < n - 1, enough + 1, (np.where(enough == n - 1, COMPLETE, OPEN)) if ends else UNKNOWN)
 
 
-def by_reads(rows: DataFrame, group: list[str], order: list[str], samples: list[str], least_reads: float, least_snps: int, most_span: int = 0, part_rows: int = 50_000, halo: int = 5_000, small: int = 1_000_000) -> DataFrame:
+def by_reads(rows: DataFrame, group: list[str], order: list[str], samples: list[str], least_reads: float, least_snps: int, most_span: int = 0, part_rows: int = PART, halo: int = 5_000, small: int = 1_000_000) -> DataFrame:
     """rows (with n_snps, start, stop and a column of whole-numbered reads for each sample) with local_bin, as `fold` has it.
 
     A part is `part_rows` rows in the order of groups, and sees `halo` rows more; where a bin would reach beyond these, more are
     taken until none does. Rows that tie in `order` stand in any order. Up to `small` rows in all, which any task can hold, each group is folded as it is.
+    Tables between the steps are stored in files of PART rows, so that a task that deals them out takes few parts at once.
     """
     spark = rows.sparkSession
     base = stored(rows.withColumn("_key", F.to_json(F.struct(*[F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(group)]))), "rows")
@@ -116,7 +123,7 @@ def by_reads(rows: DataFrame, group: list[str], order: list[str], samples: list[
         at += r["count"]
     if not bounds:
         return rows.withColumn("local_bin", F.lit(0).cast("long"))
-    schema = T.StructType([*rows.schema.fields, *T._parse_datatype_string("_key string, _q int, _g long, _next long, _exit long, _steps long, _head boolean").fields])
+    schema = T.StructType([*rows.schema.fields, *T._parse_datatype_string("_key string, _q int, _g long, _next long, _exit long, _steps long, _head boolean, _door boolean").fields])
 
     def hops(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_g", kind="stable").reset_index(drop=True)
@@ -137,7 +144,8 @@ def by_reads(rows: DataFrame, group: list[str], order: list[str], samples: list[
         for i in range(len(own) - 1, -1, -1):  # a pointer leads to a later row
             if lo <= (t := out[i]) < hi:
                 out[i], steps[i] = out[t - lo], 1 + steps[t - lo]
-        pdf = pdf.iloc[own].assign(_next=follows, _exit=out, _steps=steps, _head=head[own])
+        # a pointer out of a part before leads at most `halo` rows into this one
+        pdf = pdf.iloc[own].assign(_next=follows, _exit=out, _steps=steps, _head=head[own], _door=head[own] | (g[own] < lo + halo))
         return pdf[schema.names]
 
     while True:
@@ -153,7 +161,7 @@ def by_reads(rows: DataFrame, group: list[str], order: list[str], samples: list[
         dropped(jumps)
         halo *= 4
     entered = jumps.where("_head").select("_g").unionByName(jumps.where("_exit >= 0").select(F.col("_exit").alias("_g"))).distinct()
-    nodes = jumps.select("_key", "_q", "_g", "_exit", "_steps", "_head").join(entered, "_g")
+    nodes = jumps.where("_door").select("_key", "_q", "_g", "_exit", "_steps", "_head").join(entered, "_g")
     segments = jumps.select("_key", "_q").distinct().select("_key", "_q", F.lit(-1).cast("long").alias("_g"), F.lit(OPEN).cast("long").alias("_exit"), F.lit(0).cast("long").alias("_steps"), F.lit(False).alias("_head"))
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -175,8 +183,8 @@ def by_reads(rows: DataFrame, group: list[str], order: list[str], samples: list[
     entries = nodes.unionByName(segments, True).groupBy("_key").applyInPandas(walk, "_key string, _q int, _entry long, _before long, _fin long")
     final = T.StructType([*rows.schema.fields, T.StructField("local_bin", T.LongType())])
 
-    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_g", kind="stable").reset_index(drop=True)
+    def mark(pdf: pd.DataFrame, begun: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.merge(begun.drop(columns="_q"), on="_key").sort_values("_g", kind="stable").reset_index(drop=True)
         g, entry, before = (pdf[c].to_numpy() for c in ("_g", "_entry", "_before"))
         follows, low, high = pdf["_next"].tolist(), int(g[0]), int(g[-1])
         key = pdf["_key"].to_numpy()
@@ -190,7 +198,8 @@ def by_reads(rows: DataFrame, group: list[str], order: list[str], samples: list[
                 at, number = t, number + 1
         return pdf.assign(local_bin=np.minimum(np.maximum(bins, 0), pdf["_fin"].to_numpy()))[final.names]
 
-    return jumps.join(entries, ["_key", "_q"]).repartition(2 * len(bounds), "_q").groupBy("_q").applyInPandas(mark, final)
+    by_part = [d.repartition(2 * len(bounds), "_q").groupBy("_q") for d in (jumps.select(*rows.columns, "_key", "_q", "_g", "_next"), entries)]
+    return by_part[0].cogroup(by_part[1]).applyInPandas(mark, final)
 
 
 def numbered(binned: DataFrame, group: list[str], order: list[str]) -> DataFrame:

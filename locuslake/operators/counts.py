@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from locuslake.functions.columns import b_allele, ratio
-from locuslake.plans.tables import stored
+from locuslake.plans.tables import parts, stored
 
 KEY = ["chrom", "pos0"]
 
@@ -95,18 +95,18 @@ def pileup(reads: DataFrame, min_count: int = 0, min_maf: float = 0.0, part_rows
     Sites stay whose reads over all barcodes are `min_count` or more and whose rarer allele has a share of `min_maf` or more.
     Rows are dealt out before they are summed, in parts of about `part_rows`, so that a task holds as much whatever the number of reads; `reads` is read twice.
     """
-    parts = max(1, -(-reads.count() // part_rows))
+    n = parts(reads, part_rows)
     base, ref, alt = F.col("base"), F.col("ref"), F.col("alt")
     # of the reference 0, of the alternative 1, of neither 2: a number, so that sums need no sort
     kind = F.when((base == ref) | (base == alt), F.when(base == alt, 1).otherwise(0)).when((base != ref) & (base != alt), 2)
-    dealt = reads.select("chrom", "pos0", "barcode", "umi", "base", kind.alias("_kind")).repartition(parts, "chrom", "pos0", "barcode")
+    dealt = reads.select("chrom", "pos0", "barcode", "umi", "base", kind.alias("_kind")).repartition(n, "chrom", "pos0", "barcode")
     one = dealt.groupBy("chrom", "pos0", "barcode", "umi", "base").agg(F.min("_kind").alias("_kind"))
     k = F.col("_kind")
     per = one.groupBy("chrom", "pos0", "barcode").agg(F.count_if(k < 2).alias("dp"), F.count_if(k == 1).alias("ad"), F.count_if(k == 2).alias("oth"))
     if min_count <= 0 and min_maf <= 0:
         return per
     site = W.partitionBy("chrom", "pos0")
-    sums = per.repartition(parts, "chrom", "pos0").withColumns({f"_{c}": F.sum(c).over(site) for c in ("dp", "ad", "oth")})  # a row for each barcode of a site
+    sums = per.repartition(n, "chrom", "pos0").withColumns({f"_{c}": F.sum(c).over(site) for c in ("dp", "ad", "oth")})  # a row for each barcode of a site
     rare = F.coalesce(ratio(F.least(F.col("_ad"), F.col("_dp") - F.col("_ad")), F.col("_dp")), F.lit(0.0))
     return sums.where(F.col("chrom").isNotNull() & F.col("pos0").isNotNull() & (F.col("_dp") + F.col("_oth") >= min_count) & (rare >= min_maf)).select(*per.columns)
 

@@ -547,7 +547,7 @@ FOLD = """recursive with r as (select chrom, chrom_ord, pos0, {reads} as reads,
 @query("snp", FOLD.format(reads="dp", src="snp", stop="pos0 + 1", rstop="r.pos0 + 1", full="(w.acc >= 1000 and w.k >= 10)", lastfull="(acc >= 1000 and k >= 10)").rstrip(",") + """
     select w.chrom, w.pos0, least(w.b, z.fin) as local_bin from w join z using (chrom)""")
 def adaptive_bins(snp):
-    d = snp.withColumns({"n_snps": F.lit(1).cast("long"), "start": F.col("pos0"), "stop": F.col("pos0") + 1})
+    d = snp.select("chrom", "pos0", "dp").withColumns({"n_snps": F.lit(1).cast("long"), "start": F.col("pos0"), "stop": F.col("pos0") + 1})
     return binning.by_reads(d, ["chrom"], ["pos0"], ["dp"], 1000, 10).select("chrom", "pos0", "local_bin")
 
 

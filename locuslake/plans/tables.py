@@ -46,10 +46,13 @@ def swept() -> int:
     return n
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet and read again: what follows starts from the files and repeats nothing."""
+def stored(df: DataFrame, name: str, most: int = 0) -> DataFrame:
+    """df written as Parquet and read again: what follows starts from the files and repeats nothing.
+
+    With `most`, no file has more rows. Spark counts a small file as 4 MB when it fills a task's 128 MB, so that a task then reads about 32 of them at most.
+    """
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", most).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -59,3 +62,8 @@ def dropped(*tables: DataFrame) -> None:
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             if "/locuslake-files/" in folder:
                 _deleted(df.sparkSession, folder)
+
+
+def parts(df: DataFrame, part_rows: int = 250_000) -> int:
+    """Of how many parts of about `part_rows` rows df consists; it is read for that."""
+    return max(1, -(-df.count() // part_rows))

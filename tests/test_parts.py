@@ -3,7 +3,13 @@
 import random
 from collections import Counter
 
-from locuslake.operators import counts
+import pytest
+from pyspark.sql import functions as F
+
+from locuslake.operators import binning, counts
+from locuslake.plans import fixtures, tables
+
+D = "/root/testdata/sf0.001"
 
 
 def _reads(n, seed):
@@ -40,3 +46,32 @@ def test_pileup_in_parts_equals_a_plain_loop(spark):
         assert got == {k: (n["dp"], n["ad"], n["oth"]) for k, n in per.items() if k[:2] in kept}
         assert counts.pileup(d, part_rows=part_rows).count() == len(per)
     assert counts.pileup(d.where("false"), 1, 0.1).count() == 0
+
+
+def test_snps_are_dealt_before_they_are_summed(spark):
+    plain, said = fixtures.role(spark, D, "snp"), fixtures.stated(spark, D, "snp")
+    assert plain.dtypes == said.dtypes
+    assert plain.exceptAll(said).isEmpty() and said.exceptAll(plain).isEmpty() and plain.count() == said.count()
+    plan = plain._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("HashAggregate") < plan.rindex("Exchange "), plan
+
+
+@pytest.mark.parametrize("most", [100, 1000])
+def test_stored_files_have_bounded_rows(spark, most):
+    d = tables.stored(spark.range(0, 2500, 1, 2), "numbers", most)
+    sizes = [r["count"] for r in d.selectExpr("_metadata.file_path as f").groupBy("f").count().collect()]
+    assert sum(sizes) == 2500 and max(sizes) <= most
+
+
+def test_bins_are_marked_without_a_join_of_all_rows(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(binning, "PART", 300)
+    monkeypatch.setattr(binning, "stored", lambda x, name, f=binning.stored: kept.setdefault(name, f(x, name)))
+    d = spark.range(0, 2000).selectExpr("concat('g', id % 2) as grp", "id * 10 as start", "id * 10 + 10 as stop", "1L as n_snps", "id % 7 as s1")
+    out = binning.by_reads(d, ["grp"], ["start"], ["s1"], 30, 5, 0, 300, 30, 0)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lstrip().startswith("FlatMapCoGroupsInPandas"), plan
+    jumps = kept["jumps"]
+    assert max(r["count"] for r in jumps.groupBy(F.col("_metadata.file_path")).count().collect()) <= 300
+    assert 0 < jumps.where("_door").count() < jumps.count() / 2  # where a walk may enter a part
+    assert out.count() == 2000
