@@ -3,7 +3,8 @@
 Spark's own `percentile` keeps every distinct value of a group in one task. Here a sketch of fixed size brackets each
 quantile between two values whose ranks are sure to lie below and above it. A second pass counts what lies below the bracket and the
 distinct values inside it, a share of about six over `accuracy` of the group. The value of the wanted rank is read off
-their running counts, with linear interpolation between two neighbours. Both passes combine before the shuffle.
+their running counts, with linear interpolation between two neighbours. Both passes combine before the shuffle; the brackets are
+stored between them, worked out at once.
 
 Defined cases: nulls and NaN take no part; a group without values gives null; infinite values take part; ties, however many, are
 one distinct value; an empty table gives no rows.
@@ -15,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from locuslake.plans.tables import stored
+
 ACCURACY = 1_000
 SMALL = 1_000_000
 
@@ -42,14 +45,19 @@ def quantiles(d: DataFrame, by: list[str], wanted: dict[str, tuple[str | Column,
         hi = F.when(many, at[1]).otherwise(float("inf")) if high < 1 else F.lit(float("inf"))
         sketches.append(F.struct(F.count(f"_v{i}").alias("n"), lo.alias("lo"), hi.alias("hi")).alias(f"_s{i}"))
     brackets = narrow.groupBy(*keys).agg(*sketches).select(*[F.col(k).alias(f"_b{k}") for k in keys], *[f"_s{i}" for i in range(len(names))])
+    if keys:
+        brackets = stored(brackets, "brackets")  # Spark then knows how small they are: rows of few groups need not meet in a task for each group
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_b{k}"))
     met = narrow.join(brackets, same) if keys else narrow.crossJoin(F.broadcast(brackets))  # one row
-    # a value inside its bracket counts by itself, one below it as null
-    part = [F.when(F.col(f"_v{i}") <= F.col(f"_s{i}.hi"), F.struct(F.lit(i).alias("i"), F.col(f"_s{i}.n").alias("n"), F.when(F.col(f"_v{i}") >= F.col(f"_s{i}.lo"), F.col(f"_v{i}")).alias("v"))) for i in range(len(names))]
+    # a value inside its bracket counts by itself, one below it as null; rows that are alike in that are counted first, most of them lie in no bracket
+    side = [F.when(F.col(f"_v{i}") < F.col(f"_s{i}.lo"), 0).when(F.col(f"_v{i}") <= F.col(f"_s{i}.hi"), 1).otherwise(2) for i in range(len(names))]
+    alike = met.groupBy(*keys, *[x.alias(f"_t{i}") for i, x in enumerate(side)], *[F.when(x == 1, F.col(f"_v{i}")).alias(f"_w{i}") for i, x in enumerate(side)])
+    alike = alike.agg(F.count("*").alias("_c"), *[F.max(f"_s{i}.n").alias(f"_n{i}") for i in range(len(names))])
+    part = [F.when(F.col(f"_t{i}") < 2, F.struct(F.lit(i).alias("i"), F.col(f"_n{i}").alias("n"), F.col(f"_w{i}").alias("v"))) for i in range(len(names))]
     part.append(F.struct(F.lit(-1).alias("i"), F.lit(0).cast("long").alias("n"), F.lit(None).cast("double").alias("v")))  # every group is there, with values or without
-    counted = met.select(*keys, F.explode(F.filter(F.array(*part), lambda x: x.isNotNull())).alias("p")).groupBy(*keys, "p.i", "p.n", "p.v").agg(F.count("*").alias("c"))
+    counted = alike.select(*keys, "_c", F.explode(F.filter(F.array(*part), lambda x: x.isNotNull())).alias("p")).groupBy(*keys, "p.i", "p.n", "p.v").agg(F.sum("_c").alias("c"))
     running = counted.withColumn("upto", F.sum("c").over(W.partitionBy(*keys, "i").orderBy(F.col("v").asc_nulls_first()).rowsBetween(W.unboundedPreceding, 0)))
     share = F.get(F.array(*[F.lit(float(s)) for _, s in wanted.values()]), F.col("i"))
     place = (F.col("n") - 1) * share

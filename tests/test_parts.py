@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from locuslake.operators import binning, counts
+from locuslake.operators.quantiles import quantiles
 from locuslake.plans import fixtures, tables
 
 D = "/root/testdata/sf0.001"
@@ -75,3 +76,11 @@ def test_bins_are_marked_without_a_join_of_all_rows(spark, monkeypatch):
     assert max(r["count"] for r in jumps.groupBy(F.col("_metadata.file_path")).count().collect()) <= 300
     assert 0 < jumps.where("_door").count() < jumps.count() / 2  # where a walk may enter a part
     assert out.count() == 2000
+
+
+def test_quantiles_do_not_deal_rows_by_group(spark):
+    d = spark.range(0, 20_000, 1, 6).selectExpr("id % 2 as g", "cast(xxhash64(id) as double) as x")
+    out = quantiles(d, ["g"], {"m": ("x", 0.5)}, 1000)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan, plan
+    assert {r["g"]: r["m"] for r in out.collect()} == {r["g"]: r["m"] for r in d.groupBy("g").agg(F.median("x").alias("m")).collect()}
