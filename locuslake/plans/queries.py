@@ -757,12 +757,12 @@ def read_backed_phase(obs):
 
 
 def _aligned(alignment, size):
-    """The alignments as indexed binary files, with barcode and sample as tags, read back by what is returned."""
+    """The alignments as indexed binary files, with barcode and sample as tags, read back by what is returned; and how the files lay out positions."""
     path = scratch(alignment.sparkSession, "bam")
     tags = F.filter(F.array(F.concat(F.lit("CB:Z:"), "barcode"), F.concat(F.lit("RG:Z:"), "sample_id"), F.concat(F.lit("NM:i:"), F.col("kind").cast("string"))), lambda t: t.isNotNull())
     empty = {c: F.lit(None) for c in ("next_chrom", "next_pos0", "length")}
-    bam.write(alignment.withColumns({"tags": tags, **empty}), size, path)
-    return bam.read(alignment.sparkSession, path)
+    held = bam.write(alignment.withColumns({"tags": tags, **empty}), size, path)
+    return bam.read(alignment.sparkSession, path), held
 
 
 def _fields(reads):
@@ -771,12 +771,12 @@ def _fields(reads):
 
 @query("alignment size", "select name, flag, chrom, pos0, mapq, cigar, seq, qual, barcode, sample_id from alignment")
 def read_alignments(alignment, size):
-    return _fields(_aligned(alignment, size))
+    return _fields(_aligned(alignment, size)[0])
 
 
 @query("alignment size", "select name, flag, chrom, pos0, mapq, cigar, seq, qual, barcode, sample_id from alignment where chrom in ('chr3', 'chr14') and pos0 between 20000 and 700000")
 def alignments_in_range(alignment, size):
-    return _fields(_aligned(alignment, size).where("chrom in ('chr3', 'chr14') and pos0 between 20000 and 700000"))
+    return _fields(_aligned(alignment, size)[0].where("chrom in ('chr3', 'chr14') and pos0 between 20000 and 700000"))
 
 
 TARGETS = """t as (select 'B' || (start % 300)::varchar as src, max_by(brand, struct_pack(start := start, gene_id := gene_id)) as tgt from gene group by 1)"""
@@ -789,9 +789,10 @@ def _targets(gene):
 @query("alignment size gene", f"with {TARGETS} select name, flag, chrom, pos0, seq, tgt as barcode, sample_id from alignment join t on barcode = src")
 def rebarcoded_alignments(alignment, size, gene):
     """Read, given the barcodes of their targets, written and read again."""
-    new = alignments.rebarcoded(_aligned(alignment, size), _targets(gene))
+    reads, held = _aligned(alignment, size)
+    new = alignments.rebarcoded(reads, _targets(gene))
     path = scratch(new.sparkSession, "bam")
-    bam.write(new, size, path)
+    bam.write(new, size, path, held=held)
     return _fields(bam.read(new.sparkSession, path)).select("name", "flag", "chrom", "pos0", "seq", "barcode", "sample_id")
 
 

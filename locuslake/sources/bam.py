@@ -6,12 +6,14 @@ the next task looks for it elsewhere: a cut never gives other rows than a whole
 the file (.csi or .bai), where there is one, and only the parts that it names.
 
 The writer makes a file of each range of (chromosome, position, name), each headed and indexed like a whole one: by .bai, or by .csi where its records
-reach beyond the 2^29 positions that a .bai can hold.
+reach beyond the 2^29 positions that a .bai can hold. A record holds positions up to 2^31 - 2; a chromosome that goes on beyond is several references, as it is usual with
+such genomes: itself, and one for each further 2^31 - 1 positions that hold something, whose line in the header says of which chromosome it is and at which position it begins
+(``of:chr3``, ``at:2147483647``). The reader gives chromosomes and positions as they were, and takes filters so; other programs see the parts.
 
 A row holds the fields of the text form: positions count from 0, tags are their text (``CB:Z:AC-1``), missing fields are null.
 
 Defined cases: a file without records has no rows; reads without a place are null in chrom and pos0 and written last; whole tags are written in the smallest form that holds
-them; positions go up to what a record can hold (2^31 - 2), one beyond is an error; bytes of tags that are not UTF-8 are read as the mark of replacement; more than 65,535 steps of a cigar stand in the tag that the format has for them; a base that the format does not know is N; qualities of another length than the bases are an
+them; a place beyond 2^31 - 2 without a chromosome is an error; bytes of tags that are not UTF-8 are read as the mark of replacement; more than 65,535 steps of a cigar stand in the tag that the format has for them; a base that the format does not know is N; qualities of another length than the bases are an
 error; a null or empty name is ``*``; a record or member that is cut short is an error; a chromosome that is not among the sizes is an error when it is written.
 """
 
@@ -21,6 +23,7 @@ import re
 import struct
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +43,8 @@ STEPS = "MIDNSHP=X"
 BASES = "=ACMGRSVTWYHKDBN"
 MOST = 1 << 29  # of positions in an index of bins and windows
 FARTHEST, DEEP = (1 << 31) - 1, 6  # of positions in a record, and the levels of bins that hold them
+SHORT, KEPT = 64, 1 << 14  # letters of a tag or cigar that a task keeps once it is packed, and how many of them
+FILE_ROWS = 1_000_000  # about as many in a file, where there are more than a file for each core would hold
 WHOLE = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I"}
 SCHEMA = "name string, flag int, chrom string, pos0 long, mapq int, cigar string, next_chrom string, next_pos0 long, length long, seq string, qual string, tags array<string>"
 ARROW = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "array<string>": pa.list_(pa.string())}
@@ -122,7 +127,17 @@ def span_of(steps: Iterable[int]) -> int:
     return sum(x >> 4 for x in steps if x & 15 in (0, 2, 3, 7, 8))
 
 
-def row_of(record: bytes, names: list[str]) -> tuple:
+def packed_steps(cigar: str | None) -> tuple[int, int, bytes]:
+    """(number of steps, span, bytes) of a cigar."""
+    steps = steps_of(cigar)
+    return len(steps), span_of(steps), struct.pack(f"<{len(steps)}I", *steps)
+
+
+_kept_tag, _kept_steps = lru_cache(KEPT)(packed_tag), lru_cache(KEPT)(packed_steps)
+
+
+def row_of(record: bytes, names: list[str], starts: list[int] | None = None) -> tuple:
+    """The row of a record; names and starts are the chromosome and the first position of each reference."""
     ref, pos, l_name, mapq, _, n_steps, flag, n, ref2, pos2, length = FIXED.unpack_from(record)
     at = FIXED.size + l_name
     name = record[FIXED.size : at - 1].decode("latin-1")
@@ -138,6 +153,8 @@ def row_of(record: bytes, names: list[str]) -> tuple:
         if held:
             steps, tags = [int(x) for x in held[0][7:].split(",")], [t for t in tags if t is not held[0]]
     cigar = "".join(f"{x >> 4}{STEPS[x & 15]}" for x in steps)
+    if starts:
+        pos, pos2 = pos + starts[ref] * (ref >= 0 <= pos), pos2 + starts[ref2] * (ref2 >= 0 <= pos2)
     return (
         name, flag, names[ref] if ref >= 0 else None, pos if pos >= 0 else None, mapq, cigar or None, names[ref2] if ref2 >= 0 else None, pos2 if pos2 >= 0 else None,
         length, seq or None, qual.translate(UP).decode("latin-1") if n and qual[0] != 255 else None, tags,
@@ -147,23 +164,24 @@ def row_of(record: bytes, names: list[str]) -> tuple:
 def record_of(row: tuple, numbers: dict[str, int], most: int = MOST) -> tuple[int, int | None, int, bytes]:
     """(number of its chromosome, start or None, stop, bytes) of a row in the order of SCHEMA, which begins before position `most`."""
     name, flag, chrom, pos0, mapq, cigar, chrom2, pos2, length, seq, qual, tags = row
-    steps, tags, n = steps_of(cigar), b"".join(map(packed_tag, tags or [])), len(seq or "")
+    n_steps, span, steps = (_kept_steps if len(cigar or "") < SHORT else packed_steps)(cigar)
+    tags, n = b"".join([_kept_tag(t) if len(t) < SHORT else packed_tag(t) for t in tags or []]), len(seq or "")
     pos = -1 if pos0 is None else pos0
     if not -1 <= pos < most:
         raise ValueError(f"{name} begins beyond position {most}")
-    stop = pos + max(1, span_of(steps))
-    if len(steps) > 65535:
-        tags += b"CGBI" + struct.pack(f"<i{len(steps)}I", len(steps), *steps)
-        steps = [n << 4 | 4, span_of(steps) << 4 | 3]
+    stop = pos + max(1, span)
+    if n_steps > 65535:
+        tags += b"CGBI" + struct.pack("<i", n_steps) + steps
+        n_steps, steps = 2, struct.pack("<2I", n << 4 | 4, span << 4 | 3)
     if seq and qual is not None and len(qual) != n:
         raise ValueError(f"{name} has {n} bases and {len(qual)} qualities")
     lead = (name or "*").encode("latin-1", "replace")[:254] + b"\0"
-    body = struct.pack(f"<{len(steps)}I", *steps)
+    body = steps
     if seq:
         body += bytes.fromhex(seq.translate(TO_DIGIT) + "0" * (n & 1)) + (b"\xff" * n if qual is None else qual.encode("latin-1").translate(DOWN))
     ref = -1 if chrom is None else numbers[chrom]
     bin_ = 4680 if pos < 0 else bgzf.bin_of(pos, stop) if stop <= MOST else 0  # a deep index has no use for it
-    fixed = FIXED.pack(ref, pos, len(lead), mapq or 0, bin_, len(steps), flag or 0, n, -1 if chrom2 is None else numbers[chrom2], -1 if pos2 is None else pos2, length or 0)
+    fixed = FIXED.pack(ref, pos, len(lead), mapq or 0, bin_, n_steps, flag or 0, n, -1 if chrom2 is None else numbers[chrom2], -1 if pos2 is None else pos2, length or 0)
     out = fixed + lead + body + tags
     return ref, pos if ref >= 0 and pos >= 0 else None, stop, struct.pack("<i", len(out)) + out
 
@@ -188,6 +206,17 @@ def texts(stream: pa.NativeFile, at: int, size: int, piece: int = 1 << 20) -> It
         at += n
 
 
+def origins(text: str, names: list[str]) -> tuple[list[str], list[int]]:
+    """The chromosome and the first position of each reference: what the header says of parts of a chromosome, else itself and 0."""
+    held = {}
+    for line in text.split("\n"):
+        if line.startswith("@SQ\t") and "\tof:" in line and "\tat:" in line:
+            f = dict(x.split(":", 1) for x in line.split("\t")[1:] if ":" in x)
+            if f["of"] in names and f["of"] != f.get("SN") and f["at"].isdecimal() and int(f["at"]) % FARTHEST == 0:  # others may mean other things by these letters
+                held[f.get("SN")] = (f["of"], int(f["at"]))
+    return [held.get(n, (n, 0))[0] for n in names], [held.get(n, (n, 0))[1] for n in names]
+
+
 class File:
     """A file's names, and where its first record stands."""
 
@@ -307,7 +336,8 @@ def _chained(data: bytes, u: int, n_ref: int, whole: bool) -> bool:
 @dataclass
 class Run(InputPartition):
     path: str
-    names: list[str]
+    names: list[str]  # of the chromosome of each reference
+    starts: list[int]  # its first position
     begin: int  # a place if exact, else a byte to look from
     stop: int
     exact: bool
@@ -318,11 +348,11 @@ class Run(InputPartition):
 class Bounds:
     chroms: frozenset[str] | None = None
     least: int = 0
-    below: int = FARTHEST
+    below: int = 1 << 63
 
 
-def parts_in(index: bytes, names: list[str], bounds: Bounds) -> list[tuple[int, int]]:
-    """The parts of a file, as (begin, stop) places, that may hold records within the bounds, merged."""
+def parts_in(index: bytes, names: list[str], starts: list[int], bounds: Bounds) -> list[tuple[int, int]]:
+    """The parts of a file, as (begin, stop) places, that may hold records within the bounds, merged; names and starts as in Run."""
     if index[:2] == b"\x1f\x8b":
         index = b"".join(text for _, text in bgzf.members(index))
     deep = index[:4] == DEEP_INDEX
@@ -331,10 +361,13 @@ def parts_in(index: bytes, names: list[str], bounds: Bounds) -> list[tuple[int,
     finest, levels, more = struct.unpack_from("<iii", index, 4) if deep else (bgzf.SHIFT, bgzf.LEVELS, 0)
     at, out = 16 + more if deep else 4, []
     (n_ref,), at = struct.unpack_from("<i", index, at), at + 4
-    below = min(bounds.below, 1 << finest + 3 * levels)
-    wanted = bgzf.bins_over(bounds.least, below, levels, finest) if bounds.least < below else set()
+    bins: dict[int, set[int]] = {}  # that are wanted of a reference, by its first position
+    for start in {s for name, s in zip(names, starts, strict=True) if name in bounds.chroms}:
+        least, below = max(bounds.least - start, 0), min(bounds.below - start, FARTHEST, 1 << finest + 3 * levels)
+        bins[start] = bgzf.bins_over(least, below, levels, finest) if least < below else set()
     for k in range(n_ref):
         (n_bin,), at, some, firsts = struct.unpack_from("<i", index, at), at + 4, [], {}
+        wanted, first = bins[starts[k]] if names[k] in bounds.chroms else (), max(bounds.least - starts[k], 0)
         for _ in range(n_bin):
             (number,), at = struct.unpack_from("<I", index, at), at + 4
             if deep:
@@ -344,14 +377,13 @@ def parts_in(index: bytes, names: list[str], bounds: Bounds) -> list[tuple[int,
                 some += [struct.unpack_from("<QQ", index, at + 16 * i) for i in range(n)]
             at += 16 * n
         if deep:
-            least = _least(firsts, bounds.least >> finest, levels)
+            least = _least(firsts, first >> finest, levels)
         else:
             (n_win,) = struct.unpack_from("<i", index, at)
-            w = bounds.least >> bgzf.SHIFT
+            w = first >> bgzf.SHIFT
             least = struct.unpack_from("<Q", index, at + 4 + 8 * w)[0] if w < n_win else 1 << 63
             at += 4 + 8 * n_win
-        if names[k] in bounds.chroms:
-            out += [(max(a, least), z) for a, z in some if z > least]
+        out += [(max(a, least), z) for a, z in some if z > least]
     merged: list[list[int]] = []
     for a, z in sorted(out):
         if merged and a <= merged[-1][1]:
@@ -393,25 +425,26 @@ class Reader(DataSourceReader):
         out: list[Run] = []
         for path in self.paths:
             file = File(path)
-            _, names, first = file.header()
+            text, names, first = file.header()
+            names, starts = origins(text, names)
             system, inner = opened(path)
             index = next((inner + x for x in (".csi", ".bai") if self.bounds.chroms is not None and system.get_file_info(inner + x).type == fs.FileType.File), None)
             if index:
                 with system.open_input_file(index) as stream:
-                    out += [Run(path, names, a, z, True, False) for a, z in parts_in(stream.read(), names, self.bounds)]
+                    out += [Run(path, names, starts, a, z, True, False) for a, z in parts_in(stream.read(), names, starts, self.bounds)]
                 continue
             edges = [*range(first >> 16, file.size, self.bytes)]
             for k, edge in enumerate(edges):
                 last = k == len(edges) - 1
-                out.append(Run(path, names, edge if k else first, (file.size if last else edges[k + 1]) << 16, k == 0, not last))
-        return out or [Run("", [], 0, 0, True, False)]
+                out.append(Run(path, names, starts, edge if k else first, (file.size if last else edges[k + 1]) << 16, k == 0, not last))
+        return out or [Run("", [], [], 0, 0, True, False)]
 
     def read(self, run: Run) -> Iterator[pa.RecordBatch]:
         if not run.path:
             return
         file = File(run.path)
         begin = run.begin if run.exact else file.first(run.begin, len(run.names))
-        rows, size, end = [], 0, begin
+        rows, size, end, starts = [], 0, begin, run.starts if any(run.starts) else None
         batch = lambda: pa.RecordBatch.from_arrays([pa.array(c, ARROW[t]) for c, (_, t) in zip(zip(*rows, strict=True), FIELDS, strict=True)], [f for f, _ in FIELDS])
         if begin is not None:
             end = None
@@ -419,7 +452,7 @@ class Reader(DataSourceReader):
                 if not record:
                     end = place
                     break
-                rows.append(row_of(record, run.names))
+                rows.append(row_of(record, run.names, starts))
                 size += len(record)
                 if size > 4 << 20 or len(rows) == 8192:
                     yield batch()
@@ -497,24 +530,79 @@ class Indexed(bgzf.File):
         return (".csi", b"".join(bgzf.member(data[k : k + bgzf.MOST]) for k in range(0, len(data), bgzf.MOST)) + bgzf.END) if deep else (".bai", data)
 
 
-def headed(sizes: list[tuple[str, int]], comments: list[str]) -> bytes:
+@dataclass
+class Layout:
+    """The references of files: the chromosomes, each followed by its parts beyond what a record can hold."""
+
+    refs: list[tuple[str, int]]  # names and lengths
+    beyond: dict[str, tuple[str, int]]  # of parts: the chromosome and the first position
+    rows: int  # of reads
+
+    def __post_init__(self) -> None:
+        self.numbers = {name: k for k, (name, _) in enumerate(self.refs)}
+        self.parts = {place: name for name, place in self.beyond.items()}
+
+    def placed(self, row: tuple) -> tuple:
+        """The row with its places, and its mate's, in references."""
+        if max(row[3] or 0, row[7] or 0) < FARTHEST:
+            return row
+        return (*row[:2], *self._within(*row[2:4]), *row[4:6], *self._within(*row[6:8]), *row[8:])
+
+    def _within(self, chrom: str | None, pos: int | None) -> tuple[str | None, int | None]:
+        if chrom is None or pos is None or pos < FARTHEST:
+            return chrom, pos
+        start = pos // FARTHEST * FARTHEST
+        if (chrom, start) not in self.parts:
+            raise ValueError(f"{chrom} is not known to go on beyond position {start}")
+        return self.parts[chrom, start], pos - start
+
+
+def layout(reads: DataFrame, sizes: DataFrame) -> Layout:
+    """How files hold the reads; a pass over their places."""
+    place = lambda chrom, pos, n: F.struct(F.col(chrom).cast("string").alias("chrom"), F.col(pos).cast("long").alias("pos"), F.lit(n).alias("n"))
+    places = reads.select(F.explode(F.array(place("chrom", "pos0", 1), place("next_chrom", "next_pos0", 0))).alias("_at")).select("_at.*")
+    far = F.col("pos") >= FARTHEST
+    found = places.groupBy(F.when(far, F.col("chrom")).alias("chrom"), F.when(far, F.expr(f"pos div {FARTHEST}")).alias("part")).agg(F.sum("n").alias("n"), F.max("pos").alias("last"))
+    found = found.collect()  # a row, and one for each part of a chromosome
+    lasts = {(r["chrom"], r["part"]): r["last"] for r in found if r["chrom"] is not None}
+    refs, beyond = [], {}
+    named = [(r["chrom"], r["size"]) for r in sizes.orderBy("chrom_ord").collect()]  # a row for each chromosome
+    taken = {chrom for chrom, _ in named}
+    for chrom, size in named:
+        refs.append((chrom, min(size, FARTHEST)))
+        for part in sorted({*range(1, -(-size // FARTHEST)), *(k for c, k in lasts if c == chrom)}):
+            start, name = part * FARTHEST, f"{chrom}_part{part + 1}"
+            while name in taken:
+                name += "_"
+            taken.add(name)
+            refs.append((name, max(min(size - start, FARTHEST), lasts.get((chrom, part), 0) + 1 - start)))
+            beyond[name] = (chrom, start)
+    return Layout(refs, beyond, sum(r["n"] for r in found))
+
+
+def headed(sizes: list[tuple[str, int]], comments: list[str], beyond: dict[str, tuple[str, int]] | None = None) -> bytes:
     # the format's lines, as fixed
-    text = "".join(f"{x}\n" for x in ["@HD\tVN:1.6\tSO:coordinate", *(f"@SQ\tSN:{name}\tLN:{size}" for name, size in sizes), *(f"@CO\t{c}" for c in comments)]).encode()
+    parts = {name: f"\tof:{chrom}\tat:{start}" for name, (chrom, start) in (beyond or {}).items()}
+    text = "".join(f"{x}\n" for x in ["@HD\tVN:1.6\tSO:coordinate", *(f"@SQ\tSN:{name}\tLN:{size}{parts.get(name, '')}" for name, size in sizes), *(f"@CO\t{c}" for c in comments)]).encode()
     refs = b"".join(struct.pack("<i", len(name) + 1) + name + b"\0" + struct.pack("<i", size) for name, size in ((n.encode(), s) for n, s in sizes))
     return MAGIC + struct.pack("<i", len(text)) + text + struct.pack("<i", len(sizes)) + refs
 
 
-def write(reads: DataFrame, sizes: DataFrame, path: str, files: int | None = None, comments: list[str] | None = None) -> None:
-    """reads as indexed files below `path`, one for each of about `files` ranges; sizes (chrom, chrom_ord, size) has a row for each chromosome and gives their order."""
-    listed_ = [(r["chrom"], r["size"]) for r in sizes.orderBy("chrom_ord").collect()]  # a row for each chromosome
-    numbers, header = {name: k for k, (name, _) in enumerate(listed_)}, headed(listed_, comments or [])
+def write(reads: DataFrame, sizes: DataFrame, path: str, files: int | None = None, comments: list[str] | None = None, held: Layout | None = None) -> Layout:
+    """reads as indexed files below `path`, one for each of about `files` ranges (else a million rows a file, and a file for each core at least).
+
+    sizes (chrom, chrom_ord, size) has a row for each chromosome and gives their order. How positions are laid out is worked out by a pass over the places of
+    reads, unless `held` says it, as of reads that lie where these do; it is returned.
+    """
+    held = held or layout(reads, sizes)
+    header = headed(held.refs, comments or [], held.beyond)
     cols = [f for f, _ in FIELDS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def records() -> Iterator[tuple[int, int | None, int, bytes]]:
             for batch in batches:
                 for row in zip(*(batch.column(c).to_pylist() for c in cols), strict=True):
-                    yield record_of(row, numbers, FARTHEST)
+                    yield record_of(held.placed(row), held.numbers, FARTHEST)
 
         some = records()
         first = next(some, None)
@@ -526,12 +614,13 @@ def write(reads: DataFrame, sizes: DataFrame, path: str, files: int | None = Non
 
             name, file = f"part-{TaskContext.get().partitionId():05d}.bam", Indexed()
             size = put(f"{path.rstrip('/')}/{name}", file.of(header, all_()))
-            ending, index = file.index(len(listed_))
+            ending, index = file.index(len(held.refs))
             put(f"{path.rstrip('/')}/{name}{ending}", [index])
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([size], pa.int64())], ["name", "size"])
 
     d = reads.select(*(F.col(c).cast(t).alias(c) for c, t in FIELDS))
     known = sizes.select("chrom", F.col("chrom_ord").alias("_ord"))
-    n = files or reads.sparkSession.sparkContext.defaultParallelism
-    order = [F.col("_ord").asc_nulls_last(), F.col("pos0").asc_nulls_last(), "name", "flag"]
+    n = files or max(reads.sparkSession.sparkContext.defaultParallelism, -(-held.rows // FILE_ROWS))
+    order = [F.col("_ord").asc_nulls_last(), F.col("pos0").asc_nulls_first(), "name", "flag"]  # without a position before its chromosome's parts
     d.join(F.broadcast(known), "chrom", "left").repartitionByRange(n, *order).sortWithinPartitions(*order).select(*cols).mapInArrow(run, "name string, size long").count()
+    return held
