@@ -14,7 +14,7 @@ from locuslake.functions import columns as C
 from locuslake.operators import alignments, binning, counts, depth, features, genetics, genotype, intervals, lift, masks, phasing
 from locuslake.plans import stages
 from locuslake.plans.fixtures import ctes, role
-from locuslake.plans.tables import scratch
+from locuslake.plans.tables import dropped, scratch, stored
 from locuslake.schema import standard
 from locuslake.sources import bam, bgzf, bigwig, readers, writers
 
@@ -790,9 +790,10 @@ def _targets(gene):
 def rebarcoded_alignments(alignment, size, gene):
     """Read, given the barcodes of their targets, written and read again."""
     reads, held = _aligned(alignment, size)
-    new = alignments.rebarcoded(reads, _targets(gene))
+    new = stored(alignments.rebarcoded(reads, _targets(gene)), "rebarcoded")  # which the writer goes through twice
     path = scratch(new.sparkSession, "bam")
     bam.write(new, size, path, held=held)
+    dropped(new)
     return _fields(bam.read(new.sparkSession, path)).select("name", "flag", "chrom", "pos0", "seq", "barcode", "sample_id")
 
 

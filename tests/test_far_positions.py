@@ -20,7 +20,7 @@ def far(spark, tmp_path_factory):
     return path
 
 
-@pytest.mark.parametrize("name", ["read_alignments", "alignments_in_range"])
+@pytest.mark.parametrize("name", ["read_alignments", "alignments_in_range", "rebarcoded_alignments"])
 def test_query(spark, far, name):
     con = duckdb.connect()
     for table in TABLES:
